@@ -1,0 +1,61 @@
+"""``report_finance_table`` for many months in one plan (composite D15)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from branchbook.operators import allocation, pnl, ratios as R
+from branchbook.sources import seeds
+
+
+@dataclass
+class FinanceParts:
+    """Intermediate frames, exposed for the per-operator queries and tests."""
+    monthly_postings: DataFrame
+    cumulative_postings: DataFrame
+    leaves: DataFrame
+    rollups: DataFrame
+    headcount: DataFrame
+    ratio_lines: DataFrame
+    report: DataFrame
+
+
+def build_finance(spark: SparkSession, txn: DataFrame, rate_table: DataFrame, hc: DataFrame,
+                  months: DataFrame) -> FinanceParts:
+    """Allocated lines (incl. placeholders) -> rollups -> headcount -> ratios.
+
+    ``txn`` is the decoded posting table, ``rate_table`` the allocation ratios
+    (``rate_month, method_code, area_code, ratio``), ``hc`` the headcount
+    cells from ``ratios.headcount_cells``.  ``months`` lists the report months.
+    """
+    selectors = seeds.line_selector_df(spark)
+    sel_values = [(kind, v) for _, (_, kind, vals) in seeds.ALLOCATED_LINES.items() for v in vals]
+    monthly = allocation.line_postings_monthly(txn, selectors, seeds.prefix_lengths(), sel_values)
+    cumulative = allocation.line_postings_cumulative(monthly, months)
+    leaves = allocation.allocate_lines(cumulative, rate_table, seeds.line_catalog_df(spark))
+    rollups = pnl.rollup_tree(leaves, seeds.closure_df(spark))
+    headcount = pnl.headcount_line(hc, months)
+    base = leaves.unionByName(rollups).unionByName(headcount)
+    ratio_rows = pnl.ratio_lines(base)
+    return FinanceParts(monthly, cumulative, leaves, rollups, headcount, ratio_rows,
+                        base.unionByName(ratio_rows))
+
+
+def finance_report(spark: SparkSession, txn: DataFrame, rate_table: DataFrame, fact_kpi_asm: DataFrame,
+                   areas: DataFrame, months: DataFrame) -> DataFrame:
+    hc = R.headcount_cells(fact_kpi_asm, areas)
+    return build_finance(spark, txn, rate_table, hc, months).report
+
+
+def head_totals(cumulative: DataFrame, months: DataFrame) -> DataFrame:
+    """Per report month and line: the cumulative head-office total (NULL when
+    nothing was booked at head office — the original's scalar ``f_total``)."""
+    rm = cumulative.columns[0]
+    line_ids = F.array(*[F.lit(i) for i in sorted(seeds.ALLOCATED_LINES)])
+    spine = months.select(F.col(months.columns[0]).alias(rm), F.explode(line_ids).alias("pnl_id"))
+    head = cumulative.where(F.col("area_code") == seeds.HEAD_POSTING_AREA).select(rm, "pnl_id", "amount")
+    return spine.join(head, [rm, "pnl_id"], "left").select(
+        F.col(rm).alias("month_key"), F.col("pnl_id").alias("id"), F.col("amount").alias("head_total"))
