@@ -32,8 +32,9 @@ from branchbook.sources import bindings, seeds
 class Books:
     def __init__(self, spark: SparkSession, *, txn: DataFrame, snapshot: DataFrame, kpi_asm: DataFrame,
                  areas: DataFrame, provinces: DataFrame, regions: DataFrame, months, materialize: str | None = "persist",
-                 strict: bool = True):
+                 strict: bool = True, rate_table: DataFrame | None = None):
         self.spark = spark
+        self.rate_table = rate_table    # stored ratios to use instead of computing them
         self.txn = txn                  # decoded postings (fact_txn_month_data)
         self.snapshot = snapshot        # fact_kpi_month_raw_data
         self.kpi_asm = kpi_asm          # fact_kpi_asm (long)
@@ -87,6 +88,8 @@ class Books:
 
     @cached_property
     def ratios(self) -> DataFrame:
+        if self.rate_table is not None:
+            return self.rate_table
         return self._keep(R.allocation_ratios(self.snapshot, self.kpi_asm, self.provinces, self.areas,
                                               self.months, strict=self.strict, cells=self.cells,
                                               headcount=self.headcount_cells), "ratios")
