@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from branchbook.functions.columns import month_of_year, require_not_null
 from branchbook.operators.geo import area_by_name, city_to_area
 from branchbook.sources import seeds
+from branchbook.sources.local import local_table
 from branchbook.sources.schemas import RATIO_TYPE
 
 SHARE_INPUT = T.DecimalType(20, 0)  # numerator/denominator width -> 18 quotient decimals
@@ -35,7 +36,7 @@ METHOD_ORDER = [m for m, _ in seeds.METHODS]
 
 def month_frame(spark: SparkSession, months: Iterable[int], name: str = "report_month") -> DataFrame:
     """The report months as a one-column DataFrame (bounded by the calendar)."""
-    return spark.createDataFrame([(int(m),) for m in sorted(set(months))], f"{name} int")
+    return local_table(spark, [(int(m),) for m in sorted(set(months))], f"{name} int")
 
 
 def cumulate_to_months(monthly: DataFrame, months: DataFrame, month_col: str,
@@ -210,7 +211,7 @@ def allocation_ratios(snapshot: DataFrame, fact_kpi_asm: DataFrame, provinces: D
     spark = months.sparkSession
     cells = cells if cells is not None else snapshot_cells(snapshot, provinces)
     hc = headcount if headcount is not None else headcount_cells(fact_kpi_asm, areas)
-    names = spark.createDataFrame(seeds.METHODS, "method_code string, method_name string")
+    names = local_table(spark, seeds.METHODS, "method_code string, method_name string")
     data = (balance_ratios(cells, months)
             .unionByName(pre_writeoff_ratios(cells, months))
             .unionByName(headcount_ratios(hc, months))

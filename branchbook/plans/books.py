@@ -41,8 +41,16 @@ class Books:
         self.areas = areas
         self.provinces = provinces
         self.regions = regions
-        self.months = months if isinstance(months, DataFrame) else R.month_frame(spark, months)
         self.materialize = materialize
+        if isinstance(months, DataFrame):
+            # a month list derived from data is read by most steps: keep it
+            # (it is bounded by the calendar) rather than re-deriving it each time
+            if "report_months" not in (months.columns[0],) or not _is_leaf(months):
+                months = keep(months.select(F.col(months.columns[0]).cast("int").alias("report_month")),
+                              "report_months", materialize)
+            self.months = months
+        else:
+            self.months = R.month_frame(spark, months)
         self.strict = strict
 
     # -- construction ------------------------------------------------------
@@ -144,6 +152,12 @@ class Books:
         return FIN.head_totals(self.cumulative_postings, self.months)
 
 
+def _is_leaf(df: DataFrame) -> bool:
+    """True when ``df`` is a plain scan (a written table or local rows)."""
+    plan = df._jdf.queryExecution().analyzed()
+    return plan.children().isEmpty() or plan.toString().count("\n") <= 2
+
+
 def keep(df: DataFrame, name: str, mode: str | None) -> DataFrame:
     """``persist``: cache (computed once by the first plan that needs it,
     rebuilt from lineage if an executor is lost); ``table``: write and read

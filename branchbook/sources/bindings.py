@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from branchbook.functions.columns import yyyymm
 from branchbook.sources import seeds
+from branchbook.sources.local import local_table
 
 # FIXED VALUES of the binding: 21 account codes, chosen by
 # index = 7 * (A -> 0, N -> 1, R -> 2 for l_returnflag) + l_linenumber - 1.
@@ -57,7 +58,7 @@ def dim_area(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("area_name"),
         _region_id("r_regionkey").alias("region_id"),
     )
-    head = spark.createDataFrame([seeds.AREAS[0]], "area_code string, area_name string, region_id string")
+    head = local_table(spark, [seeds.AREAS[0]], "area_code string, area_name string, region_id string")
     return head.unionByName(regions)
 
 

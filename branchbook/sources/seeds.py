@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from branchbook.sources import schemas as S
+from branchbook.sources.local import local_table
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — must equal the original seed data.
@@ -258,31 +259,31 @@ def rollup_closure() -> list[tuple[int, int]]:
 
 
 def regions_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGIONS, S.DIM_REGION)
+    return local_table(spark, REGIONS, S.DIM_REGION)
 
 
 def areas_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AREAS, S.DIM_AREA)
+    return local_table(spark, AREAS, S.DIM_AREA)
 
 
 def provinces_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROVINCES, S.DIM_PROVINCE)
+    return local_table(spark, PROVINCES, S.DIM_PROVINCE)
 
 
 def pnl_tree_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PNL_TREE, S.DIM_PNL)
+    return local_table(spark, PNL_TREE, S.DIM_PNL)
 
 
 def methods_df(spark: SparkSession) -> DataFrame:
     head = dict(HEAD_METHOD_NAMES)
     rows = [(c, n, head[c]) for c, n in METHODS]
-    return spark.createDataFrame(rows, "method_code string, method_name string, head_method_name string")
+    return local_table(spark, rows, "method_code string, method_name string, head_method_name string")
 
 
 def line_catalog_df(spark: SparkSession) -> DataFrame:
     """One row per allocated line: (pnl_id, method_code)."""
     rows = [(pid, spec[0]) for pid, spec in sorted(ALLOCATED_LINES.items())]
-    return spark.createDataFrame(rows, "pnl_id int, method_code string")
+    return local_table(spark, rows, "pnl_id int, method_code string")
 
 
 def line_selector_df(spark: SparkSession) -> DataFrame:
@@ -297,7 +298,7 @@ def line_selector_df(spark: SparkSession) -> DataFrame:
         for v in values:
             key = v if kind == "code" else f"prefix:{v}"
             rows.append((pid, kind, v, key))
-    return spark.createDataFrame(rows, "pnl_id int, kind string, selector string, match_key string")
+    return local_table(spark, rows, "pnl_id int, kind string, selector string, match_key string")
 
 
 def prefix_lengths() -> list[int]:
@@ -305,7 +306,7 @@ def prefix_lengths() -> list[int]:
 
 
 def closure_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rollup_closure(), "leaf_id int, ancestor_id int")
+    return local_table(spark, rollup_closure(), "leaf_id int, ancestor_id int")
 
 
 def heat_map_kpis() -> list[tuple[str, str]]:
