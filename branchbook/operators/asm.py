@@ -109,8 +109,8 @@ def finance_lookup(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame
         "month_key", "area_name", "sale_name", "email", "id", "amount").distinct()
 
 
-def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> DataFrame:
-    """The 8-way left join on (email, month) and the 8 per-month ranks.
+def asm_joined(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The 8-way left join on (email, month) feeding the ranks.
 
     The loan-average table drives the join; every other input joins by
     email alone, so an email under two names or areas fans out, as in the
@@ -125,41 +125,62 @@ def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> Data
     for lid, name in FINANCE_LOOKUPS:
         one = lookup.where(F.col("id") == lid).select("month_key", "email", F.col("amount").alias(name))
         j = j.join(one, ["month_key", "email"], "left")
-
-    def w(*order):
-        return Window.partitionBy("month_key").orderBy(*order)
-
-    tb = [F.col(c).asc_nulls_last() for c in TIE_BREAK]
-    return j.select(
-        "*",
-        F.row_number().over(w(desc_pg("ltn_avg"), *tb)).alias("rank_ltn"),
-        F.row_number().over(w(desc_pg("psdn_avg"), *tb)).alias("rank_psdn"),
-        F.row_number().over(w(desc_pg("approval_rate_avg"), *tb)).alias("rank_approval"),
-        F.rank().over(w(asc_pg("npl_truoc_wo_luy_ke"))).alias("rank_npl"),
-        F.dense_rank().over(w(desc_pg("cir"))).alias("rank_cir"),
-        F.dense_rank().over(w(desc_pg("margin"))).alias("rank_margin"),
-        F.dense_rank().over(w(asc_pg("hs_von"))).alias("rank_hs_von"),
-        F.dense_rank().over(w(desc_pg("hsbp_nhan_su"))).alias("rank_hsbp"),
-    )
-
-
-def asm_score(ranked: DataFrame) -> DataFrame:
+    return j
+
+
+# (output column, function, value column, ordering) of the 8 ranks
+RANKS = [
+    ("rank_ltn", "row_number", "ltn_avg", desc_pg),
+    ("rank_psdn", "row_number", "psdn_avg", desc_pg),
+    ("rank_approval", "row_number", "approval_rate_avg", desc_pg),
+    ("rank_npl", "rank", "npl_truoc_wo_luy_ke", asc_pg),
+    ("rank_cir", "dense_rank", "cir", desc_pg),
+    ("rank_margin", "dense_rank", "margin", desc_pg),
+    ("rank_hs_von", "dense_rank", "hs_von", asc_pg),
+    ("rank_hsbp", "dense_rank", "hsbp_nhan_su", desc_pg),
+]
+
+
+def _tie_break():
+    return [F.col(c).asc_nulls_last() for c in TIE_BREAK]
+
+
+def apply_ranks(df: DataFrame, specs, scalable: bool = False) -> DataFrame:
+    """Add per-month rank columns.  ``scalable=False``: windows partitioned by
+    month (one sort per month); ``scalable=True``: the range-partitioned
+    operators of ``operators.ranking`` (no task holds a whole month)."""
+    if not scalable:
+        cols = []
+        for out, fn, col, order in specs:
+            tb = _tie_break() if fn == "row_number" else []
+            w = Window.partitionBy("month_key").orderBy(order(col), *tb)
+            cols.append(getattr(F, fn)().over(w).alias(out))
+        return df.select("*", *cols)
+    from branchbook.operators import ranking
+    for out, fn, col, order in specs:
+        if fn == "row_number":
+            df = ranking.row_number(df, [order(col), *_tie_break()], ["month_key"], out)
+        elif fn == "rank":
+            df = ranking.rank(df, [col], [order(col)], ["month_key"], out)
+        else:
+            df = ranking.dense_rank(df, [col], [order(col)], ["month_key"], out)
+    return df
+
+
+def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, scalable: bool = False) -> DataFrame:
+    """The joined inputs with the 8 per-month ranks."""
+    return apply_ranks(asm_joined(averages, npl_asm, lookup), RANKS, scalable)
+
+
+def asm_score(ranked: DataFrame, scalable: bool = False) -> DataFrame:
     """Scale score (4 ranks), finance score (4 ranks), total, and their ranks."""
     scale = F.col("rank_ltn") + F.col("rank_psdn") + F.col("rank_approval") + F.col("rank_npl")
     fin = F.col("rank_cir") + F.col("rank_margin") + F.col("rank_hs_von") + F.col("rank_hsbp")
     s = ranked.select("*", scale.cast("bigint").alias("diem_quymo"), fin.cast("bigint").alias("diem_fin"),
                       (scale + fin).cast("bigint").alias("tong_diem"))
-    tb = [F.col(c).asc_nulls_last() for c in TIE_BREAK]
-
-    def w(*order):
-        return Window.partitionBy("month_key").orderBy(*order)
-
-    s = s.select(
-        "*",
-        F.row_number().over(w(F.col("tong_diem").asc(), *tb)).alias("rank_final"),
-        F.row_number().over(w(F.col("diem_quymo").asc(), *tb)).alias("rank_ptkd"),
-        F.rank().over(w(F.col("diem_fin").asc())).alias("rank_fin"),
-    )
+    s = apply_ranks(s, [("rank_final", "row_number", "tong_diem", asc_pg),
+                        ("rank_ptkd", "row_number", "diem_quymo", asc_pg),
+                        ("rank_fin", "rank", "diem_fin", asc_pg)], scalable)
     renamed = {"rank_ltn_avg": "rank_ltn", "rank_psdn_avg": "rank_psdn",
                "rank_approval_rate_avg": "rank_approval", "rank_npl_truoc_wo_luy_ke": "rank_npl",
                "rank_hsbq_nhan_su": "rank_hsbp"}
@@ -171,8 +192,8 @@ def asm_score(ranked: DataFrame) -> DataFrame:
 
 
 def asm_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
-               months: DataFrame, averages: DataFrame | None = None) -> DataFrame:
+               months: DataFrame, averages: DataFrame | None = None, scalable: bool = False) -> DataFrame:
     averages = averages if averages is not None else asm_averages(fact_kpi_asm, months)
     npl_asm = npl_by_asm(fact_kpi_asm, areas, npl_area, months)
     lookup = finance_lookup(fact_kpi_asm, areas, finance, months)
-    return asm_score(asm_rank(averages, npl_asm, lookup))
+    return asm_score(asm_rank(averages, npl_asm, lookup, scalable), scalable)

@@ -173,6 +173,18 @@ def q_asm_rank(spark, d):
         "rank_hsbp"))
 
 
+def q_rank_scalable(spark, d):
+    """Three of the ASM ranks (row_number, rank, dense_rank) computed by the
+    range-partitioned operators instead of per-month windows."""
+    b = books(spark, d)
+    npl_asm = A.npl_by_asm(b.kpi_asm, b.areas, b.npl_by_area, b.months)
+    lookup = A.finance_lookup(b.kpi_asm, b.areas, b.finance, b.months)
+    joined = A.asm_joined(b.asm_averages, npl_asm, lookup)
+    specs = [s for s in A.RANKS if s[0] in ("rank_ltn", "rank_npl", "rank_cir")]
+    r = A.apply_ranks(joined, specs, scalable=True)
+    return r.select("month_key", "email", "area_name", "sale_name", "rank_ltn", "rank_npl", "rank_cir")
+
+
 def q_asm_report(spark, d):
     return _asm_out(books(spark, d).asm)
 
@@ -263,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asm_finance_lookup": q_asm_finance_lookup,
     "asm_rank": q_asm_rank,
     "asm_report": q_asm_report,
+    "rank_scalable": q_rank_scalable,
     "report_finance_crosstab": q_report_finance_crosstab,
     "heat_map": q_heat_map,
     "col_chart": q_col_chart,
