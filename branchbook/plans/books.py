@@ -76,6 +76,11 @@ class Books:
     def _keep(self, df: DataFrame, name: str = "step") -> DataFrame:
         return keep(df, name, self.materialize)
 
+    def _small(self, df: DataFrame) -> DataFrame:
+        """Cache a small input read several times by one plan whose own plan
+        is small (no lineage cut needed; rebuilt from lineage if lost)."""
+        return df.persist() if self.materialize else df
+
     # -- shared aggregates ---------------------------------------------------
     @cached_property
     def cells(self) -> DataFrame:
@@ -140,13 +145,23 @@ class Books:
 
     @cached_property
     def asm_averages(self) -> DataFrame:
-        return A.asm_averages(self.kpi_asm, self.months)
+        return self._small(A.asm_averages(self.kpi_asm, self.months))
+
+    @cached_property
+    def npl_by_asm(self) -> DataFrame:
+        return self._small(A.npl_by_asm(self.kpi_asm, self.areas, self.npl_by_area, self.months))
+
+    @cached_property
+    def finance_lookup(self) -> DataFrame:
+        return self._small(A.finance_lookup(self.kpi_asm, self.areas, self.finance, self.months))
 
     @cached_property
     def asm(self) -> DataFrame:
-        """``report_asm_final_table`` for all report months."""
-        return self._keep(A.asm_report(self.kpi_asm, self.areas, self.finance, self.npl_by_area,
-                                       self.months, averages=self.asm_averages), "asm")
+        """``report_asm_final_table`` for all report months.  Its three inputs
+        (one row per salesperson and month, bounded by headcount) are cached:
+        the 8-way join reads each of them several times."""
+        ranked = A.asm_rank(self.asm_averages, self.npl_by_asm, self.finance_lookup)
+        return self._keep(A.asm_score(ranked), "asm")
 
     def head_totals(self) -> DataFrame:
         return FIN.head_totals(self.cumulative_postings, self.months)

@@ -139,13 +139,13 @@ def q_npl_by_area(spark, d):
 
 def q_npl_by_asm(spark, d):
     b = books(spark, d)
-    return A.npl_by_asm(b.kpi_asm, b.areas, b.npl_by_area, b.months).select(
+    return b.npl_by_asm.select(
         "month_key", "area_name", "sale_name", "email", dbl("npl_truoc_wo_luy_ke", 9).alias("npl_truoc_wo_luy_ke"))
 
 
 def q_asm_finance_lookup(spark, d):
     b = books(spark, d)
-    return A.finance_lookup(b.kpi_asm, b.areas, b.finance, b.months).select(
+    return b.finance_lookup.select(
         "month_key", "area_name", "sale_name", "email", "id", money("amount").alias("amount"))
 
 
@@ -163,9 +163,7 @@ def _asm_out(df: DataFrame) -> DataFrame:
 
 def q_asm_rank(spark, d):
     b = books(spark, d)
-    npl_asm = A.npl_by_asm(b.kpi_asm, b.areas, b.npl_by_area, b.months)
-    lookup = A.finance_lookup(b.kpi_asm, b.areas, b.finance, b.months)
-    r = A.asm_rank(b.asm_averages, npl_asm, lookup)
+    r = A.asm_rank(b.asm_averages, b.npl_by_asm, b.finance_lookup)
     return _asm_out(r.select(
         "month_key", "email", "area_name", "sale_name", "ltn_avg", "psdn_avg", "approval_rate_avg",
         "npl_truoc_wo_luy_ke", *[F.col(n).cast("double").alias(n) for _, n in A.FINANCE_LOOKUPS],
@@ -177,9 +175,7 @@ def q_rank_scalable(spark, d):
     """Three of the ASM ranks (row_number, rank, dense_rank) computed by the
     range-partitioned operators instead of per-month windows."""
     b = books(spark, d)
-    npl_asm = A.npl_by_asm(b.kpi_asm, b.areas, b.npl_by_area, b.months)
-    lookup = A.finance_lookup(b.kpi_asm, b.areas, b.finance, b.months)
-    joined = A.asm_joined(b.asm_averages, npl_asm, lookup)
+    joined = A.asm_joined(b.asm_averages, b.npl_by_asm, b.finance_lookup)
     specs = [s for s in A.RANKS if s[0] in ("rank_ltn", "rank_npl", "rank_cir")]
     r = A.apply_ranks(joined, specs, scalable=True)
     return r.select("month_key", "email", "area_name", "sale_name", "rank_ltn", "rank_npl", "rank_cir")
