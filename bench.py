@@ -12,6 +12,10 @@ Flows:
   asm_report        salesperson ranking for the 5 months (includes finance)
   finance_80_months the P&L report for all 80 snapshot months in one plan
   views             crosstab + heat map + column chart over the reports
+
+Comparison (reported under "comparison", not in the total): the 21 allocated
+lines of one month from a stored posting table, fused (one scan) vs the
+original's per-line shape (scalar head total + LEFT JOIN, 2 scans per line).
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from branchbook.operators import views  # noqa: E402
+from branchbook.functions.columns import month_end  # noqa: E402
+from branchbook.operators import allocation, views  # noqa: E402
+from branchbook.plans.books import materialize  # noqa: E402
 from branchbook.plans.books import Books  # noqa: E402
 from branchbook.session import local_session  # noqa: E402
 from branchbook.sources import bindings, seeds  # noqa: E402
@@ -59,6 +65,40 @@ def flows(spark, sf):
             "finance_80_months": finance_80_months, "views": view_set}
 
 
+def allocation_comparison(spark, sf):
+    """Fused vs per-line allocation for the last sheet month, same stored inputs."""
+    b = Books.from_testdata(spark, sf, materialize="table")
+    month = max(r[0] for r in b.months.collect())
+    txn = materialize(b.txn, "bench_postings")            # a stored posting table
+    rates = materialize(b.ratios.where(F.col("rate_month") == month), "bench_rates")
+    months = b.months.where(F.col("report_month") == month)
+    selectors = seeds.line_selector_df(spark)
+    sel = [(k, v) for _, (_, k, vals) in seeds.ALLOCATED_LINES.items() for v in vals]
+
+    def fused():
+        monthly = allocation.line_postings_monthly(txn, selectors, seeds.prefix_lengths(), sel)
+        cum = allocation.line_postings_cumulative(monthly, months)
+        return allocation.allocate_lines(cum, rates, seeds.line_catalog_df(spark)).count()
+
+    def per_line():
+        me = spark.range(1).select(month_end(F.lit(month)).alias("d")).first().d
+        n = 0
+        for line, (method, kind, vals) in sorted(seeds.ALLOCATED_LINES.items()):
+            pick = F.col("account_code").isin(vals) if kind == "code" else F.col("account_code").startswith(vals[0])
+            t = txn.where(pick & (F.col("transaction_date") <= F.lit(me)))
+            f_total = t.where(F.col("area_code") == "00").agg(F.sum("amount")).first()[0]   # SELECT ... INTO
+            r = rates.where(F.col("method_code") == method).alias("b")
+            g = (r.join(t.alias("a"), F.col("a.area_code") == F.col("b.area_code"), "left")
+                 .groupBy("b.area_code", "b.ratio").agg(F.sum("a.amount").alias("s")))
+            head = F.lit(f_total).cast("decimal(19,0)")
+            amt = F.when(F.col("area_code") == "A", head).otherwise(
+                F.coalesce(F.col("s"), F.lit(0)) + F.coalesce(F.col("ratio"), F.lit(0)) * head)
+            n += g.select(amt.alias("amount")).count()
+        return n
+
+    return {"allocation_fused_1m": fused, "allocation_per_line_1m": per_line}
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -75,9 +115,19 @@ def main():
             fn()
             times[name].append(time.perf_counter() - t0)
     med = {name: round(statistics.median(v), 3) for name, v in times.items()}
+    comp = allocation_comparison(spark, sf)
+    comp_rows = {name: fn() for name, fn in comp.items()}  # warm-up
+    comp_t = {name: [] for name in comp}
+    for _ in range(runs):
+        for name, fn in comp.items():
+            t0 = time.perf_counter()
+            fn()
+            comp_t[name].append(time.perf_counter() - t0)
+    comparison = {name: round(statistics.median(v), 3) for name, v in comp_t.items()}
     sf_label = os.path.basename(sf.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "report_pipeline_median_sec", "value": round(sum(med.values()), 3), "unit": "sec",
-                      "queries": med, "rows": rows, "sf": sf_label, "cpus": cpus, "runs": runs}))
+                      "queries": med, "rows": rows, "comparison": comparison, "comparison_rows": comp_rows,
+                      "sf": sf_label, "cpus": cpus, "runs": runs}))
     spark.stop()
 
 
