@@ -38,23 +38,32 @@ from branchbook.session import local_session  # noqa: E402
 from branchbook.sources import bindings, seeds  # noqa: E402
 
 
+def _run(b: Books, fn):
+    try:
+        return fn(b)
+    finally:
+        b.close()
+
+
 def flows(spark, sf):
+    def books(**kw):
+        return Books.from_testdata(spark, sf, materialize="table", **kw)
+
     def ratios():
-        return Books.from_testdata(spark, sf, materialize="table").ratios.count()
+        return _run(books(), lambda b: b.ratios.count())
 
     def finance_report():
-        return Books.from_testdata(spark, sf, materialize="table").finance.count()
+        return _run(books(), lambda b: b.finance.count())
 
     def asm_report():
-        return Books.from_testdata(spark, sf, materialize="table").asm.count()
+        return _run(books(), lambda b: b.asm.count())
 
     def finance_80_months():
         snap = bindings.kpi_month_raw(spark, sf)
         months = snap.select(F.col("kpi_month").alias("report_month")).distinct()
-        return Books.from_testdata(spark, sf, months=months, materialize="table").finance.count()
+        return _run(books(months=months), lambda b: b.finance.count())
 
-    def view_set():
-        b = Books.from_testdata(spark, sf, materialize="table")
+    def view_set(b):
         tree = seeds.pnl_tree_df(spark)
         n = views.report_finance_crosstab(b.finance, b.areas, tree).count()
         n += views.heat_map(b.asm).count()
@@ -62,7 +71,7 @@ def flows(spark, sf):
         return n
 
     return {"ratios": ratios, "finance_report": finance_report, "asm_report": asm_report,
-            "finance_80_months": finance_80_months, "views": view_set}
+            "finance_80_months": finance_80_months, "views": lambda: _run(books(), view_set)}
 
 
 def allocation_comparison(spark, sf):

@@ -34,6 +34,7 @@ class Books:
                  areas: DataFrame, provinces: DataFrame, regions: DataFrame, months, materialize: str | None = "persist",
                  strict: bool = True, rate_table: DataFrame | None = None):
         self.spark = spark
+        self._cached: list[DataFrame] = []
         self.rate_table = rate_table    # stored ratios to use instead of computing them
         self.txn = txn                  # decoded postings (fact_txn_month_data)
         self.snapshot = snapshot        # fact_kpi_month_raw_data
@@ -79,7 +80,16 @@ class Books:
     def _small(self, df: DataFrame) -> DataFrame:
         """Cache a small input read several times by one plan whose own plan
         is small (no lineage cut needed; rebuilt from lineage if lost)."""
-        return df.persist() if self.materialize else df
+        if not self.materialize:
+            return df
+        self._cached.append(df.persist())
+        return df
+
+    def close(self) -> None:
+        """Release the cached inputs (the written tables stay readable)."""
+        for df in self._cached:
+            df.unpersist()
+        self._cached.clear()
 
     # -- shared aggregates ---------------------------------------------------
     @cached_property

@@ -32,7 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("BRANCHBOOK_DRIVER_MEMORY", "8g"))
+         .config("spark.driver.memory", os.environ.get("BRANCHBOOK_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in SQL_CONF.items():
         b = b.config(k, v)
