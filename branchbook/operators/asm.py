@@ -89,7 +89,9 @@ def npl_by_asm(fact_kpi_asm: DataFrame, areas: DataFrame, npl_area: DataFrame, m
     rows = _months_join(rows, months, F.col("month_col") == month_of_year(F.col(rm)))
     rows = area_by_name(rows, areas).select(F.col(rm).alias("month_key"), "area_name", "sale_name", "email",
                                             "area_code")
-    return rows.join(npl_area, ["month_key", "area_code"], "left").select(
+    # npl_area has one row per (month, area): bounded by months x areas, so it
+    # is broadcast and a crowded area never concentrates salespeople in a task
+    return rows.join(F.broadcast(npl_area), ["month_key", "area_code"], "left").select(
         "month_key", "area_name", "sale_name", "email", "npl_truoc_wo_luy_ke")
 
 
@@ -103,9 +105,10 @@ def finance_lookup(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame
     people = _months_join(people, months, F.col("month_col") <= month_of_year(F.col(rm)))
     people = area_by_name(people, areas).select(F.col(rm).alias("month_key"), "area_name", "sale_name",
                                                 "email", "area_code").distinct()
+    # lines 29-32 per (month, area): bounded by months x areas x 4 -> broadcast
     lines = finance.where(F.col("id").isin([i for i, _ in FINANCE_LOOKUPS])).select(
         "month_key", "area_code", "id", "amount")
-    return people.join(lines, ["month_key", "area_code"]).select(
+    return people.join(F.broadcast(lines), ["month_key", "area_code"]).select(
         "month_key", "area_name", "sale_name", "email", "id", "amount").distinct()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchbook.operators import allocation, ratios as R
+from branchbook.operators import allocation
 from branchbook.plans.books import Books
 from branchbook.sources import seeds
 

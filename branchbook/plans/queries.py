@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchbook.operators import asm as A
-from branchbook.operators import checks, geo, ratios as R, views
+from branchbook.operators import checks, geo, views
 from branchbook.plans.books import Books
 from branchbook.sources import seeds
 
