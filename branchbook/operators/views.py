@@ -45,7 +45,7 @@ def report_finance_crosstab(report: DataFrame, areas: DataFrame, tree: DataFrame
                      *[F.col(f"`{n}`") for n in names])
 
 
-def heat_map(report_asm: DataFrame, k: int = 3) -> DataFrame:
+def heat_map(report_asm: DataFrame, k: int = 3, ordered: bool = False) -> DataFrame:
     """Top-k and bottom-k salespeople of each month by ``rank_final``, with 5
     KPIs unpivoted (CIR as its absolute value).
 
@@ -70,11 +70,13 @@ def heat_map(report_asm: DataFrame, k: int = 3) -> DataFrame:
     for label, colname in kpis:
         v = F.col(colname).cast(T.DoubleType())
         args += [F.lit(label), F.abs(v) if colname == "cir" else v]
-    return picked.select("month_key", "email", F.col("rank_final").alias("rank_for_sort"),
-                         F.stack(*args).alias("kpi", "value"))
+    out = picked.select("month_key", "email", F.col("rank_final").alias("rank_for_sort"),
+                        F.stack(*args).alias("kpi", "value"))
+    # the view's ORDER BY, applied only at the edge when a consumer needs it
+    return out.orderBy("month_key", "rank_for_sort", "kpi") if ordered else out
 
 
-def col_chart(report: DataFrame, areas: DataFrame, tree: DataFrame) -> DataFrame:
+def col_chart(report: DataFrame, areas: DataFrame, tree: DataFrame, ordered: bool = False) -> DataFrame:
     """Month-over-month amounts of lines 1, 20, 21, 26 for areas other than the
     head office: cumulative amount minus the previous *present* month's
     cumulative amount of the same line and area (0 before the first month).
@@ -88,4 +90,7 @@ def col_chart(report: DataFrame, areas: DataFrame, tree: DataFrame) -> DataFrame
     w = Window.partitionBy("id", "area_name").orderBy("month_key")
     amt = F.col("amount").cast(T.DecimalType(37, 10))
     prev = F.coalesce(F.lag(amt).over(w), F.lit(0).cast(T.DecimalType(37, 10)))
-    return rows.select("month_key", "pnl_name", "area_name", (amt - prev).alias("monthly_amount"))
+    out = rows.select("month_key", "id", "pnl_name", "area_name", (amt - prev).alias("monthly_amount"))
+    if ordered:
+        out = out.orderBy("month_key", "id", F.col("area_name").asc_nulls_last())
+    return out.drop("id")

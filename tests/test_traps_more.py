@@ -77,3 +77,17 @@ def test_functional_finance_api_equals_books(spark):
     a = sorted((r.month_key, r.id, r.area_code or "", r.amount) for r in f.collect())
     e = sorted((r.month_key, r.id, r.area_code or "", r.amount) for r in b.finance.collect())
     assert a == e and len(a) == 960
+
+
+def test_sql_surface_runs_the_original_names(spark):
+    from branchbook.plans.books import Books
+    from branchbook.plans.catalog import register_views
+    b = Books.from_testdata(spark, "/root/testdata/sf0.01", materialize="table")
+    names = register_views(spark, b)
+    assert "view_report_finance" in names and "report_finance_table" in names
+    assert spark.sql("SELECT COUNT(*) AS n FROM report_finance_table WHERE month_key = 199705").first().n == 192
+    top = spark.sql("SELECT * FROM view_heat_map").collect()
+    assert len(top) == 150 and [r.month_key for r in top] == sorted(r.month_key for r in top)
+    chart = spark.sql("SELECT * FROM view_col_chart WHERE month_key = 199701").collect()
+    assert len(chart) == 20
+    assert spark.sql("SELECT COUNT(*) AS n FROM view_report_finance").first().n == 160
