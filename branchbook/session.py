@@ -43,11 +43,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``
-    when set; a fresh scratch folder only when unset (local runs, tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without the setting gets a
+    fresh scratch folder; on a cluster an unset folder is an error, because a
+    machine-local folder is not visible to the other executors.
+    """
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) \
+        or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's file system)")
         d = tempfile.mkdtemp(prefix="branchbook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
