@@ -44,14 +44,12 @@ class Books:
         self.regions = regions
         self.materialize = materialize
         if isinstance(months, DataFrame):
-            # a month list derived from data is read by most steps: keep it
-            # (it is bounded by the calendar) rather than re-deriving it each time
-            if "report_months" not in (months.columns[0],) or not _is_leaf(months):
-                months = keep(months.select(F.col(months.columns[0]).cast("int").alias("report_month")),
-                              "report_months", materialize)
-            self.months = months
-        else:
-            self.months = R.month_frame(spark, months)
+            # a month list derived from data (e.g. the sheet's months) is a
+            # parameter bounded by the calendar: its distinct values become an
+            # inline table, so every plan that reads it sees a LocalTableScan
+            months = [r[0] for r in months.select(F.col(months.columns[0]).cast("int")).distinct().collect()
+                      if r[0] is not None]
+        self.months = R.month_frame(spark, months)
         self.strict = strict
 
     # -- construction ------------------------------------------------------
@@ -64,7 +62,7 @@ class Books:
         # loaded sheet (one row per salesperson and sheet month)
         kpi = keep(kpi, "fact_kpi_asm", mode)
         if months is None:
-            months = keep(sheet_months(kpi), "report_months", mode)
+            months = sheet_months(kpi)
         return cls(spark,
                    txn=reshape.decode_analysis_code(bindings.txn_raw(spark, sf_dir)),
                    snapshot=bindings.kpi_month_raw(spark, sf_dir),
@@ -177,12 +175,6 @@ class Books:
         return FIN.head_totals(self.cumulative_postings, self.months)
 
 
-def _is_leaf(df: DataFrame) -> bool:
-    """True when ``df`` is a plain scan (a written table or local rows)."""
-    plan = df._jdf.queryExecution().analyzed()
-    return plan.children().isEmpty() or plan.toString().count("\n") <= 2
-
-
 def keep(df: DataFrame, name: str, mode: str | None) -> DataFrame:
     """``persist``: cache (computed once by the first plan that needs it,
     rebuilt from lineage if an executor is lost); ``table``: write and read
