@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.columns import asc_pg, desc_pg, month_of_year
+from branchbook.operators import ratios as R
 from branchbook.operators.geo import area_by_name
 from branchbook.sources.schemas import REPORT_ASM
 
@@ -26,9 +27,19 @@ FINANCE_LOOKUPS = [(29, "cir"), (30, "margin"), (31, "hs_von"), (32, "hsbp_nhan_
 
 
 def _months_join(df: DataFrame, months: DataFrame, cond) -> DataFrame:
+    """Equality with the (calendar-bounded, inline) month list: broadcast hash join."""
     return df.join(F.broadcast(months), cond)
 
 
+def _up_to_month(df: DataFrame, months: DataFrame, sheet_month: str) -> DataFrame:
+    """Attach every report month p with ``sheet_month <= p % 100`` (the
+    original's cumulative-to-date filter on month of year): an explode over
+    the literal month list, not a range join."""
+    rm = months.columns[0]
+    arr = F.array(*[F.lit(m) for m in R.month_values(months)])
+    return df.withColumn(rm, F.explode(F.filter(arr, lambda p: F.col(sheet_month) <= p % 100)))
+
+
 def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
     """Per report month and (area_name, sale_name, email): the averages of
     loan_to_new, psdn and approval_rate over month_col <= month % 100, each
@@ -43,7 +54,7 @@ def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
         F.sum("loan_to_new").alias("s_ltn"), F.count("loan_to_new").alias("n_ltn"),
         F.sum("psdn").alias("s_psdn"), F.count("psdn").alias("n_psdn"),
         F.sum(F.col("approval_rate").cast("double")).alias("s_ar"), F.count("approval_rate").alias("n_ar"))
-    j = _months_join(pre, months, F.col("month_col") <= month_of_year(F.col(rm)))
+    j = _up_to_month(pre, months, "month_col")
     g = j.groupBy(F.col(rm).alias("month_key"), "area_name", "sale_name", "email").agg(
         F.sum("s_ltn").alias("s_ltn"), F.sum("n_ltn").alias("n_ltn"),
         F.sum("s_psdn").alias("s_psdn"), F.sum("n_psdn").alias("n_psdn"),
@@ -102,7 +113,7 @@ def finance_lookup(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame
     rm = months.columns[0]
     people = (fact_kpi_asm.where(F.col("approval_rate").isNotNull())
               .select("month_col", "area_name", "sale_name", "email"))
-    people = _months_join(people, months, F.col("month_col") <= month_of_year(F.col(rm)))
+    people = _up_to_month(people, months, "month_col")
     people = area_by_name(people, areas).select(F.col(rm).alias("month_key"), "area_name", "sale_name",
                                                 "email", "area_code").distinct()
     # lines 29-32 per (month, area): bounded by months x areas x 4 -> broadcast

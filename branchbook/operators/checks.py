@@ -97,22 +97,24 @@ def profile_outliers(df: DataFrame, table: str, columns: list[str], k: float = 1
     """Tukey fences per numeric column: Q1/Q3 from ``percentile_approx``
     (a mergeable sketch — exact quantiles would gather a column's values in
     one task), then one more pass counting values outside [Q1-k*IQR, Q3+k*IQR].
+    The fences are one row of scalars; the second pass uses them as literals.
     """
-    qs = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(c) for c in columns])
-    fences = qs.select(*[F.struct(
-        (F.col(c)[0] - k * (F.col(c)[1] - F.col(c)[0])).alias("lo"),
-        (F.col(c)[1] + k * (F.col(c)[1] - F.col(c)[0])).alias("hi"),
-        F.col(c)[0].alias("q1"), F.col(c)[1].alias("q3")).alias(c) for c in columns])
-    # the fences are a single row: broadcasting it next to every data row is
-    # a one-row lookup, not a pairing of data rows
-    j = df.select(*columns).join(F.broadcast(fences.select(*[F.col(c).alias(f"__f_{c}") for c in columns])))
-    both = j.agg(*[F.count(F.when((F.col(c) < F.col(f"__f_{c}.lo")) | (F.col(c) > F.col(f"__f_{c}.hi")), 1))
-                   .alias(c) for c in columns],
-                 *[F.first(f"__f_{c}").alias(f"__f_{c}") for c in columns])
-    return both.select(F.inline(F.array(*[
+    qs = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(c)
+                  for c in columns]).first()
+    fences = {}
+    for c in columns:
+        q1, q3 = (qs[c] or [None, None])
+        lo = hi = None
+        if q1 is not None:
+            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+        fences[c] = (q1, q3, lo, hi)
+    counts = df.agg(*[F.count(F.when((F.col(c) < F.lit(fences[c][2])) | (F.col(c) > F.lit(fences[c][3])), 1))
+                      .alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[
         F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                 F.col(f"__f_{c}.q1").alias("q1"), F.col(f"__f_{c}.q3").alias("q3"),
-                 F.col(f"__f_{c}.lo").alias("lower_fence"), F.col(f"__f_{c}.hi").alias("upper_fence"),
+                 F.lit(fences[c][0]).cast("double").alias("q1"), F.lit(fences[c][1]).cast("double").alias("q3"),
+                 F.lit(fences[c][2]).cast("double").alias("lower_fence"),
+                 F.lit(fences[c][3]).cast("double").alias("upper_fence"),
                  F.col(c).cast("bigint").alias("n_outliers")) for c in columns])))
 
 

@@ -39,17 +39,33 @@ def month_frame(spark: SparkSession, months: Iterable[int], name: str = "report_
     return local_table(spark, [(int(m),) for m in sorted(set(months))], f"{name} int")
 
 
+def month_values(months: DataFrame) -> list[int]:
+    """The report months as a Python list (an inline table is read locally,
+    without a job; any month list is bounded by the calendar)."""
+    return sorted({int(r[0]) for r in months.collect() if r[0] is not None})
+
+
+def months_at_or_after(months: DataFrame, row_month) -> F.Column:
+    """The report months m with ``row_month <= m``, as an array column.
+
+    Each row learns which report months it counts towards from a literal
+    array — a projection, not a join: no broadcast, no nested loop.
+    """
+    arr = F.array(*[F.lit(m) for m in month_values(months)])
+    return F.filter(arr, lambda m: row_month <= m)
+
+
 def cumulate_to_months(monthly: DataFrame, months: DataFrame, month_col: str,
                        keys: list[str], aggs: list) -> DataFrame:
     """For every report month m: aggregate the rows of ``monthly`` with
     ``month_col <= m``, grouped by ``keys``.
 
-    ``monthly`` is already reduced to one row per (month, keys), so both sides
-    are bounded by calendar months x key cardinality; the month list is
-    broadcast and the range predicate is evaluated against it.
+    ``monthly`` is already reduced to one row per (month, keys); each row is
+    repeated once per report month it counts towards (explode of
+    ``months_at_or_after``), then one ``groupBy`` with partial aggregation.
     """
     rm = months.columns[0]
-    j = monthly.join(F.broadcast(months), F.col(month_col) <= F.col(rm))
+    j = monthly.withColumn(rm, F.explode(months_at_or_after(months, F.col(month_col))))
     return j.groupBy(rm, *keys).agg(*aggs)
 
 
