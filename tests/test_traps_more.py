@@ -91,3 +91,22 @@ def test_sql_surface_runs_the_original_names(spark):
     chart = spark.sql("SELECT * FROM view_col_chart WHERE month_key = 199701").collect()
     assert len(chart) == 20
     assert spark.sql("SELECT COUNT(*) AS n FROM view_report_finance").first().n == 160
+
+
+def test_bwo_zero_total_raises_like_the_original(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from branchbook.operators import ratios as RR
+    snap = spark.createDataFrame([(202301, "b1", 0, 202301, 0, 2, 1)], S.KPI_MONTH_RAW)
+    prov = spark.createDataFrame([("01", "b1", "B")], S.DIM_PROVINCE)
+    cells = RR.snapshot_cells(snap, prov)
+    with pytest.raises(PySparkException, match="(?i)divi"):
+        RR.pre_writeoff_ratios(cells, RR.month_frame(spark, [202301])).collect()
+
+
+def test_col_chart_drops_null_area_rows(spark):
+    from branchbook.operators import views
+    rep = spark.createDataFrame([(M, 1, None, D(5)), (M, 1, "B", D(7))],
+                                "month_key int, id int, area_code string, amount decimal(38,10)")
+    out = views.col_chart(rep, seeds.areas_df(spark), seeds.pnl_tree_df(spark)).collect()
+    assert [(r.area_name, r.monthly_amount) for r in out] == [(seeds.AREAS[1][1], D(7))]
