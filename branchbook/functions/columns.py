@@ -40,11 +40,6 @@ def month_of_year(month_key) -> Column:
     return (col(month_key) % 100).cast("int")
 
 
-def nullif_zero(c) -> Column:
-    c = col(c)
-    return F.when(c != 0, c)
-
-
 def safe_ratio(num, den, scale: float = 1.0) -> Column:
     """num / NULLIF(den, 0) * scale, computed in double."""
     d = col(den).cast("double")

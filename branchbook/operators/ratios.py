@@ -31,7 +31,6 @@ from branchbook.sources.local import local_table
 from branchbook.sources.schemas import RATIO_TYPE
 
 SHARE_INPUT = T.DecimalType(20, 0)  # numerator/denominator width -> 18 quotient decimals
-METHOD_ORDER = [m for m, _ in seeds.METHODS]
 
 
 def month_frame(spark: SparkSession, months: Iterable[int], name: str = "report_month") -> DataFrame:

@@ -37,7 +37,6 @@ BINDING_ACCOUNTS = [
 ]
 KPI_YEAR = 1997          # year of the wide KPI sheet
 KPI_LOAD_MONTH = 199705  # month_key written on every sheet row
-HEAD_NAME = seeds.AREAS[0][1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -274,12 +274,6 @@ def pnl_tree_df(spark: SparkSession) -> DataFrame:
     return local_table(spark, PNL_TREE, S.DIM_PNL)
 
 
-def methods_df(spark: SparkSession) -> DataFrame:
-    head = dict(HEAD_METHOD_NAMES)
-    rows = [(c, n, head[c]) for c, n in METHODS]
-    return local_table(spark, rows, "method_code string, method_name string, head_method_name string")
-
-
 def line_catalog_df(spark: SparkSession) -> DataFrame:
     """One row per allocated line: (pnl_id, method_code)."""
     rows = [(pid, spec[0]) for pid, spec in sorted(ALLOCATED_LINES.items())]
