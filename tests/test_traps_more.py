@@ -110,3 +110,15 @@ def test_col_chart_drops_null_area_rows(spark):
                                 "month_key int, id int, area_code string, amount decimal(38,10)")
     out = views.col_chart(rep, seeds.areas_df(spark), seeds.pnl_tree_df(spark)).collect()
     assert [(r.area_name, r.monthly_amount) for r in out] == [(seeds.AREAS[1][1], D(7))]
+
+
+def test_materialization_modes_agree(spark):
+    """Written tables, cached frames and a fully lazy plan give the same report."""
+    from branchbook.plans.books import Books
+    months = [199703, 199705]
+    out = {}
+    for mode in ("table", "persist", None):
+        b = Books.from_testdata(spark, "/root/testdata/sf0.01", months=months, materialize=mode)
+        out[mode] = sorted((r.month_key, r.id, r.area_code or "", r.amount) for r in b.finance.collect())
+        b.close()
+    assert out["table"] == out["persist"] == out[None] and len(out["table"]) == 2 * 192
