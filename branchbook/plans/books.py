@@ -195,7 +195,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/branchbook-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer discovery
 
 
 def sheet_months(fact_kpi_asm: DataFrame) -> DataFrame:
