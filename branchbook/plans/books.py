@@ -12,6 +12,13 @@ cluster), so:
 * a lost executor never forces a re-scan of the facts for a checkpointed step;
 * what is checkpointed is bounded by months x areas x lines (or by headcount),
   not by the size of the facts.
+
+Written (lineage cut): the KPI sheet, the monthly posting aggregate, the
+ratio table, the allocated lines, the finance and ASM reports — the steps whose
+plans are long or are read by several later plans.  Cached only: the snapshot
+cells, the headcount cells and the per-salesperson ASM inputs — short
+scan -> aggregate lineages, rebuilt from their shuffle output if a cached
+block is lost.
 """
 
 from __future__ import annotations
@@ -93,11 +100,11 @@ class Books:
     @cached_property
     def cells(self) -> DataFrame:
         """Snapshot per (kpi_month, area): one scan for every ratio and NPL."""
-        return self._keep(R.snapshot_cells(self.snapshot, self.provinces), "cells")
+        return self._small(R.snapshot_cells(self.snapshot, self.provinces))
 
     @cached_property
     def headcount_cells(self) -> DataFrame:
-        return self._keep(R.headcount_cells(self.kpi_asm, self.areas), "headcount_cells")
+        return self._small(R.headcount_cells(self.kpi_asm, self.areas))
 
     @cached_property
     def monthly_postings(self) -> DataFrame:
