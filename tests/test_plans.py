@@ -11,6 +11,9 @@ SF = "/root/testdata/sf0.01"
 
 
 def _plan(df):
+    # plans are inspected fresh: a frame cached by an earlier test would be
+    # substituted into this plan by the cache manager
+    df.sparkSession.catalog.clearCache()
     df.count()  # final adaptive plan
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -35,6 +38,7 @@ def test_selector_filter_reaches_the_parquet_scan(spark, scratch):
     stored = spark.read.parquet(f"{scratch}/postings")
     mp = allocation.line_postings_monthly(stored, seeds.line_selector_df(spark), seeds.prefix_lengths(),
                                           _selectors())
+    spark.catalog.clearCache()
     mp.count()
     plan = mp._jdf.queryExecution().executedPlan().toString()
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
