@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from branchbook.llm import op4_sql
-from branchbook.llm import quality
+from branchbook.llm import minhash, op4_sql, quality, substrings
 from branchbook.llm.common import Workspace, table
 
 
@@ -11,7 +10,16 @@ def op4_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op4"))
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules}
+def op2_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op2"))
+
+
+def op5_substring_dedup(spark, sf_dir):
+    return (substrings.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "op5"))
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op4_quality_rules, op5_substring_dedup)}
 ORACLES = {"op4_quality_rules": op4_sql.SQL}
 
 
