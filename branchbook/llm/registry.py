@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from branchbook.llm import minhash, op4_sql, quality, substrings
+import public_tokenizers
+
+from branchbook.llm import minhash, op4_sql, packing, quality, secrets, substrings
 from branchbook.llm.common import Workspace, table
 
 
@@ -19,7 +21,17 @@ def op5_substring_dedup(spark, sf_dir):
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op4_quality_rules, op5_substring_dedup)}
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                        Workspace(spark, "op6"))
+
+
+def op7_secret_scan(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_minhash_near_dedup, op4_quality_rules, op5_substring_dedup, op6_best_fit_packing, op7_secret_scan)}
 ORACLES = {"op4_quality_rules": op4_sql.SQL}
 
 
