@@ -4,14 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from branchbook.llm import minhash, op4_sql, packing, quality, secrets, substrings
+from branchbook.llm import ann, licenses, minhash, op4_sql, packing, quality, secrets, substrings, urlfilter
 from branchbook.llm.common import Workspace, table
 
 
+def op3_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), Workspace(spark, "op3"))
+
+
 def op4_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op4"))
 
 
+def op1_url_filter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op2"))
 
@@ -30,9 +38,14 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup, op4_quality_rules, op5_substring_dedup, op6_best_fit_packing, op7_secret_scan)}
-ORACLES = {"op4_quality_rules": op4_sql.SQL}
+    op1_url_filter, op2_minhash_near_dedup, op3_nearest_neighbours, op4_quality_rules, op5_substring_dedup, op6_best_fit_packing, op7_secret_scan,
+    op8_license_scan)}
+ORACLES = {"op1_url_filter": urlfilter.SQL, "op4_quality_rules": op4_sql.SQL}
 
 
 def queries():
