@@ -96,15 +96,13 @@ CC_PARTS = {"by": "attribution", "by-sa": "attribution share ?alike", "by-nd": "
             "by-nc": "attribution non ?commercial", "by-nc-sa": "attribution non ?commercial share ?alike",
             "by-nc-nd": "attribution non ?commercial no ?deriv(?:ative)?s"}
 CC_VERSIONS = "1.0 2.0 2.5 3.0 4.0"
+GRANT = ("(?:licensed|released|distributed|available|published|covered|governed)(?: only)? (?:under|by)"
+         "(?: the)?(?: terms(?: and conditions)? of)?(?: the)?")
 #: form: (priority, weight, text around the name)
-FORMS = {
-    "grant": (2, 0.9, "(?:licensed|released|distributed|available|published|covered|governed)(?: only)? (?:under|by)"
-                      "(?: the)?(?: terms(?: and conditions)? of)?(?: the)? {}"),
-    "name": (1, 0.7, "{}"),
-}
+FORMS = {"grant": (2, 0.9, GRANT + " {}"), "name": (1, 0.7, "{}")}
 VERSIONED = {
     "spdx": (4, 1.0, "spdx {} identifier {{}}".format(L)),
-    "version": (3, 0.95, "{} (?:version )?(?:international |unported )?(?:v ?)?{}"),
+    "version": (3, 0.95, f"(?:{GRANT} )?" + "{} (?:version )?(?:international |unported )?(?:v ?)?{}"),
 }
 
 
