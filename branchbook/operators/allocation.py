@@ -19,13 +19,15 @@ Here the postings are scanned **once** for all lines and all months:
   partial aggregation makes it tiny (lines x areas x months);
 * cumulation, head/direct split and the CASE run on that small table.
 
-Money stays exact: monthly sums are ``bigint``, cumulative sums
+Money stays exact: amounts are summed as ``decimal(19,0)``, cumulatively as
 ``decimal(38,0)``, the head total is multiplied as ``decimal(19,0)`` by the
 ``decimal(18,10)`` ratio, giving an exact ``decimal(38,10)``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,12 +57,25 @@ def posting_keys(prefix_lengths: list[int]) -> F.Column:
 
 
 def line_postings_monthly(txn: DataFrame, selectors: DataFrame, prefix_lengths: list[int],
-                          selector_values: list[tuple[str, str]] | None = None) -> DataFrame:
+                          selector_values: list[tuple[str, str]] | None = None,
+                          last_month: int | None = None, only: list[int] | None = None) -> DataFrame:
     """(pnl_id, area_code, post_month, amount) — one scan of the postings.
 
     NULL dates never satisfy ``date <= month end`` and are dropped.
+    ``last_month``: the last report month; the bound on the date reaches the
+    Parquet scan, and that on ``post_month`` prunes the folders of a staged
+    ledger.  ``only``: aggregate just these posting months.
     """
     rows = txn.where(F.col("transaction_date").isNotNull())
+    if last_month is not None:
+        y, m = divmod(int(last_month), 100)
+        end = dt.date(y + m // 12, m % 12 + 1, 1) - dt.timedelta(days=1)
+        rows = rows.where(F.col("transaction_date") <= F.lit(end))
+        if "post_month" in txn.columns:
+            rows = rows.where(F.col("post_month") <= F.lit(int(last_month)))
+    if only is not None:
+        month = F.col("post_month") if "post_month" in txn.columns else yyyymm("transaction_date")
+        rows = rows.where(month.isin([int(x) for x in only]))
     if selector_values is not None:
         rows = rows.where(_selector_filter(selector_values))
     keyed = rows.select("area_code", yyyymm("transaction_date").alias("post_month"), "amount",
@@ -68,7 +83,7 @@ def line_postings_monthly(txn: DataFrame, selectors: DataFrame, prefix_lengths:
     bridge = F.broadcast(selectors.select("match_key", "pnl_id"))  # seed-sized
     return (keyed.join(bridge, "match_key")
             .groupBy("pnl_id", "area_code", "post_month")
-            .agg(F.sum("amount").alias("amount")))
+            .agg(F.sum(F.col("amount").cast("decimal(19,0)")).alias("amount")))
 
 
 def line_postings_cumulative(monthly: DataFrame, months: DataFrame) -> DataFrame:
@@ -99,3 +114,14 @@ def allocate_lines(cumulative: DataFrame, ratios: DataFrame, line_catalog: DataF
     amount = F.when(F.col("area_code") == seeds.HEAD_AREA, head_total.cast(AMOUNT_TYPE)).otherwise(other)
     return j.select(F.col(rm).alias("month_key"), F.col("pnl_id").alias("id"), "area_code",
                     amount.cast(AMOUNT_TYPE).alias("amount"))
+
+
+def head_totals(cumulative: DataFrame, months: DataFrame) -> DataFrame:
+    """Per report month and line: the cumulative head-office total (NULL when
+    nothing was booked at head office — the original's scalar ``f_total``)."""
+    rm = cumulative.columns[0]
+    line_ids = F.array(*[F.lit(i) for i in sorted(seeds.ALLOCATED_LINES)])
+    spine = months.select(F.col(months.columns[0]).alias(rm), F.explode(line_ids).alias("pnl_id"))
+    head = cumulative.where(F.col("area_code") == seeds.HEAD_POSTING_AREA).select(rm, "pnl_id", "amount")
+    return spine.join(head, [rm, "pnl_id"], "left").select(
+        F.col(rm).alias("month_key"), F.col("pnl_id").alias("id"), F.col("amount").alias("head_total"))

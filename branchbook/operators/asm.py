@@ -1,10 +1,10 @@
 """Salesperson (ASM) ranking: averages, NPL, finance lookups, ranks, scores.
 
-All steps run for every report month at once; windows are partitioned by the
-report month, so each month's ranking is one sort over that month's
-salespeople (rows are per salesperson, bounded by headcount, not by the size
-of the facts).  ``operators.ranking`` gives a range-partitioned variant for
-very large ranked sets.
+All steps run for every report month at once.  The sheet filters look at the
+month of the year only (at most 12 results can differ), so averages and
+lookups are computed per month of the year and then attached to the report
+months.  Ranks are range-partitioned (``operators.ranking``): no task holds a
+whole month.
 
 Ordering follows the original database: NULLs sort as the largest value
 (first when descending, last when ascending).  ROW_NUMBER ties, arbitrary in
@@ -14,10 +14,11 @@ reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.functions.columns import asc_pg, desc_pg, month_of_year
+from branchbook.operators import ranking
 from branchbook.operators import ratios as R
 from branchbook.operators.geo import area_by_name
 from branchbook.sources.schemas import REPORT_ASM
@@ -31,13 +32,18 @@ def _months_join(df: DataFrame, months: DataFrame, cond) -> DataFrame:
     return df.join(F.broadcast(months), cond)
 
 
-def _up_to_month(df: DataFrame, months: DataFrame, sheet_month: str) -> DataFrame:
-    """Attach every report month p with ``sheet_month <= p % 100`` (the
-    original's cumulative-to-date filter on month of year): an explode over
-    the literal month list, not a range join."""
+def _up_to_month_of_year(df: DataFrame, months: DataFrame, sheet_month: str) -> DataFrame:
+    """Repeat rows for each month of the year p (of some report month) with
+    ``sheet_month <= p``: at most 12 times, an explode over a literal list."""
+    arr = F.array(*[F.lit(m) for m in sorted({m % 100 for m in R.month_values(months)})])
+    return df.withColumn("moy", F.explode(F.filter(arr, lambda p: F.col(sheet_month) <= p)))
+
+
+def _to_report_months(df: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows per month of the year -> rows per report month (``month_key``)."""
     rm = months.columns[0]
-    arr = F.array(*[F.lit(m) for m in R.month_values(months)])
-    return df.withColumn(rm, F.explode(F.filter(arr, lambda p: F.col(sheet_month) <= p % 100)))
+    return (_months_join(df, months, F.col("moy") == month_of_year(F.col(rm)))
+            .withColumn("month_key", F.col(rm)).drop("moy", rm))
 
 
 def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
@@ -45,28 +51,34 @@ def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
     loan_to_new, psdn and approval_rate over month_col <= month % 100, each
     over its non-NULL values, with ``n_*`` telling whether the group exists in
     the original's per-measure table (it does iff it has a non-NULL value).
-
-    Sums and counts are pre-aggregated per sheet month, so the month-list join
-    sees one row per salesperson and sheet month.
+    Groups without any value exist in none of them and are left out.
     """
-    rm = months.columns[0]
     pre = fact_kpi_asm.groupBy("month_col", "area_name", "sale_name", "email").agg(
-        F.sum("loan_to_new").alias("s_ltn"), F.count("loan_to_new").alias("n_ltn"),
+        F.sum(F.col("loan_to_new").cast("decimal(19,0)")).alias("s_ltn"), F.count("loan_to_new").alias("n_ltn"),
         F.sum("psdn").alias("s_psdn"), F.count("psdn").alias("n_psdn"),
         F.sum(F.col("approval_rate").cast("double")).alias("s_ar"), F.count("approval_rate").alias("n_ar"))
-    j = _up_to_month(pre, months, "month_col")
-    g = j.groupBy(F.col(rm).alias("month_key"), "area_name", "sale_name", "email").agg(
+    g = _up_to_month_of_year(pre, months, "month_col").groupBy("moy", "area_name", "sale_name", "email").agg(
         F.sum("s_ltn").alias("s_ltn"), F.sum("n_ltn").alias("n_ltn"),
         F.sum("s_psdn").alias("s_psdn"), F.sum("n_psdn").alias("n_psdn"),
         F.sum("s_ar").alias("s_ar"), F.sum("n_ar").alias("n_ar"))
+    g = g.where(F.col("n_ltn") + F.col("n_psdn") + F.col("n_ar") > 0)
 
     def avg(s, n):
         return F.when(F.col(n) > 0, F.col(s).cast("double") / F.col(n))
 
-    return g.select("month_key", "area_name", "sale_name", "email",
-                    avg("s_ltn", "n_ltn").alias("ltn_avg"), "n_ltn",
-                    avg("s_psdn", "n_psdn").alias("psdn_avg"), "n_psdn",
-                    avg("s_ar", "n_ar").alias("approval_rate_avg"), "n_ar")
+    return _to_report_months(g, months).select(
+        "month_key", "area_name", "sale_name", "email", avg("s_ltn", "n_ltn").alias("ltn_avg"), "n_ltn",
+        avg("s_psdn", "n_psdn").alias("psdn_avg"), "n_psdn", avg("s_ar", "n_ar").alias("approval_rate_avg"), "n_ar")
+
+
+def measure_averages(averages: DataFrame) -> DataFrame:
+    """The original's three per-measure tables, one row per measure and group
+    that has a value."""
+    long = averages.select("month_key", "area_name", "sale_name", "email", F.stack(
+        F.lit(3), F.lit("loan_to_new"), F.col("n_ltn"), F.col("ltn_avg"), F.lit("psdn"), F.col("n_psdn"),
+        F.col("psdn_avg"), F.lit("approval_rate"), F.col("n_ar"), F.col("approval_rate_avg")).alias(
+            "measure", "n", "average"))
+    return long.where(F.col("n") > 0).drop("n")
 
 
 def npl_by_area(cells: DataFrame, writeoff_cum: DataFrame, months: DataFrame) -> DataFrame:
@@ -100,9 +112,8 @@ def npl_by_asm(fact_kpi_asm: DataFrame, areas: DataFrame, npl_area: DataFrame, m
     rows = _months_join(rows, months, F.col("month_col") == month_of_year(F.col(rm)))
     rows = area_by_name(rows, areas).select(F.col(rm).alias("month_key"), "area_name", "sale_name", "email",
                                             "area_code")
-    # npl_area has one row per (month, area): bounded by months x areas, so it
-    # is broadcast and a crowded area never concentrates salespeople in a task
-    return rows.join(F.broadcast(npl_area), ["month_key", "area_code"], "left").select(
+    # npl_area has one row per (month, area); its measured size decides the join
+    return rows.join(npl_area, ["month_key", "area_code"], "left").select(
         "month_key", "area_name", "sale_name", "email", "npl_truoc_wo_luy_ke")
 
 
@@ -110,16 +121,15 @@ def finance_lookup(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame
     """The area's lines 29-32 for every salesperson seen up to the month with
     an approval rate: distinct (month, area_name, sale_name, email, id,
     amount).  One join for the four lines instead of four."""
-    rm = months.columns[0]
     people = (fact_kpi_asm.where(F.col("approval_rate").isNotNull())
               .select("month_col", "area_name", "sale_name", "email"))
-    people = _up_to_month(people, months, "month_col")
-    people = area_by_name(people, areas).select(F.col(rm).alias("month_key"), "area_name", "sale_name",
-                                                "email", "area_code").distinct()
-    # lines 29-32 per (month, area): bounded by months x areas x 4 -> broadcast
+    people = area_by_name(people, areas).distinct()
+    people = _up_to_month_of_year(people, months, "month_col").select(
+        "moy", "area_name", "sale_name", "email", "area_code").distinct()
+    people = _to_report_months(people, months)
     lines = finance.where(F.col("id").isin([i for i, _ in FINANCE_LOOKUPS])).select(
         "month_key", "area_code", "id", "amount")
-    return people.join(F.broadcast(lines), ["month_key", "area_code"]).select(
+    return people.join(lines, ["month_key", "area_code"]).select(
         "month_key", "area_name", "sale_name", "email", "id", "amount").distinct()
 
 
@@ -155,38 +165,33 @@ RANKS = [
 ]
 
 
-def _tie_break():
-    return [F.col(c).asc_nulls_last() for c in TIE_BREAK]
+def _tie_break(df: DataFrame):
+    """The first ROW_NUMBER also looks at the other inputs, and later ones at
+    the first: rows equal in everything (an email with several sheet rows fans
+    out) then get consistent numbers."""
+    more = ["rank_ltn"] if "rank_ltn" in df.columns else [
+        "psdn_avg", "approval_rate_avg", "npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS]]
+    return [F.col(c).asc_nulls_last() for c in [*TIE_BREAK, *more]]
 
 
-def apply_ranks(df: DataFrame, specs, scalable: bool = False) -> DataFrame:
-    """Add per-month rank columns.  ``scalable=False``: windows partitioned by
-    month (one sort per month); ``scalable=True``: the range-partitioned
-    operators of ``operators.ranking`` (no task holds a whole month)."""
-    if not scalable:
-        cols = []
-        for out, fn, col, order in specs:
-            tb = _tie_break() if fn == "row_number" else []
-            w = Window.partitionBy("month_key").orderBy(order(col), *tb)
-            cols.append(getattr(F, fn)().over(w).alias(out))
-        return df.select("*", *cols)
-    from branchbook.operators import ranking
+def apply_ranks(df: DataFrame, specs, store) -> DataFrame:
+    """Add per-month rank columns; ``store`` writes the range-partitioned slices."""
     for out, fn, col, order in specs:
         if fn == "row_number":
-            df = ranking.row_number(df, [order(col), *_tie_break()], ["month_key"], out)
+            df = ranking.row_number(df, [order(col), *_tie_break(df)], ["month_key"], store, out)
         elif fn == "rank":
-            df = ranking.rank(df, [col], [order(col)], ["month_key"], out)
+            df = ranking.rank(df, [col], [order(col)], ["month_key"], store, out)
         else:
-            df = ranking.dense_rank(df, [col], [order(col)], ["month_key"], out)
+            df = ranking.dense_rank(df, [col], [order(col)], ["month_key"], store, out)
     return df
 
 
-def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, scalable: bool = False) -> DataFrame:
-    """The joined inputs with the 8 per-month ranks."""
-    return apply_ranks(asm_joined(averages, npl_asm, lookup), RANKS, scalable)
+def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, store) -> DataFrame:
+    """The joined inputs (written once: every rank reads them) with the 8 ranks."""
+    return apply_ranks(store(asm_joined(averages, npl_asm, lookup), "asm_joined"), RANKS, store)
 
 
-def asm_score(ranked: DataFrame, scalable: bool = False) -> DataFrame:
+def asm_score(ranked: DataFrame, store) -> DataFrame:
     """Scale score (4 ranks), finance score (4 ranks), total, and their ranks."""
     scale = F.col("rank_ltn") + F.col("rank_psdn") + F.col("rank_approval") + F.col("rank_npl")
     fin = F.col("rank_cir") + F.col("rank_margin") + F.col("rank_hs_von") + F.col("rank_hsbp")
@@ -194,7 +199,7 @@ def asm_score(ranked: DataFrame, scalable: bool = False) -> DataFrame:
                       (scale + fin).cast("bigint").alias("tong_diem"))
     s = apply_ranks(s, [("rank_final", "row_number", "tong_diem", asc_pg),
                         ("rank_ptkd", "row_number", "diem_quymo", asc_pg),
-                        ("rank_fin", "rank", "diem_fin", asc_pg)], scalable)
+                        ("rank_fin", "rank", "diem_fin", asc_pg)], store)
     renamed = {"rank_ltn_avg": "rank_ltn", "rank_psdn_avg": "rank_psdn",
                "rank_approval_rate_avg": "rank_approval", "rank_npl_truoc_wo_luy_ke": "rank_npl",
                "rank_hsbq_nhan_su": "rank_hsbp"}
@@ -206,8 +211,8 @@ def asm_score(ranked: DataFrame, scalable: bool = False) -> DataFrame:
 
 
 def asm_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
-               months: DataFrame, averages: DataFrame | None = None, scalable: bool = False) -> DataFrame:
+               months: DataFrame, store, averages: DataFrame | None = None) -> DataFrame:
     averages = averages if averages is not None else asm_averages(fact_kpi_asm, months)
     npl_asm = npl_by_asm(fact_kpi_asm, areas, npl_area, months)
     lookup = finance_lookup(fact_kpi_asm, areas, finance, months)
-    return asm_score(asm_rank(averages, npl_asm, lookup, scalable), scalable)
+    return asm_score(asm_rank(averages, npl_asm, lookup, store), store)

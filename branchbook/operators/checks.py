@@ -28,9 +28,9 @@ def pk_violations(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 
 def fk_violations(df: DataFrame, table: str, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Non-NULL child values with no parent row (a left anti-join; the parent
-    side is a dimension and is broadcast)."""
-    p = F.broadcast(parent.select(F.col(parent_col).alias(col)).distinct())
+    """Non-NULL child values with no parent row (a left anti-join; the
+    parent's measured size decides how)."""
+    p = parent.select(F.col(parent_col).alias(col)).distinct()
     miss = df.where(F.col(col).isNotNull()).join(p, col, "left_anti").agg(F.count(F.lit(1)).alias("n"))
     return _one(f"fk:{col}", table, miss)
 
@@ -62,7 +62,10 @@ def head_area_twice(ratios: DataFrame, head_area: str) -> DataFrame:
 
 
 def check_constraints(*, regions: DataFrame, areas: DataFrame, provinces: DataFrame, tree: DataFrame,
-                      ratios: DataFrame, fact_kpi_asm: DataFrame, head_area: str = "A") -> DataFrame:
+                      ratios: DataFrame, fact_kpi_asm: DataFrame, finance: DataFrame, asm: DataFrame,
+                      error_log: DataFrame, head_area: str = "A") -> DataFrame:
+    """All declared constraints.  ``ratios`` are the unguarded ones (built
+    without ``strict``), so that a violation shows here."""
     parts = [
         pk_violations(regions, "dim_region_table", ["region_id"]),
         pk_violations(areas, "dim_area_table", ["area_code"]),
@@ -73,6 +76,12 @@ def check_constraints(*, regions: DataFrame, areas: DataFrame, provinces: DataFr
         fk_violations(ratios, "rate_allocation_area_month", "area_code", areas, "area_code"),
         not_null_violations(ratios, "rate_allocation_area_month",
                             ["rate_month", "method_code", "method_name", "area_code", "ratio"]),
+        not_null_violations(regions, "dim_region_table", ["region_name"]),
+        not_null_violations(tree, "dim_pnl_structure", ["pnl_code", "pnl_name", "pnl_parent_id", "pnl_level", "sortorder"]),
+        not_null_violations(finance, "report_finance_table", ["month_key", "id"]),
+        not_null_violations(asm, "report_asm_final_table", ["month_key"]),
+        pk_violations(error_log, "error_log", ["log_id"]),
+        not_null_violations(error_log, "error_log", ["proc_name", "run_month"]),
         not_null_violations(areas, "dim_area_table", ["area_name", "region_id"]),
         not_null_violations(provinces, "dim_province_table", ["province_name", "area_code"]),
         duplicate_email_violations(fact_kpi_asm),
@@ -92,30 +101,32 @@ def profile_nulls(df: DataFrame, table: str) -> DataFrame:
         for c in cols])))
 
 
-def profile_outliers(df: DataFrame, table: str, columns: list[str], k: float = 1.5,
-                     accuracy: int = 100000) -> DataFrame:
-    """Tukey fences per numeric column: Q1/Q3 from ``percentile_approx``
-    (a mergeable sketch — exact quantiles would gather a column's values in
-    one task), then one more pass counting values outside [Q1-k*IQR, Q3+k*IQR].
-    The fences are one row of scalars; the second pass uses them as literals.
+def profile_outliers(df: DataFrame, table: str, columns: list[str], store, k: float = 1.5) -> DataFrame:
+    """Tukey fences per numeric column from exact quartiles (the smallest value
+    with at least a quarter, three quarters of the non-NULL rows at or below
+    it), and the rows outside [Q1 - k*IQR, Q3 + k*IQR].
+
+    One scan: rows become counts per (column, value), whose prefix sums over
+    range partitions give the positions of the quartiles; the fences (a row
+    per column) meet the same counts again.
     """
-    qs = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(c)
-                  for c in columns]).first()
-    fences = {}
-    for c in columns:
-        q1, q3 = (qs[c] or [None, None])
-        lo = hi = None
-        if q1 is not None:
-            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        fences[c] = (q1, q3, lo, hi)
-    counts = df.agg(*[F.count(F.when((F.col(c) < F.lit(fences[c][2])) | (F.col(c) > F.lit(fences[c][3])), 1))
-                      .alias(c) for c in columns])
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                 F.lit(fences[c][0]).cast("double").alias("q1"), F.lit(fences[c][1]).cast("double").alias("q3"),
-                 F.lit(fences[c][2]).cast("double").alias("lower_fence"),
-                 F.lit(fences[c][3]).cast("double").alias("upper_fence"),
-                 F.col(c).cast("bigint").alias("n_outliers")) for c in columns])))
+    from branchbook.operators.ranking import prefix_sums
+    pairs = F.stack(F.lit(len(columns)), *[x for c in columns for x in (F.lit(c), F.col(f"`{c}`").cast("double"))])
+    counts = (df.select(pairs.alias("column_name", "v")).where(F.col("v").isNotNull())
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    placed = store(prefix_sums(counts, [F.col("v").asc()], ["column_name"], F.col("n"), store, "before"), "values")
+    total = placed.groupBy("column_name").agg(F.sum("n").alias("total"))
+    reached = placed.join(total, "column_name").select(
+        "column_name", "v", *((100 * (F.col("before") + F.col("n")) >= q * F.col("total")).alias(f"q{q}") for q in (25, 75)))
+    fences = (reached.groupBy("column_name")
+              .agg(*(F.min(F.when(F.col(f"q{q}"), F.col("v"))).alias(a) for q, a in ((25, "q1"), (75, "q3"))))
+              .withColumns({"lower_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
+                            "upper_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))}))
+    outside = (F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))
+    return (placed.join(fences, "column_name")
+            .groupBy("column_name", "q1", "q3", "lower_fence", "upper_fence")
+            .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).cast("bigint").alias("n_outliers"))
+            .select(F.lit(table).alias("table_name"), "column_name", "q1", "q3", "lower_fence", "upper_fence", "n_outliers"))
 
 
 def reconcile(raw: DataFrame, staged: DataFrame, keys: list[str], measure: str) -> DataFrame:

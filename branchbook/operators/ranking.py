@@ -1,89 +1,86 @@
-"""Ranking without a single-partition sort.
-
-``ROW_NUMBER() OVER (ORDER BY x)`` without PARTITION BY makes Spark move every
-row to one task (``Exchange SinglePartition``).  Here:
-
-1. the rows are range-partitioned on (group, order keys) into N partitions
-   and sorted inside each partition, so partition i holds a contiguous slice
-   of the global order;
-2. each row gets its partition id and a within-partition sequence number
-   (``monotonically_increasing_id`` after the sort); the tagged rows are
-   written once so the tags are fixed;
-3. a tiny table of per-(partition, group) counts gives, by a running sum over
-   partitions, each slice's offset, broadcast back:
-   ``row_number = offset + position in slice``.
-
-``rank`` is the row number of the first row of a tie (min per key, joined
-back null-safe); ``dense_rank`` is the row number of the key within the
-distinct keys (the same operator over the distinct-key table).  A hot key
-(many equal values) only affects the join back, which AQE's skew handling
-splits; nothing is gathered into one task.
+"""Ranks without a single-partition sort.
+
+``ROW_NUMBER() OVER (ORDER BY x)`` gathers its rows in one task, and so does a
+window per month.  Here rows (or distinct keys) are range-partitioned on
+(group, order keys), so partition i holds a contiguous slice of the order; the
+tagged slice is written once; slices get their offsets from the running sum of
+one row per (partition, group); and a window inside each slice does the rest.
+
+``rank`` and ``dense_rank`` number the *distinct keys*: the keys' row counts
+are partial aggregates, their prefix sums give both ranks, and the rows join
+their key.  A hot key is one row of the key table, and the join back is an
+equi-join that the optimizer broadcasts (few keys) or splits (skew).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+Store = Callable[[DataFrame, str], DataFrame]
+
 
 def _eq_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def _persisted(df: DataFrame, name: str) -> DataFrame:
-    from branchbook.plans.books import materialize
-    return materialize(df, name)
+def _slices(df: DataFrame, order: list[Column], parts: list[str], store: Store, num_partitions: int | None) -> DataFrame:
+    """The rows with the number of the range partition that holds them."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in parts] + list(order)
+    return store(df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id()), "ranked")
+
+
+def _before(sliced: DataFrame, order: list[Column], parts: list[str], weight: Column, name: str) -> DataFrame:
+    """``name``: sum of ``weight`` over the rows of the group that come earlier."""
+    inside = Window.partitionBy("__pid", *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*(parts or [F.lit(0)])).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy("__pid", *parts).agg(F.sum(weight).alias("__n"))
+    offsets = totals.select("__pid", *parts, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    t, o = sliced.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("t"), offsets.alias("o")
+    cond = F.col("t.__pid") == F.col("o.__pid")
+    if parts:
+        cond = cond & _eq_null_safe(t, o, parts)
+    cols = [F.col(f"t.`{c}`") for c in sliced.columns if c != "__pid"]
+    return t.join(o, cond).select(*cols, (F.col("t.__in") + F.col("o.__off")).alias(name))
+
+
+def prefix_sums(df: DataFrame, order: list[Column], partition_by: list[str] | None, weight: Column, store: Store,
+                name: str, num_partitions: int | None = None) -> DataFrame:
+    """``name``: sum of ``weight`` over the rows of the group that come earlier."""
+    parts = list(partition_by or [])
+    return _before(_slices(df, order, parts, store, num_partitions), order, parts, weight, name)
 
 
-def row_number(df: DataFrame, order: list[Column], partition_by: list[str] | None = None,
+def row_number(df: DataFrame, order: list[Column], partition_by: list[str] | None, store: Store,
                name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY partition_by ORDER BY order)``.
+    """``ROW_NUMBER() OVER (PARTITION BY partition_by ORDER BY order)``; give
+    ``order`` tie-breaks, or the numbers among equal rows are arbitrary."""
+    parts = list(partition_by or [])
+    out = prefix_sums(df, order, parts, F.lit(1), store, "__before", num_partitions)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + 1).cast("int").alias(name))
 
-    ``order`` must be a total order for a reproducible result (add tie-break
-    columns); with ties the numbering among equal rows is arbitrary, as in SQL.
-    """
+
+def _with_key(df: DataFrame, key_cols: list[str], order: list[Column], partition_by: list[str] | None, store: Store,
+              weight: Column, name: str) -> DataFrame:
     parts = list(partition_by or [])
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in parts] + list(order)
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__seq", F.monotonically_increasing_id()))
-    tagged = _persisted(tagged, "ranked")
-    counts = tagged.groupBy("__pid", *parts).agg(F.count(F.lit(1)).alias("__n"), F.min("__seq").alias("__s0"))
-    before = Window.partitionBy(*parts).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", *parts, "__s0",
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    # one row per (partition, group): bounded by N x groups
-    o = F.broadcast(offsets).alias("o")
-    t = tagged.alias("t")
-    cond = (F.col("t.__pid") == F.col("o.__pid"))
-    if parts:
-        cond = cond & _eq_null_safe(t, o, parts)
-    j = t.join(o, cond)
-    rn = (F.col("o.__off") + F.col("t.__seq") - F.col("o.__s0") + 1).cast("int")
-    return j.select(*[F.col(f"t.`{c}`") for c in df.columns], rn.alias(name))
+    keys = df.groupBy(*parts, *key_cols).agg(F.count(F.lit(1)).alias("__rows"))
+    b = prefix_sums(keys, order, parts, weight, store, "__before").alias("b")
+    a = df.alias("a")
+    return a.join(b, _eq_null_safe(a, b, parts + key_cols)).select(
+        *[F.col(f"a.`{c}`") for c in df.columns], (F.col("b.__before") + 1).cast("int").alias(name))
 
 
-def rank(df: DataFrame, key_cols: list[str], order: list[Column], partition_by: list[str] | None = None,
+def rank(df: DataFrame, key_cols: list[str], order: list[Column], partition_by: list[str] | None, store: Store,
          name: str = "rank") -> DataFrame:
-    """``RANK()``: 1 + the number of rows ordered strictly before the key."""
-    parts = list(partition_by or [])
-    numbered = row_number(df, order, parts, "__rn")
-    firsts = numbered.groupBy(*parts, *key_cols).agg(F.min("__rn").alias(name))
-    a, b = numbered.alias("a"), firsts.alias("b")
-    j = a.join(b, _eq_null_safe(a, b, parts + key_cols))
-    return j.select(*[F.col(f"a.`{c}`") for c in df.columns], F.col(f"b.{name}"))
+    """``RANK()``: 1 + the rows of earlier keys."""
+    return _with_key(df, key_cols, order, partition_by, store, F.col("__rows"), name)
 
 
-def dense_rank(df: DataFrame, key_cols: list[str], order: list[Column], partition_by: list[str] | None = None,
+def dense_rank(df: DataFrame, key_cols: list[str], order: list[Column], partition_by: list[str] | None, store: Store,
                name: str = "dense_rank") -> DataFrame:
-    """``DENSE_RANK()``: position of the key among the distinct keys."""
-    parts = list(partition_by or [])
-    keys = df.select(*parts, *key_cols).distinct()
-    numbered = row_number(keys, order, parts, name)
-    a, b = df.alias("a"), numbered.alias("b")
-    j = a.join(b, _eq_null_safe(a, b, parts + key_cols))
-    return j.select(*[F.col(f"a.`{c}`") for c in df.columns], F.col(f"b.{name}"))
+    """``DENSE_RANK()``: 1 + the earlier keys."""
+    return _with_key(df, key_cols, order, partition_by, store, F.lit(1), name)

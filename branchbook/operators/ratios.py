@@ -68,15 +68,21 @@ def cumulate_to_months(monthly: DataFrame, months: DataFrame, month_col: str,
     return j.groupBy(rm, *keys).agg(*aggs)
 
 
-def snapshot_cells(snapshot: DataFrame, provinces: DataFrame) -> DataFrame:
+def snapshot_cells(snapshot: DataFrame, provinces: DataFrame, last_month: int | None = None) -> DataFrame:
     """One pass over ``fact_kpi_month_raw_data`` -> per (kpi_month, area_code).
 
+    ``last_month``: the last report month; later snapshots count for none, and
+    the bound reaches the scan (and prunes the folders of a staged table).
+
     area_code comes from a LEFT lookup (unknown cities -> NULL area), as the
     ratio methods use; steps that need an inner lookup filter NULL areas.
     ``n_*`` count the rows passing each filter (so the existence of a group
     in the original's per-filter GROUP BY is known), ``s_*`` are the sums.
     """
-    op = F.col("outstanding_principal")
+    if last_month is not None:
+        snapshot = snapshot.where(F.col("kpi_month") <= F.lit(int(last_month)))
+    op = F.col("outstanding_principal").cast("decimal(19,0)")
+    wo = F.col("write_off_balance_principal").cast("decimal(19,0)")
     b = F.col("max_bucket")
     wo_row = F.col("write_off_month") == F.col("kpi_month")
     gr1 = (b == 1) | b.isNull()
@@ -97,9 +103,9 @@ def snapshot_cells(snapshot: DataFrame, provinces: DataFrame) -> DataFrame:
         cnt(gr2).alias("n_gr2"), F.sum(F.when(gr2, op)).alias("s_gr2"),
         cnt(gr25).alias("n_gr25"), F.sum(F.when(gr25, op)).alias("s_gr25"),
         F.sum("psdn").alias("s_psdn"),
-        cnt(wo_row).alias("n_wo"), F.sum(F.when(wo_row, F.col("write_off_balance_principal"))).alias("s_wo"),
-        cnt(npl).alias("n_npl"), F.sum(F.when(npl, F.coalesce(op, F.lit(0)))).alias("s_npl"),
-        F.sum(F.coalesce(op, F.lit(0))).alias("s_tot"),
+        cnt(wo_row).alias("n_wo"), F.sum(F.when(wo_row, wo)).alias("s_wo"),
+        cnt(npl).alias("n_npl"), F.sum(F.when(npl, F.coalesce(op, F.lit(0).cast("decimal(19,0)")))).alias("s_npl"),
+        F.sum(F.coalesce(op, F.lit(0).cast("decimal(19,0)"))).alias("s_tot"),
     )
 
 
@@ -115,7 +121,6 @@ def cumulative_writeoff(cells: DataFrame) -> DataFrame:
     w = Window.partitionBy("area_code").orderBy("kpi_month").rowsBetween(Window.unboundedPreceding, 0)
     return (cells.where(F.col("area_code").isNotNull() & (F.col("n_wo") > 0))
             .select(F.col("kpi_month").alias("month_key"), "area_code",
-                    F.col("s_wo").alias("total_wo_bal_current"),
                     F.sum("s_wo").over(w).alias("total_lk")))
 
 
@@ -148,13 +153,15 @@ def balance_ratios(cells: DataFrame, months: DataFrame) -> DataFrame:
     return _share(long.where(F.col("n") > 0), "part").select("rate_month", "method_code", "area_code", "ratio")
 
 
-def pre_writeoff_ratios(cells: DataFrame, months: DataFrame) -> DataFrame:
+def pre_writeoff_ratios(cells: DataFrame, months: DataFrame, strict: bool = True) -> DataFrame:
     """BWO_GR2_5: (bucket 2-5 balance + cumulative write-off) share per area.
 
     Reproduces the original's grouping by the *write-off* side's area: the
     bucket balance of a (month, area) with no write-off falls into a NULL
-    area (whose ratio is NULL and fails the NOT NULL check).  No NULLIF: a
-    zero total raises division by zero, as the original does.
+    area (whose ratio is NULL and fails the NOT NULL check).  No NULLIF: with
+    ``strict`` a zero total raises division by zero, as the original does;
+    without it that month's ratios are NULL, for ``ratio_violations`` to report,
+    and other months are computed.
     """
     bal = (cells.where(F.col("n_gr25") > 0)
            .select("kpi_month", F.col("area_code").alias("a_area"), F.col("s_gr25").alias("amount")))
@@ -170,7 +177,7 @@ def pre_writeoff_ratios(cells: DataFrame, months: DataFrame) -> DataFrame:
     val = (F.col("s_amount") + F.col("s_lk")).cast(SHARE_INPUT)
     rows = cum.select(F.col(months.columns[0]).alias("rate_month"), F.lit("BWO_GR2_5").alias("method_code"),
                       F.col("b_area").alias("area_code"), val.alias("part"))
-    return _share(rows, "part", nullif=False).select("rate_month", "method_code", "area_code", "ratio")
+    return _share(rows, "part", nullif=not strict).select("rate_month", "method_code", "area_code", "ratio")
 
 
 def headcount_cells(fact_kpi_asm: DataFrame, areas: DataFrame) -> DataFrame:
@@ -228,7 +235,7 @@ def allocation_ratios(snapshot: DataFrame, fact_kpi_asm: DataFrame, provinces: D
     hc = headcount if headcount is not None else headcount_cells(fact_kpi_asm, areas)
     names = local_table(spark, seeds.METHODS, "method_code string, method_name string")
     data = (balance_ratios(cells, months)
-            .unionByName(pre_writeoff_ratios(cells, months))
+            .unionByName(pre_writeoff_ratios(cells, months, strict))
             .unionByName(headcount_ratios(hc, months))
             .join(F.broadcast(names), "method_code")
             .select("rate_month", "method_code", "method_name", "area_code",

@@ -37,7 +37,7 @@ def report_finance_crosstab(report: DataFrame, areas: DataFrame, tree: DataFrame
     the categories.
     """
     names = area_names if area_names is not None else area_names_in_order(areas)
-    rows = (report.join(F.broadcast(areas.select("area_code", "area_name")), "area_code", "left")
+    rows = (report.join(areas.select("area_code", "area_name"), "area_code", "left")
             .join(F.broadcast(tree.select(F.col("pnl_id").alias("id"), "pnl_name", "sortorder")), "id"))
     pv = (rows.groupBy("month_key", "pnl_name", "sortorder").pivot("area_name", names)
           .agg(F.max("amount")))
@@ -86,7 +86,7 @@ def col_chart(report: DataFrame, areas: DataFrame, tree: DataFrame, ordered: boo
     """
     rows = (report.where(F.col("id").isin(seeds.COL_CHART_LINES) & (F.col("area_code") != seeds.HEAD_AREA))
             .join(F.broadcast(tree.select(F.col("pnl_id").alias("id"), "pnl_name")), "id", "left")
-            .join(F.broadcast(areas.select("area_code", "area_name")), "area_code", "left"))
+            .join(areas.select("area_code", "area_name"), "area_code", "left"))
     w = Window.partitionBy("id", "area_name").orderBy("month_key")
     amt = F.col("amount").cast(T.DecimalType(37, 10))
     prev = F.coalesce(F.lag(amt).over(w), F.lit(0).cast(T.DecimalType(37, 10)))

@@ -4,9 +4,9 @@ The reports re-use a handful of small aggregates many times (the snapshot
 cells feed five ratio methods, the NPL step and the write-off running sum; the
 allocated lines feed the rollups, the ratio lines and the ASM lookups).  Left
 lazy, each consumer would re-plan the large scans behind them.  ``Books``
-computes each shared aggregate once and cuts its lineage with a reliable
-``checkpoint()`` into ``spark.checkpoint.dir`` (a shared folder on a
-cluster), so:
+computes each shared aggregate once and cuts its lineage with a Parquet table
+in a run folder under ``spark.checkpoint.dir`` (a shared folder on a cluster),
+which ``close()`` removes, so:
 
 * every large table is scanned once per run, whatever reads the aggregate;
 * a lost executor never forces a re-scan of the facts for a checkpointed step;
@@ -23,7 +23,6 @@ block is lost.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,17 +30,19 @@ from pyspark.sql import functions as F
 
 from branchbook.operators import asm as A
 from branchbook.operators import allocation, pnl, ratios as R, reshape
-from branchbook.plans import finance as FIN
-from branchbook.session import ensure_checkpoint_dir
 from branchbook.sources import bindings, seeds
+from branchbook.sources.scratch import RunFolder
 
 
 class Books:
     def __init__(self, spark: SparkSession, *, txn: DataFrame, snapshot: DataFrame, kpi_asm: DataFrame,
                  areas: DataFrame, provinces: DataFrame, regions: DataFrame, months, materialize: str | None = "persist",
-                 strict: bool = True, rate_table: DataFrame | None = None):
+                 strict: bool = True, rate_table: DataFrame | None = None, folder: RunFolder | None = None,
+                 postings_by_month: DataFrame | None = None, cells_by_month: DataFrame | None = None):
         self.spark = spark
-        self._cached: list[DataFrame] = []
+        self.folder = folder or RunFolder(spark)
+        # stored monthly aggregates to use instead of scanning the facts
+        self._postings_by_month, self._cells_by_month = postings_by_month, cells_by_month
         self.rate_table = rate_table    # stored ratios to use instead of computing them
         self.txn = txn                  # decoded postings (fact_txn_month_data)
         self.snapshot = snapshot        # fact_kpi_month_raw_data
@@ -56,7 +57,9 @@ class Books:
             # inline table, so every plan that reads it sees a LocalTableScan
             months = [r[0] for r in months.select(F.col(months.columns[0]).cast("int")).distinct().collect()
                       if r[0] is not None]
-        self.months = R.month_frame(spark, months)
+        self.month_list = sorted({int(m) for m in months})
+        self.last_month = max(self.month_list, default=None)
+        self.months = R.month_frame(spark, self.month_list)
         self.strict = strict
 
     # -- construction ------------------------------------------------------
@@ -64,43 +67,41 @@ class Books:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, months=None, **kw) -> Books:
         """Bind the domain tables to the TPC-H-like test tables."""
         kpi = reshape.unpivot_kpi(bindings.kpi_asm_wide(spark, sf_dir))
-        mode = kw.get("materialize", "persist")
+        snapshot = bindings.kpi_month_raw(spark, sf_dir)
+        folder = kw.pop("folder", None) or RunFolder(spark)
         # the sheet is derived from the largest test table; keep it like a
-        # loaded sheet (one row per salesperson and sheet month)
-        kpi = keep(kpi, "fact_kpi_asm", mode)
+        # loaded sheet (one row per salesperson, load and sheet month)
+        kpi = keep(kpi, "fact_kpi_asm", kw.get("materialize", "persist"), folder)
         if months is None:
-            months = sheet_months(kpi)
+            months = snapshot.select(F.col("kpi_month").alias("report_month"))
         return cls(spark,
                    txn=reshape.decode_analysis_code(bindings.txn_raw(spark, sf_dir)),
-                   snapshot=bindings.kpi_month_raw(spark, sf_dir),
+                   snapshot=snapshot,
                    kpi_asm=kpi,
                    areas=bindings.dim_area(spark, sf_dir),
                    provinces=bindings.dim_province(spark, sf_dir),
                    regions=bindings.dim_region(spark, sf_dir),
-                   months=months, **kw)
+                   months=months, folder=folder, **kw)
 
     def _keep(self, df: DataFrame, name: str = "step") -> DataFrame:
-        return keep(df, name, self.materialize)
+        return keep(df, name, self.materialize, self.folder)
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Cache a small input read several times by one plan whose own plan
         is small (no lineage cut needed; rebuilt from lineage if lost)."""
-        if not self.materialize:
-            return df
-        self._cached.append(df.persist())
-        return df
+        return self.folder.persist(df) if self.materialize else df
 
     def close(self) -> None:
-        """Release the cached inputs (the written tables stay readable)."""
-        for df in self._cached:
-            df.unpersist()
-        self._cached.clear()
+        """Release all cached frames and remove the written steps."""
+        self.folder.close()
 
     # -- shared aggregates ---------------------------------------------------
     @cached_property
     def cells(self) -> DataFrame:
         """Snapshot per (kpi_month, area): one scan for every ratio and NPL."""
-        return self._small(R.snapshot_cells(self.snapshot, self.provinces))
+        if self._cells_by_month is not None:
+            return self._cells_by_month
+        return self._small(R.snapshot_cells(self.snapshot, self.provinces, self.last_month))
 
     @cached_property
     def headcount_cells(self) -> DataFrame:
@@ -109,10 +110,9 @@ class Books:
     @cached_property
     def monthly_postings(self) -> DataFrame:
         """Postings per (line, area, month): the one scan of the ledger."""
-        selectors = seeds.line_selector_df(self.spark)
-        sel_values = [(k, v) for _, (_, k, vals) in seeds.ALLOCATED_LINES.items() for v in vals]
-        return self._keep(allocation.line_postings_monthly(self.txn, selectors, seeds.prefix_lengths(), sel_values),
-                          "monthly_postings")
+        if self._postings_by_month is not None:
+            return self._postings_by_month
+        return self._keep(monthly_postings(self.spark, self.txn, self.last_month), "monthly_postings")
 
     @cached_property
     def ratios(self) -> DataFrame:
@@ -175,38 +175,30 @@ class Books:
         """``report_asm_final_table`` for all report months.  Its three inputs
         (one row per salesperson and month, bounded by headcount) are cached:
         the 8-way join reads each of them several times."""
-        ranked = A.asm_rank(self.asm_averages, self.npl_by_asm, self.finance_lookup)
-        return self._keep(A.asm_score(ranked), "asm")
+        return self._keep(A.asm_score(self.asm_ranked, self.folder.write), "asm")
+
+    @cached_property
+    def asm_ranked(self) -> DataFrame:
+        return A.asm_rank(self.asm_averages, self.npl_by_asm, self.finance_lookup, self.folder.write)
 
     def head_totals(self) -> DataFrame:
-        return FIN.head_totals(self.cumulative_postings, self.months)
+        return allocation.head_totals(self.cumulative_postings, self.months)
+
+
+def monthly_postings(spark: SparkSession, txn: DataFrame, last_month: int | None = None,
+                     only: list[int] | None = None) -> DataFrame:
+    """The monthly aggregate of a ledger for all allocated lines."""
+    sel_values = [(k, v) for _, (_, k, vals) in seeds.ALLOCATED_LINES.items() for v in vals]
+    return allocation.line_postings_monthly(txn, seeds.line_selector_df(spark), seeds.prefix_lengths(), sel_values,
+                                            last_month, only)
 
 
-def keep(df: DataFrame, name: str, mode: str | None) -> DataFrame:
+def keep(df: DataFrame, name: str, mode: str | None, folder: RunFolder) -> DataFrame:
     """``persist``: cache (computed once by the first plan that needs it,
     rebuilt from lineage if an executor is lost); ``table``: write and read
     back (lineage cut); ``None``: leave lazy."""
     if mode == "persist":
-        return df.persist()
+        return folder.persist(df)
     if mode == "table":
-        return materialize(df, name)
+        return folder.write(df, name)
     return df
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read
-    it back: one job, lineage cut at the table, and the optimizer sees the
-    table's real size (so a small result can be broadcast by its statistics).
-    """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/branchbook-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer discovery
-
-
-def sheet_months(fact_kpi_asm: DataFrame) -> DataFrame:
-    """Report months covered by a KPI sheet: its load year x its month columns,
-    as a one-column DataFrame (distinct calendar months, a bounded set)."""
-    m = ((F.col("month_key") / 100).cast("int") * 100 + F.col("month_col")).cast("int")
-    return fact_kpi_asm.select(m.alias("report_month")).where(F.col("report_month").isNotNull()).distinct()

@@ -7,15 +7,17 @@ session, so those queries run unchanged through ``spark.sql``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from branchbook.operators import views
 from branchbook.plans.books import Books
 from branchbook.sources import seeds
 
 
-def register_views(spark: SparkSession, books: Books, ordered_views: bool = True) -> list[str]:
-    """Register dimension, fact, report tables and the 4 views; returns the names."""
+def register_views(spark: SparkSession, books: Books, ordered_views: bool = True, kpi_asm_data: DataFrame | None = None,
+                   fact_txn_month_raw_data: DataFrame | None = None, error_log: DataFrame | None = None) -> list[str]:
+    """Register dimension, fact, report tables and the 4 views (and the raw
+    tables and the error log, where given); returns the names."""
     tree = seeds.pnl_tree_df(spark)
     tables = {
         "dim_region_table": books.regions,
@@ -33,6 +35,8 @@ def register_views(spark: SparkSession, books: Books, ordered_views: bool = True
         "view_heat_map": views.heat_map(books.asm, ordered=ordered_views),
         "view_col_chart": views.col_chart(books.finance, books.areas, tree, ordered=ordered_views),
     }
+    raw = {"kpi_asm_data": kpi_asm_data, "fact_txn_month_raw_data": fact_txn_month_raw_data, "error_log": error_log}
+    tables |= {name: df for name, df in raw.items() if df is not None}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     return list(tables)

@@ -1,8 +1,11 @@
 """Registered queries: one per operator of the build plan, bound to the test tables.
 
 Every query reads the given test tables (through ``sources.bindings``) and runs
-over all of their rows.  Report months are the months covered by the KPI sheet
-(derived from the data, 1997-01 .. 1997-05 for the test binding).
+over all of their rows.  Report months are all months of the loan snapshot.
+Ratios are built without ``strict``: months in which an area has a balance but
+no write-off show the NULL rows that the target table would refuse
+(``constraint_checks`` counts them; the ``run_month_*`` queries show what the
+runner publishes instead).
 
 Output conventions (so an SQL engine computing the same thing gives the same
 values): money is rounded to 4 decimals *as a decimal* and then cast to
@@ -13,6 +16,7 @@ ratio lines computed in double are rounded to 6 decimals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,20 +24,55 @@ from pyspark.sql import functions as F
 from branchbook.operators import asm as A
 from branchbook.operators import checks, geo, views
 from branchbook.plans.books import Books
-from branchbook.sources import seeds
-
-_CACHE: dict[tuple[str, str], Books] = {}
+from branchbook.plans.oracle import OUTLIER_COLUMNS
+from branchbook.plans.runner import Tables, read_error_log, run_month
+from branchbook.session import configure
+from branchbook.sources import bindings, io, seeds
+from branchbook.sources import schemas as S
+
+class _Shared:
+    """What the registered queries share for one (session, data dir): the books
+    and one run of the monthly runner.  Another session or folder closes them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        configure(spark)
+        self.spark, self.sf_dir = spark, sf_dir
+        self.key = (spark.sparkContext.applicationId, sf_dir)
+        self.books = Books.from_testdata(spark, sf_dir, materialize="table", strict=False)
+
+    @cached_property
+    def run(self) -> Tables:
+        """The test tables staged, and all months run over the staged tables."""
+        spark, d, root = self.spark, self.sf_dir, f"{self.books.folder.path}/run"
+        io.stage_postings(bindings.txn_raw(spark, d), f"{root}/postings")
+        io.stage_snapshot(bindings.kpi_month_raw(spark, d), f"{root}/snapshot")
+        io.stage_kpi_sheet(bindings.kpi_asm_wide(spark, d), f"{root}/kpi_asm")
+        bindings.dim_area(spark, d).write.parquet(f"{root}/areas")
+        bindings.dim_province(spark, d).write.parquet(f"{root}/provinces")
+        t = Tables(postings=f"{root}/postings", snapshot=f"{root}/snapshot", kpi_asm=f"{root}/kpi_asm",
+                   areas=f"{root}/areas", provinces=f"{root}/provinces", rate_table=f"{root}/rate",
+                   finance_table=f"{root}/finance", asm_table=f"{root}/asm", error_log=f"{root}/error_log")
+        spark.createDataFrame([], S.ERROR_LOG).write.parquet(t.error_log)
+        run_month(spark, t, self.books.month_list)
+        return t
+
+
+_SHARED: list[_Shared] = []
+
+
+def shared(spark: SparkSession, sf_dir: str) -> _Shared:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if not _SHARED or _SHARED[0].key != key:
+        while _SHARED:
+            old = _SHARED.pop()
+            if old.key[0] == key[0]:
+                old.books.close()
+        _SHARED.append(_Shared(spark, key[1]))
+    return _SHARED[0]
 
 
 def books(spark: SparkSession, sf_dir: str) -> Books:
-    """One ``Books`` per (session, data dir): the registered queries share the
-    intermediate tables instead of re-deriving them."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    b = _CACHE.get(key)
-    if b is None:
-        b = Books.from_testdata(spark, sf_dir, materialize="table")
-        _CACHE[key] = b
-    return b
+    return shared(spark, sf_dir).books
 
 
 def money(c) -> Column:
@@ -127,9 +166,8 @@ def q_finance_report(spark, d):
 # -- ASM ------------------------------------------------------------------------
 
 def q_asm_averages(spark, d):
-    a = books(spark, d).asm_averages
-    return a.select("month_key", "area_name", "sale_name", "email", dbl("ltn_avg").alias("ltn_avg"),
-                    dbl("psdn_avg").alias("psdn_avg"), dbl("approval_rate_avg", 9).alias("approval_rate_avg"))
+    a = A.measure_averages(books(spark, d).asm_averages)
+    return a.withColumn("average", dbl("average", 6))
 
 
 def q_npl_by_area(spark, d):
@@ -162,9 +200,7 @@ def _asm_out(df: DataFrame) -> DataFrame:
 
 
 def q_asm_rank(spark, d):
-    b = books(spark, d)
-    r = A.asm_rank(b.asm_averages, b.npl_by_asm, b.finance_lookup)
-    return _asm_out(r.select(
+    return _asm_out(books(spark, d).asm_ranked.select(
         "month_key", "email", "area_name", "sale_name", "ltn_avg", "psdn_avg", "approval_rate_avg",
         "npl_truoc_wo_luy_ke", *[F.col(n).cast("double").alias(n) for _, n in A.FINANCE_LOOKUPS],
         "rank_ltn", "rank_psdn", "rank_approval", "rank_npl", "rank_cir", "rank_margin", "rank_hs_von",
@@ -172,13 +208,14 @@ def q_asm_rank(spark, d):
 
 
 def q_rank_scalable(spark, d):
-    """Three of the ASM ranks (row_number, rank, dense_rank) computed by the
-    range-partitioned operators instead of per-month windows."""
-    b = books(spark, d)
-    joined = A.asm_joined(b.asm_averages, b.npl_by_asm, b.finance_lookup)
-    specs = [s for s in A.RANKS if s[0] in ("rank_ltn", "rank_npl", "rank_cir")]
-    r = A.apply_ranks(joined, specs, scalable=True)
-    return r.select("month_key", "email", "area_name", "sale_name", "rank_ltn", "rank_npl", "rank_cir")
+    """Three of the ASM ranks: row_number, rank and dense_rank."""
+    return books(spark, d).asm_ranked.select("month_key", "email", "area_name", "sale_name", "rank_ltn", "rank_npl",
+                                             "rank_cir")
+
+
+def q_asm_score(spark, d):
+    return books(spark, d).asm.select("month_key", "area_name", "email", "diem_quymo", "diem_fin", "tong_diem",
+                                      "rank_ptkd", "rank_fin", "rank_final")
 
 
 def q_asm_report(spark, d):
@@ -214,36 +251,54 @@ def q_report_asm_view(spark, d):
 def q_constraint_checks(spark, d):
     b = books(spark, d)
     return checks.check_constraints(regions=b.regions, areas=b.areas, provinces=b.provinces,
-                                    tree=seeds.pnl_tree_df(spark), ratios=b.ratios, fact_kpi_asm=b.kpi_asm)
+                                    tree=seeds.pnl_tree_df(spark), ratios=b.ratios, fact_kpi_asm=b.kpi_asm,
+                                    finance=b.finance, asm=b.asm,
+                                    error_log=read_error_log(spark, shared(spark, d).run))
+
+
+def _profiled(b: Books) -> dict[str, DataFrame]:
+    return {"fact_txn_month_data": b.txn, "fact_kpi_asm": b.kpi_asm, "fact_kpi_month_raw_data": b.snapshot}
 
 
 def q_profile_columns(spark, d):
-    b = books(spark, d)
-    return checks.profile_nulls(b.kpi_asm, "fact_kpi_asm").unionByName(
-        checks.profile_nulls(b.snapshot, "fact_kpi_month_raw_data"))
+    return reduce(DataFrame.unionByName, [checks.profile_nulls(df, t) for t, df in _profiled(books(spark, d)).items()])
 
 
 def q_profile_outliers(spark, d):
     b = books(spark, d)
-    return checks.profile_outliers(b.snapshot, "fact_kpi_month_raw_data",
-                                   ["outstanding_principal", "write_off_balance_principal"])
+    tables = _profiled(b)
+    return reduce(DataFrame.unionByName, [checks.profile_outliers(tables[t], t, cols, b.folder.write)
+                                          for t, _, cols in OUTLIER_COLUMNS])
 
 
 def q_reconcile(spark, d):
-    """Raw postings vs decoded postings per account and area part: every row
-    and every amount must survive staging; unknown area parts (which the
-    allocation never picks up) show up as their own keys."""
-    b = books(spark, d)
-    from branchbook.sources import bindings
+    """Raw postings vs the staged table read back, per account and area part:
+    every row and every amount must survive staging; unknown area parts (which
+    the allocation never picks up) show up as their own keys."""
     raw = bindings.txn_raw(spark, d).select(
         "account_code", F.split_part("analysis_code", F.lit("."), F.lit(3)).alias("area_code"), "amount")
-    staged = b.txn.select("account_code", "area_code", "amount")
+    staged = io.read_table(spark, shared(spark, d).run.postings, S.TXN).select("account_code", "area_code", "amount")
     r = checks.reconcile(raw, staged, ["account_code", "area_code"], "amount")
     return r.select("account_code", "area_code", "raw_rows", "staged_rows",
                     F.col("raw_amount").cast("bigint").alias("raw_amount"),
                     F.col("staged_amount").cast("bigint").alias("staged_amount"), "status")
 
 
+# -- the monthly runner ------------------------------------------------------------
+
+def q_run_month_rates(spark, d):
+    return _ratio_rows(io.read_table(spark, shared(spark, d).run.rate_table, S.RATE_ALLOCATION))
+
+
+def q_run_month_finance(spark, d):
+    return _finance_rows(io.read_table(spark, shared(spark, d).run.finance_table, S.REPORT_FINANCE))
+
+
+def q_run_month_asm(spark, d):
+    return _asm_out(io.read_table(spark, shared(spark, d).run.asm_table, S.REPORT_ASM).select(
+        *[f.name for f in S.REPORT_ASM.fields]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_unpivot": q_kpi_unpivot,
     "analysis_code_decode": q_analysis_code_decode,
@@ -280,4 +335,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_columns": q_profile_columns,
     "profile_outliers": q_profile_outliers,
     "reconcile": q_reconcile,
+    "asm_score": q_asm_score,
+    "run_month_rates": q_run_month_rates,
+    "run_month_finance": q_run_month_finance,
+    "run_month_asm": q_run_month_asm,
 }

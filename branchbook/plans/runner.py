@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchbook.operators import asm as A
 from branchbook.operators import ratios as R
-from branchbook.plans.books import Books
+from branchbook.plans.books import Books, monthly_postings
 from branchbook.sources import io, schemas as S, seeds
 
 
@@ -41,6 +42,10 @@ class Tables:
     finance_table: str     # out: report_finance_table, partitioned by month_key
     asm_table: str         # out: report_asm_final_table, partitioned by month_key
     error_log: str         # out: error_log (append)
+    # kept monthly aggregates (optional): with them a run reads only the facts
+    # of the months that changed since the last one
+    postings_by_month: str | None = None
+    cells_by_month: str | None = None
     areas: str | None = None
     provinces: str | None = None
     regions: str | None = None
@@ -53,87 +58,121 @@ def _dims(spark: SparkSession, t: Tables):
     return areas, provinces, regions
 
 
+def _facts(spark: SparkSession, t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The staged facts with their month folders, so that bounds prune them."""
+    txn = T.StructType([*S.TXN.fields, T.StructField("post_month", T.IntegerType())])
+    return io.read_table(spark, t.postings, txn), io.read_table(spark, t.snapshot, S.KPI_MONTH_RAW)
+
+
+def refresh_aggregates(spark: SparkSession, t: Tables, months: list[int]) -> None:
+    """Rebuild the kept monthly aggregates of the months whose facts changed."""
+    months = sorted({int(m) for m in months})
+    txn, snapshot = _facts(spark, t)
+    if t.postings_by_month:
+        io.replace_months(monthly_postings(spark, txn, only=months), t.postings_by_month, "post_month", months)
+    if t.cells_by_month:
+        cells = R.snapshot_cells(snapshot.where(F.col("kpi_month").isin(months)), _dims(spark, t)[1])
+        io.replace_months(cells, t.cells_by_month, "kpi_month", months)
+
+
+def _kept(spark: SparkSession, path: str | None, month_col: str, last: int) -> DataFrame | None:
+    return spark.read.parquet(path).where(F.col(month_col) <= F.lit(int(last))) if path else None
+
+
 def books_for(spark: SparkSession, t: Tables, months: list[int], rate_table: DataFrame | None = None) -> Books:
     areas, provinces, regions = _dims(spark, t)
-    return Books(spark,
-                 txn=io.read_table(spark, t.postings, S.TXN),
-                 snapshot=io.read_table(spark, t.snapshot, S.KPI_MONTH_RAW),
-                 kpi_asm=io.read_table(spark, t.kpi_asm, S.FACT_KPI_ASM),
+    txn, snapshot = _facts(spark, t)
+    last = max(months)
+    return Books(spark, txn=txn, snapshot=snapshot, kpi_asm=io.read_table(spark, t.kpi_asm, S.FACT_KPI_ASM),
                  areas=areas, provinces=provinces, regions=regions, months=months,
-                 materialize="table", strict=False, rate_table=rate_table)
+                 materialize="table", strict=False, rate_table=rate_table,
+                 postings_by_month=_kept(spark, t.postings_by_month, "post_month", last),
+                 cells_by_month=_kept(spark, t.cells_by_month, "kpi_month", last))
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return dt.datetime.now(dt.timezone.utc)
 
 
-def _fail(spark, t: Tables, proc: str, months, err: BaseException, start, log: list):
-    msg = f"{type(err).__name__}: {err}".splitlines()[0][:2000]
-    end = _now()
-    for m in months:
-        io.append_error_log(spark, t.error_log, proc, m, msg, start, end)
-        log.append((proc, m, msg))
+def _each(spark: SparkSession, t: Tables, proc: str, months: list[int], log: list, step) -> list[int]:
+    """Run ``step`` for all months in one plan; if that fails, month by month,
+    so that a bad month fails alone: one error row for it, the others written."""
+    start = _now()
+    try:
+        return step(months, start)
+    except Exception as e:  # noqa: BLE001 — best effort, as the original
+        if len(months) == 1:
+            msg = f"{type(e).__name__}: {e}"
+            io.append_error_log(spark, t.error_log, proc, months[0], msg, start, _now())
+            log.append((proc, months[0], msg))
+            return []
+    return [m for month in months for m in _each(spark, t, proc, [month], log, step)]
 
 
 def step_ratios(spark: SparkSession, t: Tables, months: list[int], log: list) -> list[int]:
     """rate_area_month for the months; returns the months written."""
-    start = _now()
-    try:
+    def step(months, start):
         b = books_for(spark, t, months)
-        built = b.ratios        # written table; strict=False keeps NULLs for the check
-        bad = {r["rate_month"]: (r["null_area"], r["null_ratio"])
-               for r in R.ratio_violations(built).collect()   # one row per month
-               if r["null_area"] or r["null_ratio"]}
-        good = [m for m in months if m not in bad]
-        if good:
-            io.replace_months(built.where(F.col("rate_month").isin(good)), t.rate_table, "rate_month", good)
-        end = _now()
+        try:
+            built = b.ratios        # written table; strict=False keeps NULLs for the check
+            bad = {r["rate_month"]: (r["null_area"], r["null_ratio"])
+                   for r in R.ratio_violations(built).collect()   # one row per month
+                   if r["null_area"] or r["null_ratio"]}
+            good = [m for m in months if m not in bad]
+            if good:
+                io.replace_months(built, t.rate_table, "rate_month", good)
+        finally:
+            b.close()
         for m, (na, nr) in sorted(bad.items()):
             msg = (f'null value in column "{"area_code" if na else "ratio"}" of relation '
                    f'"rate_allocation_area_month" violates not-null constraint ({na} NULL areas, {nr} NULL ratios)')
-            io.append_error_log(spark, t.error_log, "rate_area_month", m, msg, start, end)
+            io.append_error_log(spark, t.error_log, "rate_area_month", m, msg, start, _now())
             log.append(("rate_area_month", m, msg))
         return good
-    except Exception as e:  # noqa: BLE001 — best effort, as the original
-        _fail(spark, t, "rate_area_month", months, e, start, log)
-        return []
+    return _each(spark, t, "rate_area_month", months, log, step)
 
 
 def step_finance(spark: SparkSession, t: Tables, months: list[int], log: list) -> list[int]:
-    start = _now()
-    try:
+    def step(months, start):
         # the step reads the stored ratios (possibly older ones, if this run's
         # ratio step failed for a month — as the original does)
         rates = io.read_months(spark, t.rate_table, S.RATE_ALLOCATION, "rate_month", months)
         b = books_for(spark, t, months, rate_table=rates)
-        io.replace_months(b.finance, t.finance_table, "month_key", months)
+        try:
+            io.replace_months(b.finance, t.finance_table, "month_key", months)
+        finally:
+            b.close()
         return list(months)
-    except Exception as e:  # noqa: BLE001
-        _fail(spark, t, "report_finance", months, e, start, log)
-        return []
+    return _each(spark, t, "report_finance", months, log, step)
 
 
 def step_asm(spark: SparkSession, t: Tables, months: list[int], log: list) -> list[int]:
-    start = _now()
-    try:
+    def step(months, start):
         b = books_for(spark, t, months)
-        fin = io.read_months(spark, t.finance_table, S.REPORT_FINANCE, "month_key", months)
-        report = A.asm_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, averages=b.asm_averages)
-        io.replace_months(report, t.asm_table, "month_key", months)
+        try:
+            fin = io.read_months(spark, t.finance_table, S.REPORT_FINANCE, "month_key", months)
+            report = A.asm_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, b.folder.write,
+                                  averages=b.asm_averages)
+            io.replace_months(report, t.asm_table, "month_key", months)
+        finally:
+            b.close()
         return list(months)
-    except Exception as e:  # noqa: BLE001
-        _fail(spark, t, "report_asm", months, e, start, log)
-        return []
+    return _each(spark, t, "report_asm", months, log, step)
 
 
-def run_month(spark: SparkSession, t: Tables, months, steps=("ratios", "finance", "asm")) -> list[tuple]:
+def run_month(spark: SparkSession, t: Tables, months, steps=("ratios", "finance", "asm"), changed=()) -> list[tuple]:
     """Run the three steps in order for one month or a list of months.
 
+    ``changed``: fact months loaded since the last run; their kept monthly
+    aggregates are rebuilt first (if ``t`` keeps any).
+
     Returns the error rows written by this run (also appended to
     ``t.error_log``); an empty list means every step succeeded.
     """
     months = [int(months)] if isinstance(months, int) else sorted({int(m) for m in months})
     log: list[tuple] = []
+    if changed:
+        refresh_aggregates(spark, t, list(changed))
     if "ratios" in steps:
         step_ratios(spark, t, months, log)
     if "finance" in steps:

@@ -8,7 +8,8 @@ in SQL for the oracle, see ``plans/oracle.py``):
 * province dimension  <- ``nation`` (province = nation, area = its region);
 * ledger postings     <- ``lineitem`` x ``supplier`` x ``nation``;
 * loan snapshot       <- ``orders`` x ``customer`` x ``nation``;
-* wide KPI sheet      <- per supplier, 1997 months 1-5 of ``lineitem``.
+* wide KPI sheet      <- per supplier and year of ``lineitem`` (the sheet's columns
+  are the months January to May; one load per year).
 
 Dimension tables with a size fixed by the TPC-H specification (region: 5,
 nation: 25) are broadcast explicitly; ``supplier`` and ``customer`` grow with
@@ -35,22 +36,11 @@ BINDING_ACCOUNTS = [
     "882200050001", "790000050101", "790000050001", "819000000001", "832000000001",
     "999999999999",
 ]
-KPI_YEAR = 1997          # year of the wide KPI sheet
-KPI_LOAD_MONTH = 199705  # month_key written on every sheet row
-
-
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+LOAD_MONTH = 5           # month of a year's sheet load (month_key = year * 100 + 5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, opened once per session (the files are read-only, and
-    file listing plus schema discovery are driver round trips)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _area_letter(regionkey) -> F.Column:
@@ -132,18 +122,17 @@ def kpi_month_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_asm_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide KPI sheet (``kpi_asm_data``): one row per supplier ("salesperson")."""
+    """Wide KPI sheet (``kpi_asm_data``): one row per supplier ("salesperson")
+    and year with postings; months of the year without any stay NULL."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate")
-    li = li.where((F.col("l_shipdate") >= F.lit(f"{KPI_YEAR}-01-01").cast("timestamp"))
-                  & (F.col("l_shipdate") < F.lit(f"{KPI_YEAR}-06-01").cast("timestamp")))
     # per order first, then per supplier and month: the distinct order count
     # becomes a plain count, and both levels aggregate map-side
-    per_order = (li.groupBy("l_suppkey", F.month("l_shipdate").alias("m"), "l_orderkey")
+    per_order = (li.groupBy("l_suppkey", F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"), "l_orderkey")
                  .agg(F.sum(F.round(F.col("l_extendedprice") * 100, 0).cast("bigint")).alias("loan"),
                       F.count(F.lit(1)).alias("n"),
                       F.count(F.when(F.col("l_returnflag") == "N", 1)).alias("n_ok")))
-    monthly = (per_order.groupBy("l_suppkey", "m")
+    monthly = (per_order.groupBy("l_suppkey", "y", "m")
                .agg(F.sum("loan").alias("loan"),
                     F.count(F.lit(1)).cast("int").alias("psdn"),
                     F.sum("n").cast("int").alias("app_in"),
@@ -152,32 +141,22 @@ def kpi_asm_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     aggs = []
     for i, mname in enumerate(names, start=1):
         sel = F.col("m") == i
-        aggs += [
-            F.max(F.when(sel, F.col("loan"))).alias(f"{mname}_loan"),
-            F.max(F.when(sel, F.col("psdn"))).alias(f"{mname}_psdn"),
-            F.max(F.when(sel, F.col("app_approved"))).alias(f"{mname}_app_approved"),
-            F.max(F.when(sel, F.col("app_in"))).alias(f"{mname}_app_in"),
-        ]
-    wide = monthly.groupBy("l_suppkey").agg(*aggs)
+        aggs += [F.max(F.when(sel, F.col(c))).alias(f"{mname}_{c}") for c in ("loan", "psdn", "app_approved", "app_in")]
+    wide = monthly.groupBy("l_suppkey", "y").agg(*aggs)
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     reg = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    base = (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
-            .join(reg, F.col("n_regionkey") == F.col("r_regionkey"))
-            .join(wide, F.col("s_suppkey") == F.col("l_suppkey"), "left"))
+    base = (wide.join(sup, F.col("s_suppkey") == F.col("l_suppkey"))
+            .join(nat, sup.s_nationkey == nat.n_nationkey)
+            .join(reg, F.col("n_regionkey") == F.col("r_regionkey")))
     cols = [
-        F.lit(KPI_LOAD_MONTH).cast("bigint").alias("month_key"),
+        (F.col("y") * 100 + LOAD_MONTH).cast("bigint").alias("month_key"),
         F.col("r_name").alias("area_name"),
         F.col("s_name").alias("sale_name"),
         F.concat(F.lit("asm"), F.col("s_suppkey").cast("string"), F.lit("@example.com")).alias("email"),
     ]
-    every_third = F.col("s_suppkey") % 3 == 0
-    kept = [~((F.col("s_suppkey") % 5 == i - 1) & every_third) for i in range(1, len(names) + 1)]
-    for suffix in ["loan", "psdn", "app_approved", "app_in", "approval_rate"]:
-        for i, mname in enumerate(names):
-            if suffix == "approval_rate":
-                v = (F.col(f"{mname}_app_approved").cast("double") / F.col(f"{mname}_app_in")).cast("float")
-            else:
-                v = F.col(f"{mname}_{suffix}")
-            cols.append(F.when(kept[i], v).alias(f"{mname}_{suffix}"))
+    for suffix in ["loan", "psdn", "app_approved", "app_in"]:
+        cols += [F.col(f"{m}_{suffix}") for m in names]
+    cols += [(F.col(f"{m}_app_approved").cast("double") / F.col(f"{m}_app_in")).cast("float").alias(f"{m}_approval_rate")
+             for m in names]
     return base.select(*cols)

@@ -11,7 +11,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,30 +26,57 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+BAD_RECORD = "bad_record"
+#: Files per staged month folder: rows are clustered by (month, salt) before the
+#: write, so a load writes a bounded number of files whatever its task count.
+FILES_PER_MONTH = 8
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
              date_format: str = "yyyy-MM-dd") -> DataFrame:
     """CSV export of a spreadsheet, parsed with the declared schema.
 
-    ``PERMISSIVE``: a malformed field becomes NULL instead of failing the load
-    (the null profile, ``checks.profile_nulls``, then reports it).
+    A row with a malformed field keeps its text in ``bad_record`` (NULL
+    otherwise), so that a load can count or reject such rows; see ``bad_records``.
     """
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("dateFormat", date_format).csv(path))
+    full = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
+    return (spark.read.schema(full).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_RECORD).option("dateFormat", date_format).csv(path))
+
+
+def bad_records(df: DataFrame) -> DataFrame:
+    """One row: how many rows were read and how many had a malformed field."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(BAD_RECORD).alias("n_bad"))
+
 
+def _load(df: DataFrame, out: str, month_col: str, append: bool) -> DataFrame:
+    """Load rows into a table partitioned by month.  By default a load replaces
+    exactly the months it brings (re-runnable) and leaves all others as they
+    are; ``append`` adds rows, as the original's INSERT does."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_MONTH))
+    w = df.repartition(F.col(month_col), salt).write.partitionBy(month_col)
+    if append:
+        w.mode("append").parquet(out)
+    else:
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out).select(*df.columns)
 
-def stage_postings(raw: DataFrame, out: str) -> DataFrame:
-    """Raw ledger postings -> decoded ``fact_txn_month_data`` (overwrite, so a
-    re-run never duplicates rows), partitioned by posting month."""
-    decoded = reshape.decode_analysis_code(raw)
+
+def stage_postings(raw: DataFrame, out: str, append: bool = False) -> DataFrame:
+    """Raw ledger postings -> decoded ``fact_txn_month_data`` by ``post_month``."""
+    decoded = reshape.decode_analysis_code(raw.drop(BAD_RECORD))
     month = (F.year("transaction_date") * 100 + F.month("transaction_date")).cast("int")
-    decoded.withColumn("post_month", month).write.mode("overwrite").partitionBy("post_month").parquet(out)
-    return decoded.sparkSession.read.parquet(out)
+    return _load(decoded.withColumn("post_month", month), out, "post_month", append)
+
+
+def stage_kpi_sheet(wide: DataFrame, out: str, append: bool = False) -> DataFrame:
+    """Wide KPI sheet -> long ``fact_kpi_asm``, one folder per load (``month_key``)."""
+    return _load(reshape.unpivot_kpi(wide.drop(BAD_RECORD)), out, "month_key", append)
 
 
-def stage_kpi_sheet(wide: DataFrame, out: str) -> DataFrame:
-    """Wide KPI sheet -> long ``fact_kpi_asm`` (overwrite)."""
-    reshape.unpivot_kpi(wide).write.mode("overwrite").parquet(out)
-    return wide.sparkSession.read.schema(S.FACT_KPI_ASM).parquet(out)
+def stage_snapshot(raw: DataFrame, out: str, append: bool = False) -> DataFrame:
+    """Loan snapshot -> ``fact_kpi_month_raw_data`` by ``kpi_month``."""
+    return _load(raw.drop(BAD_RECORD), out, "kpi_month", append)
 
 
 def replace_months(df: DataFrame, base: str, month_col: str, months: list[int]) -> list[int]:
@@ -62,33 +90,30 @@ def replace_months(df: DataFrame, base: str, month_col: str, months: list[int])
     with rows.
     """
     spark = df.sparkSession
-    data = df.where(F.col(month_col).isin([int(m) for m in months]))
-    # months that will get rows (one row per month reaches the driver)
-    written = {r[0] for r in data.select(month_col).distinct().collect()}
-    if written:
-        (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(month_col).parquet(base))
+    months = sorted({int(m) for m in months})
+    data = df.where(F.col(month_col).isin(months))
+    # the observed counts come from the write itself: the plan runs once
+    seen = Observation(f"months of {base}")
+    data = data.observe(seen, F.collect_set(month_col).alias("written"))
+    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(base))
+    written = {int(m) for m in seen.get["written"]}       # at most one value per month asked for
     body = T.StructType([f for f in df.schema.fields if f.name != month_col])
-    for m in sorted(set(int(x) for x in months) - written):
+    for m in sorted(set(months) - written):
         spark.createDataFrame([], body).write.mode("overwrite").parquet(f"{base}/{month_col}={m}")
     return sorted(written)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def read_months(spark: SparkSession, base: str, schema: T.StructType, month_col: str,
                 months: list[int]) -> DataFrame:
     """Read the given month partitions (partition pruning on the folder name)."""
-    if not _exists(spark, base):
-        return spark.createDataFrame([], schema)
     body = T.StructType([f for f in schema.fields if f.name != month_col])
     full = T.StructType(body.fields + [T.StructField(month_col, T.IntegerType())])
-    df = spark.read.schema(full).parquet(base).where(F.col(month_col).isin([int(m) for m in months]))
+    try:
+        df = spark.read.schema(full).parquet(base).where(F.col(month_col).isin([int(m) for m in months]))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)      # nothing was written yet
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 

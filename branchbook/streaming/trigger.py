@@ -19,9 +19,12 @@ def batch_months(batch: DataFrame, date_col: str = "transaction_date") -> list[i
 
 
 def monthly_trigger(spark: SparkSession, postings_dir: str, checkpoint: str,
-                    run: Callable[[list[int]], object], schema=S.TXN, once: bool = True):
+                    run: Callable[[list[int]], object], reported: Callable[[], list[int]] = list, schema=S.TXN,
+                    once: bool = True):
     """Watch ``postings_dir`` (Parquet files of decoded postings) and call
-    ``run(months)`` for the months present in each batch of new files.
+    ``run(months)`` after each batch of new files, for the months present in
+    it and every month of ``reported()`` after the earliest of them: reports
+    are cumulative, so a late posting makes all later ones stale.
 
     ``once=True`` processes everything that has arrived and stops
     (``availableNow``); ``once=False`` keeps running and returns the query.
@@ -31,7 +34,7 @@ def monthly_trigger(spark: SparkSession, postings_dir: str, checkpoint: str,
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         months = batch_months(batch)
         if months:
-            run(months)
+            run(sorted({*months, *(m for m in reported() if m > months[0])}))
 
     stream = spark.readStream.schema(schema).parquet(postings_dir)
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

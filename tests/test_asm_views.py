@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from branchbook.operators import asm as A
 from branchbook.operators import views
 from branchbook.sources import schemas as S, seeds
+from branchbook.sources.scratch import RunFolder
 
 M = 202305
 
@@ -27,7 +28,7 @@ def _rank_inputs(spark, cir, npl, hs_von):
         look.append((M, "Bee", p, f"{p}@x", 31, D(h)))
     lookup = spark.createDataFrame(look, "month_key int, area_name string, sale_name string, email string, "
                                          "id int, amount decimal(38,10)")
-    return {r.email: r for r in A.asm_rank(avg, npl_asm, lookup).collect()}
+    return {r.email: r for r in A.asm_rank(avg, npl_asm, lookup, RunFolder(spark).write).collect()}
 
 
 def test_null_sorts_as_largest(spark):
@@ -57,10 +58,11 @@ def test_scores_and_final_ranks(spark):
     ranked = A.asm_rank(avg, spark.createDataFrame([], "month_key int, area_name string, sale_name string, "
                                                         "email string, npl_truoc_wo_luy_ke double"),
                         spark.createDataFrame([], "month_key int, area_name string, sale_name string, "
-                                                  "email string, id int, amount decimal(38,10)"))
-    out = A.asm_score(ranked).collect()
+                                                  "email string, id int, amount decimal(38,10)"),
+                        RunFolder(spark).write)
+    out = A.asm_score(ranked, RunFolder(spark).write).collect()
     assert len(out) == 1 and out[0].tong_diem == 8 and out[0].rank_final == 1 and out[0].rank_fin == 1
-    assert [f.name for f in A.asm_score(ranked).schema.fields] == [f.name for f in S.REPORT_ASM.fields]
+    assert [f.name for f in A.asm_score(ranked, RunFolder(spark).write).schema.fields] == [f.name for f in S.REPORT_ASM.fields]
 
 
 def _report(spark, rows):

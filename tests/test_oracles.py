@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from branchbook.plans import oracle, queries
+from branchbook.sources.scratch import RunFolder
 
 SF = "/root/testdata/sf0.01"
 
@@ -30,13 +32,12 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_listed(spark):
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"profile_outliers"}
+def test_every_report_query_has_an_oracle(spark):
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(oracle.oracle_sql()) == set(queries.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols = df.columns
@@ -62,7 +63,7 @@ def test_profile_outliers_matches_exact_quantiles_on_small_data(spark):
     from branchbook.operators import checks
     vals = [float(v) for v in np.random.default_rng(3).normal(100, 10, 500).round(2)] + [1000.0, -500.0]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    r = checks.profile_outliers(df, "t", ["x"]).collect()[0]
+    r = checks.profile_outliers(df, "t", ["x"], RunFolder(spark).write).collect()[0]
     s = sorted(vals)
     n = len(s)
     q1 = s[math.ceil(0.25 * n) - 1]

@@ -59,10 +59,34 @@ def test_one_snapshot_scan_for_every_method_and_month(spark):
     assert "SortMergeJoin" not in plan
 
 
+def test_month_bounds_reach_the_fact_scans(spark, scratch):
+    from branchbook.sources import io
+    io.stage_postings(bindings.txn_raw(spark, SF), f"{scratch}/p")
+    io.stage_snapshot(bindings.kpi_month_raw(spark, SF), f"{scratch}/s")
+    mp = allocation.line_postings_monthly(spark.read.parquet(f"{scratch}/p"), seeds.line_selector_df(spark),
+                                          seeds.prefix_lengths(), _selectors(), last_month=199701)
+    plan = _plan(mp)
+    assert re.search(r"PartitionFilters: \[[^\]]*post_month#\d+ <= 199701", plan)
+    assert "LessThanOrEqual(transaction_date" in plan
+    cells = R.snapshot_cells(spark.read.parquet(f"{scratch}/s"), bindings.dim_province(spark, SF), 199701)
+    assert re.search(r"PartitionFilters: \[[^\]]*kpi_month#\d+ <= 199701", _plan(cells))
+
+
+def test_no_window_gathers_a_month(spark):
+    from branchbook.plans.books import Books
+    b = Books.from_testdata(spark, SF, months=[199704, 199705], materialize="table", strict=False)
+    ranked = b.asm_ranked
+    plan = _plan(ranked)
+    # the only windows are over range slices (by __pid) and over their totals
+    for w in re.findall(r"Window \[[^\n]*", plan):
+        assert "__pid" in w or "__n" in w, w
+    b.close()
+
+
 def test_many_months_do_not_rescan_the_facts(spark, scratch):
     from branchbook.plans.books import Books
     b = Books.from_testdata(spark, SF, months=list(range(199501, 199513)) + list(range(199601, 199613)),
-                            materialize="table")
+                            materialize="table", strict=False)
     plan = _plan(b.finance)
     assert "lineitem.parquet" not in plan and "orders.parquet" not in plan  # reads the written steps only
     assert b.finance.select("month_key").distinct().count() == 24

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from branchbook.operators import ranking
+from branchbook.sources.scratch import RunFolder
 
 
 @pytest.fixture(scope="module")
@@ -26,37 +27,23 @@ def test_row_number_rank_dense_rank_match_windows(spark, data, groups):
     exp = {r.id: (r.rn, r.rk, r.dr) for r in data.select(
         "id", F.row_number().over(w).alias("rn"), F.rank().over(wk).alias("rk"),
         F.dense_rank().over(wk).alias("dr")).collect()}
-    rn = {r.id: r.rn for r in ranking.row_number(data, order, groups, "rn", num_partitions=7).collect()}
-    rk = {r.id: r.rk for r in ranking.rank(data, ["v"], [F.col("v").desc_nulls_first()], groups, "rk").collect()}
+    rn = {r.id: r.rn for r in ranking.row_number(data, order, groups, RunFolder(spark).write, "rn", num_partitions=7).collect()}
+    rk = {r.id: r.rk for r in ranking.rank(data, ["v"], [F.col("v").desc_nulls_first()], groups, RunFolder(spark).write, "rk").collect()}
     dr = {r.id: r.dr for r in
-          ranking.dense_rank(data, ["v"], [F.col("v").desc_nulls_first()], groups, "dr").collect()}
+          ranking.dense_rank(data, ["v"], [F.col("v").desc_nulls_first()], groups, RunFolder(spark).write, "dr").collect()}
     assert len(rn) == len(rk) == len(dr) == 400
     assert {i: (rn[i], rk[i], dr[i]) for i in exp} == exp
 
 
-def test_only_the_partition_counts_meet_in_one_task(spark, data):
-    """The data is range-partitioned; the only single-partition exchange is
-    the one over the per-partition counts (N rows) that computes offsets."""
-    df = ranking.row_number(data, [F.col("v").asc_nulls_last(), F.col("id").asc()], [], "rn", num_partitions=5)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
-    for i in singles:
-        below = "\n".join(lines[i + 1:i + 4])
-        assert "__pid" in below and ("count" in below or "__n" in below), below
-
-
-def test_scalable_asm_report_equals_windowed(spark):
-    """All 11 ranks of the salesperson report via the range-partitioned
-    operators equal the per-month windows, row for row."""
-    from branchbook.operators import asm as A
-    from branchbook.plans.books import Books
-    b = Books.from_testdata(spark, "/root/testdata/sf0.01", months=[199704, 199705], materialize="table")
-    windowed = A.asm_score(A.asm_rank(b.asm_averages, b.npl_by_asm, b.finance_lookup))
-    scalable = A.asm_score(A.asm_rank(b.asm_averages, b.npl_by_asm, b.finance_lookup, scalable=True),
-                           scalable=True)
-    cols = windowed.columns
-    w = sorted(tuple(r[c] for c in cols) for r in windowed.collect())
-    s = sorted(tuple(r[c] for c in cols) for r in scalable.select(*cols).collect())
-    assert len(w) > 0 and w == s
+def test_a_hot_key_is_one_row_of_the_key_table(spark):
+    """100,000 rows over two values: no written slice holds them."""
+    df = spark.range(100_000).select((F.col("id") % 1000 == 0).cast("int").alias("v"))
+    written = []
+
+    def store(x, name):
+        written.append(RunFolder(spark).write(x, name))
+        return written[-1]
+
+    got = ranking.rank(df, ["v"], [F.col("v").asc()], [], store).groupBy("v", "rank").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 99_900), (1, 99_901, 100)]
+    assert [w.count() for w in written] == [2]

@@ -20,3 +20,7 @@ def test_trigger_runs_new_months_once(spark, scratch):
     _postings(spark, [dt.date(2023, 3, 1)]).coalesce(1).write.mode("append").parquet(src)
     monthly_trigger(spark, src, ck, seen.append)
     assert seen == [[202301, 202302], [202303]]
+    # a late posting: every later reported month is stale
+    _postings(spark, [dt.date(2023, 2, 9)]).coalesce(1).write.mode("append").parquet(src)
+    monthly_trigger(spark, src, ck, seen.append, reported=lambda: [202301, 202302, 202303])
+    assert seen[-1] == [202302, 202303]
