@@ -13,12 +13,16 @@ similarity of 0.75 a pair meets in some table with probability 0.9997, above
 * A sketch that a single class has cannot meet another one, so only sketches
   seen twice are combined into keys.
 * Candidates are confirmed on the full sets: 100 * common >= 75 * union.
-* No bucket is expanded into all its pairs.  Each class is first compared with
-  one centre of its buckets.  Then, while a bucket holds classes of different
-  components, its members act as centres in turn, the largest component's
-  last, ``CENTRES`` a round, each compared with the members of other
-  components.  This ends when every candidate pair is either in one component
-  or refuted: no link is lost, and a round's pairs are linear in the buckets.
+* No bucket is expanded into all its pairs.  A class's degree is the size of
+  all its buckets; the member of highest degree is a bucket's centre (in a
+  group of near copies, the text closest to the common origin).  Each class is
+  compared with the best centre of its buckets, which finds nearly all links.
+* What is left are buckets whose members lie in several components.  Members
+  outside a bucket's largest component are compared with its other components
+  in blocks of bounded size; a pair is looked at in the first table that it
+  shares, and only if ``AGREE`` of its 96 minhashes agree (a pair of similarity
+  0.75 misses that with probability 1e-8) are its sets compared.  So every
+  candidate pair is in one component, or refuted: no link is lost.
 
 Defined results: null text, or text without words, has an empty set, is linked
 with nothing and is its own component; a null ``doc_id`` gets a null component
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import Words, Workspace, batch_rows, chunks, mix
@@ -39,7 +43,10 @@ from branchbook.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
 SKETCHES, ROWS = 16, 3
-CENTRES = 8
+#: Equal minhashes (8 bits of each) without which the sets are not compared.
+AGREE = 48
+#: Rows of the two sides of a block of a bucket, and pairs looked at together.
+FEW_BLOCK, ALL_BLOCK, PAIRS = 1024, 4096, 1 << 17
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _MUL = _rng.integers(1, 2**63, 2 * SKETCHES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,17 +73,20 @@ def _texts(batch) -> Iterator[list[tuple]]:
     return chunks(((i, b"" if t is None else t) for i, t in batch_rows(batch, "doc_id", "text")), 1)
 
 
-def sketches(h: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """One row per (non-empty) set, 2 * SKETCHES sketches."""
+def sketches(h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row per (non-empty) set: 2 * SKETCHES sketches, and 8 bits of each minhash."""
     x = mix(h)
     out = np.empty((len(start), 2 * SKETCHES), np.uint64)
+    bits = np.empty((len(start), len(_MUL)), np.uint8)
     for s in range(2 * SKETCHES):
         key = np.full(len(start), s + 1, np.uint64)
         for r in range(ROWS):
             k = s * ROWS + r
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(x * _MUL[k] + _ADD[k], start))
+            least = np.minimum.reduceat(x * _MUL[k] + _ADD[k], start)
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least)
+            bits[:, k] = mix(least) >> np.uint64(56)
         out[:, s] = key
-    return out
+    return out, bits
 
 
 def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,20 +96,22 @@ def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             full = np.flatnonzero(n)
             start = (np.cumsum(n) - n)[full]
             halves: list = [None] * len(part)
+            bits: list = [None] * len(part)
             one, two = np.zeros(len(part), np.uint64), np.zeros(len(part), np.uint64)
             if len(full):
-                for k, row in zip(full, sketches(h, start).view(np.int64).tolist()):
-                    halves[k] = row
+                sk, low = sketches(h, start)
+                for k, row, x in zip(full, sk.view(np.int64), low):
+                    halves[k], bits[k] = row, x.tobytes()
                 one[full], two[full] = np.add.reduceat(mix(h), start), np.add.reduceat(mix(~h), start)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in part], pa.int64()), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)),
-                 pa.array(two.view(np.int64)), pa.array(halves, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "s1", "s2", "halves"])
+                 pa.array(two.view(np.int64)), pa.array(halves, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "n_shingles", "s1", "s2", "halves", "bits"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_signature_batches,
-                           "doc_id long, n_shingles long, s1 long, s2 long, halves array<long>")
+                           "doc_id long, n_shingles long, s1 long, s2 long, halves array<long>, bits binary")
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,20 +124,21 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))], ["doc", "items"])
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, doc): for each class the keys of the tables it may share with
-    another class.  ``classes``: doc, halves."""
+def shared_halves(classes: DataFrame) -> DataFrame:
+    """doc and its sketches of either collection that another class has too:
+    arrays ``a`` and ``b`` of (place, sketch).  ``classes``: doc, halves."""
     half = classes.select("doc", F.posexplode("halves").alias("at", "half"))
     shared = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    mine = (half.join(shared, "half").groupBy("doc")
-            .agg(F.collect_list(F.when(F.col("at") < SKETCHES, F.col("half"))).alias("a"),
-                 F.collect_list(F.when(F.col("at") >= SKETCHES, F.col("half"))).alias("b")))
+    pair = F.struct(F.col("at").cast("byte").alias("at"), "half")
+    mine = half.join(shared, "half").groupBy("doc").agg(F.collect_list(F.when(F.col("at") < SKETCHES, pair)).alias("a"),
+                                                       F.collect_list(F.when(F.col("at") >= SKETCHES, pair)).alias("b"))
     return mine.where((F.size("a") > 0) & (F.size("b") > 0))
 
 
-def _expand(mine: DataFrame) -> DataFrame:
+def table_keys(mine: DataFrame) -> DataFrame:
+    """key, doc and the places of the two sketches that make the key."""
     return (mine.select("doc", "b", F.explode("a").alias("x")).select("doc", "x", F.explode("b").alias("y"))
-            .select(F.xxhash64("x", "y").alias("key"), "doc"))
+            .select(F.xxhash64("x.half", "y.half").alias("key"), "doc", F.col("x.at").alias("i"), F.col("y.at").alias("j")))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -144,47 +157,98 @@ def _labelled(rows: DataFrame, comp: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("comp", "doc")).drop("node"))
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Keys whose rows lie in different components."""
-    return (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo <> hi").select("key"))
+def first_pairs(keys: DataFrame) -> DataFrame:
+    """(u, v): each class that shares a bucket with the best centre among its
+    buckets (itself, if it is)."""
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    keys = keys.join(shared, "key").select("key", "doc", "n")
+    degree = keys.groupBy("doc").agg(F.sum("n").alias("degree"))
+    rank = F.struct("degree", (-F.col("doc")).alias("doc"))
+    centres = keys.join(degree, "doc").groupBy("key").agg(F.max(rank).alias("centre"))
+    best = keys.join(centres, "key").groupBy("doc").agg(F.max("centre").alias("centre"))
+    return best.select(F.col("doc").alias("u"), (-F.col("centre.doc")).alias("v"))
+
+
+def mixed_blocks(keys: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, dealt into blocks:
+    ``few`` marks the copies that stand for members outside the bucket's
+    largest component, the others are all members."""
+    rows = _labelled(keys, comp)
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"))
+    buckets = buckets.where(F.col("n") > F.col("top.n")).select(
+        "key", F.col("top.comp").alias("top"), F.ceil(F.col("n") / ALL_BLOCK).cast("int").alias("alls"),
+        F.ceil((F.col("n") - F.col("top.n")) / FEW_BLOCK).cast("int").alias("fews"))
+    rows = rows.join(buckets, "key")
+    deal = lambda n: F.pmod(F.xxhash64("doc", "key"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    few = rows.where(F.col("comp") != F.col("top")).withColumns(
+        {"few": F.lit(True), "fb": deal("fews"), "ab": each("alls")})
+    every = rows.withColumns({"few": F.lit(False), "ab": deal("alls"), "fb": each("fews")})
+    both = few.unionByName(every).select("key", "fb", "ab", "few", "doc", "comp", "i", "j")
+    return both.join(classes.select("doc", "halves", "bits"), "doc")
+
+
+def _sweep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs to compare, from rows sorted by block; a block may span batches."""
+    rest: pa.Table | None = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        rest = t if rest is None else pa.concat_tables([rest, t])
+        block = np.column_stack([rest.column(c).to_numpy() for c in ("key", "fb", "ab")])
+        last = int(np.flatnonzero((block != block[-1]).any(axis=1)).max(initial=-1)) + 1
+        if last:
+            yield from _plausible(rest.slice(0, last), block[:last])
+            rest = rest.slice(last).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield from _plausible(rest, np.column_stack([rest.column(c).to_numpy() for c in ("key", "fb", "ab")]))
+
+
+def _plausible(t: pa.Table, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    col = lambda c: t.column(c).combine_chunks()
+    doc, comp, i, j = (col(c).to_numpy() for c in ("doc", "comp", "i", "j"))
+    few = col("few").to_numpy(zero_copy_only=False)
+    halves = col("halves").flatten().to_numpy().reshape(len(doc), 2 * SKETCHES)
+    bits = np.frombuffer(b"".join(col("bits").to_pylist()), np.uint8).reshape(len(doc), -1)
+    number = np.cumsum(np.concatenate(([False], (block[1:] != block[:-1]).any(axis=1))))
+    left, right = np.flatnonzero(few), np.flatnonzero(~few)
+    lo, hi = np.searchsorted(number[right], number[left]), np.searchsorted(number[right], number[left], "right")
+    ends = np.cumsum(hi - lo)
+    at = 0
+    while at < len(left):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS)))
+        n = (hi - lo)[at:to]
+        u = np.repeat(left[at:to], n)
+        v = right[np.repeat(lo[at:to] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        apart = comp[u] != comp[v]
+        u, v = u[apart], v[apart]
+        for half, place in ((slice(0, SKETCHES), i), (slice(SKETCHES, None), j - SKETCHES)):
+            first = np.argmax(halves[u, half] == halves[v, half], axis=1) == place[u]
+            u, v = u[first], v[first]
+        close = (bits[u] == bits[v]).sum(axis=1) >= AGREE
+        u, v = doc[u[close]], doc[v[close]]
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+        at = to
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFrame:
     """node, comp over the classes of equal sets (see ``components``)."""
-    mine = ws.write(table_keys(classes), "halves")
-    keys = _expand(mine)
-    centres = keys.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    first = (keys.join(centres, "key").groupBy("doc").agg(F.min("centre").alias("v"))
-             .select(F.col("doc").alias("u"), "v"))
-    first = ws.write(first, "first")                # one row for each class that shares a bucket
+    keys = table_keys(ws.write(shared_halves(classes.select("doc", "halves")), "halves"))
+    first = ws.write(first_pairs(keys), "first")    # one row for each class that shares a bucket
     members = first.select(F.col("u").alias("doc"))
     texts = docs.join(members, docs.doc_id == members.doc, "left_semi")
     sets = ws.write(texts.mapInArrow(_set_batches, "doc long, items array<long>"), "sets").dropDuplicates(["doc"])
-    links = ws.write(confirmed(first.where("u <> v"), sets), "links-0")
-    comp = components(links, ws, "comp-0")
-
-    in_buckets = _labelled(_expand(mine), comp)
-    left = in_buckets.join(_mixed(in_buckets), "key")
-    size = left.groupBy("key", "comp").agg(F.count("*").alias("size"))
-    order = Window.partitionBy("key").orderBy("size", "comp", "doc")
-    ranked = ws.write(left.join(size, ["key", "comp"]).select("key", "doc", F.row_number().over(order).alias("place")),
-                      "ranked")
-    done = 0
-    while True:
-        now = _labelled(ranked.where(F.col("place") > done), comp)
-        open_ = ws.write(now.join(_mixed(now), "key"), f"open-{done}")
-        if open_.isEmpty():
-            return comp
-        c = (open_.where(F.col("place") <= done + CENTRES)
-             .select("key", F.col("doc").alias("v"), F.col("comp").alias("cv"), F.col("place").alias("pv")))
-        pairs = (open_.join(c, "key").where((F.col("place") > F.col("pv")) & (F.col("comp") != F.col("cv")))
-                 .select(F.greatest("doc", "v").alias("u"), F.least("doc", "v").alias("v")).distinct())
-        pairs = pairs.join(first, ["u", "v"], "left_anti")
-        done += CENTRES
-        links = ws.write(confirmed(pairs, sets).unionByName(links), f"links-{done}")
-        ws.drop(f"open-{done - CENTRES}")
-        comp = components(links, ws, f"comp-{done}")
+    links = ws.write(confirmed(first.where("u <> v"), sets), "links")
+    comp = components(links, ws, "comp-a")
+
+    # only classes that share a bucket have rows in several components
+    blocks = mixed_blocks(keys.join(members, "doc", "left_semi"), classes, comp)
+    blocks = blocks.repartition("key", "fb", "ab").sortWithinPartitions("key", "fb", "ab")
+    pairs = blocks.mapInArrow(_sweep_batches, "u long, v long").distinct()
+    tested = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    more = ws.write(confirmed(pairs.join(tested, ["u", "v"], "left_anti"), sets), "links-more")
+    return components(links.unionByName(more), ws, "comp-b")
 
 
 def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -193,9 +257,9 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     sig = ws.write(signatures(d), "signatures")
     classes = (sig.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
                .groupBy("n_shingles", "s1", "s2")
-               .agg(F.min("doc_id").alias("doc"), F.first("halves").alias("halves")))
+               .agg(F.min("doc_id").alias("doc"), F.first("halves").alias("halves"), F.first("bits").alias("bits")))
     classes = ws.write(classes, "classes")
-    comp = link_classes(classes.select("doc", "halves"), d, ws)
+    comp = link_classes(classes, d, ws)
     ids = _labelled(classes.select("n_shingles", "s1", "s2", "doc"), comp).select("n_shingles", "s1", "s2", "comp")
     every = sig.select("doc_id", "n_shingles", "s1", "s2").join(ids, ["n_shingles", "s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
