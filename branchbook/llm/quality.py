@@ -150,11 +150,11 @@ def _fence_columns() -> list[str]:
 def group_fences(sk: DataFrame) -> DataFrame:
     """The fences of every (lang, source): its own, its language's or all."""
     own, by_lang = fences(sk, ["lang", "source"]), fences(sk, ["lang"])
-    all_ = fences(sk.withColumn("everything", F.lit(1)), ["everything"])
     cols = _fence_columns()
-    o, g, a = own.alias("o"), by_lang.alias("g"), all_.alias("a")
-    joined = (o.join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")))
-              .withColumn("one", F.lit(1)).join(a, F.col("one") == F.col("a.everything")))
+    # one row, taken in as a scalar subquery
+    everything = fences(sk.withColumn("everything", F.lit(1)), ["everything"]).select(F.struct(*cols)).scalar()
+    o, g = own.alias("o"), by_lang.alias("g")
+    joined = o.join(g, F.col("o.lang").eqNullSafe(F.col("g.lang"))).withColumn("a", everything)
     pick = [F.when(F.col("o.total") >= MIN_GROUP, F.col(f"o.{c}"))
             .when(F.col("g.total") >= MIN_GROUP, F.col(f"g.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in cols]
     return joined.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), *pick)
