@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -168,14 +169,16 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    """The worker's encoder; it outlives a task (this function is pickled by
+    name, so all tasks of a worker share the module's cache)."""
+    return Encoder(path, pattern)
 
 
 def _encode_batches(path: str, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path, pattern)
-        enc = _encoders[path]
+        enc = encoder(path, pattern)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
             # unseen words are learned for about 8 MB of text at once
