@@ -21,8 +21,10 @@ similarity of 0.75 a pair meets in some table with probability 0.9997, above
   outside a bucket's largest component are compared with its other components
   in blocks of bounded size; a pair is looked at in the first table that it
   shares, and only if ``AGREE`` of its 96 minhashes agree (a pair of similarity
-  0.75 misses that with probability 1e-8) are its sets compared.  So every
-  candidate pair is in one component, or refuted: no link is lost.
+  0.75 misses that with probability 1e-8) are its sets compared, inside the
+  block: the sets travel once for each block that needs them, and only links
+  leave it.  So every candidate pair is in one component, or refuted: no link
+  is lost.
 
 Defined results: null text, or text without words, has an empty set, is linked
 with nothing and is its own component; a null ``doc_id`` gets a null component
@@ -189,8 +191,9 @@ def mixed_blocks(keys: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFr
     return both.join(classes.select("doc", "halves", "bits"), "doc")
 
 
-def _sweep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs to compare, from rows sorted by block; a block may span batches."""
+def _by_block(batches: Iterator[pa.RecordBatch], each) -> Iterator[pa.RecordBatch]:
+    """``each(table, block numbers)`` over whole blocks of rows that are sorted
+    by block; a block may span batches."""
     rest: pa.Table | None = None
     for b in batches:
         t = pa.Table.from_batches([b])
@@ -198,18 +201,24 @@ def _sweep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         block = np.column_stack([rest.column(c).to_numpy() for c in ("key", "fb", "ab")])
         last = int(np.flatnonzero((block != block[-1]).any(axis=1)).max(initial=-1)) + 1
         if last:
-            yield from _plausible(rest.slice(0, last), block[:last])
+            yield from each(rest.slice(0, last).combine_chunks(), block[:last])
             rest = rest.slice(last).combine_chunks()
     if rest is not None and rest.num_rows:
-        yield from _plausible(rest, np.column_stack([rest.column(c).to_numpy() for c in ("key", "fb", "ab")]))
+        block = np.column_stack([rest.column(c).to_numpy() for c in ("key", "fb", "ab")])
+        yield from each(rest.combine_chunks(), block)
+
 
+def _column(t: pa.Table, name: str):
+    return t.column(name).combine_chunks()
 
-def _plausible(t: pa.Table, block: np.ndarray) -> Iterator[pa.RecordBatch]:
-    col = lambda c: t.column(c).combine_chunks()
-    doc, comp, i, j = (col(c).to_numpy() for c in ("doc", "comp", "i", "j"))
-    few = col("few").to_numpy(zero_copy_only=False)
-    halves = col("halves").flatten().to_numpy().reshape(len(doc), 2 * SKETCHES)
-    bits = np.frombuffer(b"".join(col("bits").to_pylist()), np.uint8).reshape(len(doc), -1)
+
+def _plausible(t: pa.Table, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (few, other) of the pairs of different components that meet
+    here first and agree in enough minhashes, some at a time."""
+    comp, i, j = (_column(t, c).to_numpy() for c in ("comp", "i", "j"))
+    few = _column(t, "few").to_numpy(zero_copy_only=False)
+    halves = _column(t, "halves").flatten().to_numpy().reshape(len(comp), 2 * SKETCHES)
+    bits = np.frombuffer(b"".join(_column(t, "bits").to_pylist()), np.uint8).reshape(len(comp), -1)
     number = np.cumsum(np.concatenate(([False], (block[1:] != block[:-1]).any(axis=1))))
     left, right = np.flatnonzero(few), np.flatnonzero(~few)
     lo, hi = np.searchsorted(number[right], number[left]), np.searchsorted(number[right], number[left], "right")
@@ -226,12 +235,58 @@ def _plausible(t: pa.Table, block: np.ndarray) -> Iterator[pa.RecordBatch]:
             first = np.argmax(halves[u, half] == halves[v, half], axis=1) == place[u]
             u, v = u[first], v[first]
         close = (bits[u] == bits[v]).sum(axis=1) >= AGREE
-        u, v = doc[u[close]], doc[v[close]]
-        if len(u):
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+        yield u[close], v[close]
         at = to
 
 
+_BLOCK_ROW = ["key", "fb", "ab", "few", "doc", "comp", "i", "j"]
+
+
+def _wanted_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that are in some plausible pair of their block."""
+    def each(t, block):
+        flags = np.zeros(t.num_rows, bool)
+        for u, v in _plausible(t, block):
+            flags[u] = flags[v] = True
+        if flags.any():
+            yield from t.select(_BLOCK_ROW).filter(pa.array(flags)).to_batches()
+    return _by_block(batches, each)
+
+
+def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The plausible pairs whose full sets are similar enough.  Components that
+    a block has linked are one from there on, so their other pairs are left."""
+    def each(t, block):
+        doc, comp = _column(t, "doc").to_numpy(), _column(t, "comp").to_numpy()
+        items = _column(t, "items")
+        start, values = items.offsets.to_numpy(), items.values.to_numpy()
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        links = []
+        for us, vs in _plausible(t, block):
+            for u, v in zip(us.tolist(), vs.tolist()):
+                a, b = top(int(comp[u])), top(int(comp[v]))
+                if a != b:
+                    x, y = values[start[u]:start[u + 1]], values[start[v]:start[v + 1]]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                        up[a] = b
+                        links.append((int(max(doc[u], doc[v])), int(min(doc[u], doc[v]))))
+        if links:
+            u, v = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    return _by_block(batches, each)
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "fb", "ab").sortWithinPartitions("key", "fb", "ab")
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFrame:
     """node, comp over the classes of equal sets (see ``components``)."""
     keys = table_keys(ws.write(shared_halves(classes.select("doc", "halves")), "halves"))
@@ -244,10 +299,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFram
 
     # only classes that share a bucket have rows in several components
     blocks = mixed_blocks(keys.join(members, "doc", "left_semi"), classes, comp)
-    blocks = blocks.repartition("key", "fb", "ab").sortWithinPartitions("key", "fb", "ab")
-    pairs = blocks.mapInArrow(_sweep_batches, "u long, v long").distinct()
-    tested = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    more = ws.write(confirmed(pairs.join(tested, ["u", "v"], "left_anti"), sets), "links-more")
+    wanted = _in_blocks(blocks).mapInArrow(
+        _wanted_batches, "key long, fb int, ab int, few boolean, doc long, comp long, i byte, j byte")
+    wanted = ws.write(wanted, "wanted")
+    full = wanted.join(classes.select("doc", "halves", "bits"), "doc").join(sets, "doc")
+    more = ws.write(_in_blocks(full).mapInArrow(_link_batches, "u long, v long"), "links-more")
     return components(links.unionByName(more), ws, "comp-b")
 
 

@@ -25,10 +25,11 @@ space, which the tests hold against whole texts.
 
 from __future__ import annotations
 
+import os
 import random
-import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,13 +41,29 @@ from branchbook.llm.common import Workspace, batch_rows, chunks
 
 CAPACITY = 2048
 CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 6, 4
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 END = (0).to_bytes(4, "little")
 
 # -- tokens -------------------------------------------------------------------
 
-_encoders: dict[str, "ChunkEncoder"] = {}
-_PUNCT = re.compile(rb"(?<=[0-9a-z])([.,])(?=[\x20\x09-\x0d])")
+_WORD_BYTE = np.zeros(256, bool)
+_WORD_BYTE[np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz", np.uint8)] = True
+_SPACE_BYTE = np.zeros(256, bool)
+_SPACE_BYTE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _spaced(docs: list[bytes]) -> list[bytes]:
+    """The documents in lower case, with a blank between a word and a single
+    full stop or comma that ends it (they are tokens of their own anyway, and
+    the words are then seen again more often)."""
+    data = b"\n".join(docs).lower() + b"\n"
+    b = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero((b[1:-1] == 46) | (b[1:-1] == 44)) + 1
+    at = at[_WORD_BYTE[b[at - 1]] & _SPACE_BYTE[b[at + 1]]]
+    out = np.insert(b, at, 32).tobytes()
+    ends = np.cumsum([len(d) + 1 for d in docs])
+    ends = (ends + np.searchsorted(at, ends)).tolist()
+    return [out[x:y] for x, y in zip([0, *ends], ends)]
 
 
 class ChunkEncoder:
@@ -54,29 +71,37 @@ class ChunkEncoder:
     remembered in two generations of at most ``REMEMBERED`` chunks each."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # for chunks that normalizing and splitting leave as they are
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.now: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _learn(self, missing: list[bytes]) -> None:
-        new = []
+        plain, other = [], []
         for c in missing:
             ids = self.old.get(c)
-            if ids is None:
-                new.append(c)
-            else:
+            if ids is not None:
                 self.now[c] = ids
-        texts = [c.decode("utf-8", "replace") for c in new]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                continue
+            t = c.decode("utf-8", "replace")
+            # lower-case Latin letters: one word, already in normal form
+            is_plain = c.islower() if c.isalpha() else t.isalpha() and max(t) < "\u0250" and t == t.lower()
+            (plain if is_plain else other).append((c, t))
+        for (c, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             self.now[c] = np.array(e.ids, "<u4").tobytes()
+        e = self.plain.encode(" ".join([t for _, t in plain]), add_special_tokens=False)
+        ids = np.array(e.ids, "<u4").tobytes()
+        cut = (4 * np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(plain) + 1))).tolist()
+        for (c, _), a, b in zip(plain, cut, cut[1:]):
+            self.now[c] = ids[a:b]
 
     def encode(self, docs: list[bytes]) -> list[bytes]:
-        split = []
-        for d in docs:
-            if b"<|" not in d:      # a special token's letters count; other text is lower-cased anyway
-                d = _PUNCT.sub(rb" \1", d.lower())
-            split.append(d.split())
+        # a special token's letters count; other text is lower-cased anyway
+        split = [d.split() if b"<|" in d else s.split() for d, s in zip(docs, _spaced(docs))]
         if len(self.now) > REMEMBERED:
             self.now, self.old = {}, self.now
         self._learn(list(set().union(*split) - self.now.keys()))
@@ -84,17 +109,21 @@ class ChunkEncoder:
         return [b"".join(map(get, s)) for s in split]
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> ChunkEncoder:
+    """The worker's encoder; it outlives a task (this function is pickled by
+    name, so all tasks of a worker share the module's cache)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return ChunkEncoder(path)
+
+
 def _piece_batches(path: str):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in _encoders:
-            _encoders[path] = ChunkEncoder(path)
         size = 4 * CAPACITY
         for b in batches:
             for part in chunks(((i, b"" if t is None else t) for i, t in batch_rows(b, "doc_id", "text")), 1):
                 out = []
-                for (doc_id, _), ids in zip(part, _encoders[path].encode([r[1] for r in part])):
+                for (doc_id, _), ids in zip(part, encoder(path).encode([r[1] for r in part])):
                     ids += END
                     for k in range(0, len(ids), size):
                         one = ids[k:k + size]

@@ -3,6 +3,9 @@
 import random
 import re
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from branchbook.llm import minhash as M
 from branchbook.llm.common import Workspace
 from branchbook.llm.components import components
@@ -63,12 +66,34 @@ def test_against_all_pairs(spark):
         assert got == brute(rows)
 
 
-def test_rounds_find_links_that_the_first_centre_misses(spark, monkeypatch):
-    monkeypatch.setattr(M, "CENTRES", 1)
+def test_links_that_no_centre_has_are_found_in_blocks(spark, monkeypatch):
+    for name, n in (("FEW_BLOCK", 2), ("ALL_BLOCK", 3), ("PAIRS", 2)):
+        monkeypatch.setattr(M, name, n)
+    monkeypatch.setattr(M, "first_pairs", lambda keys: keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+                        .join(keys, "key").select(F.col("doc").alias("u"), F.col("doc").alias("v")).distinct())
     rows = corpus(3)
     assert {r.doc_id: r.component_id for r in run(spark, rows)} == {i: c for i, (_, c, _) in brute(rows).items()}
 
 
+def test_batches_may_cut_a_block():
+    n = 30
+    r = random.Random(1)
+    rows = [(k // 10, 0, 0, few, k, k, 0, M.SKETCHES) for k in range(n) for few in (True, False)]
+    rows.sort(key=lambda x: (x[0], not x[3]))
+    names = ["key", "fb", "ab", "few", "doc", "comp", "i", "j"]
+    t = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    t = t.append_column("halves", pa.array([[7] * 32] * len(rows), pa.list_(pa.int64())))
+    t = t.append_column("bits", pa.array([b"x" * 96] * len(rows)))
+    cuts = sorted(r.sample(range(1, len(rows)), 7))
+    parts = [t.slice(a, b - a).combine_chunks().to_batches()[0] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+    seen = set()
+    for table, block in M._by_block(iter(parts), lambda t, b: iter([(t, b)])):
+        doc = table.column("doc").to_numpy()
+        for u, v in M._plausible(table, block):
+            seen |= set(zip(doc[u].tolist(), doc[v].tolist()))
+    assert seen == {(u, v) for u in range(n) for v in range(n) if u != v and u // 10 == v // 10}
+
+
 def test_nulls_repeats_and_empty(spark):
     got = run(spark, [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (9, "A b c d e f"), (10, "")])
     assert sorted((str(r.doc_id), r.component_id, r.kept) for r in got) == [
