@@ -7,6 +7,11 @@ table, ``TABLES`` tables.  A query probes its nearest ``PROBES`` axes in each
 table (more where the table is small, so that about ``REACH`` rows are seen),
 and all rows of those buckets are scored exactly.
 
+* The lift keeps vectors apart only if their norms are alike.  So the index of
+  each dimension is cut into ranges of norms within ``NORM_RATIO``, each lifted
+  by its own largest norm, with its own tables and probes; ranges of at most
+  ``BLOCK`` rows are searched whole.
+* Queries that see fewer than ``K`` + 1 rows meet all rows, block by block.
 * Of rows with the same vector only the ``K`` + 1 smallest ids can be among
   the nearest ``K`` (ties go to smaller ids), so only those are indexed; equal
   query vectors are searched once.
@@ -16,21 +21,23 @@ and all rows of those buckets are scored exactly.
 * Every block returns each query's best ``K`` + 1, and a window keeps the best.
 
 Scores are inner products of the original vectors in double precision.
-Defined results: a vector that is null, zero, holds null or non-finite
-components, or has fewer or more dimensions than the largest takes no part,
-as query or candidate, and neither does a row without ``vec_id``; rows that
+Defined results: a vector that is null, empty, zero or holds null or non-finite
+components takes no part, as query or candidate, and neither does a row without
+``vec_id``; vectors of each dimension are a table of their own; rows that
 repeat a ``vec_id`` with one vector count once, with several vectors the id may
 come with its best; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import Workspace
@@ -38,6 +45,7 @@ from branchbook.llm.common import Workspace
 K, QUERY_EVERY = 20, 20
 TABLES, PROBES, REACH = 16, 8, 64
 BLOCK, QUERY_BLOCK = 4096, 1024
+NORM_RATIO = 1.25
 SEED = 11
 
 
@@ -79,7 +87,8 @@ def lifted(x: np.ndarray, largest: float | None) -> np.ndarray:
     """Unit vectors with axes(dim) columns.  Rows of the index (``largest``
     norm given) get the coordinate that completes their norm; queries zero."""
     out = np.zeros((len(x), axes(x.shape[1])))
-    norm = np.sqrt((x * x).sum(axis=1))
+    top = np.abs(x).max(axis=1)
+    norm = top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
     if largest is None:
         out[:, :x.shape[1]] = x / norm[:, None]
     else:
@@ -88,47 +97,132 @@ def lifted(x: np.ndarray, largest: float | None) -> np.ndarray:
     return out
 
 
-def valid_vectors(emb: DataFrame) -> tuple[DataFrame, int, float, int]:
-    """(vec_id, v) that take part; their dimension, largest norm and number."""
+def _norm(v: str) -> Column:
+    """Euclidean norm, scaled by the largest component (no overflow of squares)."""
+    top = F.array_max(F.transform(v, F.abs))
+    return top * F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top)))
+
+
+def valid_vectors(emb: DataFrame) -> DataFrame:
+    """(vec_id, v, d): the vectors that take part and their dimension."""
     v = F.col("embedding").cast("array<double>")
     ok = (F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
           & F.exists(v, lambda x: x != 0))
-    rows = emb.where(F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    by_dim = rows.groupBy(F.size("v").alias("d")).agg(F.max(square).alias("s"), F.count("*").alias("n"))
-    top = by_dim.orderBy(F.desc("d")).first()
-    if top is None:
-        return rows, 0, 0.0, 0
-    return rows.where(F.size("v") == top["d"]), top["d"], float(np.sqrt(top["s"])), top["n"]
+    return emb.where(F.coalesce(ok, F.lit(False))).select(
+        F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), F.size(v).alias("d"))
+
+
+@dataclass(frozen=True)
+class Range:
+    """A part of the index: vectors of one dimension whose norms lie within
+    ``NORM_RATIO``, or few vectors that are searched whole."""
+    number: int
+    largest: float
+    whole: bool
+    count: int
+    groups: int
+
+
+def ranges(bands: Iterable[tuple[int, int, int, float]]) -> dict[int, dict[int, Range]]:
+    """The range of every band, by dimension, from the bands' (dimension, band,
+    rows, largest norm).  Neighbouring bands are searched whole together while
+    they hold at most ``BLOCK`` rows."""
+    out: dict[int, dict[int, Range]] = {}
+    number = 0
+    for dim, own in groupby(sorted(bands), key=lambda x: x[0]):
+        parts: list[list[tuple]] = []
+        for x in own:
+            if parts and sum(y[2] for y in parts[-1]) + x[2] <= BLOCK:
+                parts[-1].append(x)
+            else:
+                parts.append([x])
+        for part in parts:
+            n = sum(x[2] for x in part)
+            whole = n <= BLOCK
+            r = Range(number, max(x[3] for x in part), whole, probes(n, dim),
+                      1 if whole else min(2 * axes(dim), -(-n // BLOCK)))
+            out.setdefault(dim, {}).update({x[1]: r for x in part})
+            number += 1
+    return out
 
 
-def _matrix(batch: pa.RecordBatch, dim: int) -> np.ndarray:
-    return batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+_ROW = "id long, d int, r int, t int, g int, codes binary, vec binary"
+_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+_ONE = np.zeros(1, np.int32).tobytes()
 
 
-def _coded(dim: int, largest: float | None, count: int, groups: int):
-    """(id, v) to a row for each table and group of codes that are probed."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                x = _matrix(part, dim)
-                ids, unit = part.column(0).to_numpy(), lifted(x, largest)
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[bytes]]]:
+    """Of batches of (id, v, d, band): the vectors of each dimension and band as
+    (dimension, band, ids, matrix, bytes of each vector)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
+            key = np.column_stack([part.column(k).to_numpy(zero_copy_only=False) for k in (2, 3)])
+            for dim, band in np.unique(key, axis=0).tolist():
+                own = part.take(pa.array(np.flatnonzero((key == (dim, band)).all(axis=1))))
+                x = own.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
                 raw = x.tobytes()
-                vec = [raw[i:i + 8 * dim] for i in range(0, len(raw), 8 * dim)]
+                yield dim, band, own.column(0).to_numpy(), x, [raw[i:i + 8 * dim] for i in range(0, len(raw), 8 * dim)]
+
+
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _TYPES)],
+                                      ["id", "d", "r", "t", "g", "codes", "vec"])
+
+
+def _placed(ids: np.ndarray, vec: list[bytes], dim: int, r: Range, t: int, own: np.ndarray) -> pa.RecordBatch:
+    """A row for each vector and group that its codes in table ``t`` lie in."""
+    rows = []
+    for i, code in enumerate(own):
+        group = code % r.groups
+        rows += [(int(ids[i]), dim, r.number, t, int(g), code[group == g].astype(np.int32).tobytes(), vec[i])
+                 for g in np.unique(group)]
+    return _record(rows)
+
+
+def _whole(ids: np.ndarray, vec: list[bytes], dim: int, number: int) -> pa.RecordBatch:
+    """The vectors under one code."""
+    return _record([(int(i), dim, number, 0, 0, _ONE, v) for i, v in zip(ids, vec)])
+
+
+def _indexed(plan: dict[int, dict[int, Range]]):
+    """(id, v, d, band) of the index to rows of ``_ROW``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, band, ids, x, vec in _matrices(batches):
+            r = plan[dim][band]
+            if r.whole:
+                yield _whole(ids, vec, dim, r.number)
+                continue
+            unit = lifted(x, r.largest)
+            for t in range(TABLES):
+                yield _placed(ids, vec, dim, r, t, codes(unit, t, 1))
+    return run
+
+
+def _asked(plan: dict[int, dict[int, Range]]):
+    """(id, v, d, any) of the queries to rows of ``_ROW``, for all ranges of their dimension."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, _, ids, x, vec in _matrices(batches):
+            parts = sorted(set(plan[dim].values()), key=lambda r: r.number)
+            for r in parts:
+                if r.whole:
+                    yield _whole(ids, vec, dim, r.number)
+            hashed = [r for r in parts if not r.whole]
+            if hashed:
+                unit = lifted(x, None)
                 for t in range(TABLES):
-                    rows = []
-                    for i, own in enumerate(codes(unit, t, count)):
-                        group = own % groups
-                        rows += [(int(ids[i]), t, int(g), own[group == g].astype(np.int32).tobytes(), vec[i])
-                                 for g in np.unique(group)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary(),
-                                                                     pa.binary()))],
-                        ["id", "t", "g", "codes", "vec"])
+                    near = codes(unit, t, max(r.count for r in hashed))
+                    for r in hashed:
+                        yield _placed(ids, vec, dim, r, t, near[:, :r.count])
     return run
 
 
+def _unplaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, v, d, any) to rows of ``_ROW``, one range for each dimension."""
+    for dim, _, ids, _, vec in _matrices(batches):
+        yield _whole(ids, vec, dim, dim)
+
+
 def _best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the ids and exact scores of its best K + 1 rows.  The
     fast product selects with a margin; the kept ones are scored row by row,
@@ -145,64 +239,88 @@ def _best(query: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> list[tuple[np
     return out
 
 
-def _searched(dim: int):
-    def run(key, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x = np.frombuffer(b"".join(rows["vec"]), np.float64).reshape(-1, dim)
-        code = np.frombuffer(b"".join(rows["codes"]), np.int32)
-        ids = rows["id"].to_numpy()
-        q = np.frombuffer(b"".join(queries["vec"]), np.float64).reshape(-1, dim)
-        asked = [np.frombuffer(c, np.int32) for c in queries["codes"]]
-        who, want = np.repeat(np.arange(len(q)), [len(a) for a in asked]), np.concatenate(asked)
-        found = {"query_id": [], "vec_id": [], "score": []}
-        qid = queries["id"].to_numpy()
-        for c in np.unique(code):
-            mine, near = who[want == c], np.flatnonzero(code == c)
-            if len(mine):
-                for k, (i, s) in zip(mine, _best(q[mine], x[near], ids[near])):
-                    found["query_id"].append(np.full(len(i), qid[k]))
-                    found["vec_id"].append(i)
-                    found["score"].append(s)
-        return pd.DataFrame({k: np.concatenate(v) if v else [] for k, v in found.items()})
-    return run
+def _searched(key, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    found = {"query_id": [], "d": [], "vec_id": [], "score": []}
+    if rows.empty or queries.empty:
+        return pd.DataFrame(found)
+    dim = len(rows["vec"].iloc[0]) // 8
+    x = np.frombuffer(b"".join(rows["vec"]), np.float64).reshape(-1, dim)
+    code = np.frombuffer(b"".join(rows["codes"]), np.int32)
+    ids = rows["id"].to_numpy()
+    q = np.frombuffer(b"".join(queries["vec"]), np.float64).reshape(-1, dim)
+    asked = [np.frombuffer(c, np.int32) for c in queries["codes"]]
+    who, want = np.repeat(np.arange(len(q)), [len(a) for a in asked]), np.concatenate(asked)
+    qid = queries["id"].to_numpy()
+    for c in np.unique(code):
+        mine, near = who[want == c], np.flatnonzero(code == c)
+        if len(mine):
+            for k, (i, s) in zip(mine, _best(q[mine], x[near], ids[near])):
+                found["query_id"].append(np.full(len(i), qid[k]))
+                found["d"].append(np.full(len(i), dim))
+                found["vec_id"].append(i)
+                found["score"].append(s)
+    return pd.DataFrame({k: np.concatenate(v) if v else [] for k, v in found.items()})
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame, own: str, other: str) -> DataFrame:
     """Rows with their block of ``own`` and a copy for each block of ``other``."""
-    blocks = rows.join(F.broadcast(sizes), ["t", "g"])
+    blocks = rows.join(F.broadcast(sizes), ["r", "t", "g"])
     return (blocks.withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), (F.col(f"n_{other}") - 1).cast("int"))))
             .drop(f"n_{own}", f"n_{other}"))
 
 
+def _met(index: DataFrame, query: DataFrame) -> DataFrame:
+    """query_id, d, vec_id and score of the best rows of every block."""
+    # one row for each (range, table, group), which holds about a block of rows or more than BLOCK / (2 * axes) of them
+    size = lambda d, name, block: d.groupBy("r", "t", "g").agg(
+        F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
+    sizes = size(index, "n_block", BLOCK).join(size(query, "n_part", QUERY_BLOCK), ["r", "t", "g"])
+    key = ["r", "t", "g", "block", "part"]
+    left, right = _dealt(index, sizes, "block", "part"), _dealt(query, sizes, "part", "block")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        _searched, "query_id long, d int, vec_id long, score double")
+
+
+def _top(found: DataFrame) -> DataFrame:
+    found = found.groupBy("query_id", "d", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id", "d").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= K + 1).drop("place")
+
+
 def nearest(emb: DataFrame, ws: Workspace) -> DataFrame:
     """query_id, rank, vec_id and score: the K nearest found of every query."""
-    rows, dim, largest, n = valid_vectors(emb)
-    if not n:
-        return rows.selectExpr("vec_id query_id", "0 rank", "vec_id", "0D score").limit(0)
-    rows = rows.dropDuplicates(["vec_id", "v"])
+    rows = valid_vectors(emb).dropDuplicates(["vec_id", "v"])
     few = Window.partitionBy("v").orderBy("vec_id")
-    indexed = rows.withColumn("copy", F.row_number().over(few)).where(F.col("copy") <= K + 1).select("vec_id", "v")
+    kept = rows.withColumn("copy", F.row_number().over(few)).where(F.col("copy") <= K + 1)
+    vectors = ws.write(kept.select("vec_id", "v", "d", _norm("v").alias("norm")), "vectors")
+    # one number for each dimension, one row for each band (at most some thousand, as doubles end) of it
+    largest = {r["d"]: r["s"] for r in vectors.groupBy("d").agg(F.max("norm").alias("s")).collect()}
+    if not largest:
+        return rows.selectExpr("vec_id query_id", "0 rank", "vec_id", "0D score").limit(0)
+    top = F.element_at(F.create_map(*(F.lit(x) for p in largest.items() for x in p)), F.col("d"))
+    banded = vectors.withColumn("band", F.floor(F.log(top / F.col("norm")) / F.lit(float(np.log(NORM_RATIO)))).cast("int"))
+    plan = ranges(tuple(r) for r in banded.groupBy("d", "band").agg(F.count("*"), F.max("norm")).collect())
     asked = rows.where(F.col("vec_id") % QUERY_EVERY == 0)
-    lead = asked.groupBy("v").agg(F.min("vec_id").alias("lead_id"))
-    groups = min(2 * axes(dim), max(1, -(-n // BLOCK)))
-    schema = "id long, t int, g int, codes binary, vec binary"
-    index = ws.write(indexed.mapInArrow(_coded(dim, largest, 1, groups), schema), "index")
-    query = ws.write(lead.select("lead_id", "v").mapInArrow(_coded(dim, None, probes(n, dim), groups), schema), "queries")
-    # one row for each (table, group): at most TABLES * 2 * axes(dim), whatever the input
-    size = lambda d, name, block: d.groupBy("t", "g").agg(
-        F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
-    sizes = size(index, "n_block", BLOCK).join(size(query, "n_part", QUERY_BLOCK), ["t", "g"])
-    key = ["t", "g", "block", "part"]
-    left, right = _dealt(index, sizes, "block", "part"), _dealt(query, sizes, "part", "block")
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-        _searched(dim), "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= K + 1)
-    members = asked.join(lead, "v").select(F.col("vec_id").alias("own_id"), F.col("lead_id").alias("query_id"))
-    each = members.join(best, "query_id").where(F.col("own_id") != F.col("vec_id"))
+    lead = asked.groupBy("v", "d").agg(F.min("vec_id").alias("lead_id"))
+    index = ws.write(banded.select("vec_id", "v", "d", "band").mapInArrow(_indexed(plan), _ROW), "index")
+    queries = lead.select("lead_id", "v", "d", F.lit(0).alias("band"))
+    query = ws.write(queries.mapInArrow(_asked(plan), _ROW), "queries")
+    best = ws.write(_top(_met(index, query)), "best")
+
+    # queries that saw fewer rows than they need meet all rows of their dimension
+    seen = best.groupBy(F.col("query_id").alias("lead_id"), "d").agg(F.count("*").alias("n_seen"))
+    there = vectors.groupBy("d").agg(F.least(F.count("*"), F.lit(K + 1)).alias("n_there"))
+    short = (queries.join(seen, ["lead_id", "d"], "left").join(F.broadcast(there), "d")
+             .where(F.coalesce("n_seen", F.lit(0)) < F.col("n_there")))
+    short = ws.write(short.select("lead_id", "v", "d", "band").mapInArrow(_unplaced, _ROW), "short")
+    if not short.isEmpty():
+        every = vectors.select("vec_id", "v", "d", F.lit(0).alias("band")).mapInArrow(_unplaced, _ROW)
+        best = _top(best.unionByName(_met(every, short)))
+
+    members = asked.join(lead, ["v", "d"]).select(F.col("vec_id").alias("own_id"), F.col("lead_id").alias("query_id"), "d")
+    each = (members.join(best, ["query_id", "d"]).where(F.col("own_id") != F.col("vec_id"))
+            .groupBy("own_id", "vec_id").agg(F.max("score").alias("score")))
     order = Window.partitionBy("own_id").orderBy(F.desc("score"), "vec_id")
     return (each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K)
             .select(F.col("own_id").alias("query_id"), "rank", "vec_id", "score"))

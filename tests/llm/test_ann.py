@@ -69,3 +69,32 @@ def test_copies_norms_and_bad_vectors(spark):
 def test_rotation_keeps_length():
     x = np.random.default_rng(0).normal(size=(5, 128))
     assert np.allclose(np.linalg.norm(A.rotated(x, 3), axis=1) / 128 ** 1.5, np.linalg.norm(x, axis=1))
+
+
+def norms(kind, n):
+    x = np.random.default_rng(7).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "outlier":
+        x[n // 2] *= 100
+    else:
+        x *= np.exp(.5 * np.random.default_rng(8).normal(size=(n, 1)))
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("kind,block", [("outlier", 4096), ("outlier", 500), ("spread", 4096), ("spread", 300)])
+def test_recall_does_not_depend_on_the_largest_norm(spark, monkeypatch, kind, block):
+    monkeypatch.setattr(A, "BLOCK", block)
+    n = 5000
+    x = norms(kind, n)
+    got = run(spark, [(i, x[i].tolist(), 0) for i in range(n)])
+    want = brute(np.arange(n), x.astype(float))
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert recall(got, want) >= .9
+
+
+def test_queries_that_see_too_few_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK", 50)
+    monkeypatch.setattr(A, "TABLES", 1)
+    monkeypatch.setattr(A, "probes", lambda rows, dim: 1)
+    x = norms("outlier", 400)
+    assert run(spark, [(i, x[i].tolist(), 0) for i in range(400)]) == brute(np.arange(400), x.astype(float))
