@@ -98,3 +98,11 @@ def test_queries_that_see_too_few_meet_all_rows(spark, monkeypatch):
     monkeypatch.setattr(A, "probes", lambda rows, dim: 1)
     x = norms("outlier", 400)
     assert run(spark, [(i, x[i].tolist(), 0) for i in range(400)]) == brute(np.arange(400), x.astype(float))
+
+def test_each_dimension_is_a_table_of_its_own(spark):
+    r = np.random.default_rng(3)
+    x, y = r.normal(size=(300, 16)).astype(np.float32), r.normal(size=(30, 17)).astype(np.float32)
+    stray = [(1000, [1.0] * 40, 0)]                     # the longest vector, alone in its dimension
+    rows = [(i, x[i].tolist(), 0) for i in range(300)] + [(300 + i, y[i].tolist(), 0) for i in range(30)]
+    assert run(spark, rows + stray) == {**brute(np.arange(300), x.astype(float)),
+                                        **brute(np.arange(300, 330), y.astype(float))}
