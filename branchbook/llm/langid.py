@@ -2,9 +2,10 @@
 
 For each page the posterior over the labelled languages combines
 
-* the text's likelihood under byte-trigram models (trained on a bounded sample
-  of about ``SAMPLE_DOCS`` labelled documents, chosen by a hash of ``doc_id``),
-  tempered by ``TEMPER`` as trigrams overlap;
+* the text's likelihood under byte-trigram models, tempered by ``TEMPER`` as
+  trigrams overlap; they are trained on a bounded sample: of each language all
+  labelled documents up to ``SAMPLE_DOCS``, of a larger one about as many,
+  chosen by a hash of the document, so every labelled language has a model;
 * the language declared in the markup, by the confusion table P(declared | language);
 * the address suffix, by P(suffix | language);
 * a prior of the host, smoothed towards its domain (last two labels) and that
@@ -79,11 +80,15 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages and log P(trigram bucket | language); at most one number
     for each language and bucket comes to the driver."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    cut = min(1.0, SAMPLE_DOCS / max(1, labelled.count()))
-    picked = labelled.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(9)), F.lit(1 << 30)) < int(cut * (1 << 30)))
+    seen = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}   # one row per language
+    cuts = [F.lit(x) for lang, n in seen.items() if n > SAMPLE_DOCS for x in (lang, int(SAMPLE_DOCS / n * (1 << 30)))]
+    picked = labelled
+    if cuts:
+        cut = F.coalesce(F.element_at(F.create_map(*cuts), F.col("lang")), F.lit(1 << 30))
+        picked = labelled.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(1 << 30)) < cut)
     rows = (picked.select("lang", "text").mapInArrow(_count_batches, "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())
-    langs = sorted({r["lang"] for r in rows})
+    langs = sorted(seen)
     count = np.full((len(langs), BUCKETS), 0.5)
     for r in rows:
         count[langs.index(r["lang"]), r["bucket"]] += r["n"]

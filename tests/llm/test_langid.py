@@ -63,3 +63,14 @@ def test_markup():
     assert G.declared('<!DOCTYPE html><HTML class="a" lang="DE-at">') == "de" and G.declared("<html>") is None
     assert G.visible("a<script>b</script>c<!-- d --><nav>e</nav>&amp;<p>f").split() == ["a", "c", "&", "f"]
     assert G.visible("a<script>never closed").split() == ["a"]
+
+
+def test_rare_language_has_a_model(spark, docs, monkeypatch):
+    monkeypatch.setattr(G, "SAMPLE_DOCS", 20)
+    rare = "zda gbox wyrk " * 30
+    given = docs.where("lang in ('en', 'de')").select("doc_id", "lang", "text").limit(600).union(
+        spark.createDataFrame([(10**9, "xx", rare), (10**9 + 1, "yy", "12 34")], "doc_id long, lang string, text string"))
+    langs, model = G.train(given.cache())
+    assert {"xx", "yy"} <= set(langs) and len(model) == len(langs)
+    pages = spark.createDataFrame([(1, "http://a.xx/", page("xx", rare))], "page_id long, url string, html string")
+    assert [r.lang for r in G.identify(pages, given, Workspace(spark, "t")).collect()] == ["xx"]
