@@ -3,7 +3,10 @@
 Base spans come from three patterns.  The method adds ``markov`` spans: runs
 of at least ``MIN_TOKEN`` token characters whose log-likelihood under a
 first-order character Markov model of random strings exceeds that under a
-model of ordinary identifiers by ``MIN_LLR`` nats.  Both models are trained on
+model of ordinary identifiers by ``MIN_LLR`` nats.  Where a whole run does not,
+its parts between separators (of ``PARTS``) of that length are judged alike, so
+words in one run with a secret do not hide it.  A run or part that reaches out
+of a base span is a span of its own, overlapping that one.  Both models are trained on
 labelled samples: strings of the base matches (random) and words of texts
 without any (ordinary), from a bounded sample of about ``SAMPLE_DOCS``
 documents chosen by a hash of ``doc_id`` (all, if there are fewer).  The model
@@ -35,6 +38,8 @@ BASE = {
 }
 MIN_TOKEN, MIN_LLR = 20, 12.0
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN
+#: Parts of a run: between ``/ =``, between ``- _``, and between any of them.
+PARTS = tuple(r"[A-Za-z0-9%s]{%d,}" % (more, MIN_TOKEN) for more in ("+_-", "+/=", "+"))
 SAMPLE_DOCS = 4000
 BACKOFF = 8.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -139,12 +144,17 @@ def scan(docs: DataFrame) -> DataFrame:
     d = with_base_spans(docs)
     d = d.withColumn("base", F.array_sort(F.concat(*(_typed(F.col(f"{k}_at"), k) for k in BASE))))
     d = d.withColumn("token_at", _places("text", TOKEN, None, 0, MIN_TOKEN))
-    base = F.col("base")
-    extra = F.filter("token_at", lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-                     & (score(x["value"], model) >= MIN_LLR))
+    for k, pattern in enumerate(PARTS):
+        d = d.withColumn(f"part_{k}", _places("text", pattern, F.size("token_at") > 0, 0, MIN_TOKEN))
+    parts = [f"part_{k}" for k in range(len(PARTS))]
+    d = d.withColumn("candidates", F.array_distinct(F.concat("token_at", *parts)))
+    d = d.withColumn("likely", F.filter("candidates", lambda x: ~F.exists(
+        F.col("base"), lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])) & (score(x["value"], model) >= MIN_LLR)))
+    extra = F.filter("likely", lambda x: ~F.exists(F.col("likely"), lambda y: (y["start"] <= x["start"]) & (
+        x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"])))
     return (d.withColumn("spans", F.array_sort(F.concat("base", _typed(extra, "markov"))))
             .withColumns({f"n_{k}": F.size(f"{k}_at").cast("long") for k in BASE})
-            .drop("token_at", *(f"{k}_at" for k in BASE)))
+            .drop("token_at", "candidates", "likely", *parts, *(f"{k}_at" for k in BASE)))
 
 
 def joined(spans: str) -> Column:

@@ -77,3 +77,22 @@ def test_masking_keeps_columns_and_handles_empty(spark):
     assert out[1].text == "x [secret] y [secret] z" and out[1].n_chars == len(out[1].text) and out[1].spans == "a"
     assert out[3].text == "plain é" and out[3].n_chars == 7 and out[2].text == ""
     assert S.report(df.limit(0)).collect() == []
+
+
+def test_secrets_in_one_run_with_other_text_are_masked(spark, monkeypatch):
+    r = random.Random(6)
+    alnum = string.ascii_letters + string.digits
+    rand = lambda n: "".join(r.choices(alnum, k=n))
+    word = lambda: "".join(r.choices(["the", "re", "tion", "an", "er", "get", "value", "in", "ing", "user"], k=3))
+    rows = [f"token={rand(40)}" for _ in range(200)] + [" ".join(word() for _ in range(40)) for _ in range(200)]
+    seen = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    model = S.train(S.labelled_samples(seen))            # the planted ones are held out
+    monkeypatch.setattr(S, "train", lambda samples: model)
+    keys = [rand(40) for _ in range(4)]
+    path = "/".join(word() for _ in range(12))
+    rows += [f"id 1234567890123456789-{keys[0]} end", f"see {keys[1]}/token=abcdefabcdef0123 end",
+             f"at {path}/{keys[2]} end", f"at {'_'.join(word() for _ in range(9))}-{keys[3]} end", f"at {path} end"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {x.doc_id: x.text for x in S.masked(df).collect()}
+    assert not [k for k in keys if any(k[i:i + 8] in t for t in out.values() for i in range(33))]
+    assert out[404] == rows[404] and all(out[i].endswith(" end") for i in range(400, 405))
