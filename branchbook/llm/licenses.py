@@ -3,7 +3,8 @@
 Words are maximal runs outside ``\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F`` after A-Z are
 lower-cased; rules match the words joined by single blanks.  Several hundred
 regular expressions are built from hand-written license names, versions and
-the sentence forms they stand in.  A rule runs only on texts that hold its
+the sentence forms they stand in; short names (``SHORT``) and sentences of the
+licenses and their notices (``NOTICES``) are written out.  A rule runs only on texts that hold its
 keyword.  Detections are resolved by priority: an interval that lies inside a
 kept interval of a higher rule (or an earlier rule of equal priority) is
 suppressed.  Base phrases are counted apart and always kept.
@@ -105,6 +106,61 @@ VERSIONED = {
     "version": (3, 0.95, f"(?:{GRANT} )?" + "{} (?:version )?(?:international |unported )?(?:v ?)?{}"),
 }
 
+UNDER = ("(?:licensed|released|distributed|available|published|provided|covered|governed)(?: only)? under"
+         "(?: the)?(?: terms(?: and conditions)? of)?(?: the)?")
+#: label, keyword, short name, versions; what counts without a grant or the word licensed (0: nothing, as
+#: the name means other things too; 1: the name with a version; 2: the name)
+SHORT = [
+    ("gpl", " gpl", "gpl", "1.0 2.0 3.0", 2), ("lgpl", " lgpl", "lgpl", "2.0 2.1 3.0", 2),
+    ("agpl", " agpl", "agpl", "1.0 3.0", 2), ("gfdl", "fdl", "g?fdl", "1.1 1.2 1.3", 1),
+    ("apache", " apache", "apache", "1.0 1.1 2.0", 0), ("mpl", " mpl", "mpl", "1.0 1.1 2.0", 1),
+    ("epl", " epl", "epl", "1.0 2.0", 1), ("cddl", " cddl", "cddl", "1.0 1.1", 2),
+    ("eupl", " eupl", "eupl", "1.0 1.1 1.2", 2), ("osl", " osl", "osl", "1.0 2.0 2.1 3.0", 0),
+    ("afl", " afl", "afl", "1.1 1.2 2.0 2.1 3.0", 0), ("bsl", " bsl", "bsl", "1.0", 0),
+    ("ofl", " ofl", "(?:sil )?ofl", "1.0 1.1", 0), ("mit", " mit", "mit(?: x11)?", "", 0),
+    ("isc", " isc", "isc", "", 0), ("zlib", " zlib", "zlib", "", 0), ("wtfpl", " wtfpl", "wtfpl", "", 2),
+    ("bsd-2-clause", " bsd", "(?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd)", "", 2),
+    ("bsd-3-clause", " bsd", "(?:bsd (?:3|three) clause|(?:3|three) clause bsd|(?:new|revised|modified) bsd)", "", 2),
+    ("bsd-4-clause", " bsd", "(?:bsd (?:4|four) clause|(?:4|four) clause bsd|original bsd)", "", 2),
+    ("bsd", " bsd", "bsd", "", 0),
+]
+_GNU_TERMS = "you can redistribute (?:it|them) and or modify (?:it|them) under the terms of the gnu {} as published by the free software foundation "
+_SOFTWARE = "(?:this|the) software"
+#: label, keyword, sentence
+NOTICES = [
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "noninfringement", "the software is provided as is without warranty of any kind express or implied including but not limited to "
+     "the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("bsl-1.0", "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    ("bsd", "binary forms", "redistributions? and use in source and binary forms with or without modification (?:is|are) permitted provided that the following conditions are met"),
+    ("bsd", "implied warranties", f"{_SOFTWARE} is provided by (?:[^ ]+ ){{1,12}}as is and any express or implied warranties"),
+    ("bsd-3-clause", "endorse or promote", "neither the names? of (?:[^ ]+ ){1,20}may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("isc", "hereby granted", f"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", "hereby granted", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
+    ("isc", "disclaims all warranties", "the author disclaims all warranties with regard to this software"),
+    ("postgresql", "hereby granted", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and "
+     "without a written agreement is hereby granted"),
+    ("zlib", "held liable", "this software is provided as is without any express or implied warranty in no event will the authors? be held liable"),
+    ("apache-2.0", "applicable law", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("gpl", "any warranty", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "any warranty", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl-2.0", "take away your freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3.0", "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "copyleft", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "fuck", "you just do what the fuck you want to"),
+    ("cc0-1.0", "this deed", "the person who associated a work with this deed has dedicated the work to the public domain"),
+]
+for _label, _name, _versions in (("gpl", f"general public {L}", "1 2 3"), ("lgpl", f"(?:lesser|library) general public {L}", "2 2.1 3"),
+                                 ("agpl", f"affero general public {L}", "3")):
+    NOTICES += [(_label + "-" + (v if "." in v else v + ".0"), "redistribute",
+                 _GNU_TERMS.format(_name) + f"either version {v.replace('.', ' ')}(?: of the license)?" + ("(?! 1 )" if v == "2" else ""))
+                for v in _versions.split()]
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -149,11 +205,21 @@ def rules() -> tuple[Rule, ...]:
         p, w, form = VERSIONED["spdx"]
         for full in [f"{label}-{v}" for v in versions] or [label]:
             made.append(_rule(full, "spdx", p, w, form.format(_words(full))))
+    for label, key, name, versions, alone in SHORT:
+        made.append(_rule(label, key, *FORMS["grant"][:2], f"{UNDER} {name}"))
+        made.append(_rule(label, key, *FORMS["name"][:2], name if alone == 2 else f"{name} licen[cs]ed"))
+        for v in versions.split():
+            p, w, _ = VERSIONED["version"]
+            full = f"{name} ?(?:{L} )?(?:v ?|version )?{_version(v)}"
+            for body in (f"(?:{UNDER} )?{full}(?: {L})?",) if alone else (f"{UNDER} {full}(?: {L})?", f"{full} {L}d?"):
+                made.append(_rule(f"{label}-{v}", key, p, w, body))
+    made += [_rule(label, key, *VERSIONED["version"][:2], body) for label, key, body in NOTICES]
     return tuple(sorted(made, key=lambda r: -r.priority))
 
 
 #: Texts without any of these have no detection.
-GATE = re.compile(b"licen|spdx|cc by|cc0|creative|public domain|gnu ")
+GATE = re.compile("|".join(["licen|spdx|cc by|cc0|creative|public domain|gnu ", *sorted({key for _, key, _ in NOTICES} | {
+    key for _, key, *_ in SHORT})]).encode())
 _TABLE = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c > 127 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
 

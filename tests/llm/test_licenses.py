@@ -57,3 +57,30 @@ def test_containment_is_suppressed_like_the_direct_rule():
             if not any(k[3] <= f[3] and f[4] <= k[4] for k in want):
                 want.append(f)
         assert L._outer(found) == want
+
+
+def test_short_forms_and_license_sentences():
+    label = lambda t: L.scan_text(t.encode())[5]
+    for text, want in (
+            ("released under the GPL v3", "gpl-3.0"), ("This is GPLv3 software", "gpl-3.0"), ("under LGPL-2.1 only", "lgpl-2.1"),
+            ("Released under MIT.", "mit"), ("Licensed under Apache 2.0", "apache-2.0"), ("MPL 2.0", "mpl-2.0"),
+            ("distributed under the terms of the BSD 3-clause", "bsd-3-clause"), ("available under the GPL", "gpl"),
+            ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+             "documentation files (the \"Software\"), to deal", "mit"),
+            ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO "
+             "THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.", "mit"),
+            ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+             "following conditions are met:", "bsd"),
+            ("Neither the name of the University nor the names of its contributors may be used to endorse or promote products\n"
+             "derived from this software", "bsd-3-clause"),
+            ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+             "provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+            ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+             "Software Foundation, either version 2 of the License, or (at your option) any later version.", "gpl,gpl-2.0"),
+            ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+             "\"AS IS\" BASIS,", "apache-2.0"),
+            ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable", "zlib"),
+            ("This is free and unencumbered software released into the public domain.", "unlicense"),
+            ("Das ist mit 2 Personen, the apache helicopter, submit it", ""),
+            ("Apache 2.0 licensed", "apache-2.0"), ("runs on Apache 2.0 and AFL 2", "")):
+        assert label(text) == want, (text, label(text))
