@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from branchbook.llm import ann, bpe, dac, langid, licenses, minhash, op4_sql, packing, quality, secrets, substrings, urlfilter
+from branchbook.llm import (
+    ann, bpe, dac, divergence, interaction, langid, licenses, minhash, op4_sql, packing, quality, secrets, substrings,
+    urlfilter)
 from branchbook.llm.common import Workspace, table
 
 
@@ -51,6 +53,14 @@ def op10_byte_bpe(spark, sf_dir):
                                 public_tokenizers.PATTERN)
 
 
+def op11_filter_interaction(spark, sf_dir):
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark, "op11"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), Workspace(spark, "op12"))
+
+
 def op13_direct_codes(spark, sf_dir):
     return dac.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                       f"{Workspace(spark, 'op13').root}/tokens")
@@ -58,8 +68,10 @@ def op13_direct_codes(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_minhash_near_dedup, op3_nearest_neighbours, op4_quality_rules, op5_substring_dedup,
-    op6_best_fit_packing, op7_secret_scan, op8_license_scan, op9_language_id, op10_byte_bpe, op13_direct_codes)}
-ORACLES = {"op1_url_filter": urlfilter.SQL, "op4_quality_rules": op4_sql.SQL}
+    op6_best_fit_packing, op7_secret_scan, op8_license_scan, op9_language_id, op10_byte_bpe,
+    op11_filter_interaction, op12_source_divergence, op13_direct_codes)}
+ORACLES = {"op1_url_filter": urlfilter.SQL, "op4_quality_rules": op4_sql.SQL,
+           "op11_filter_interaction": interaction.SQL, "op12_source_divergence": divergence.SQL}
 
 
 def queries():

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.QUERIES[name](spark, SF)
     cur = con.execute(registry.ORACLES[name])
