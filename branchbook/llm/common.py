@@ -17,6 +17,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from branchbook.session import ensure_checkpoint_dir
 
@@ -52,6 +53,17 @@ class Workspace:
             shutil.rmtree(url.path, ignore_errors=True)
 
 
+#: Name of the column that tells rows apart whatever their doc ids.
+ROW = "__row"
+
+
+def keyed(docs: DataFrame, ws: Workspace, name: str = "rows") -> DataFrame:
+    """The rows, written once, with a number of their own in ``ROW``.  Ids may
+    be null or repeat; steps that meet again do so by this number, which is
+    fixed by the written table and so the same in every later job and retry."""
+    return ws.write(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 # -- hashing ------------------------------------------------------------------
 
 _U = np.uint64
@@ -62,14 +74,14 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE, _WBASE = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+_BASE, _WBASE, _WBASE2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93), _U(0xA24BAED4963EE407)
 
 
 def _inverse(odd: int) -> int:
     return pow(int(odd), -1, 1 << 64)
 
 
-_INV, _WINV = _U(_inverse(_BASE)), _U(_inverse(_WBASE))
+_INV, _WINV, _WINV2 = _U(_inverse(_BASE)), _U(_inverse(_WBASE)), _U(_inverse(_WBASE2))
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -127,6 +139,12 @@ class Words:
         at = np.flatnonzero(np.arange(m) + k <= np.repeat(self.last, self.n)[:m])
         return at, mix((total[at + k] - total[at]) * _power(_WINV, m)[at] + _U(k))
 
+    def second(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Another 64 bits of the windows of ``k`` words that start at ``at``."""
+        total = np.zeros(len(self.h) + 1, np.uint64)
+        np.cumsum(mix(self.h) * _power(_WBASE2, len(self.h)), out=total[1:])
+        return mix((total[at + k] - total[at]) * _power(_WINV2, len(self.h) + 1)[at] + _U(k))
+
 
 def encode(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

@@ -23,12 +23,16 @@ similarity of 0.75 a pair meets in some table with probability 0.9997, above
   shares, and only if ``AGREE`` of its 96 minhashes agree (a pair of similarity
   0.75 misses that with probability 1e-8) are its sets compared, inside the
   block: the sets travel once for each block that needs them, and only links
-  leave it.  So every candidate pair is in one component, or refuted: no link
-  is lost.
+  leave it.  So every candidate pair is in one component, or refuted: of the
+  links that the tables find, none is lost.
+
+Rows and classes are known by a row number of their own (``common.keyed``); a
+``doc_id`` only names a component, by the smallest one in it.
 
 Defined results: null text, or text without words, has an empty set, is linked
 with nothing and is its own component; a null ``doc_id`` gets a null component
-and is kept; rows that share a ``doc_id`` are each reported.
+and is kept; rows that share a ``doc_id`` are documents each, linked by their
+texts alone.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchbook.llm.common import Words, Workspace, batch_rows, chunks, mix
+from branchbook.llm.common import ROW, Words, Workspace, batch_rows, chunks, keyed, mix
 from branchbook.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -71,8 +75,8 @@ def shingle_sets(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.bincount(doc[new], minlength=len(docs))
 
 
-def _texts(batch) -> Iterator[list[tuple]]:
-    return chunks(((i, b"" if t is None else t) for i, t in batch_rows(batch, "doc_id", "text")), 1)
+def _texts(batch, *more: str) -> Iterator[list[tuple]]:
+    return chunks(((i, b"" if t is None else t, *x) for i, t, *x in batch_rows(batch, ROW, "text", *more)), 1)
 
 
 def sketches(h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +97,7 @@ def sketches(h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for part in _texts(b):
+        for part in _texts(b, "doc_id"):
             h, n = shingle_sets([r[1] for r in part])
             full = np.flatnonzero(n)
             start = (np.cumsum(n) - n)[full]
@@ -106,14 +110,20 @@ def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                     halves[k], bits[k] = row, x.tobytes()
                 one[full], two[full] = np.add.reduceat(mix(h), start), np.add.reduceat(mix(~h), start)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int64()), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)),
-                 pa.array(two.view(np.int64)), pa.array(halves, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "n_shingles", "s1", "s2", "halves", "bits"])
+                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64()),
+                 pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(halves, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                [ROW, "doc_id", "n_shingles", "s1", "s2", "halves", "bits"])
+
+
+def _size_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for part in _texts(b):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets([r[1] for r in part])[1].astype(np.int64))], ["n_shingles"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_signature_batches,
-                           "doc_id long, n_shingles long, s1 long, s2 long, halves array<long>, bits binary")
+                           f"{ROW} long, doc_id long, n_shingles long, s1 long, s2 long, halves array<long>, bits binary")
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,8 +302,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFram
     keys = table_keys(ws.write(shared_halves(classes.select("doc", "halves")), "halves"))
     first = ws.write(first_pairs(keys), "first")    # one row for each class that shares a bucket
     members = first.select(F.col("u").alias("doc"))
-    texts = docs.join(members, docs.doc_id == members.doc, "left_semi")
-    sets = ws.write(texts.mapInArrow(_set_batches, "doc long, items array<long>"), "sets").dropDuplicates(["doc"])
+    texts = docs.join(members, docs[ROW] == members.doc, "left_semi")
+    sets = ws.write(texts.mapInArrow(_set_batches, "doc long, items array<long>"), "sets")
     links = ws.write(confirmed(first.where("u <> v"), sets), "links")
     comp = components(links, ws, "comp-a")
 
@@ -307,23 +317,46 @@ def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFram
     return components(links.unionByName(more), ws, "comp-b")
 
 
+def _components(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """ROW, doc_id, n_shingles and ``best``: (no id?, doc_id, row) of the first
+    document of the component; null for an empty set.  ``rows``: ROW, doc_id, text."""
+    sig = ws.write(signatures(rows), "signatures")
+    narrow = sig.select(ROW, "doc_id", "n_shingles", "s1", "s2")
+    me = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
+    best = narrow.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min(me).alias("best"), F.min(ROW).alias("doc"))
+    best = ws.write(best, "best")
+    # a class is named by one of its rows, whose sketches stand for all
+    classes = ws.write(sig.join(best.select("doc"), sig[ROW] == best.doc).select("doc", "halves", "bits"), "classes")
+    comp = ws.write(link_classes(classes, rows, ws), "comp")
+    nodes = comp.unionByName(comp.select(F.col("comp").alias("node"), "comp").distinct())
+    least = nodes.join(best, nodes.node == best.doc).groupBy("comp").agg(F.min("best").alias("least"))
+    named = ws.write(nodes.join(ws.write(least, "least"), "comp").select("node", "least"), "named")
+    ids = (best.join(named, best.doc == named.node, "left")
+           .select("n_shingles", "s1", "s2", F.coalesce("least", "best").alias("best")))
+    return narrow.join(ws.write(ids, "ids"), ["n_shingles", "s1", "s2"], "left").select(ROW, "doc_id", "n_shingles", "best")
+
+
+def _plain() -> list:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = ws.write(signatures(d), "signatures")
-    classes = (sig.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-               .groupBy("n_shingles", "s1", "s2")
-               .agg(F.min("doc_id").alias("doc"), F.first("halves").alias("halves"), F.first("bits").alias("bits")))
-    classes = ws.write(classes, "classes")
-    comp = link_classes(classes, d, ws)
-    ids = _labelled(classes.select("n_shingles", "s1", "s2", "doc"), comp).select("n_shingles", "s1", "s2", "comp")
-    every = sig.select("doc_id", "n_shingles", "s1", "s2").join(ids, ["n_shingles", "s1", "s2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return every.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    rows = keyed(docs.select(_plain()), ws)
+    found = _components(rows.where(F.col("doc_id").isNotNull()), ws)
+    nameless = rows.where(F.col("doc_id").isNull()).mapInArrow(
+        _size_batches, "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles",
+                                                 F.lit(None).cast("long").alias("component_id"))
+    every = found.select("doc_id", "n_shingles", F.coalesce("best.id", "doc_id").alias("component_id")).unionByName(nameless)
+    return every.select("doc_id", "n_shingles", "component_id",
+                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """The documents that stay: the smallest ``doc_id`` of each component."""
-    gone = near_duplicates(docs, ws).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+    """One document of each component, with all columns of the input: that of
+    the smallest ``doc_id`` (a row without one only if all are), the first row
+    among equals.  Rows without an id take part; documents without words stay."""
+    rows = keyed(docs, ws)
+    found = _components(rows.select(ROW, *_plain()), ws)
+    gone = found.where(F.col("best.row") != F.col(ROW)).select(ROW)
+    return rows.join(gone, ROW, "left_anti").drop(ROW)

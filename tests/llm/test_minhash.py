@@ -101,6 +101,24 @@ def test_nulls_repeats_and_empty(spark):
     assert run(spark, []) == []
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(5, a), (5, b), (9, a + " more"), (10, b + " more"), (12, "alone " + b[:20]), (5, None), (5, "x y")]
+    got = run(spark, rows)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(
+        [(5, 36, 5, True)] * 2 + [(9, 37, 5, False), (10, 37, 5, False), (12, 4, 12, True), (5, 0, 5, True), (5, 1, 5, True)])
+
+
+def test_one_row_of_a_group_stays(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(5, a, 1), (5, a, 2), (None, a, 3), (4, a + " x", 4), (None, b, 5), (None, b, 6), (7, b + " y", 7), (7, "z", 8),
+            (None, None, 9), (None, "", 10), (None, "q q q", 11), (None, "q q q", 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, doc int").repartition(3)
+    kept = sorted(M.deduplicated(df, Workspace(spark, "t")).collect(), key=lambda r: r.doc)
+    assert [r.doc for r in kept[:-1]] == [4, 7, 8, 9, 10] and kept[-1].doc in (11, 12)
+    assert M.deduplicated(df.limit(0), Workspace(spark, "t")).collect() == []
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(100, 50), (60, 100), (60, 50)], "u long, v long")
     got = {r.node: r.comp for r in components(e, Workspace(spark, "t"), "c").collect()}
