@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from branchbook.llm.common import Words, Workspace, batch_rows, chunks, encode
+from branchbook.llm.common import ROW, batch_rows, chunks, encode, keyed, Words, Workspace
 
 BASE_MIN_WORDS, BASE_REPEAT_PERCENT = 50, 50
 MIN_GROUP = 100
@@ -179,6 +179,9 @@ def judge(docs: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """The documents that the rules keep, with all columns of the input."""
-    bad = judge(docs, ws).where(~F.col("kept")).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs.doc_id == bad.bad_id, "left_anti")
+    """The documents that the rules keep, with all columns of the input.  Each
+    row has its own verdict, whatever its doc_id."""
+    rows = keyed(docs, ws)
+    verdict = judge(rows.select(F.col(ROW).alias("doc_id"), "lang", "source", "text"), ws)
+    good = verdict.where(F.col("kept")).select(F.col("doc_id").alias(ROW))
+    return rows.join(good, ROW, "left_semi").drop(ROW)

@@ -16,12 +16,16 @@ Hot passages: each task first combines equal anchors (windows) of its batch,
 so that a passage of a third of all documents reaches the shuffle once a batch
 and the rest of its occurrences, already known to be repeated, are spread by a
 random key.  Exact copies of a text are settled by a digest and take no part
-in the extension.
+in the extension.  Candidate windows are compared by 128 bits of hash.
+
+Rows meet again by a number of their own (``common.keyed``); a ``doc_id`` only
+says which of two documents is the earlier one.
 
 Defined results: null or empty text has 0 words and the digest of the empty
 string; a row with a null ``doc_id`` loses nothing and is nobody's earlier
-copy; rows that share a ``doc_id`` are taken as one document (equal texts:
-neither is the earlier one).  Texts shorter than a window lose nothing.
+copy; rows that share a ``doc_id`` are documents each, and none of them is
+earlier than another one (so they keep what they have in common).  Texts
+shorter than a window lose nothing.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchbook.llm.common import Words, Workspace, batch_rows, chunks, encode, mix
+from branchbook.llm.common import ROW, Words, Workspace, batch_rows, chunks, keyed, mix
 
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -68,7 +72,7 @@ def _spread(key: np.ndarray, again: np.ndarray) -> np.ndarray:
 
 
 def _texts(batch, *more: str) -> Iterator[list[tuple]]:
-    rows = ((i, b"" if t is None else t, *x) for i, t, *x in batch_rows(batch, "doc_id", "text", *more))
+    rows = ((i, b"" if t is None else t, *x) for i, t, *x in batch_rows(batch, ROW, "text", *more))
     return chunks(rows, 1)
 
 
@@ -85,23 +89,24 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         doc, h = np.concatenate(ids), np.concatenate(hashes)
         _, first, inv, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         again = first[inv] != np.arange(len(h))     # all but the first of the batch
-        yield from _send([_spread(h, again), h.view(np.int64), doc, (n[inv] > 1)], ["key", "hash", "doc_id", "known"])
+        yield from _send([_spread(h, again), h.view(np.int64), doc, (n[inv] > 1)], ["key", "hash", ROW, "known"])
 
 
 def shared_anchors(docs: DataFrame) -> DataFrame:
-    """doc_id and the hashes of its anchors that occur at least twice."""
-    rows = docs.mapInArrow(_anchor_batches, "key long, hash long, doc_id long, known boolean")
+    """Row number and the hashes of its anchors that occur at least twice."""
+    rows = docs.mapInArrow(_anchor_batches, f"key long, hash long, {ROW} long, known boolean")
     n = F.count(F.lit(1)).over(Window.partitionBy("key"))
     return (rows.withColumn("n", n).where(F.col("known") | (F.col("n") > 1))
-            .groupBy("doc_id").agg(F.collect_set("hash").alias("anchors")))
+            .groupBy(ROW).agg(F.collect_set("hash").alias("anchors")))
 
 
 def later_copies(docs: DataFrame) -> DataFrame:
-    """doc_id of the documents whose whole text also stands in an earlier one."""
-    d = docs.select("doc_id", F.md5("text").alias("digest"))
-    first = d.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    return (d.join(first, "digest").where(F.col("doc_id") > F.col("first_id"))
-            .select("doc_id", F.lit(True).alias("copy")).distinct())
+    """Row numbers of the documents whose whole text also stands in an earlier
+    one.  The least doc_id of a digest is a map-side minimum; it meets the rows
+    by (digest, doc_id), so a text with very many copies makes no hot key."""
+    d = docs.select(ROW, "doc_id", F.unhex(F.md5("text")).alias("digest"))
+    first = d.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    return d.where("digest IS NOT NULL").join(first, ["digest", "doc_id"], "left_anti").select(ROW, F.lit(True).alias("copy"))
 
 
 def _runs(flags: np.ndarray) -> list[int]:
@@ -109,7 +114,7 @@ def _runs(flags: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))).tolist()
 
 
-_STATE = ("doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, "
+_STATE = (f"{ROW} long, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, "
           "text string, starts array<int>")
 
 
@@ -117,18 +122,18 @@ def _extend_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Settles documents without shared anchors and later copies; the others
     get the runs of window starts that hold a shared anchor."""
     for b in batches:
-        for part in _texts(b, "anchors", "copy"):
+        for part in _texts(b, "anchors", "copy", "doc_id"):
             w = Words([r[1] for r in part])
             at, h = _anchors(w)
             which = w.doc_of_word()[at]
             out = []
-            for k, (doc_id, text, anchors, copy) in enumerate(part):
+            for k, (row, text, anchors, copy, doc_id) in enumerate(part):
                 n = int(w.n[k])
                 if n < WINDOW or not (anchors or copy):
                     words = text.split()
-                    out.append((doc_id, n, 0, _digest(b" ".join(words)), None, None, None))
+                    out.append((row, doc_id, n, 0, _digest(b" ".join(words)), None, None, None))
                 elif copy:
-                    out.append((doc_id, n, n, _digest(b""), "", None, None))
+                    out.append((row, doc_id, n, n, _digest(b""), "", None, None))
                 else:
                     lo, hi = np.searchsorted(which, [k, k + 1])
                     hit = at[lo:hi][np.isin(h[lo:hi], np.array(anchors, np.int64).view(np.uint64))] - w.first[k]
@@ -136,11 +141,11 @@ def _extend_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     np.add.at(flags, np.maximum(hit - (PERIOD - 1), 0), 1)
                     np.add.at(flags, hit + 1, -1)
                     runs = _runs(np.cumsum(flags)[:n - WINDOW + 1] > 0)
-                    out.append((doc_id, n, None, None, None, text.decode("utf-8", "surrogatepass"), runs))
+                    out.append((row, doc_id, n, None, None, None, text.decode("utf-8", "surrogatepass"), runs))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(),
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(),
                                                             pa.string(), pa.string(), pa.list_(pa.int32())))],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "text", "starts"])
+                [ROW, "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "text", "starts"])
 
 
 def _in_runs(runs: list[int], n: int) -> np.ndarray:
@@ -151,45 +156,47 @@ def _in_runs(runs: list[int], n: int) -> np.ndarray:
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The candidate windows; of equal ones in a batch all but the first are
-    already known to be repeats."""
+    """The candidate windows.  Those that start earlier in the same row, or in a
+    smaller doc_id of the batch, are already known to be repeats."""
     for b in batches:
-        ids, starts, hashes = [], [], []
-        for part in _texts(b, "starts"):
+        rows, ids, starts, hashes, more = [], [], [], [], []
+        for part in _texts(b, "starts", "doc_id"):
             w = Words([r[1] for r in part])
             at, h = w.windows(WINDOW)
             take = np.concatenate([_in_runs(r[2] or [], int(n)) for r, n in zip(part, w.n)])[at]
             at = at[take]
             doc = w.doc_of_word()[at]
-            ids.append(np.array([r[0] for r in part], np.int64)[doc])
+            rows.append(np.array([r[0] for r in part], np.int64)[doc])
+            ids.append(np.array([r[3] for r in part], np.int64)[doc])
             starts.append(at - w.first[doc])
             hashes.append(h[take])
+            more.append(w.second(WINDOW, at))
         if not ids:
             continue
-        doc, start, h = np.concatenate(ids), np.concatenate(starts), np.concatenate(hashes)
-        order = np.lexsort((start, doc, h))
-        doc, start, h = doc[order], start[order], h[order]
+        row, doc, start, h, h2 = map(np.concatenate, (rows, ids, starts, hashes, more))
+        order = np.lexsort((start, row, doc, h2, h))
+        row, doc, start, h, h2 = row[order], doc[order], start[order], h[order], h2[order]
         if len(h):
-            new = np.concatenate(([True], h[1:] != h[:-1]))
-            first = np.flatnonzero(new)[np.cumsum(new) - 1]
-            again = (doc != doc[first]) | (start != start[first])
-            yield from _send([_spread(h, again), doc, start.astype(np.int32), again],
-                             ["key", "doc_id", "start", "again"])
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])))
+            again = doc != doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            again[1:] |= ~new[1:] & (row[1:] == row[:-1])
+            yield from _send([_spread(h, again), h2.view(np.int64), row, doc, start.astype(np.int32), again],
+                             ["key", "key2", ROW, "doc_id", "start", "again"])
 
 
 def repeated_starts(pending: DataFrame) -> DataFrame:
-    """doc_id and the starts of its windows that also start earlier."""
-    rows = pending.select("doc_id", "text", "starts").mapInArrow(
-        _window_batches, "key long, doc_id long, start int, again boolean")
-    place = F.rank().over(Window.partitionBy("key").orderBy("doc_id", "start"))
+    """Row number and the starts of its windows that also start earlier."""
+    rows = pending.select(ROW, "doc_id", "text", "starts").mapInArrow(
+        _window_batches, f"key long, key2 long, {ROW} long, doc_id long, start int, again boolean")
+    place = F.rank().over(Window.partitionBy("key", "key2").orderBy("doc_id"))
     return (rows.withColumn("place", place).where(F.col("again") | (F.col("place") > 1))
-            .groupBy("doc_id").agg(F.collect_set("start").alias("removed")))
+            .groupBy(ROW).agg(F.collect_set("start").alias("removed")))
 
 
 def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
-        for doc_id, n, text, removed in batch_rows(b, "doc_id", "n_words", "text", "removed"):
+        for row, doc_id, n, text, removed in batch_rows(b, ROW, "doc_id", "n_words", "text", "removed"):
             flags = np.zeros(n + 1, np.int64)
             at = np.array(removed or [], int)
             flags[at] += 1
@@ -197,44 +204,51 @@ def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             gone = np.cumsum(flags)[:n] > 0
             kept = b" ".join(x for x, g in zip(text.split(), gone.tolist()) if not g)
             lost = int(gone.sum())
-            out.append((doc_id, n, lost, _digest(kept), kept.decode("utf-8", "surrogatepass") if lost else None))
+            out.append((row, doc_id, n, lost, _digest(kept), kept.decode("utf-8", "surrogatepass") if lost else None))
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(),
-                                                            pa.string()))],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(),
+                                                            pa.string()))], _RESULT)
 
 
-_RESULT = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+_RESULT = [ROW, "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
 
-def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 and
-    kept_text (the kept words joined by one space; null if none was removed)."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = d.where(F.col("doc_id").isNotNull())
+def _judged(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """``_RESULT`` of every row.  ``rows``: ROW, doc_id, text."""
+    known = rows.where(F.col("doc_id").isNotNull())
     anchors = ws.write(shared_anchors(known), "anchors")
-    joined = (d.join(anchors, "doc_id", "left").join(later_copies(known), "doc_id", "left")
-              .select("doc_id", "text", "anchors", "copy"))
+    joined = (rows.join(anchors, ROW, "left").join(later_copies(known), ROW, "left")
+              .select(ROW, "doc_id", "text", "anchors", "copy"))
     state = ws.write(joined.mapInArrow(_extend_batches, _STATE), "state")
     ws.drop("anchors")
     pending = state.where(F.col("text").isNotNull())
     removed = repeated_starts(pending)
-    done = (pending.join(removed, "doc_id", "left").select("doc_id", "n_words", "text", "removed")
-            .mapInArrow(_remove_batches, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
+    done = (pending.join(removed, ROW, "left").select(ROW, "doc_id", "n_words", "text", "removed")
+            .mapInArrow(_remove_batches, f"{ROW} long, doc_id long, n_words long, n_removed long, "
+                                         "kept_sha256 string, kept_text string"))
     return state.where(F.col("text").isNull()).select(_RESULT).unionByName(done)
 
 
+def _plain() -> list:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+
+
+def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 and
+    kept_text (the kept words joined by one space; null if none was removed)."""
+    return _judged(keyed(docs.select(_plain()), ws), ws).drop(ROW)
+
+
 def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
     """The documents without their repeated words (columns of the input; a
     text left without words goes)."""
-    changed = (remove_repeats(docs, ws).where(F.col("n_removed") > 0)
-               .select(F.col("doc_id").alias("changed_id"), F.col("kept_text")).dropDuplicates(["changed_id"]))
-    changed = ws.write(changed, "changed")
-    joined = docs.join(changed, docs.doc_id == changed.changed_id, "left")
-    text = F.coalesce(changed.kept_text, docs.text)
-    cols = [text.alias("text") if c == "text"
-            else F.when(changed.kept_text.isNotNull(), F.length(changed.kept_text)).otherwise(docs[c]).cast(
-                docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    return joined.where(changed.kept_text.isNull() | (changed.kept_text != "")).select(cols)
-
+    rows = keyed(docs, ws)
+    found = _judged(rows.select(ROW, *_plain()), ws).where(F.col("n_removed") > 0)
+    changed = ws.write(found.select(F.col(ROW).alias("__changed"), F.col("kept_text").alias("__kept")), "changed")
+    joined = rows.join(changed, rows[ROW] == changed["__changed"], "left").where("__kept IS NULL OR __kept <> ''")
+    new = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("__kept").isNotNull(), F.length("__kept")).otherwise(F.col("n_chars")).cast(
+            docs.schema["n_chars"].dataType)
+    return joined.withColumns(new).select(*[f"`{c}`" for c in docs.columns])

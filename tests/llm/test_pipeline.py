@@ -60,3 +60,31 @@ def test_stages_follow_their_rules(spark, tmp_path):
         fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
     assert max(fill.values()) <= 2048 and len(fill) <= 1.2 * -(-sum(fill.values()) // 2048)
     assert np.array([r.offset for r in packed]).min() == 0
+
+
+def write(spark, rows, folder):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+
+
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    """Each row has its own verdict: a good text stays beside a bad one of its id."""
+    r = random.Random(8)
+    good = [" ".join(f"w{r.randint(0, 9999)}" for _ in range(120)) for _ in range(4)]
+    texts = [(7, good[0]), (7, "too short"), (None, "short"), (None, good[1]), (None, good[1]), (8, good[2]), (8, good[2]), (8, good[3])]
+    write(spark, [(i, t, "en", "s", len(t)) for i, t in texts], tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    state = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        state.append(sorted((str(x.doc_id), x.text) for x in docs.collect()))
+    named = [(str(i), t) for i, t in texts]
+    assert state[0] == sorted(x for x in named if x[1] in good)
+    assert state[1] == state[2] == state[3] == sorted(set(state[0]))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str(x.doc_id) for x in packed) == ["7", "8", "8", "None"]
+
+
+def test_empty_table(spark, tmp_path):
+    write(spark, [], tmp_path)
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -83,6 +83,37 @@ def test_nulls_repeats_and_empty_table(spark):
     assert run(spark, []) == []
 
 
+def brute_rows(rows):
+    """Rows that share an id are documents each, none earlier than the other."""
+    least = {}
+    docs = [(i, words(t)) for i, t in rows]
+    for i, w in docs:
+        for s in range(len(w) - 19):
+            if i is not None:
+                least[tuple(w[s:s + 20])] = min(i, least.get(tuple(w[s:s + 20]), i))
+    out = []
+    for i, w in docs:
+        gone, own = set(), set()
+        for s in range(len(w) - 19):
+            t = tuple(w[s:s + 20])
+            if i is not None and (least[t] < i or t in own):
+                gone |= set(range(s, s + 20))
+            own.add(t)
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((str(i), len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_repeated_ids_with_different_texts(spark, seed):
+    r = random.Random(seed)
+    a, b = (" ".join(f"{x}{i}" for i in range(50)) for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (2, a + " " + b), (2, " ".join(a.split()[:22])), (3, b + " " + b), (None, a), (2, None)]
+    rows += [(r.choice([4, 4, 5, 6, None]), t) for _, t in corpus(seed)]
+    got = sorted((str(x.doc_id), x.n_words, x.n_removed, x.kept_sha256) for x in run(spark, rows))
+    assert got == brute_rows(rows)
+
+
 def test_documents_keep_their_other_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(1, text, "x", 5), (2, "head " + text, "y", 6), (3, text, None, None)],
