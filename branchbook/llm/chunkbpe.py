@@ -26,7 +26,7 @@ import numpy as np
 
 CUT, NO_BLANK = b"\xff", b"\xfe"
 #: Chunks remembered in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True

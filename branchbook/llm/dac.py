@@ -10,8 +10,8 @@ level.  Nothing is decoded on the way, neither a block nor a neighbour.
 
 On Spark the files are a data source, ``dac`` (``register`` names it to a
 session): documents are put into ascending ``doc_id`` order by a range
-partitioning, every task encodes and writes its range, and closes a file after
-``FILE_TOKENS`` tokens, so that its memory is bounded.  Tasks write files of
+partitioning, every task encodes and writes its range in one Python worker, and
+closes a file after ``FILE_TOKENS`` tokens, so that its memory is bounded.  Tasks write files of
 names of their own; the commit lists the files of the successful attempts in
 ``manifest.json`` with the number of tokens before each file.  What failed
 attempts leave is in no manifest and is never read.  Paths are opened with
@@ -39,15 +39,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.types import StringType
 
 from branchbook.llm.chunkbpe import encoder
-from branchbook.llm.common import batch_rows, chunks
+from branchbook.llm.common import chunks
 
 MAGIC, LEVELS, STEP = b"DAC1", 4, 512
 #: Tokens after which a task closes a file, and tokens of one batch read back.
 FILE_TOKENS, READ_TOKENS = 1 << 24, 1 << 20
 #: Bytes of text encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 #: Lookups in one file from which on its levels are read whole.
 MANY = 512
 _HEAD = struct.Struct("<4sIQQ" + "QQQQ" * LEVELS + "QQQ")
@@ -56,42 +57,57 @@ _ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=
 # -- one file -----------------------------------------------------------------
 
 
-def pack(ids: np.ndarray, doc_ids: list, lengths: list[int]) -> bytes:
-    """A file: ``ids`` of the documents one after another, ``doc_ids`` (null
-    allowed) and the number of tokens of each."""
-    parts, at, head = [], _HEAD.size, []
-
-    def put(a: np.ndarray) -> int:
-        nonlocal at
-        data = a.tobytes()
-        parts.append(data)
-        at += len(data)
-        return at - len(data)
-
-    left, n = np.asarray(ids, np.uint32), 0
-    levels = []
-    while True:
-        levels.append(left.astype(np.uint8))
-        left = left >> np.uint32(8)
-        more = left > 0
-        if not more.any():
-            break
-        levels.append(more)
-        left = left[more]
-    for k in range(0, len(levels), 2):
-        n += 1
-        chunk = put(levels[k])
-        bits = ranks = 0
-        if k + 1 < len(levels):
-            packed = np.packbits(levels[k + 1], bitorder="little")
-            per_step = np.add.reduceat(_ONES[packed], np.arange(0, len(packed), STEP // 8)) if len(packed) else packed
-            bits = put(packed)
-            ranks = put(np.concatenate(([0], np.cumsum(per_step)[:-1])).astype("<u4"))
-        head += [len(levels[k]), chunk, bits, ranks]
-    head += [0, 0, 0, 0] * (LEVELS - n)
-    tail = [put(np.array([i or 0 for i in doc_ids], "<i8")), put(np.array([i is not None for i in doc_ids], np.uint8)),
-            put(np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype("<i8"))]
-    return _HEAD.pack(MAGIC, n, len(ids), len(lengths), *head, *tail) + b"".join(parts)
+class DacBuilder:
+    """Levels of a file as its tokens arrive (at most three bytes a token of a
+    16-bit vocabulary), written section by section."""
+
+    def __init__(self):
+        self.chunks: list[list[np.ndarray]] = [[] for _ in range(LEVELS)]
+        self.more: list[list[np.ndarray]] = [[] for _ in range(LEVELS)]
+        self.doc_ids: list = []
+        self.lengths: list[int] = []
+        self.n_tokens = 0
+
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.doc_ids.append(doc_id)
+        self.lengths.append(len(ids))
+        self.n_tokens += len(ids)
+        left = ids
+        for chunks_, more_ in zip(self.chunks, self.more):
+            chunks_.append(left.astype(np.uint8))
+            left = left >> np.uint32(8)
+            more = left > 0
+            left = left[more]
+            more_.append(more)
+            if not len(left):
+                break
+
+    def write(self, f) -> None:
+        sizes = [sum(map(len, c)) for c in self.chunks]
+        n = max([k + 1 for k, s in enumerate(sizes) if s], default=1)
+        if n < LEVELS:
+            self.more[n - 1] = []            # the last level has no bitmap
+        bits_size = [(s + 7) // 8 for s in sizes]
+        rank_size = [4 * ((s + STEP - 1) // STEP) for s in sizes]
+        at, head = _HEAD.size, []
+        for k in range(n):
+            last = k + 1 == n
+            head += [sizes[k], at, 0 if last else at + sizes[k], 0 if last else at + sizes[k] + bits_size[k]]
+            at += sizes[k] + (0 if last else bits_size[k] + rank_size[k])
+        docs = len(self.lengths)
+        head += [0, 0, 0, 0] * (LEVELS - n) + [at, at + 8 * docs, at + 9 * docs]
+        f.write(_HEAD.pack(MAGIC, n, self.n_tokens, docs, *head))
+        for k in range(n):
+            for c in self.chunks[k]:
+                f.write(c.tobytes())
+            if k + 1 < n:
+                packed = np.packbits(np.concatenate(self.more[k]), bitorder="little")
+                per_step = np.add.reduceat(_ONES[packed], np.arange(0, len(packed), STEP // 8))
+                f.write(packed.tobytes())
+                f.write(np.concatenate(([0], np.cumsum(per_step)[:-1])).astype("<u4").tobytes())
+        f.write(np.array([i or 0 for i in self.doc_ids], "<i8").tobytes())
+        f.write(np.array([i is not None for i in self.doc_ids], np.uint8).tobytes())
+        f.write(np.concatenate(([0], np.cumsum(self.lengths, dtype=np.int64))).astype("<i8").tobytes())
 
 
 class DacFile:
@@ -190,31 +206,42 @@ class FilePart(InputPartition):
 
 
 class DacWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    """Takes columns doc_id and ids (binary, little-endian unsigned 32-bit), or
+    doc_id and text to be encoded by ``tokenizer`` and closed by ``end_id``."""
+
+    def __init__(self, path: str, tokenizer: str | None = None, end_id: int = 0):
+        self.path, self.tokenizer, self.end = path, tokenizer, int(end_id).to_bytes(4, "little")
+
+    def _documents(self, b: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+        if self.tokenizer is None:
+            for doc_id, data in zip(b.column(0).to_pylist(), b.column(1)):
+                yield doc_id, np.frombuffer(data.as_buffer(), "<u4")
+            return
+        encode = encoder(self.tokenizer).encode
+        rows = ((i.as_py(), t.as_buffer()) for i, t in zip(b.column(0), b.column(1).fill_null("").cast(pa.binary())))
+        for part in chunks(rows, 1, ENCODE_BYTES):
+            for (doc_id, _), ids in zip(part, encode([t.to_pybytes() for _, t in part])):
+                yield doc_id, np.frombuffer(ids + self.end, "<u4")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = _place(self.path)
         fs.create_dir(root, recursive=True)
         done, part = [], TaskContext.get().partitionId()
-        ids, doc_ids, lengths, size = [], [], [], 0
+        build = DacBuilder()
 
         def close() -> None:
             name = f"{uuid.uuid4().hex}.dac"
             with fs.open_output_stream(f"{root}/{name}") as f:
-                f.write(pack(np.frombuffer(b"".join(ids), "<u4"), doc_ids, lengths))
-            done.append([part, len(done), name, size, len(lengths)])
+                build.write(f)
+            done.append([part, len(done), name, build.n_tokens, len(build.lengths)])
 
         for b in iterator:
-            for doc_id, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids.append(data)
-                doc_ids.append(doc_id)
-                lengths.append(len(data) // 4)
-                size += lengths[-1]
-                if size >= FILE_TOKENS:
+            for doc_id, ids in self._documents(b):
+                build.add(doc_id, ids)
+                if build.n_tokens >= FILE_TOKENS:
                     close()
-                    ids, doc_ids, lengths, size = [], [], [], 0
-        if lengths:
+                    build = DacBuilder()
+        if build.lengths:
             close()
         return Written(done)
 
@@ -262,7 +289,8 @@ class DacReader(DataSourceReader):
 
 
 class DacSource(DataSource):
-    """``spark.read.format("dac").load(path)``; writes columns doc_id, ids."""
+    """``spark.read.format("dac").load(path)``; writes columns doc_id and ids, or
+    doc_id and text with the options ``tokenizer`` and ``end_id``."""
 
     @classmethod
     def name(cls) -> str:
@@ -275,7 +303,8 @@ class DacSource(DataSource):
         return DacReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> DacWriter:
-        return DacWriter(self.options["path"])
+        text = isinstance(schema.fields[1].dataType, StringType)
+        return DacWriter(self.options["path"], self.options["tokenizer"] if text else None, self.options.get("end_id", 0))
 
 
 def register(spark: SparkSession) -> None:
@@ -285,31 +314,19 @@ def register(spark: SparkSession) -> None:
 # -- on Spark -----------------------------------------------------------------
 
 
-def _encode_batches(tokenizer: str, end: bytes):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in chunks(((i, b"" if t is None else t) for i, t in batch_rows(b, "doc_id", "text")), 1, ENCODE_BYTES):
-                got = encoder(tokenizer).encode([t for _, t in part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in part], pa.int64()), pa.array([x + end for x in got], pa.binary())], ["doc_id", "ids"])
-    return run
-
-
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit, closed by ``end_id``) in
-    ascending doc_id order.  ``tokenizer``: path of a tokenizer file that the
-    executors have.  The row number splits a doc_id that very many rows share."""
+def ordered(docs: DataFrame) -> DataFrame:
+    """doc_id and text in ascending doc_id order.  The row number splits a
+    doc_id that very many rows share."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.monotonically_increasing_id().alias("row"))
-    ranged = d.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
-    return ranged.select("doc_id", "text").mapInArrow(_encode_batches(tokenizer, end_id.to_bytes(4, "little")),
-                                                      "doc_id long, ids binary")
+    return d.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> None:
-    """Encode the documents and write the files and their manifest to ``path``."""
+    """Encode the documents (``tokenizer``: path of a tokenizer file that the
+    executors have) and write the files and their manifest to ``path``."""
     register(docs.sparkSession)
-    encoded(docs, tokenizer, end_id).write.format("dac").mode("append").save(path)
+    ordered(docs).write.format("dac").option("tokenizer", tokenizer).option("end_id", end_id).mode("append").save(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
