@@ -16,7 +16,7 @@ Hot passages: each task first combines equal anchors (windows) of its batch,
 so that a passage of a third of all documents reaches the shuffle once a batch
 and the rest of its occurrences, already known to be repeated, are spread by a
 random key.  Exact copies of a text are settled by a digest and take no part
-in the extension.  Candidate windows are compared by 128 bits of hash.
+in the extension.  Candidate windows are compared by 96 bits of hash.
 
 Rows meet again by a number of their own (``common.keyed``); a ``doc_id`` only
 says which of two documents is the earlier one.
@@ -62,7 +62,7 @@ def _anchors(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def _send(cols: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(cols[0]), OUT_ROWS):
-        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + OUT_ROWS]) for c in cols], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + OUT_ROWS]) for c in cols], names)      # masked: null
 
 
 def _spread(key: np.ndarray, again: np.ndarray) -> np.ndarray:
@@ -180,17 +180,23 @@ def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             new = np.concatenate(([True], (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])))
             again = doc != doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
             again[1:] |= ~new[1:] & (row[1:] == row[:-1])
-            yield from _send([_spread(h, again), h2.view(np.int64), row, doc, start.astype(np.int32), again],
-                             ["key", "key2", ROW, "doc_id", "start", "again"])
+            # known repeats go with their row and need no comparison
+            key = np.where(again, row, h.view(np.int64))
+            place = np.where(again, start, (h2 >> np.uint64(32) << np.uint64(32)).view(np.int64) | start)
+            yield from _send([key, place, row, np.ma.masked_array(doc, again)], ["key", "place", ROW, "doc_id"])
 
 
 def repeated_starts(pending: DataFrame) -> DataFrame:
-    """Row number and the starts of its windows that also start earlier."""
+    """Row number and the starts of its windows that also start earlier.  A
+    window travels as four numbers: 64 bits of hash; 32 more and its start; its
+    row; its document (null: a known repeat)."""
     rows = pending.select(ROW, "doc_id", "text", "starts").mapInArrow(
-        _window_batches, f"key long, key2 long, {ROW} long, doc_id long, start int, again boolean")
-    place = F.rank().over(Window.partitionBy("key", "key2").orderBy("doc_id"))
-    return (rows.withColumn("place", place).where(F.col("again") | (F.col("place") > 1))
-            .groupBy(ROW).agg(F.collect_set("start").alias("removed")))
+        _window_batches, f"key long, place long, {ROW} long, doc_id long").repartition("key")
+    # the exchange by key is what the window needs: its second key is cut out after it
+    rows = rows.withColumn("key2", F.expr("shiftright(place, 32)"))
+    least = F.min("doc_id").over(Window.partitionBy("key", "key2"))
+    return (rows.withColumn("least", least).where(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least")))
+            .groupBy(ROW).agg(F.collect_set(F.expr("cast(place & 4294967295L AS int)")).alias("removed")))
 
 
 def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
