@@ -5,25 +5,27 @@ of its own (one thread, bounded memory) with the merge table: all pairs of
 tokens whose joined bytes are a token, whose id is the rank.  The words of a
 batch that the worker has not seen are token-position rows (first one row per
 byte) of a recursive query: each step joins neighbours with the merge table and
-contracts each word's leftmost pair of least rank, until no word has a pair.
-An ordered aggregation over the same rows gives the ids, and another one the
-bytes they decode to.
+contracts each word's leftmost pair of least rank; a word without a pair leaves
+the recursion.  An ordered aggregation over its last rows gives the ids.  The
+bytes that a document's ids decode to are another ordered aggregation, over the
+ids joined with the token table, in blocks of ``DECODE_IDS`` ids.
 
-A word that is a token needs no step (as in the tokenizer library).  Words of
-more than ``LONG`` bytes go through the same contraction step by step, in a
-table that is replaced, so that a very long word needs memory for one state
-only; there, all occurrences of the least pair are contracted at once where no
-merge with the new token could come earlier.  Seen words are kept in two
-generations of ``REMEMBERED`` words.
+A word that is a token needs no step (as in the tokenizer library).  The query
+looks at a word once per merge, so its work is quadratic in the word; words of
+more than ``LONG`` bytes (no prose has them) are merged outside it, with a heap
+of pairs and n log n steps.  Seen words are kept in two generations of
+``REMEMBERED`` words.
 
 Defined results: null text is empty (0 tokens, digests of the empty string);
-equal or null doc ids are each reported; invalid UTF-8 is replaced first.
+equal or null doc ids are each reported; invalid UTF-8 is replaced first; a text
+or a word may have any length.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,44 +36,30 @@ from pyspark.sql import functions as F
 
 from branchbook.llm.common import batch_rows, chunks
 
+#: Longest word of the recursive query (positions have 6 bits there).
 LONG = 40
 REMEMBERED = 250_000
-#: Bytes of unseen words that one recursive query takes.
-QUERY_BYTES = 1 << 20
-
-SHORT_SQL = """
-WITH RECURSIVE s(step, w, pos, tok) AS (
-  SELECT 0, w, pos, tok FROM start
+#: Bytes of unseen words that one recursive query takes; ids decoded at once.
+QUERY_BYTES, DECODE_IDS = 1 << 20, 1 << 19
+
+# ``here`` holds a pair's rank, its place and the place of its second token, so
+# the least one of a word says which rows to join and which one goes.
+ENCODE_SQL = """
+WITH RECURSIVE s(w, pos, tok, done) AS (
+  SELECT w, pos, tok, false FROM start
   UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN here = best THEN id ELSE tok END
-  FROM (SELECT *, lag(here) OVER (PARTITION BY w ORDER BY pos) AS before
-        FROM (SELECT *, min(here) OVER (PARTITION BY w) AS best
-              FROM (SELECT n.step, n.w, n.pos, n.tok, m.id, m.id * 1024 + n.pos AS here
-                    FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after FROM s) n
-                    LEFT JOIN merges m ON m.a = n.tok AND m.b = n.after)))
-  WHERE best IS NOT NULL AND before IS DISTINCT FROM best
+  SELECT w, pos, CASE WHEN here = best THEN best >> 12 ELSE tok END, best IS NULL
+  FROM (SELECT *, min(here) OVER (PARTITION BY w) AS best
+        FROM (SELECT n.w, n.pos, n.tok, (m.id << 12) | (n.pos << 6) | n.after_pos AS here
+              FROM (SELECT w, pos, tok, lead(tok) OVER o AS after, lead(pos) OVER o AS after_pos FROM s WHERE NOT done
+                    WINDOW o AS (PARTITION BY w ORDER BY pos)) n
+              LEFT JOIN merges m ON m.a = n.tok AND m.b = n.after))
+  WHERE best IS NULL OR pos <> (best & 63)
 )
-SELECT w, pos, tok FROM s SEMI JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) l ON s.w = l.w AND s.step = l.step
+SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids FROM s WHERE done GROUP BY w
 """
 
-LONG_SQL = """
-CREATE OR REPLACE TABLE long_next AS
-WITH p AS (SELECT n.*, m.id, m.safe
-           FROM (SELECT *, lead(tok) OVER o AS after, row_number() OVER o AS i FROM long_now
-                 WINDOW o AS (PARTITION BY w ORDER BY pos)) n
-           LEFT JOIN merges m ON m.a = n.tok AND m.b = n.after),
-q AS (SELECT *, coalesce(id = min(id) OVER (PARTITION BY w), false) AS hit FROM p),
-r AS (SELECT *, row_number() OVER (PARTITION BY w, hit ORDER BY i) AS k FROM q),
-t AS (SELECT *, hit AND row_number() OVER (PARTITION BY w, hit, i - k ORDER BY i) % 2 = 1 AND (safe OR k = 1) AS join_here
-      FROM r),
-u AS (SELECT *, lag(join_here, 1, false) OVER (PARTITION BY w ORDER BY i) AS joined FROM t)
-SELECT w, pos, CASE WHEN join_here THEN id ELSE tok END AS tok FROM u WHERE NOT joined
-"""
-
-RESULT_SQL = """
-SELECT w, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, count(*) AS n, string_agg(txt, '' ORDER BY pos) AS decoded
-FROM ({}) JOIN tokens ON tok = id GROUP BY w
-"""
+DECODE_SQL = "SELECT block, string_agg(txt, '' ORDER BY pos) FROM ids JOIN tokens USING (id) GROUP BY block ORDER BY block"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -79,60 +67,71 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: always the leftmost pair of least rank, from a heap of
+    pairs; neighbours are a linked list, and pairs that are gone are skipped."""
+    part = [word[i:i + 1] for i in range(len(word))]
+    after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
+    alive = [True] * len(part)
+
+    def pair(i: int) -> tuple | None:
+        j = after[i]
+        if j >= len(part):
+            return None
+        rank = ranks.get(part[i] + part[j])
+        return None if rank is None else (rank, i, part[i], part[j])
+
+    heap = [x for x in map(pair, range(len(part))) if x]
+    heapq.heapify(heap)
+    while heap:
+        _, i, x, y = heapq.heappop(heap)
+        j = after[i]
+        if not alive[i] or j >= len(part) or part[i] != x or part[j] != y:
+            continue
+        part[i] += part[j]
+        alive[j] = False
+        after[i] = after[j]
+        if after[i] < len(part):
+            before[after[i]] = i
+        for k in (before[i], i):
+            new = pair(k) if k >= 0 else None
+            if new:
+                heapq.heappush(heap, new)
+    return [ranks[p] for p, a in zip(part, alive) if a]
+
+
 class Encoder:
-    """Ids and decoded bytes of words, by DuckDB."""
+    """Ids of texts and the bytes that ids decode to, by DuckDB."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
         self.ranks = ranks = read_ranks(path)
         self.split = regex.compile(pattern).findall
-        self.now: dict[str, tuple[str, int, bytes]] = {}
-        self.old: dict[str, tuple[str, int, bytes]] = {}
+        self.now: dict[str, str] = {}       # word -> its ids, joined by blanks
+        self.old: dict[str, str] = {}
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t))
                   if t[:k] in ranks and t[k:] in ranks]
         a, b, c = map(np.array, zip(*merges))
-        unsafe = np.union1d(a[c < a], b[c < b])      # tokens that an earlier merge could take up
         db = self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        db.register("m", pa.table({"a": a.astype(np.int32), "b": b.astype(np.int32), "id": c, "safe": ~np.isin(c, unsafe)}))
+        db.register("m", pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "id": c}))
         db.register("t", pa.table({"id": list(ranks.values()), "txt": [t.decode("latin-1") for t in ranks]}))
-        db.execute("CREATE TABLE merges AS SELECT a, b, id::BIGINT AS id, safe FROM m; "
-                   "CREATE TABLE tokens AS SELECT id::BIGINT AS id, txt FROM t")
+        db.execute("CREATE TABLE merges AS SELECT a, b, id::BIGINT AS id FROM m; "
+                   "CREATE TABLE tokens AS SELECT id::INTEGER AS id, txt FROM t")
 
-    def _rows(self, words: list[bytes], numbers: list[int]) -> pa.Table:
-        data = np.frombuffer(b"".join(words), np.uint8)
-        size = np.fromiter(map(len, words), np.int64, len(words))
+    def _query(self, words: list[tuple[str, bytes]]) -> None:
+        size = np.array([len(b) for _, b in words], np.int64)
+        data = np.frombuffer(b"".join([b for _, b in words]), np.uint8)
         begin = np.repeat(np.cumsum(size) - size, size)
-        return pa.table({"w": np.repeat(np.array(numbers, np.int32), size), "pos": np.arange(len(data)) - begin,
-                         "tok": self.byte_id[data].astype(np.int64)})
-
-    def _short(self, words: list[bytes], numbers: list[int]) -> list[tuple]:
-        self.db.register("start", self._rows(words, numbers))
-        return self.db.execute(RESULT_SQL.format(SHORT_SQL)).fetchall()
-
-    def _long(self, words: list[bytes], numbers: list[int]) -> list[tuple]:
-        self.db.register("start", self._rows(words, numbers))
-        self.db.execute("CREATE OR REPLACE TABLE long_now AS SELECT * FROM start")
-        left = None
-        while True:
-            (n,), = self.db.execute("SELECT count(*) FROM long_now").fetchall()
-            if n == left:
-                return self.db.execute(RESULT_SQL.format("SELECT * FROM long_now")).fetchall()
-            left = n
-            self.db.execute(LONG_SQL)
-            self.db.execute("DROP TABLE long_now; ALTER TABLE long_next RENAME TO long_now")
+        self.db.register("start", pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), size),
+                                            "pos": np.arange(len(data)) - begin, "tok": self.byte_id[data].astype(np.int64)}))
+        for w, ids in self.db.execute(ENCODE_SQL).fetchall():
+            self.now[words[w][0]] = ids
 
     def _learn(self, missing: list[str]) -> None:
-        short: list[bytes] = []
-        numbers: list[int] = []
-        raw = []
+        batch: list[tuple[str, bytes]] = []
         size = 0
-
-        def flush(step, words, at):
-            for w, ids, n, decoded in step(words, at):
-                self.now[raw[w][0]] = (ids, n, decoded.encode("latin-1"))
-
         for word in missing:
             seen = self.old.get(word)
             if seen is not None:
@@ -141,32 +140,44 @@ class Encoder:
             b = word.encode()
             token = self.ranks.get(b)
             if token is not None:
-                self.now[word] = (str(token), 1, b)
-                continue
-            raw.append((word, b))
-            if len(b) > LONG:
-                flush(self._long, [b], [len(raw) - 1])
-                continue
-            short.append(b)
-            numbers.append(len(raw) - 1)
-            size += len(b)
-            if size >= QUERY_BYTES:
-                flush(self._short, short, numbers)
-                short, numbers, size = [], [], 0
-        if short:
-            flush(self._short, short, numbers)
-
-    def encode(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        """Of each text: number of ids, the ids joined by blanks, decoded bytes."""
+                self.now[word] = str(token)
+            elif len(b) > LONG:
+                self.now[word] = " ".join(map(str, merge_long(b, self.ranks)))
+            else:
+                batch.append((word, b))
+                size += len(b)
+                if size >= QUERY_BYTES:
+                    self._query(batch)
+                    batch, size = [], 0
+        if batch:
+            self._query(batch)
+
+    def encode(self, texts: list[str]) -> list[str]:
+        """The ids of each text, joined by blanks."""
         split = [self.split(t) for t in texts]
         if len(self.now) > REMEMBERED:
             self.now, self.old = {}, self.now
         self._learn(list(set().union(*split) - self.now.keys()))
-        out = []
-        for words in split:
-            found = list(map(self.now.__getitem__, words))
-            out.append((sum([f[1] for f in found]), " ".join([f[0] for f in found]), b"".join([f[2] for f in found])))
-        return out
+        get = self.now.__getitem__
+        return [" ".join(map(get, words)) for words in split]
+
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes that each text's ids stand for."""
+        out = [[] for _ in ids]
+        blocks = [(k, x[i:i + DECODE_IDS]) for k, x in enumerate(ids) for i in range(0, len(x), DECODE_IDS)]
+        at = 0
+        while at < len(blocks):
+            to, n = at, 0
+            while to < len(blocks) and (to == at or n + len(blocks[to][1]) <= DECODE_IDS):
+                n += len(blocks[to][1])
+                to += 1
+            some = [x for _, x in blocks[at:to]]
+            self.db.register("ids", pa.table({"block": np.repeat(np.arange(at, to, dtype=np.int32), [len(x) for x in some]),
+                                              "pos": np.arange(n, dtype=np.int32), "id": np.concatenate(some)}))
+            for block, text in self.db.execute(DECODE_SQL).fetchall():
+                out[blocks[block][0]].append(text.encode("latin-1"))
+            at = to
+        return [b"".join(x) for x in out]
 
 
 @lru_cache(maxsize=2)
@@ -184,11 +195,12 @@ def _encode_batches(path: str, pattern: str, with_ids: bool):
             # unseen words are learned for about 8 MB of text at once
             for part in chunks(((i, t or b"") for i, t in batch_rows(b, "doc_id", "text")), 1, 8 << 20):
                 got = enc.encode([t.decode("utf-8", "replace") for _, t in part])
-                cols = [pa.array([r[0] for r in part], pa.int64()), pa.array([n for n, _, _ in got], pa.int64()),
-                        pa.array([sha(i.encode()) for _, i, _ in got]), pa.array([sha(d) for _, _, d in got])]
+                ids = [np.fromstring(x, np.int32, sep=" ") if x else np.empty(0, np.int32) for x in got]
+                cols = [pa.array([r[0] for r in part], pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([sha(x.encode()) for x in got]), pa.array([sha(d) for d in enc.decode(ids)])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    cols.append(pa.array([list(map(int, i.split())) for _, i, _ in got], pa.list_(pa.int32())))
+                    cols.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
     return run
