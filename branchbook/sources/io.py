@@ -2,8 +2,8 @@
 
 Raw inputs are read with their declared schemas (never inferred); the
 original's GUI import of spreadsheets is re-aimed as CSV -> Parquet staging.
-Outputs are Parquet tables partitioned by month so that a month can be
-replaced without touching the others.
+Loads go through ``sources.publish``: a month is replaced without touching the
+others, and a load becomes visible as a whole.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchbook.operators import reshape
 from branchbook.sources import schemas as S
+from branchbook.sources.publish import Publisher, log_of
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -27,9 +27,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 BAD_RECORD = "bad_record"
-#: Files per staged month folder: rows are clustered by (month, salt) before the
-#: write, so a load writes a bounded number of files whatever its task count.
-FILES_PER_MONTH = 8
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
@@ -49,72 +46,36 @@ def bad_records(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(BAD_RECORD).alias("n_bad"))
 
 
-def _load(df: DataFrame, out: str, month_col: str, append: bool) -> DataFrame:
-    """Load rows into a table partitioned by month.  By default a load replaces
-    exactly the months it brings (re-runnable) and leaves all others as they
-    are; ``append`` adds rows, as the original's INSERT does."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_MONTH))
-    w = df.repartition(F.col(month_col), salt).write.partitionBy(month_col)
-    if append:
-        w.mode("append").parquet(out)
-    else:
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(out)
-    return df.sparkSession.read.schema(df.schema).parquet(out).select(*df.columns)
+def _load(df: DataFrame, out: str, month_col: str, append: bool, load_id: str | None,
+          commit_id: str | None = None) -> DataFrame:
+    """Load rows into a month table.  By default a load replaces exactly the
+    months it brings (re-runnable) and its own rows without a month, and leaves
+    all others as they are; ``append`` adds rows, as the original's INSERT does.
+    The fingerprints of its months tell a later run which months changed."""
+    p = Publisher(df.sparkSession, log_of(out))
+    p.stage(df, out, month_col, adds=append, load_id=load_id, fingerprint=True)
+    p.commit(commit_id)
+    return p.read(out, df.schema)
 
 
-def stage_postings(raw: DataFrame, out: str, append: bool = False) -> DataFrame:
-    """Raw ledger postings -> decoded ``fact_txn_month_data`` by ``post_month``."""
+def stage_postings(raw: DataFrame, out: str, append: bool = False, load_id: str | None = None,
+                   commit_id: str | None = None) -> DataFrame:
+    """Raw ledger postings -> decoded ``fact_txn_month_data`` by ``post_month``.
+    Postings without a date belong to no month; ``load_id`` (a file's name, say;
+    by default a fingerprint of those rows) tells whose they are."""
     decoded = reshape.decode_analysis_code(raw.drop(BAD_RECORD))
     month = (F.year("transaction_date") * 100 + F.month("transaction_date")).cast("int")
-    return _load(decoded.withColumn("post_month", month), out, "post_month", append)
+    return _load(decoded.withColumn("post_month", month), out, "post_month", append, load_id, commit_id)
 
 
-def stage_kpi_sheet(wide: DataFrame, out: str, append: bool = False) -> DataFrame:
+def stage_kpi_sheet(wide: DataFrame, out: str, append: bool = False, load_id: str | None = None) -> DataFrame:
     """Wide KPI sheet -> long ``fact_kpi_asm``, one folder per load (``month_key``)."""
-    return _load(reshape.unpivot_kpi(wide.drop(BAD_RECORD)), out, "month_key", append)
+    return _load(reshape.unpivot_kpi(wide.drop(BAD_RECORD)), out, "month_key", append, load_id)
 
 
-def stage_snapshot(raw: DataFrame, out: str, append: bool = False) -> DataFrame:
+def stage_snapshot(raw: DataFrame, out: str, append: bool = False, load_id: str | None = None) -> DataFrame:
     """Loan snapshot -> ``fact_kpi_month_raw_data`` by ``kpi_month``."""
-    return _load(raw.drop(BAD_RECORD), out, "kpi_month", append)
-
-
-def replace_months(df: DataFrame, base: str, month_col: str, months: list[int]) -> list[int]:
-    """Make ``base/<month_col>=<m>`` hold exactly ``df``'s rows of month m, for
-    every m in ``months``; other months are untouched.
-
-    Months with rows are written in one job with dynamic partition overwrite.
-    A month that now has no rows must become empty too (a DELETE would leave
-    it empty, while dynamic overwrite alone would keep its old files), so its
-    folder is overwritten with an empty file.  Returns the months written
-    with rows.
-    """
-    spark = df.sparkSession
-    months = sorted({int(m) for m in months})
-    data = df.where(F.col(month_col).isin(months))
-    # the observed counts come from the write itself: the plan runs once
-    seen = Observation(f"months of {base}")
-    data = data.observe(seen, F.collect_set(month_col).alias("written"))
-    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(base))
-    written = {int(m) for m in seen.get["written"]}       # at most one value per month asked for
-    body = T.StructType([f for f in df.schema.fields if f.name != month_col])
-    for m in sorted(set(months) - written):
-        spark.createDataFrame([], body).write.mode("overwrite").parquet(f"{base}/{month_col}={m}")
-    return sorted(written)
-
-
-def read_months(spark: SparkSession, base: str, schema: T.StructType, month_col: str,
-                months: list[int]) -> DataFrame:
-    """Read the given month partitions (partition pruning on the folder name)."""
-    body = T.StructType([f for f in schema.fields if f.name != month_col])
-    full = T.StructType(body.fields + [T.StructField(month_col, T.IntegerType())])
-    try:
-        df = spark.read.schema(full).parquet(base).where(F.col(month_col).isin([int(m) for m in months]))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)      # nothing was written yet
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return _load(raw.drop(BAD_RECORD), out, "kpi_month", append, load_id)
 
 
 def append_error_log(spark: SparkSession, path: str, proc_name: str, run_month: int, message: str,

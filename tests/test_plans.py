@@ -3,9 +3,11 @@
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchbook.operators import allocation, ratios as R, reshape
-from branchbook.sources import bindings, seeds
+from branchbook.sources import bindings, schemas as S, seeds
+from branchbook.sources.publish import open_table
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,13 +65,16 @@ def test_month_bounds_reach_the_fact_scans(spark, scratch):
     from branchbook.sources import io
     io.stage_postings(bindings.txn_raw(spark, SF), f"{scratch}/p")
     io.stage_snapshot(bindings.kpi_month_raw(spark, SF), f"{scratch}/s")
-    mp = allocation.line_postings_monthly(spark.read.parquet(f"{scratch}/p"), seeds.line_selector_df(spark),
-                                          seeds.prefix_lengths(), _selectors(), last_month=199701)
-    plan = _plan(mp)
-    assert re.search(r"PartitionFilters: \[[^\]]*post_month#\d+ <= 199701", plan)
-    assert "LessThanOrEqual(transaction_date" in plan
-    cells = R.snapshot_cells(spark.read.parquet(f"{scratch}/s"), bindings.dim_province(spark, SF), 199701)
-    assert re.search(r"PartitionFilters: \[[^\]]*kpi_month#\d+ <= 199701", _plan(cells))
+    txn = T.StructType([*S.TXN.fields, T.StructField("post_month", T.IntegerType())])
+    postings, snapshot = open_table(spark, f"{scratch}/p", txn, 199701), open_table(spark, f"{scratch}/s", S.KPI_MONTH_RAW, 199701)
+    for df in (postings, snapshot):
+        slots = {int(re.search(r"slot=(\d+)", f).group(1)) for f in df.inputFiles()}
+        assert max(slots) == 199701 and len(slots) > 12
+    mp = allocation.line_postings_monthly(postings, seeds.line_selector_df(spark), seeds.prefix_lengths(), _selectors(),
+                                          last_month=199701)
+    assert "LessThanOrEqual(transaction_date" in _plan(mp)
+    cells = R.snapshot_cells(snapshot, bindings.dim_province(spark, SF), 199701)
+    assert "LessThanOrEqual(kpi_month,199701)" in _plan(cells)
 
 
 def test_no_window_gathers_a_month(spark):

@@ -29,21 +29,8 @@ def tables(inp, out):
                          error_log=f"{out}/error_log")
 
 
-def snapshot_of(spark, path, schema, month_col):
-    df = io.read_months(spark, path, schema, month_col, MONTHS)
-    return sorted(tuple(r) for r in df.collect())
-
-
-def test_replace_months_empty_month_is_cleared(spark, scratch):
-    base = f"{scratch}/t"
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "m int, v string")
-    io.replace_months(df, base, "m", [1, 2])
-    io.replace_months(spark.createDataFrame([(1, "z")], "m int, v string"), base, "m", [2])
-    got = sorted(tuple(r) for r in spark.read.parquet(base).select("m", "v").collect())
-    assert got == [(1, "a")]
-    io.replace_months(spark.createDataFrame([(2, "q")], "m int, v string"), base, "m", [2])
-    got = sorted(tuple(r) for r in spark.read.parquet(base).select("m", "v").collect())
-    assert got == [(1, "a"), (2, "q")]
+def snapshot_of(spark, t, name):
+    return sorted(tuple(r) for r in runner.read_output(spark, t, name, MONTHS).collect())
 
 
 def test_run_month_good_then_failing_month_keeps_old_ratios(spark, scratch):
@@ -51,9 +38,9 @@ def test_run_month_good_then_failing_month_keeps_old_ratios(spark, scratch):
     bad = stage(spark, "/root/testdata/sf0.001", f"{scratch}/in001")
     out = f"{scratch}/out"
     assert runner.run_month(spark, tables(good, out), MONTHS) == []
-    rates_before = snapshot_of(spark, f"{out}/rate", S.RATE_ALLOCATION, "rate_month")
-    fin_before = snapshot_of(spark, f"{out}/finance", S.REPORT_FINANCE, "month_key")
-    asm_before = snapshot_of(spark, f"{out}/asm", S.REPORT_ASM, "month_key")
+    rates_before = snapshot_of(spark, tables(good, out), "rates")
+    fin_before = snapshot_of(spark, tables(good, out), "finance")
+    asm_before = snapshot_of(spark, tables(good, out), "asm")
     assert len(rates_before) == 210 and len(fin_before) == 960 and len(asm_before) > 0
 
     # with kept monthly aggregates the same reports come out, one month at a time
@@ -63,22 +50,22 @@ def test_run_month_good_then_failing_month_keeps_old_ratios(spark, scratch):
     assert runner.run_month(spark, kept, MONTHS[0], changed=[*history, MONTHS[0]]) == []
     assert runner.run_month(spark, kept, MONTHS[1], changed=[MONTHS[1]]) == []
     first_two = [r for r in fin_before if r[0] in MONTHS[:2]]
-    assert [r for r in snapshot_of(spark, f"{scratch}/kept/finance", S.REPORT_FINANCE, "month_key")] == first_two
+    assert [r for r in snapshot_of(spark, kept, "finance")] == first_two
 
     # idempotent: running the same months again changes nothing
     assert runner.run_month(spark, tables(good, out), MONTHS) == []
-    assert snapshot_of(spark, f"{out}/finance", S.REPORT_FINANCE, "month_key") == fin_before
+    assert snapshot_of(spark, tables(good, out), "finance") == fin_before
 
     # the smallest scale has (area, month) cells without write-offs: the ratio
     # step fails its NOT NULL check for every month, logs one row per month,
     # and the stored ratios stay; the later steps still run.
     log = runner.run_month(spark, tables(bad, out), MONTHS)
     assert [(p, m) for p, m, _ in log] == [("rate_area_month", m) for m in MONTHS]
-    assert snapshot_of(spark, f"{out}/rate", S.RATE_ALLOCATION, "rate_month") == rates_before
+    assert snapshot_of(spark, tables(good, out), "rates") == rates_before
     elog = runner.read_error_log(spark, tables(bad, out)).collect()
     assert len(elog) == 5 and all(r.start_time <= r.end_time for r in elog)
     assert all("not-null" in r.error_message for r in elog)
-    fin_after = snapshot_of(spark, f"{out}/finance", S.REPORT_FINANCE, "month_key")
+    fin_after = snapshot_of(spark, tables(good, out), "finance")
     assert fin_after != fin_before and len(fin_after) > 0
 
 
@@ -103,20 +90,22 @@ def test_a_zero_month_fails_alone(spark, scratch):
                       provinces=f"{scratch}/prov")
     log = runner.run_month(spark, t, [202301, 202302, 202303], steps=("ratios",))
     assert [(p, m) for p, m, _ in log] == [("rate_area_month", 202301)]
-    got = io.read_months(spark, t.rate_table, S.RATE_ALLOCATION, "rate_month", [202301, 202302, 202303])
+    got = runner.read_output(spark, t, "rates")
     assert {r.rate_month for r in got.collect()} == {202302, 202303}
 
 
-def test_a_step_that_fails_in_one_plan_is_tried_month_by_month(spark, scratch):
+def test_a_step_that_fails_in_one_plan_is_tried_by_halves(spark, scratch):
     t = runner.Tables(*[f"{scratch}/{x}" for x in ("p", "s", "k", "rate", "fin", "asm", "log")])
-    log = []
+    log, runs = [], []
 
     def step(months, start):
+        runs.append(len(months))
         if 2 in months:
             raise ValueError("first line\n" + "x" * 3000)
         return list(months)
 
-    assert runner._each(spark, t, "proc", [1, 2, 3], log, step) == [1, 3]
+    assert runner._each(spark, t, "proc", list(range(1, 81)), log, step) == [1, *range(3, 81)]
+    assert len(runs) <= 2 * 7 + 1                   # log2(80) levels, not 80 runs
     row = runner.read_error_log(spark, t).collect()
     assert len(row) == 1 and row[0].run_month == 2 and row[0].error_message.endswith("x" * 3000)
 
