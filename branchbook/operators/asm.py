@@ -17,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchbook.functions.columns import asc_pg, desc_pg, month_of_year
+from branchbook.functions.columns import month_of_year
 from branchbook.operators import ranking
 from branchbook.operators import ratios as R
 from branchbook.operators.geo import area_by_name
+from branchbook.operators.ranking import RankSpec
 from branchbook.sources.schemas import REPORT_ASM
 
 TIE_BREAK = ["email", "area_name", "sale_name"]
@@ -152,43 +153,30 @@ def asm_joined(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> Da
     return j
 
 
-# (output column, function, value column, ordering) of the 8 ranks
 RANKS = [
-    ("rank_ltn", "row_number", "ltn_avg", desc_pg),
-    ("rank_psdn", "row_number", "psdn_avg", desc_pg),
-    ("rank_approval", "row_number", "approval_rate_avg", desc_pg),
-    ("rank_npl", "rank", "npl_truoc_wo_luy_ke", asc_pg),
-    ("rank_cir", "dense_rank", "cir", desc_pg),
-    ("rank_margin", "dense_rank", "margin", desc_pg),
-    ("rank_hs_von", "dense_rank", "hs_von", asc_pg),
-    ("rank_hsbp", "dense_rank", "hsbp_nhan_su", desc_pg),
+    RankSpec("rank_ltn", "row_number", "ltn_avg", descending=True),
+    RankSpec("rank_psdn", "row_number", "psdn_avg", descending=True),
+    RankSpec("rank_approval", "row_number", "approval_rate_avg", descending=True),
+    RankSpec("rank_npl", "rank", "npl_truoc_wo_luy_ke"),
+    RankSpec("rank_cir", "dense_rank", "cir", descending=True),
+    RankSpec("rank_margin", "dense_rank", "margin", descending=True),
+    RankSpec("rank_hs_von", "dense_rank", "hs_von"),
+    RankSpec("rank_hsbp", "dense_rank", "hsbp_nhan_su", descending=True),
+]
+SCORE_RANKS = [
+    RankSpec("rank_final", "row_number", "tong_diem"),
+    RankSpec("rank_ptkd", "row_number", "diem_quymo"),
+    RankSpec("rank_fin", "rank", "diem_fin"),
 ]
-
-
-def _tie_break(df: DataFrame):
-    """The first ROW_NUMBER also looks at the other inputs, and later ones at
-    the first: rows equal in everything (an email with several sheet rows fans
-    out) then get consistent numbers."""
-    more = ["rank_ltn"] if "rank_ltn" in df.columns else [
-        "psdn_avg", "approval_rate_avg", "npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS]]
-    return [F.col(c).asc_nulls_last() for c in [*TIE_BREAK, *more]]
-
-
-def apply_ranks(df: DataFrame, specs, store) -> DataFrame:
-    """Add per-month rank columns; ``store`` writes the range-partitioned slices."""
-    for out, fn, col, order in specs:
-        if fn == "row_number":
-            df = ranking.row_number(df, [order(col), *_tie_break(df)], ["month_key"], store, out)
-        elif fn == "rank":
-            df = ranking.rank(df, [col], [order(col)], ["month_key"], store, out)
-        else:
-            df = ranking.dense_rank(df, [col], [order(col)], ["month_key"], store, out)
-    return df
 
 
 def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, store) -> DataFrame:
-    """The joined inputs (written once: every rank reads them) with the 8 ranks."""
-    return apply_ranks(store(asm_joined(averages, npl_asm, lookup), "asm_joined"), RANKS, store)
+    """The joined inputs with the 8 ranks, all from one range exchange.  Rows of
+    one identity (an email with several sheet rows fans out) are told apart by
+    the loan average, largest first, and the other inputs."""
+    rest = [F.col(c) for c in ("psdn_avg", "approval_rate_avg", "npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS])]
+    tie = [*[F.col(c) for c in TIE_BREAK], -F.col("ltn_avg"), *rest]
+    return ranking.ranks_together(asm_joined(averages, npl_asm, lookup), RANKS, "month_key", tie, store)
 
 
 def asm_score(ranked: DataFrame, store) -> DataFrame:
@@ -197,9 +185,7 @@ def asm_score(ranked: DataFrame, store) -> DataFrame:
     fin = F.col("rank_cir") + F.col("rank_margin") + F.col("rank_hs_von") + F.col("rank_hsbp")
     s = ranked.select("*", scale.cast("bigint").alias("diem_quymo"), fin.cast("bigint").alias("diem_fin"),
                       (scale + fin).cast("bigint").alias("tong_diem"))
-    s = apply_ranks(s, [("rank_final", "row_number", "tong_diem", asc_pg),
-                        ("rank_ptkd", "row_number", "diem_quymo", asc_pg),
-                        ("rank_fin", "rank", "diem_fin", asc_pg)], store)
+    s = ranking.ranks_together(s, SCORE_RANKS, "month_key", [F.col(c) for c in (*TIE_BREAK, "rank_ltn")], store)
     renamed = {"rank_ltn_avg": "rank_ltn", "rank_psdn_avg": "rank_psdn",
                "rank_approval_rate_avg": "rank_approval", "rank_npl_truoc_wo_luy_ke": "rank_npl",
                "rank_hsbq_nhan_su": "rank_hsbp"}

@@ -10,7 +10,60 @@ from branchbook.sources import seeds
 from branchbook.sources.schemas import AMOUNT_TYPE
 
 
-def rollup_tree(leaves: DataFrame, closure: DataFrame) -> DataFrame:
+#: Levels that a walk up a tree takes at most.
+MAX_DEPTH = 64
+
+_WALK = """
+WITH RECURSIVE walk(leaf_id, ancestor_id, depth, path) AS (
+  SELECT id, parent_id, 1, array(id) FROM {edges}
+  UNION ALL
+  SELECT w.leaf_id, e.parent_id, w.depth + 1, array_append(w.path, w.ancestor_id)
+  FROM walk w JOIN {edges} e ON e.id = w.ancestor_id
+  WHERE w.depth < {limit} AND NOT array_contains(w.path, w.ancestor_id)
+)
+SELECT leaf_id, ancestor_id, depth, array_contains(path, ancestor_id) AS closes FROM walk LIMIT ALL
+"""
+
+
+def _walks(tree: DataFrame, rolled: DataFrame | None, max_depth: int) -> DataFrame:
+    """One row per line and step up: the ancestor reached, and whether that
+    closes a cycle (the walk ends there).  A recursive query: each level is one
+    equi-join with the tree, and a tree has few levels."""
+    edges = tree.select(F.col("pnl_id").alias("id"), F.col("pnl_parent_id").alias("parent_id")).distinct()
+    edges = edges.join((edges.select("id") if rolled is None else rolled).toDF("parent_id").distinct(), "parent_id", "left_semi")
+    return tree.sparkSession.sql(_WALK, edges=edges, limit=int(max_depth))
+
+
+def tree_closure(tree: DataFrame, rolled: DataFrame | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """leaf_id, ancestor_id of a user's line tree (``pnl_id``, ``pnl_parent_id``)
+    of any ids and depth: every rolled-up line above a line.
+
+    ``rolled``: the ids that are filled by rolling up (default: every line that
+    has children); a walk up ends below the first line that is not.  Lines
+    whose walk runs into a cycle, or is longer than ``max_depth``, roll up
+    nowhere; ``tree_errors`` lists them.
+    """
+    walks = _walks(tree, rolled, max_depth)
+    bad = walks.where(F.col("closes") | (F.col("depth") >= max_depth)).select("leaf_id").distinct()
+    return walks.join(bad, "leaf_id", "left_anti").select("leaf_id", "ancestor_id").distinct()
+
+
+def tree_errors(tree: DataFrame, rolled: DataFrame | None = None, max_depth: int = MAX_DEPTH, root: int = -1) -> DataFrame:
+    """pnl_id and what is wrong with its place in the tree: ``cycle`` (its walk
+    up comes back to a line it has passed), ``too_deep``, ``orphan`` (a parent
+    that is not in the tree; roots have ``root`` or NULL) or ``duplicate``."""
+    walks = _walks(tree, rolled, max_depth)
+    looped = walks.where("closes").select(F.col("leaf_id").alias("pnl_id"), F.lit("cycle").alias("error")).distinct()
+    deep = walks.where((F.col("depth") >= max_depth) & ~F.col("closes")).select(
+        F.col("leaf_id").alias("pnl_id"), F.lit("too_deep").alias("error")).distinct()
+    ids = tree.select(F.col("pnl_id").alias("parent")).distinct()
+    named = tree.where((F.col("pnl_parent_id") != root) & F.col("pnl_parent_id").isNotNull())
+    orphan = named.join(ids, named.pnl_parent_id == ids.parent, "left_anti").select("pnl_id", F.lit("orphan").alias("error"))
+    twice = tree.groupBy("pnl_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("pnl_id", F.lit("duplicate").alias("error"))
+    return looped.unionByName(deep).unionByName(orphan).unionByName(twice)
+
+
+def rollup_tree(leaves: DataFrame, closure: DataFrame, bounded: bool = True) -> DataFrame:
     """Parent lines as sums of their children, for all levels in one aggregate.
 
     The original inserts level by level (2, 8, 13 from leaves; 20 from 2/8/13;
@@ -21,8 +74,12 @@ def rollup_tree(leaves: DataFrame, closure: DataFrame) -> DataFrame:
     NULL children; a parent whose leaves are all NULL is NULL; a parent row
     exists for an area iff some leaf row below it does.  Sums are exact
     decimals, so the result does not depend on summation order.
+
+    ``bounded``: the closure is that of the fixed tree (60 rows) and is
+    broadcast; a user's closure (``tree_closure``) joins as its size asks for.
     """
-    j = leaves.join(F.broadcast(closure), leaves["id"] == closure["leaf_id"])
+    closure = F.broadcast(closure) if bounded else closure
+    j = leaves.join(closure, leaves["id"] == closure["leaf_id"])
     return (j.groupBy("month_key", F.col("ancestor_id").alias("id"), "area_code")
             .agg(F.sum("amount").cast(AMOUNT_TYPE).alias("amount")))
 

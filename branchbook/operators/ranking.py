@@ -10,11 +10,16 @@ one row per (partition, group); and a window inside each slice does the rest.
 are partial aggregates, their prefix sums give both ranks, and the rows join
 their key.  A hot key is one row of the key table, and the join back is an
 equi-join that the optimizer broadcasts (few keys) or splits (skew).
+
+``ranks_together`` computes any number of ranks over the same rows with one
+range exchange: the rows (or distinct keys) of all measures are slices of one
+order, that begins with the measure.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,8 +28,9 @@ from pyspark.sql import functions as F
 Store = Callable[[DataFrame, str], DataFrame]
 
 
-def _eq_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _eq_null_safe(left: str, right: str, cols: list[str]) -> Column:
+    """Columns equal (NULL with NULL) between two aliased frames."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in cols])
 
 
 def _slices(df: DataFrame, order: list[Column], parts: list[str], store: Store, num_partitions: int | None) -> DataFrame:
@@ -43,7 +49,7 @@ def _before(sliced: DataFrame, order: list[Column], parts: list[str], weight: Co
     t, o = sliced.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("t"), offsets.alias("o")
     cond = F.col("t.__pid") == F.col("o.__pid")
     if parts:
-        cond = cond & _eq_null_safe(t, o, parts)
+        cond = cond & _eq_null_safe("t", "o", parts)
     cols = [F.col(f"t.`{c}`") for c in sliced.columns if c != "__pid"]
     return t.join(o, cond).select(*cols, (F.col("t.__in") + F.col("o.__off")).alias(name))
 
@@ -70,7 +76,7 @@ def _with_key(df: DataFrame, key_cols: list[str], order: list[Column], partition
     keys = df.groupBy(*parts, *key_cols).agg(F.count(F.lit(1)).alias("__rows"))
     b = prefix_sums(keys, order, parts, weight, store, "__before").alias("b")
     a = df.alias("a")
-    return a.join(b, _eq_null_safe(a, b, parts + key_cols)).select(
+    return a.join(b, _eq_null_safe("a", "b", parts + key_cols)).select(
         *[F.col(f"a.`{c}`") for c in df.columns], (F.col("b.__before") + 1).cast("int").alias(name))
 
 
@@ -84,3 +90,79 @@ def dense_rank(df: DataFrame, key_cols: list[str], order: list[Column], partitio
                name: str = "dense_rank") -> DataFrame:
     """``DENSE_RANK()``: 1 + the earlier keys."""
     return _with_key(df, key_cols, order, partition_by, store, F.lit(1), name)
+
+
+@dataclass(frozen=True)
+class RankSpec:
+    """A rank column: ``name``, the function (``row_number``, ``rank`` or
+    ``dense_rank``) and the value it orders by.  NULL is the largest value:
+    first when descending, last when ascending."""
+    name: str
+    function: str
+    value: str
+    descending: bool = False
+
+
+_EXACT = "decimal(38,10)"
+
+
+def _sort_key(df: DataFrame, spec: RankSpec) -> list[Column]:
+    """Three ascending columns that order like the spec: NULL flag, the value
+    as a double, and as a decimal (a measure uses the one of its type)."""
+    v = F.col(f"`{spec.value}`")
+    real = dict(df.dtypes)[spec.value] in ("double", "float")
+    nulls = v.isNotNull() if spec.descending else v.isNull()
+    d = v.cast("double") if real else F.lit(None).cast("double")
+    x = F.lit(None).cast(_EXACT) if real else v.cast(_EXACT)
+    return [nulls.cast("int").alias("__k0"), (-d if spec.descending else d).alias("__k1"),
+            (-x if spec.descending else x).cast(_EXACT).alias("__k2")]
+
+
+_KEY = ["__k0", "__k1", "__k2"]
+
+
+def ranks_together(df: DataFrame, specs: list[RankSpec], partition_by: str, tie_break: list[Column], store: Store,
+                   num_partitions: int | None = None) -> DataFrame:
+    """``df`` with one rank column per spec, each per ``partition_by``.
+
+    The rows are written once with a number of their own.  Every ROW_NUMBER
+    contributes one entry per row, every RANK and DENSE_RANK one per distinct
+    key; the entries of all specs are range-partitioned and written **once** by
+    (spec, group, key, tie-break, row), and prefix sums over the slices give all
+    numbers.  Ranks go back to the rows by one join on the key and one on the
+    row.  ROW_NUMBER ties are broken by ``tie_break`` and then by the row, the
+    same way for every spec.
+    """
+    part = F.col(f"`{partition_by}`")
+    base = store(df.withColumn("__row", F.monotonically_increasing_id()), "rank_rows")
+    numbered = [(i, s) for i, s in enumerate(specs) if s.function == "row_number"]
+    keyed = [(i, s) for i, s in enumerate(specs) if s.function != "row_number"]
+    tie = F.struct(*[x for i, c in enumerate(tie_break) for x in (c.isNull().alias(f"n{i}"), c.alias(f"t{i}"))])
+
+    def long(chosen, *more: Column) -> DataFrame:
+        entry = F.array(*[F.struct(F.lit(i).alias("__m"), *_sort_key(base, s)) for i, s in chosen])
+        return base.select(part.alias("__part"), "__row", *more, F.explode(entry).alias("e")).select(
+            "e.__m", "__part", *[f"e.{k}" for k in _KEY], *[c for c in ("__tie",) if more], "__row")
+
+    entries = []
+    if numbered:
+        entries.append(long(numbered, tie.alias("__tie")).withColumn("__w", F.lit(1).cast("bigint")))
+    by_key = None
+    if keyed:
+        by_key = long(keyed)
+        counted = [i for i, s in keyed if s.function == "rank"]
+        weight = F.when(F.col("__m").isin(counted), F.col("__rows")).otherwise(1)
+        keys = by_key.groupBy("__m", "__part", *_KEY).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__w", weight)
+        none = F.lit(None).cast(entries[0].schema["__tie"].dataType) if entries else F.lit(None).cast("int")
+        entries.append(keys.select("__m", "__part", *_KEY, none.alias("__tie"), F.lit(None).cast("bigint").alias("__row"), "__w"))
+    order = [F.col(c).asc_nulls_first() for c in (*_KEY, "__tie", "__row")]
+    placed = prefix_sums(reduce(DataFrame.unionByName, entries), order, ["__m", "__part"], F.col("__w"), store, "__before",
+                         num_partitions)
+    found = [placed.where(F.col("__row").isNotNull()).select("__row", "__m", "__before")] if numbered else []
+    if keyed:
+        k = placed.where(F.col("__row").isNull()).select("__m", "__part", *_KEY, "__before").alias("k")
+        r = by_key.alias("r")
+        found.append(r.join(k, _eq_null_safe("r", "k", ["__m", "__part", *_KEY])).select("r.__row", "r.__m", "k.__before"))
+    wide = reduce(DataFrame.unionByName, found).groupBy("__row").agg(
+        *[(F.max(F.when(F.col("__m") == i, F.col("__before"))) + 1).cast("int").alias(s.name) for i, s in enumerate(specs)])
+    return base.join(wide, "__row").select(*[F.col(f"`{c}`") for c in df.columns], *[s.name for s in specs])

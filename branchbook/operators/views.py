@@ -24,6 +24,36 @@ def area_names_in_order(areas: DataFrame) -> list[str]:
     return [r["area_name"] for r in areas.select("area_code", "area_name").orderBy("area_code").collect()]
 
 
+def crosstab(source: DataFrame, categories: list | DataFrame, row_name: str | list[str], category: str, value: str,
+             extra: list[str] = (), order: list = (), names: list[str] | None = None) -> DataFrame:
+    """One row per ``row_name``, one column per category: the general form of a
+    crosstab of (source, categories).
+
+    ``order``: the source's order.  Where a (row, category) occurs several
+    times, its last row gives the value (as that row has it, NULL too);
+    ``extra`` columns come from a row's first source row.  Rows whose category
+    is NULL or not listed still make their row but fill no column.
+    ``categories``: the values in column order, as a list or a one-column frame
+    (its rows become columns, so they are few); a repeated or NULL category is
+    an error.  ``names``: the output columns' names (default: the categories).
+
+    One aggregate with one conditional ``max_by`` per category: no pass to find
+    the categories and no sort of the source.  Rows that are equal in ``order``
+    are told apart by the value, the larger one last.
+    """
+    if isinstance(categories, DataFrame):
+        categories = [r[0] for r in categories.collect()]
+    if None in categories or len(set(categories)) < len(categories):
+        raise ValueError(f"categories must be distinct and not NULL: {categories}")
+    rows = [row_name] if isinstance(row_name, str) else list(row_name)
+    names = names or [str(c) for c in categories]
+    place = F.struct(*[F.expr(o) if isinstance(o, str) else o for o in order], F.col(f"`{value}`").alias("__value"))
+    cells = [F.max_by(F.col(f"`{value}`"), F.when(F.col(f"`{category}`") == F.lit(c), place)).alias(n)
+             for c, n in zip(categories, names)]
+    firsts = [F.min_by(F.col(f"`{c}`"), place).alias(c) for c in extra]
+    return source.groupBy(*[f"`{r}`" for r in rows]).agg(*firsts, *cells)
+
+
 def report_finance_crosstab(report: DataFrame, areas: DataFrame, tree: DataFrame,
                             area_names: list[str] | None = None) -> DataFrame:
     """One row per (month, line), one amount column per area, in area order.
@@ -32,15 +62,12 @@ def report_finance_crosstab(report: DataFrame, areas: DataFrame, tree: DataFrame
     still create their (month, line) row but fill no column; ``month_key``
     comes out as text.  A duplicated (month, line, area) keeps the larger
     amount (the original keeps whichever comes last in an order that does not
-    decide between them).  ``pivot`` with an explicit value list plans one
-    aggregate with a conditional max per area — no second pass to discover
-    the categories.
+    decide between them).
     """
     names = area_names if area_names is not None else area_names_in_order(areas)
     rows = (report.join(areas.select("area_code", "area_name"), "area_code", "left")
             .join(F.broadcast(tree.select(F.col("pnl_id").alias("id"), "pnl_name", "sortorder")), "id"))
-    pv = (rows.groupBy("month_key", "pnl_name", "sortorder").pivot("area_name", names)
-          .agg(F.max("amount")))
+    pv = crosstab(rows, names, ["month_key", "pnl_name", "sortorder"], "area_name", "amount")
     return pv.select(F.col("month_key").cast("string").alias("month_key"), "pnl_name", "sortorder",
                      *[F.col(f"`{n}`") for n in names])
 

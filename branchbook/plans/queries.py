@@ -16,19 +16,24 @@ ratio lines computed in double are rounded to 6 decimals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from branchbook.functions.columns import yyyymm
 from branchbook.operators import asm as A
-from branchbook.operators import checks, geo, views
+from branchbook.operators import checks, geo, pnl, views
 from branchbook.plans.books import Books
-from branchbook.plans.oracle import OUTLIER_COLUMNS
-from branchbook.plans.runner import Tables, read_error_log, run_month
+from branchbook.plans.oracle import CROSSTAB_PRIORITIES, LATE_POSTINGS_FROM, OUTLIER_COLUMNS
+from branchbook.plans.runner import Tables, read_error_log, read_output, run_changed, run_month
 from branchbook.session import configure
 from branchbook.sources import bindings, io, seeds
 from branchbook.sources import schemas as S
+from branchbook.sources.publish import open_table
+
 
 class _Shared:
     """What the registered queries share for one (session, data dir): the books
@@ -40,22 +45,75 @@ class _Shared:
         self.key = (spark.sparkContext.applicationId, sf_dir)
         self.books = Books.from_testdata(spark, sf_dir, materialize="table", strict=False)
 
+    def _tables(self, name: str) -> Tables:
+        """Outputs of their own over the staged facts and dimensions."""
+        root = f"{self.books.folder.path}/{name}"
+        s = self.staged
+        return Tables(postings=f"{s}/postings", snapshot=f"{s}/snapshot", kpi_asm=f"{s}/kpi_asm", areas=f"{s}/areas",
+                      provinces=f"{s}/provinces", rate_table=f"{root}/rate", finance_table=f"{root}/finance",
+                      asm_table=f"{root}/asm", error_log=f"{root}/error_log")
+
     @cached_property
-    def run(self) -> Tables:
-        """The test tables staged, and all months run over the staged tables."""
-        spark, d, root = self.spark, self.sf_dir, f"{self.books.folder.path}/run"
+    def staged(self) -> str:
+        """The test tables as loaded warehouse tables."""
+        spark, d, root = self.spark, self.sf_dir, f"{self.books.folder.path}/staged"
         io.stage_postings(bindings.txn_raw(spark, d), f"{root}/postings")
         io.stage_snapshot(bindings.kpi_month_raw(spark, d), f"{root}/snapshot")
         io.stage_kpi_sheet(bindings.kpi_asm_wide(spark, d), f"{root}/kpi_asm")
         bindings.dim_area(spark, d).write.parquet(f"{root}/areas")
         bindings.dim_province(spark, d).write.parquet(f"{root}/provinces")
-        t = Tables(postings=f"{root}/postings", snapshot=f"{root}/snapshot", kpi_asm=f"{root}/kpi_asm",
-                   areas=f"{root}/areas", provinces=f"{root}/provinces", rate_table=f"{root}/rate",
-                   finance_table=f"{root}/finance", asm_table=f"{root}/asm", error_log=f"{root}/error_log")
-        spark.createDataFrame([], S.ERROR_LOG).write.parquet(t.error_log)
-        run_month(spark, t, self.books.month_list)
+        return root
+
+    # The runner's three steps over all months; each is run (and published) by
+    # the first query that needs it.
+    @cached_property
+    def rates_run(self) -> Tables:
+        t = self._tables("run")
+        self.spark.createDataFrame([], S.ERROR_LOG).write.parquet(t.error_log)
+        run_month(self.spark, t, self.books.month_list, steps=("ratios",))
         return t
 
+    @cached_property
+    def finance_run(self) -> Tables:
+        run_month(self.spark, self.rates_run, self.books.month_list, steps=("finance",))
+        return self.rates_run
+
+    @cached_property
+    def run(self) -> Tables:
+        run_month(self.spark, self.finance_run, self.books.month_list, steps=("asm",))
+        return self.rates_run
+
+    @cached_property
+    def changed_run(self) -> Tables:
+        """All months run before the last postings arrived; these loaded, and
+        the stale months run again."""
+        spark, d = self.spark, self.sf_dir
+        t = self._tables("changed")
+        t = replace(t, postings=f"{self.books.folder.path}/changed/postings",
+                    postings_by_month=f"{self.books.folder.path}/changed/kept_postings",
+                    cells_by_month=f"{self.books.folder.path}/changed/kept_cells")
+        raw = bindings.txn_raw(spark, d)
+        late = F.col("transaction_date") >= F.lit(LATE_POSTINGS_FROM).cast("date")
+        io.stage_postings(raw.where(~late), t.postings)
+        run_changed(spark, t, self.books.month_list, steps=("ratios", "finance"))
+        io.stage_postings(raw.where(late), t.postings, append=True)
+        run_changed(spark, t, steps=("ratios", "finance"))
+        return t
+
+    @cached_property
+    def two_loads(self) -> str:
+        """Postings in two loads.  Both bring postings without a date (those of
+        a 31st), and both bring December 1995."""
+        path = f"{self.books.folder.path}/two_loads"
+        raw = bindings.txn_raw(self.spark, self.sf_dir)
+        day, month = F.dayofmonth("transaction_date"), F.date_trunc("month", "transaction_date").cast("date")
+        loads = ((month <= F.lit("1995-12-01").cast("date"), F.col("d_c") == "F"),
+                 (month >= F.lit("1995-12-01").cast("date"), F.col("d_c") != "F"))
+        for dated, undated in loads:
+            rows = raw.where(F.when(day == 31, undated).otherwise(dated))
+            io.stage_postings(rows.withColumn("transaction_date", F.when(day != 31, F.col("transaction_date"))), path)
+        return path
+
 
 _SHARED: list[_Shared] = []
 
@@ -277,7 +335,7 @@ def q_reconcile(spark, d):
     the allocation never picks up) show up as their own keys."""
     raw = bindings.txn_raw(spark, d).select(
         "account_code", F.split_part("analysis_code", F.lit("."), F.lit(3)).alias("area_code"), "amount")
-    staged = io.read_table(spark, shared(spark, d).run.postings, S.TXN).select("account_code", "area_code", "amount")
+    staged = open_table(spark, f"{shared(spark, d).staged}/postings", S.TXN).select("account_code", "area_code", "amount")
     r = checks.reconcile(raw, staged, ["account_code", "area_code"], "amount")
     return r.select("account_code", "area_code", "raw_rows", "staged_rows",
                     F.col("raw_amount").cast("bigint").alias("raw_amount"),
@@ -287,16 +345,81 @@ def q_reconcile(spark, d):
 # -- the monthly runner ------------------------------------------------------------
 
 def q_run_month_rates(spark, d):
-    return _ratio_rows(io.read_table(spark, shared(spark, d).run.rate_table, S.RATE_ALLOCATION))
+    return _ratio_rows(read_output(spark, shared(spark, d).rates_run, "rates"))
 
 
 def q_run_month_finance(spark, d):
-    return _finance_rows(io.read_table(spark, shared(spark, d).run.finance_table, S.REPORT_FINANCE))
+    return _finance_rows(read_output(spark, shared(spark, d).finance_run, "finance"))
 
 
 def q_run_month_asm(spark, d):
-    return _asm_out(io.read_table(spark, shared(spark, d).run.asm_table, S.REPORT_ASM).select(
-        *[f.name for f in S.REPORT_ASM.fields]))
+    return _asm_out(read_output(spark, shared(spark, d).run, "asm"))
+
+
+def q_run_changed_finance(spark, d):
+    """The finance table after an incremental run: postings arrive late, and
+    only the months that they make stale run again."""
+    return _finance_rows(read_output(spark, shared(spark, d).changed_run, "finance"))
+
+
+def q_two_loads(spark, d):
+    """The posting table after two loads that overlap in a month and both bring
+    postings without a date, per month and account."""
+    schema = T.StructType([*S.TXN.fields, T.StructField("post_month", T.IntegerType())])
+    return open_table(spark, shared(spark, d).two_loads, schema).groupBy("post_month", "account_code").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
+
+
+# -- general forms ------------------------------------------------------------------
+
+def _company_tree(spark, d) -> DataFrame:
+    """A line tree of other ids and depth than the P&L's: world, regions,
+    nations, suppliers."""
+    t = lambda name: bindings.table(spark, d, name)
+    levels = [
+        t("region").select((F.col("r_regionkey") + 10).alias("pnl_id"), F.lit(1).alias("pnl_parent_id")),
+        t("nation").select((F.col("n_nationkey") + 100).alias("pnl_id"), (F.col("n_regionkey") + 10).alias("pnl_parent_id")),
+        t("supplier").select((F.col("s_suppkey") + 1000).alias("pnl_id"), (F.col("s_nationkey") + 100).alias("pnl_parent_id"))]
+    levels = [x.select(F.col("pnl_id").cast("long"), F.col("pnl_parent_id").cast("long")) for x in levels]
+    return reduce(DataFrame.unionByName, levels)
+
+
+def q_rollup_any_tree(spark, d):
+    """Sales per month, flag and supplier, rolled up a four-level tree."""
+    lines = bindings.table(spark, d, "lineitem").select(
+        yyyymm("l_shipdate").alias("month_key"), (F.col("l_suppkey") + 1000).cast("long").alias("id"),
+        F.col("l_returnflag").alias("area_code"), F.round(F.col("l_extendedprice") * 100, 0).cast("decimal(38,0)").alias("amount"))
+    closure = pnl.tree_closure(_company_tree(spark, d))
+    return pnl.rollup_tree(lines, closure, bounded=False).select("month_key", "id", "area_code", F.col("amount").cast("bigint").alias("amount"))
+
+
+def q_tree_errors(spark, d):
+    """A tree made of orders (each under its customer's next order): every
+    customer's last order is given the first one as its parent, a cycle."""
+    o = bindings.table(spark, d, "orders").select(F.col("o_orderkey").alias("pnl_id"), "o_custkey")
+    w = Window.partitionBy("o_custkey").orderBy("pnl_id")
+    nxt = o.withColumn("pnl_parent_id", F.lead("pnl_id").over(w)).withColumn("n", F.row_number().over(w))
+    first = o.groupBy("o_custkey").agg(F.min("pnl_id").alias("first"))
+    tree = (nxt.where(F.col("n") <= 6).join(first, "o_custkey")
+            .select("pnl_id", F.when((F.col("n") == 6) & (F.col("o_custkey") % 2 == 0), F.col("first"))
+                    .otherwise(F.coalesce("pnl_parent_id", F.lit(-1))).alias("pnl_parent_id")))
+    return pnl.tree_errors(tree, max_depth=16)
+
+
+def q_crosstab_orders(spark, d):
+    """The general crosstab over another table: a customer's last order value
+    per priority (one priority is not listed), and the status of the first order."""
+    o = bindings.table(spark, d, "orders")
+    return views.crosstab(o, [c for c, _ in CROSSTAB_PRIORITIES], "o_custkey", "o_orderpriority", "o_totalprice",
+                          extra=["o_orderstatus"], order=["o_orderdate", "o_orderkey"], names=[n for _, n in CROSSTAB_PRIORITIES])
+
+
+def q_reconcile_rows(spark, d):
+    """Postings against a copy in which some amounts moved within their account:
+    the rows that differ, both ways."""
+    raw = bindings.txn_raw(spark, d)
+    moved = F.when(F.col("amount") % 97 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
+    return checks.reconcile_rows(raw, raw.withColumn("amount", moved), ["account_code", "d_c"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -339,4 +462,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_month_rates": q_run_month_rates,
     "run_month_finance": q_run_month_finance,
     "run_month_asm": q_run_month_asm,
+    "run_changed_finance": q_run_changed_finance,
+    "two_loads": q_two_loads,
+    "rollup_any_tree": q_rollup_any_tree,
+    "tree_errors": q_tree_errors,
+    "crosstab_orders": q_crosstab_orders,
+    "reconcile_rows": q_reconcile_rows,
 }

@@ -47,3 +47,40 @@ def test_a_hot_key_is_one_row_of_the_key_table(spark):
     got = ranking.rank(df, ["v"], [F.col("v").asc()], [], store).groupBy("v", "rank").count().collect()
     assert sorted(map(tuple, got)) == [(0, 1, 99_900), (1, 99_901, 100)]
     assert [w.count() for w in written] == [2]
+
+
+def test_ranks_together_match_windows_with_one_range_exchange(spark):
+    from decimal import Decimal as D
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2, None]), i, rng.choice([None, -1.5, 0.0, -0.0, 2.0, 7.25]), rng.choice([None, D("1.5"), D("-3"), D("0E-10")]),
+             rng.choice([None, 1, 2, 3]), rng.choice(["a", "b", None])) for i in range(600)]
+    df = spark.createDataFrame(rows, "g int, id int, v double, x decimal(38,10), n long, t string").repartition(5)
+    S = ranking.RankSpec
+    specs = [S("rn_v", "row_number", "v", descending=True), S("rn_n", "row_number", "n"), S("rk_v", "rank", "v"),
+             S("rk_x", "rank", "x", descending=True), S("dr_x", "dense_rank", "x"), S("dr_n", "dense_rank", "n", descending=True)]
+    written = []
+
+    def store(y, name):
+        written.append(y._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression"))
+        return RunFolder(spark).write(y, name)
+
+    got = ranking.ranks_together(df, specs, "g", [F.col("t"), F.col("id")], store, num_partitions=6)
+    assert got.columns == [*df.columns, *[s.name for s in specs]] and len(written) == 2
+
+    def over(spec):
+        v = F.col(spec.value)
+        by = [v.desc_nulls_first() if spec.descending else v.asc_nulls_last()]
+        if spec.function == "row_number":
+            by += [F.col("t").asc_nulls_last(), F.col("id")]
+        return getattr(F, spec.function)().over(Window.partitionBy("g").orderBy(*by))
+
+    want = df.select("id", *[over(s).alias(s.name) for s in specs]).collect()
+    key = lambda r: tuple(r)
+    assert sorted(map(key, got.select("id", *[s.name for s in specs]).collect())) == sorted(map(key, want))
+
+
+def test_ranks_together_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "g int, v double")
+    got = ranking.ranks_together(df, [ranking.RankSpec("r", "rank", "v"), ranking.RankSpec("n", "row_number", "v")], "g",
+                                 [F.col("v")], RunFolder(spark).write)
+    assert got.columns == ["g", "v", "r", "n"] and got.collect() == []

@@ -50,9 +50,7 @@ def main():
                              headcount=b.headcount_cells)),
         ("Allocated lines (cumulative postings + ratio spine)",
          allocation.allocate_lines(b.cumulative_postings, b.ratios, seeds.line_catalog_df(spark))),
-        ("Range-partitioned row number (no single-partition exchange for the data)",
-         A.apply_ranks(A.asm_joined(b.asm_averages, b.npl_by_asm, b.finance_lookup),
-                       [A.RANKS[0]], b.folder.write)),
+        ("The eight ranks (one range exchange, written; then prefix sums, key join, row join)", b.asm_ranked),
     ]
     out = ["# Physical plans of the key steps", "",
            f"Generated by `tools/explain_plans.py` on `{os.path.basename(sf.rstrip('/'))}` (local[*], AQE on); "
