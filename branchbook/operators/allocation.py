@@ -86,10 +86,12 @@ def line_postings_monthly(txn: DataFrame, selectors: DataFrame, prefix_lengths:
             .agg(F.sum(F.col("amount").cast("decimal(19,0)")).alias("amount")))
 
 
-def line_postings_cumulative(monthly: DataFrame, months: DataFrame) -> DataFrame:
-    """(report_month, pnl_id, area_code, amount) summed over post_month <= month."""
+def line_postings_cumulative(monthly: DataFrame, months: DataFrame, year_to_date: bool = False) -> DataFrame:
+    """(report_month, pnl_id, area_code, amount) summed over post_month <= month
+    (the original's cumulation has no lower bound; ``year_to_date`` sets one:
+    the first month of the report month's year)."""
     return cumulate_to_months(monthly, months, "post_month", ["pnl_id", "area_code"],
-                              [F.sum(F.col("amount").cast(CUM_SUM_TYPE)).alias("amount")])
+                              {"amount": F.col("amount").cast(CUM_SUM_TYPE)}, year_to_date)
 
 
 def allocate_lines(cumulative: DataFrame, ratios: DataFrame, line_catalog: DataFrame) -> DataFrame:

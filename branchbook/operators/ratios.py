@@ -8,7 +8,7 @@ and every report month:
    conditional sums every method needs (partial aggregation map-side, so the
    shuffle carries at most months x areas rows per task);
 2. ``cumulate_to_months``: each report month m takes the cells with
-   kpi_month <= m (the small cell table against a broadcast month list);
+   kpi_month <= m (prefix sums over the small cell table);
 3. each method is a share of its column within (month, method).
 
 Ratios are ``decimal(18,10)``; NOT NULL on area and ratio is enforced lazily
@@ -44,28 +44,32 @@ def month_values(months: DataFrame) -> list[int]:
     return sorted({int(r[0]) for r in months.collect() if r[0] is not None})
 
 
-def months_at_or_after(months: DataFrame, row_month) -> F.Column:
-    """The report months m with ``row_month <= m``, as an array column.
+def cumulate_to_months(monthly: DataFrame, months: DataFrame, month_col: str, keys: list[str],
+                       sums: dict[str, F.Column], year_to_date: bool = False) -> DataFrame:
+    """For every report month m and key: the sums over the rows of ``monthly``
+    with ``month_col <= m`` (``year_to_date``: and in m's year).
 
-    Each row learns which report months it counts towards from a literal
-    array — a projection, not a join: no broadcast, no nested loop.
-    """
-    arr = F.array(*[F.lit(m) for m in month_values(months)])
-    return F.filter(arr, lambda m: row_month <= m)
-
-
-def cumulate_to_months(monthly: DataFrame, months: DataFrame, month_col: str,
-                       keys: list[str], aggs: list) -> DataFrame:
-    """For every report month m: aggregate the rows of ``monthly`` with
-    ``month_col <= m``, grouped by ``keys``.
-
-    ``monthly`` is already reduced to one row per (month, keys); each row is
-    repeated once per report month it counts towards (explode of
-    ``months_at_or_after``), then one ``groupBy`` with partial aggregation.
+    Prefix sums: one running window per key over the (already aggregated)
+    monthly rows, then an as-of step.  A month's running sums hold from that
+    month until the key's next one (or the year's end), so each is handed to the
+    report months of that interval only: the step makes months x keys rows, the
+    size of the result, not a row for every pair of months.  As with SUM, a sum
+    is NULL until a row has a value, and a key has no row before its first month.
     """
     rm = months.columns[0]
-    j = monthly.withColumn(rm, F.explode(months_at_or_after(months, F.col(month_col))))
-    return j.groupBy(rm, *keys).agg(*aggs)
+    at = F.col(month_col)
+    sums = {n: e.alias(n) for n, e in sums.items()}
+    # several rows of a month (keys coarser than the input) are one
+    rows = monthly.where(at.isNotNull()).groupBy(month_col, *keys).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    part = [*keys, F.floor(at / 100)] if year_to_date else keys
+    order = Window.partitionBy(*part).orderBy(month_col)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.floor(at / 100).cast("int") * 100 + 13 if year_to_date else F.lit(None).cast("int")
+    rows = rows.select(month_col, *keys, *[F.sum(n).over(upto).alias(n) for n in sums],
+                       F.coalesce(F.lead(month_col).over(order), end).alias("__next"))
+    listed = F.array(*[F.lit(m) for m in month_values(months)])
+    holds = F.filter(listed, lambda m: (m >= at) & (F.col("__next").isNull() | (m < F.col("__next"))))
+    return rows.select(F.explode(holds).alias(rm), *keys, *sums)
 
 
 def snapshot_cells(snapshot: DataFrame, provinces: DataFrame, last_month: int | None = None) -> DataFrame:
@@ -133,16 +137,13 @@ def _share(df: DataFrame, part: str, by=("rate_month", "method_code"), nullif: b
     return df.withColumn("ratio", num / den)
 
 
-def balance_ratios(cells: DataFrame, months: DataFrame) -> DataFrame:
-    """AWO, AWO_GR1, AWO_GR2, AWO_GR2_5 and WO_PSDN for every report month."""
+def balance_ratios(cells: DataFrame, months: DataFrame, year_to_date: bool = False) -> DataFrame:
+    """AWO, AWO_GR1, AWO_GR2, AWO_GR2_5 and WO_PSDN for every report month;
+    ``year_to_date``: from the snapshots of the month's year only."""
     dec = T.DecimalType(38, 0)
-    cum = cumulate_to_months(cells, months, "kpi_month", ["area_code"], [
-        F.sum("n_all").alias("n_all"), F.sum(F.col("s_all").cast(dec)).alias("s_all"),
-        F.sum("n_gr1").alias("n_gr1"), F.sum(F.col("s_gr1").cast(dec)).alias("s_gr1"),
-        F.sum("n_gr2").alias("n_gr2"), F.sum(F.col("s_gr2").cast(dec)).alias("s_gr2"),
-        F.sum("n_gr25").alias("n_gr25"), F.sum(F.col("s_gr25").cast(dec)).alias("s_gr25"),
-        F.sum(F.col("s_psdn").cast(dec)).alias("s_psdn"),
-    ])
+    cum = cumulate_to_months(cells, months, "kpi_month", ["area_code"], {
+        **{n: F.col(n) for n in ("n_all", "n_gr1", "n_gr2", "n_gr25")},
+        **{s: F.col(s).cast(dec) for s in ("s_all", "s_gr1", "s_gr2", "s_gr25", "s_psdn")}}, year_to_date)
     spec = [("AWO", "n_all", "s_all"), ("AWO_GR1", "n_gr1", "s_gr1"), ("AWO_GR2", "n_gr2", "s_gr2"),
             ("AWO_GR2_5", "n_gr25", "s_gr25"), ("WO_PSDN", "n_all", "s_psdn")]
     args = [F.lit(len(spec))]
@@ -170,10 +171,8 @@ def pre_writeoff_ratios(cells: DataFrame, months: DataFrame, strict: bool = True
         F.col("area_code").alias("b_area"), "total_lk")
     joined = bal.join(wo, ["kpi_month", "a_area"], "left")  # NULL a_area never matches
     dec = T.DecimalType(38, 0)
-    cum = cumulate_to_months(joined, months, "kpi_month", ["b_area"], [
-        F.sum(F.col("amount").cast(dec)).alias("s_amount"),
-        F.sum(F.col("total_lk").cast(dec)).alias("s_lk"),
-    ])
+    cum = cumulate_to_months(joined, months, "kpi_month", ["b_area"],
+                             {"s_amount": F.col("amount").cast(dec), "s_lk": F.col("total_lk").cast(dec)})
     val = (F.col("s_amount") + F.col("s_lk")).cast(SHARE_INPUT)
     rows = cum.select(F.col(months.columns[0]).alias("rate_month"), F.lit("BWO_GR2_5").alias("method_code"),
                       F.col("b_area").alias("area_code"), val.alias("part"))

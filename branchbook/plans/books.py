@@ -38,11 +38,12 @@ class Books:
     def __init__(self, spark: SparkSession, *, txn: DataFrame, snapshot: DataFrame, kpi_asm: DataFrame,
                  areas: DataFrame, provinces: DataFrame, regions: DataFrame, months, materialize: str | None = "persist",
                  strict: bool = True, rate_table: DataFrame | None = None, folder: RunFolder | None = None,
-                 postings_by_month: DataFrame | None = None, cells_by_month: DataFrame | None = None):
+                 postings_by_month: DataFrame | None = None, cells_by_month: DataFrame | None = None,
+                 headcount: DataFrame | None = None):
         self.spark = spark
         self.folder = folder or RunFolder(spark)
         # stored monthly aggregates to use instead of scanning the facts
-        self._postings_by_month, self._cells_by_month = postings_by_month, cells_by_month
+        self._postings_by_month, self._cells_by_month, self._headcount = postings_by_month, cells_by_month, headcount
         self.rate_table = rate_table    # stored ratios to use instead of computing them
         self.txn = txn                  # decoded postings (fact_txn_month_data)
         self.snapshot = snapshot        # fact_kpi_month_raw_data
@@ -105,6 +106,8 @@ class Books:
 
     @cached_property
     def headcount_cells(self) -> DataFrame:
+        if self._headcount is not None:
+            return self._small(self._headcount)
         return self._small(R.headcount_cells(self.kpi_asm, self.areas))
 
     @cached_property

@@ -25,10 +25,11 @@ from pyspark.sql import types as T
 
 from branchbook.functions.columns import yyyymm
 from branchbook.operators import asm as A
-from branchbook.operators import checks, geo, pnl, views
+from branchbook.operators import allocation, checks, geo, pnl, views
 from branchbook.plans.books import Books
 from branchbook.plans.oracle import CROSSTAB_PRIORITIES, LATE_POSTINGS_FROM, OUTLIER_COLUMNS
-from branchbook.plans.runner import Tables, read_error_log, read_output, run_changed, run_month
+from branchbook.plans.runner import (
+    Tables, kept_headcount, read_error_log, read_output, refresh_headcount, run_changed, run_month)
 from branchbook.session import configure
 from branchbook.sources import bindings, io, seeds
 from branchbook.sources import schemas as S
@@ -100,6 +101,19 @@ class _Shared:
         run_changed(spark, t, steps=("ratios", "finance"))
         return t
 
+    @cached_property
+    def sheet_loads(self) -> Tables:
+        """The KPI sheet in two loads; the bitmaps of each are built from its own rows."""
+        root = f"{self.books.folder.path}/sheet_loads"
+        t = replace(self._tables("sheet_loads"), kpi_asm=f"{root}/kpi_asm", headcount_by_load=f"{root}/headcount")
+        wide = bindings.kpi_asm_wide(self.spark, self.sf_dir)
+        for early in (True, False):
+            load = wide.where((F.col("month_key") < 199600) == early)
+            keys = {r[0] for r in load.select("month_key").distinct().collect()}      # one per year
+            io.stage_kpi_sheet(load, t.kpi_asm)
+            refresh_headcount(self.spark, t, sorted(keys))
+        return t
+
     @cached_property
     def two_loads(self) -> str:
         """Postings in two loads.  Both bring postings without a date (those of
@@ -370,6 +384,20 @@ def q_two_loads(spark, d):
         F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
 
 
+def q_headcount_kept(spark, d):
+    """Distinct salespeople per month of the year and area, and over all areas,
+    from the bitmaps kept of each sheet load."""
+    return kept_headcount(spark, shared(spark, d).sheet_loads)
+
+
+def q_postings_year_to_date(spark, d):
+    """Line postings per area from the start of the report month's year."""
+    b = books(spark, d)
+    ytd = allocation.line_postings_cumulative(b.monthly_postings, b.months, year_to_date=True)
+    return ytd.select(F.col("report_month").alias("month_key"), F.col("pnl_id").alias("id"), "area_code",
+                      F.col("amount").cast("bigint").alias("amount"))
+
+
 # -- general forms ------------------------------------------------------------------
 
 def _company_tree(spark, d) -> DataFrame:
@@ -464,6 +492,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_month_asm": q_run_month_asm,
     "run_changed_finance": q_run_changed_finance,
     "two_loads": q_two_loads,
+    "headcount_kept": q_headcount_kept,
+    "postings_year_to_date": q_postings_year_to_date,
     "rollup_any_tree": q_rollup_any_tree,
     "tree_errors": q_tree_errors,
     "crosstab_orders": q_crosstab_orders,

@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchbook.operators import asm as A
+from branchbook.operators import headcount as H
 from branchbook.operators import ratios as R
 from branchbook.plans.books import Books, monthly_postings
 from branchbook.sources import io, schemas as S, seeds
 from branchbook.sources.publish import Entry, Publisher, log_of, open_table
+from branchbook.sources.scratch import RunFolder
 
 
 @dataclass
@@ -53,6 +55,7 @@ class Tables:
     # of the months that changed since the last one
     postings_by_month: str | None = None
     cells_by_month: str | None = None
+    headcount_by_load: str | None = None    # bitmaps per sheet load, and (in /names) the dictionary
     areas: str | None = None
     provinces: str | None = None
     regions: str | None = None
@@ -114,6 +117,33 @@ def refresh_aggregates(spark: SparkSession, t: Tables, months: list[int]) -> Non
         keep(R.snapshot_cells(snapshot.where(F.col("kpi_month").isin(months)), _dims(spark, t)[1]), t.cells_by_month, "kpi_month")
 
 
+def refresh_headcount(spark: SparkSession, t: Tables, loads: list[int]) -> None:
+    """Rebuild the kept headcount bitmaps of the sheet loads that changed."""
+    loads = sorted({int(x) for x in loads})
+    path = t.headcount_by_load
+    sheet = Publisher(spark, log_of(t.kpi_asm)).read(t.kpi_asm, S.FACT_KPI_ASM, months=loads)
+    folder = RunFolder(spark)
+    try:
+        names = Publisher(spark, log_of(f"{path}/names"))
+        schema = T._parse_datatype_string(H.DICTIONARY)
+        fresh = H.new_names(sheet, names.read(f"{path}/names", schema), folder.write)
+        names.stage(fresh.withColumn("part", F.lit(0)), f"{path}/names", "part", adds=True)
+        names.commit()
+        p = Publisher(spark, log_of(path))
+        p.stage(H.headcount_bitmaps(sheet, _dims(spark, t)[0], names.read(f"{path}/names", schema)), path, "month_key", months=loads)
+        p.commit()
+    finally:
+        folder.close()
+
+
+def kept_headcount(spark: SparkSession, t: Tables) -> DataFrame | None:
+    """Headcounts from the kept bitmaps of all loads, if any are there."""
+    p = Publisher(spark, log_of(t.headcount_by_load)) if t.headcount_by_load else None
+    if p is None or not any(found[-1].version for found in p.live(t.headcount_by_load).values()):
+        return None
+    return H.merged_headcount(p.read(t.headcount_by_load, None))
+
+
 def _kept(spark: SparkSession, path: str | None, last: int) -> DataFrame | None:
     """A kept aggregate up to the last report month, if any of it is there."""
     p = Publisher(spark, log_of(path)) if path else None
@@ -128,7 +158,7 @@ def books_for(spark: SparkSession, t: Tables, months: list[int], rate_table: Dat
     txn, snapshot = _facts(spark, t, last)
     return Books(spark, txn=txn, snapshot=snapshot, kpi_asm=open_table(spark, t.kpi_asm, S.FACT_KPI_ASM),
                  areas=areas, provinces=provinces, regions=regions, months=months,
-                 materialize="table", strict=False, rate_table=rate_table,
+                 materialize="table", strict=False, rate_table=rate_table, headcount=kept_headcount(spark, t),
                  postings_by_month=_kept(spark, t.postings_by_month, last), cells_by_month=_kept(spark, t.cells_by_month, last))
 
 
@@ -288,6 +318,8 @@ def run_changed(spark: SparkSession, t: Tables, months=(), commit_id: str | None
     facts = {int(s) for p in (t.postings, t.snapshot) for s in changed[p]}
     if facts and (t.postings_by_month or t.cells_by_month):
         refresh_aggregates(spark, t, sorted(facts))
+    if changed[t.kpi_asm] and t.headcount_by_load:
+        refresh_headcount(spark, t, [int(s) for s in changed[t.kpi_asm]])
     log = _run_steps(spark, t, todo, out)
     for path, slots in changed.items():
         out.pending += [Entry(INPUT + path, s, "built" if f else None, fingerprint=f) for s, f in sorted(slots.items())]
