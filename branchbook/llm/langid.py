@@ -56,7 +56,11 @@ def grams(text: str) -> np.ndarray:
 
 
 def visible(page: str) -> str:
-    return html.unescape(_TAG.sub(" ", _DROP.sub(" ", page)))
+    """The text outside tags.  Tags are looked for up to the last ``>`` only, so
+    every ``<`` there ends at one, and a page of ``<`` alone costs nothing."""
+    rest = _DROP.sub(" ", page)
+    end = rest.rfind(">") + 1
+    return html.unescape(_TAG.sub(" ", rest[:end]) + rest[end:])
 
 
 def declared(page: str) -> str | None:

@@ -233,9 +233,11 @@ def base_places(norm: bytes) -> list[tuple[int, str]]:
     """(word index, label) of every place of a base phrase."""
     out = []
     for phrase, label in BASE:
-        needle, at = f" {phrase} ".encode(), -1
+        needle, at, word, counted = f" {phrase} ".encode(), -1, 0, 0
         while (at := norm.find(needle, at + 1)) >= 0:
-            out.append((norm.count(b" ", 0, at), label))
+            word += norm.count(b" ", counted, at)       # blanks since the last place: linear in the text
+            counted = at
+            out.append((word, label))
     return out
 
 

@@ -74,3 +74,11 @@ def test_rare_language_has_a_model(spark, docs, monkeypatch):
     assert {"xx", "yy"} <= set(langs) and len(model) == len(langs)
     pages = spark.createDataFrame([(1, "http://a.xx/", page("xx", rare))], "page_id long, url string, html string")
     assert [r.lang for r in G.identify(pages, given, Workspace(spark, "t")).collect()] == ["xx"]
+
+
+def test_a_megabyte_of_open_tags():
+    import time
+    start = time.process_time()
+    assert G.visible("<" * 1_000_000) == "<" * 1_000_000
+    assert G.visible("a <b" * 250_000 + "> end <") == "a   end <"
+    assert time.process_time() - start < 10

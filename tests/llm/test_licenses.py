@@ -84,3 +84,11 @@ def test_short_forms_and_license_sentences():
             ("Das ist mit 2 Personen, the apache helicopter, submit it", ""),
             ("Apache 2.0 licensed", "apache-2.0"), ("runs on Apache 2.0 and AFL 2", "")):
         assert label(text) == want, (text, label(text))
+
+
+def test_a_megabyte_of_phrases_is_linear():
+    import time
+    start = time.process_time()
+    n, found, first, last, *_ = L.scan_text(b"mit license " * 80_000)
+    assert (n, found, first, last) == (160_000, 80_000, 0, 159_998)
+    assert time.process_time() - start < 30
