@@ -32,7 +32,8 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.name = f"{name}-{uuid.uuid4().hex}"
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{self.name}"
         atexit.register(self._remove, self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -41,8 +42,13 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        self._remove(f"{self.root}/{name}")
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._remove(f"{self.root}/{name}")
+
+    def close(self) -> None:
+        """Remove all steps, once what they led to has been written."""
+        self._remove(self.root)
 
     @staticmethod
     def _remove(path: str) -> None:

@@ -314,6 +314,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, ws: Workspace) -> DataFram
     wanted = ws.write(wanted, "wanted")
     full = wanted.join(classes.select("doc", "halves", "bits"), "doc").join(sets, "doc")
     more = ws.write(_in_blocks(full).mapInArrow(_link_batches, "u long, v long"), "links-more")
+    ws.drop("halves", "first", "sets", "wanted")
     return components(links.unionByName(more), ws, "comp-b")
 
 
@@ -333,7 +334,10 @@ def _components(rows: DataFrame, ws: Workspace) -> DataFrame:
     named = ws.write(nodes.join(ws.write(least, "least"), "comp").select("node", "least"), "named")
     ids = (best.join(named, best.doc == named.node, "left")
            .select("n_shingles", "s1", "s2", F.coalesce("least", "best").alias("best")))
-    return narrow.join(ws.write(ids, "ids"), ["n_shingles", "s1", "s2"], "left").select(ROW, "doc_id", "n_shingles", "best")
+    found = narrow.join(ws.write(ids, "ids"), ["n_shingles", "s1", "s2"], "left").select(ROW, "doc_id", "n_shingles", "best")
+    found = ws.write(found, "found")
+    ws.drop("signatures", "best", "classes", "comp", "least", "named", "ids")
+    return found
 
 
 def _plain() -> list:
