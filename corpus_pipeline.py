@@ -4,7 +4,8 @@ secrets, packing.
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; all but the last return the columns of ``documents``.  A later stage
 reads the written rows of the stage before, so a lost executor repeats one
-stage's tasks only.
+stage's tasks only; by then that stage's own steps are no longer needed, and
+their folder goes (``_workspace``).
 """
 
 from __future__ import annotations
@@ -15,19 +16,35 @@ from branchbook.llm import minhash, packing, quality, secrets, substrings
 from branchbook.llm.common import Workspace, table
 
 
+_open: list[Workspace] = []
+
+
+def _workspace(spark, name, docs):
+    """A run folder for a stage.  Folders of earlier stages are removed, but for
+    those that ``docs`` still reads (a result that was handed on unwritten)."""
+    if _open:
+        files = docs.inputFiles()
+        for old in list(_open):
+            if not any(old.name in f for f in files):
+                old.close()
+                _open.remove(old)
+    _open.append(Workspace(spark, name))
+    return _open[-1]
+
+
 def quality_rules(spark, docs, sf_dir):
     """Drop the documents that the adaptive quality rules reject (operator 4)."""
-    return quality.filter_documents(docs, Workspace(spark, "stage-quality"))
+    return quality.filter_documents(docs, _workspace(spark, "stage-quality", docs))
 
 
 def near_dedup(spark, docs, sf_dir):
     """Keep one document of each group of near-duplicates (operator 2)."""
-    return minhash.deduplicated(docs, Workspace(spark, "stage-near"))
+    return minhash.deduplicated(docs, _workspace(spark, "stage-near", docs))
 
 
 def substring_dedup(spark, docs, sf_dir):
     """Remove the passages that an earlier document already has (operator 5)."""
-    return substrings.deduplicated(docs, Workspace(spark, "stage-substring"))
+    return substrings.deduplicated(docs, _workspace(spark, "stage-substring", docs))
 
 
 def secret_scan(spark, docs, sf_dir):
@@ -37,7 +54,7 @@ def secret_scan(spark, docs, sf_dir):
 
 def pack(spark, docs, sf_dir):
     """Pack the token ids into sequences (operator 6)."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), Workspace(spark, "stage-pack"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), _workspace(spark, "stage-pack", docs))
 
 
 STAGES = [("quality", quality_rules), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup),
