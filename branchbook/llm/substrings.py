@@ -220,14 +220,15 @@ def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 _RESULT = [ROW, "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
 
-def _judged(rows: DataFrame, ws: Workspace) -> DataFrame:
-    """``_RESULT`` of every row.  ``rows``: ROW, doc_id, text."""
+def _judged(rows: DataFrame, ws: Workspace, last_use: str | None = None) -> DataFrame:
+    """``_RESULT`` of every row.  ``rows``: ROW, doc_id, text.  ``last_use``: the
+    step that nobody reads once the rows are settled or pending."""
     known = rows.where(F.col("doc_id").isNotNull())
     anchors = ws.write(shared_anchors(known), "anchors")
     joined = (rows.join(anchors, ROW, "left").join(later_copies(known), ROW, "left")
               .select(ROW, "doc_id", "text", "anchors", "copy"))
     state = ws.write(joined.mapInArrow(_extend_batches, _STATE), "state")
-    ws.drop("anchors")
+    ws.drop("anchors", *([last_use] if last_use else []))
     pending = state.where(F.col("text").isNotNull())
     removed = repeated_starts(pending)
     done = (pending.join(removed, ROW, "left").select(ROW, "doc_id", "n_words", "text", "removed")
@@ -243,7 +244,7 @@ def _plain() -> list:
 def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and
     kept_text (the kept words joined by one space; null if none was removed)."""
-    return _judged(keyed(docs.select(_plain()), ws), ws).drop(ROW)
+    return _judged(keyed(docs.select(_plain()), ws, "texts"), ws, last_use="texts").drop(ROW)
 
 
 def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
