@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchbook.operators import allocation, ratios as R, reshape

@@ -14,9 +14,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from branchbook.operators import allocation, asm as A, ratios as R  # noqa: E402
+from branchbook.operators import allocation, ratios as R  # noqa: E402
 from branchbook.plans.books import Books  # noqa: E402
 from branchbook.session import local_session  # noqa: E402
 from branchbook.sources import seeds  # noqa: E402
@@ -45,7 +43,7 @@ def main():
          allocation.line_postings_monthly(postings, seeds.line_selector_df(spark), seeds.prefix_lengths(), sel)),
         ("Snapshot cells (one scan for all 7 methods and the NPL step)",
          R.snapshot_cells(b.snapshot, b.provinces)),
-        ("Allocation ratios from the cells (months via explode over the month list, no join)",
+        ("Allocation ratios from the cells (prefix sums per area, handed to the report months of an interval)",
          R.allocation_ratios(b.snapshot, b.kpi_asm, b.provinces, b.areas, b.months, strict=False, cells=b.cells,
                              headcount=b.headcount_cells)),
         ("Allocated lines (cumulative postings + ratio spine)",
