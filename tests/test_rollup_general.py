@@ -81,3 +81,17 @@ def test_amounts_swapped_inside_a_key_are_found(spark):
     lost = spark.createDataFrame([("1", d, 5, "a"), ("1", d, 7, "b"), ("2", d, 1, None)] + [(None, None, 3, "n")] * 3, schema)
     got = sorted(map(str, (tuple(r) for r in checks.reconcile_rows(raw, lost, ["account_code"]).collect())))
     assert got == sorted(map(str, [("raw_only", "2", d, 1, None, 1), ("staged_only", None, None, 3, "n", 2)]))
+
+
+def test_the_walks_of_tree_errors_are_taken_once(spark, scratch):
+    written = []
+
+    def store(df, name):
+        written.append(name)
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    tree = spark.createDataFrame([(1, -1), (2, 1), (10, 11), (11, 10), (20, 99)], TREE)
+    found = pnl.tree_errors(tree, store=store)
+    assert sorted(map(tuple, found.collect())) == [(10, "cycle"), (11, "cycle"), (20, "orphan")] and written == ["tree", "edges"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("UnionLoop ") == 1
