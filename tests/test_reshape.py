@@ -48,3 +48,16 @@ def test_unpivot_on_test_binding_is_five_times_sheet(spark):
     wide = bindings.kpi_asm_wide(spark, "/root/testdata/sf0.001")
     assert reshape.unpivot_kpi(wide).count() == 5 * wide.count()
     assert reshape.unpivot_kpi(wide).where(F.col("month_col").isNull()).count() == 0
+
+
+def test_the_sheet_moves_no_orders_of_months_it_does_not_show(spark, tmp_path):
+    import datetime as dt
+    from branchbook.sources import bindings
+    spark.createDataFrame([(i, 1, 2.0 + i, "N", dt.datetime(y, m, 3)) for i, (y, m) in enumerate([(1995, 2), (1995, 2), (1995, 9), (1996, 11), (1996, 12)])],
+                          "l_orderkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "s", 0)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, 0)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "AFRICA")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    wide = bindings.kpi_asm_wide(spark, str(tmp_path))
+    assert sorted((r.month_key, r.feb_psdn, r.feb_loan, r.may_psdn) for r in wide.collect()) == [(199505, 2, 500, None), (199605, None, None, None)]
+    assert "THEN l_orderkey" in wide._jdf.queryExecution().optimizedPlan().toString()
