@@ -3,7 +3,8 @@
 All steps run for every report month at once.  The sheet filters look at the
 month of the year only (at most 12 results can differ), so averages and
 lookups are computed per month of the year and then attached to the report
-months.  Ranks are range-partitioned (``operators.ranking``): no task holds a
+months; so are the joins that feed the ranks (``asm_rows``), and equal rows are
+one row with their number until the last step.  Ranks are range-partitioned (``operators.ranking``): no task holds a
 whole month.
 
 Ordering follows the original database: NULLs sort as the largest value
@@ -14,6 +15,8 @@ reproducible.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,12 @@ def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
     the original's per-measure table (it does iff it has a non-NULL value).
     Groups without any value exist in none of them and are left out.
     """
+    return _to_report_months(_averages(fact_kpi_asm, months), months).select(
+        "month_key", "area_name", "sale_name", "email", "ltn_avg", "n_ltn", "psdn_avg", "n_psdn", "approval_rate_avg", "n_ar")
+
+
+def _averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
+    """``asm_averages`` per month of the year (``moy``)."""
     pre = fact_kpi_asm.groupBy("month_col", "area_name", "sale_name", "email").agg(
         F.sum(F.col("loan_to_new").cast("decimal(19,0)")).alias("s_ltn"), F.count("loan_to_new").alias("n_ltn"),
         F.sum("psdn").alias("s_psdn"), F.count("psdn").alias("n_psdn"),
@@ -67,8 +76,8 @@ def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
     def avg(s, n):
         return F.when(F.col(n) > 0, F.col(s).cast("double") / F.col(n))
 
-    return _to_report_months(g, months).select(
-        "month_key", "area_name", "sale_name", "email", avg("s_ltn", "n_ltn").alias("ltn_avg"), "n_ltn",
+    return g.select(
+        "moy", "area_name", "sale_name", "email", avg("s_ltn", "n_ltn").alias("ltn_avg"), "n_ltn",
         avg("s_psdn", "n_psdn").alias("psdn_avg"), "n_psdn", avg("s_ar", "n_ar").alias("approval_rate_avg"), "n_ar")
 
 
@@ -122,18 +131,22 @@ def finance_lookup(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame
     """The area's lines 29-32 for every salesperson seen up to the month with
     an approval rate: distinct (month, area_name, sale_name, email, id,
     amount).  One join for the four lines instead of four."""
-    people = (fact_kpi_asm.where(F.col("approval_rate").isNotNull())
-              .select("month_col", "area_name", "sale_name", "email"))
-    people = area_by_name(people, areas).distinct()
-    people = _up_to_month_of_year(people, months, "month_col").select(
-        "moy", "area_name", "sale_name", "email", "area_code").distinct()
-    people = _to_report_months(people, months)
+    people = _to_report_months(_people(fact_kpi_asm, areas, months), months)
     lines = finance.where(F.col("id").isin([i for i, _ in FINANCE_LOOKUPS])).select(
         "month_key", "area_code", "id", "amount")
     return people.join(lines, ["month_key", "area_code"]).select(
         "month_key", "area_name", "sale_name", "email", "id", "amount").distinct()
 
 
+def _people(fact_kpi_asm: DataFrame, areas: DataFrame, months: DataFrame) -> DataFrame:
+    """Salespeople with an approval rate up to the month of the year, and the areas of their area name."""
+    people = (fact_kpi_asm.where(F.col("approval_rate").isNotNull())
+              .select("month_col", "area_name", "sale_name", "email"))
+    people = area_by_name(people.distinct(), areas)
+    return _up_to_month_of_year(people, months, "month_col").select(
+        "moy", "area_name", "sale_name", "email", "area_code").distinct()
+
+
 def asm_joined(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> DataFrame:
     """The 8-way left join on (email, month) feeding the ranks.
 
@@ -153,6 +166,54 @@ def asm_joined(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> Da
     return j
 
 
+COPIES = "n_copies"
+
+
+def asm_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
+             months: DataFrame) -> DataFrame:
+    """The rows of ``asm_joined(asm_averages, npl_by_asm, finance_lookup)``, equal
+    ones as one row with their number (``n_copies``).
+
+    What a month takes from the sheet depends on the month of the year only, so
+    the joins by email run on a row per salesperson and month of the year.  What
+    it takes from the areas (NPL, lines 29-32) is months x areas rows and is
+    broadcast to the rows after they are attached to the report months.
+    """
+    avg = _averages(fact_kpi_asm, months)
+    l_ = avg.where(F.col("n_ltn") > 0).select("moy", "email", "area_name", "sale_name", "ltn_avg")
+    p_ = avg.where(F.col("n_psdn") > 0).select("moy", "email", "psdn_avg")
+    ar = avg.where(F.col("n_ar") > 0).select("moy", "email", "approval_rate_avg")
+    # a sheet row of the month itself gives a row with its area's NPL (which may be missing)
+    rated = fact_kpi_asm.where(F.col("approval_rate").isNotNull() & F.col("email").isNotNull())
+    n_ = rated.groupBy(F.col("month_col").alias("moy"), "email", "area_name").agg(F.count(F.lit(1)).alias(COPIES))
+    n_ = area_by_name(n_, areas).select("moy", "email", F.col("area_code").alias("__npl_area"), COPIES)
+    # the identities of an email whose areas' lines it gets
+    who = (_people(fact_kpi_asm.where(F.col("email").isNotNull()), areas, months).where(F.col("area_code").isNotNull())
+           .groupBy("moy", "email").agg(F.collect_list(F.struct("area_name", "sale_name", "area_code")).alias("__who")))
+    j = reduce(lambda a, b: a.join(b, ["moy", "email"], "left"), [p_, ar, n_, who], l_)
+    j = _to_report_months(j.withColumn(COPIES, F.coalesce(COPIES, F.lit(1))), months)
+
+    npl = npl_area.select("month_key", F.col("area_code").alias("__npl_area"), "npl_truoc_wo_luy_ke")
+    ids = [i for i, _ in FINANCE_LOOKUPS]
+    lines = finance.where(F.col("id").isin(ids) & F.col("area_code").isNotNull()).groupBy("month_key", "area_code").agg(
+        *[F.collect_set(F.when(F.col("id") == i, F.struct("amount"))).alias(name) for i, name in FINANCE_LOOKUPS])
+    lines = lines.groupBy("month_key").agg(F.map_from_entries(F.collect_list(F.struct(
+        "area_code", F.struct(*[n for _, n in FINANCE_LOOKUPS])))).alias("__lines"))
+    j = j.join(F.broadcast(npl), ["month_key", "__npl_area"], "left").join(F.broadcast(lines), "month_key", "left")
+
+    def amounts(name: str):
+        """The distinct (identity, amount) of the email's areas: almost always one identity."""
+        of = lambda w: F.coalesce(F.try_element_at("__lines", w["area_code"])[name], F.array().cast("array<struct<amount:decimal(38,10)>>"))
+        every = F.array_distinct(F.flatten(F.transform("__who", lambda w: F.transform(
+            of(w), lambda x: F.struct(w["area_name"], w["sale_name"], x["amount"].alias("amount"))))))
+        return F.when(F.size("__who") == 1, of(F.col("__who")[0])).otherwise(F.transform(every, lambda x: F.struct(x["amount"].alias("amount"))))
+
+    for _, name in FINANCE_LOOKUPS:
+        j = j.withColumn("__x", F.explode_outer(amounts(name))).withColumn(f"__{name}", F.col("__x.amount")).drop("__x")
+    return j.select("month_key", "email", "area_name", "sale_name", "ltn_avg", "psdn_avg", "approval_rate_avg",
+                    "npl_truoc_wo_luy_ke", *[F.col(f"__{n}").alias(n) for _, n in FINANCE_LOOKUPS], COPIES)
+
+
 RANKS = [
     RankSpec("rank_ltn", "row_number", "ltn_avg", descending=True),
     RankSpec("rank_psdn", "row_number", "psdn_avg", descending=True),
@@ -170,22 +231,45 @@ SCORE_RANKS = [
 ]
 
 
-def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, store) -> DataFrame:
-    """The joined inputs with the 8 ranks, all from one range exchange.  Rows of
-    one identity (an email with several sheet rows fans out) are told apart by
-    the loan average, largest first, and the other inputs."""
+ROW_NUMBERS = [s.name for s in RANKS if s.function == "row_number"]
+
+
+def rank_rows(rows: DataFrame, store) -> DataFrame:
+    """The 8 ranks of ``asm_rows``, written: a row per distinct row, ``__row``
+    in the order that breaks ties, and the ROW_NUMBERs of its first copy.  Rows
+    of one identity (an email with several sheet rows fans out) are told apart
+    by the loan average, largest first, and the other inputs."""
     rest = [F.col(c) for c in ("psdn_avg", "approval_rate_avg", "npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS])]
     tie = [*[F.col(c) for c in TIE_BREAK], -F.col("ltn_avg"), *rest]
-    return ranking.ranks_together(asm_joined(averages, npl_asm, lookup), RANKS, "month_key", tie, store)
+    base = ranking.numbered_rows(rows, "month_key", tie, store)
+    return store(ranking.rank_columns(base, RANKS, "month_key", store, copies=COPIES), "ranks")
 
 
-def asm_score(ranked: DataFrame, store) -> DataFrame:
-    """Scale score (4 ranks), finance score (4 ranks), total, and their ranks."""
+def _each(ranked: DataFrame) -> DataFrame:
+    """The copies of ``rank_rows`` one by one (``__copy`` from 0): equal rows take
+    consecutive places in every ROW_NUMBER."""
+    one = ranked.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col(COPIES).cast("int") - 1)))
+    return one.withColumns({n: F.col(n) + F.col("__copy") for n in ROW_NUMBERS})
+
+
+def each_ranked(ranked: DataFrame) -> DataFrame:
+    """``rank_rows`` as the rows of ``asm_rank``."""
+    return _each(ranked).drop("__copy", "__row", COPIES)
+
+
+def asm_rank(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame, store) -> DataFrame:
+    """The joined inputs with the 8 ranks, all from one range exchange."""
+    return each_ranked(rank_rows(asm_joined(averages, npl_asm, lookup).withColumn(COPIES, F.lit(1).cast("bigint")), store))
+
+
+def _with_scores(ranked: DataFrame) -> DataFrame:
     scale = F.col("rank_ltn") + F.col("rank_psdn") + F.col("rank_approval") + F.col("rank_npl")
     fin = F.col("rank_cir") + F.col("rank_margin") + F.col("rank_hs_von") + F.col("rank_hsbp")
-    s = ranked.select("*", scale.cast("bigint").alias("diem_quymo"), fin.cast("bigint").alias("diem_fin"),
-                      (scale + fin).cast("bigint").alias("tong_diem"))
-    s = ranking.ranks_together(s, SCORE_RANKS, "month_key", [F.col(c) for c in (*TIE_BREAK, "rank_ltn")], store)
+    return ranked.select("*", scale.cast("bigint").alias("diem_quymo"), fin.cast("bigint").alias("diem_fin"),
+                         (scale + fin).cast("bigint").alias("tong_diem"))
+
+
+def _report_columns(s: DataFrame) -> DataFrame:
     renamed = {"rank_ltn_avg": "rank_ltn", "rank_psdn_avg": "rank_psdn",
                "rank_approval_rate_avg": "rank_approval", "rank_npl_truoc_wo_luy_ke": "rank_npl",
                "rank_hsbq_nhan_su": "rank_hsbp"}
@@ -196,9 +280,24 @@ def asm_score(ranked: DataFrame, store) -> DataFrame:
     return s.select(*cols)
 
 
+def asm_score(ranked: DataFrame, store) -> DataFrame:
+    """Scale score (4 ranks), finance score (4 ranks), total, and their ranks."""
+    return _report_columns(ranking.ranks_together(_with_scores(ranked), SCORE_RANKS, "month_key",
+                                                  [F.col(c) for c in (*TIE_BREAK, "rank_ltn")], store))
+
+
+def score_rows(ranked: DataFrame, store) -> DataFrame:
+    """``asm_score`` of ``rank_rows``.  Copies differ in their ROW_NUMBERs, so in
+    their scores; ``__row`` and ``__copy`` order them like TIE_BREAK and
+    rank_ltn, so only narrow entries are sorted and the wide rows, still one for
+    all copies, move once."""
+    scored = ranking.rank_columns(_with_scores(ranked), SCORE_RANKS, "month_key", store, copies=COPIES,
+                                  each=_with_scores(_each(ranked)))
+    names = [*ROW_NUMBERS, "diem_quymo", "tong_diem"]
+    plus = {n: F.col(n) + F.col("__copy") * (1 if n in ROW_NUMBERS else len(ROW_NUMBERS)) for n in names}
+    return _report_columns(scored.withColumns(plus))
+
+
 def asm_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
-               months: DataFrame, store, averages: DataFrame | None = None) -> DataFrame:
-    averages = averages if averages is not None else asm_averages(fact_kpi_asm, months)
-    npl_asm = npl_by_asm(fact_kpi_asm, areas, npl_area, months)
-    lookup = finance_lookup(fact_kpi_asm, areas, finance, months)
-    return asm_score(asm_rank(averages, npl_asm, lookup, store), store)
+               months: DataFrame, store) -> DataFrame:
+    return score_rows(rank_rows(asm_rows(fact_kpi_asm, areas, finance, npl_area, months), store), store)

@@ -3,8 +3,8 @@
 ``ROW_NUMBER() OVER (ORDER BY x)`` gathers its rows in one task, and so does a
 window per month.  Here rows (or distinct keys) are range-partitioned on
 (group, order keys), so partition i holds a contiguous slice of the order; the
-tagged slice is written once; slices get their offsets from the running sum of
-one row per (partition, group); and a window inside each slice does the rest.
+slice is sorted and written once, with running sums; and slices get their
+offsets from the running sum of one row per (partition, group).
 
 ``rank`` and ``dense_rank`` number the *distinct keys*: the keys' row counts
 are partial aggregates, their prefix sums give both ranks, and the rows join
@@ -22,10 +22,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Store = Callable[[DataFrame, str], DataFrame]
+#: Up to this many keys (or slices of groups) are broadcast to the rows (some MB).
+SMALL_KEYS = 100_000
 
 
 def _eq_null_safe(left: str, right: str, cols: list[str]) -> Column:
@@ -33,24 +39,61 @@ def _eq_null_safe(left: str, right: str, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in cols])
 
 
-def _slices(df: DataFrame, order: list[Column], parts: list[str], store: Store, num_partitions: int | None) -> DataFrame:
-    """The rows with the number of the range partition that holds them."""
+def _running_sums(parts: list[str]):
+    """For ``mapInArrow`` over sorted slices: ``__in``, the sum of ``__w`` over the
+    earlier rows of the slice that have the same ``parts``."""
+    def same(a: pa.Array, b: pa.Array) -> np.ndarray:
+        out = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(a.type):
+            out = pc.or_(out, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        return out.to_numpy(zero_copy_only=False)
+
+    def run(batches):
+        last, carry = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            starts = np.zeros(n, dtype=bool)
+            for i, c in enumerate(parts):
+                col = batch.column(c)
+                starts[0] |= last is not None and not same(last[i], col.slice(0, 1))[0]
+                starts[1:] |= ~same(col.slice(0, n - 1), col.slice(1))
+            last = [batch.column(c).slice(n - 1, 1) for c in parts]
+            w = batch.column("__w").to_numpy(zero_copy_only=False)
+            earlier = np.cumsum(w) - w
+            first = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
+            inside = earlier - np.where(first >= 0, earlier[first], -carry)
+            carry = int(inside[-1] + w[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(inside, pa.int64())], names=[*batch.schema.names, "__in"])
+    return run
+
+
+def _slices(df: DataFrame, order: list[Column], parts: list[str], weight: Column, store: Store,
+            num_partitions: int | None) -> DataFrame:
+    """The rows with the number of the range partition that holds them (sorted)
+    and the running sum of the weight in it.  One exchange: the sums are taken
+    where the rows were sorted."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in parts] + list(order)
-    return store(df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id()), "ranked")
+    rows = df.withColumn("__w", F.coalesce(weight.cast("bigint"), F.lit(0).cast("bigint")))
+    rows = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__pid", F.spark_partition_id())
+    schema = T.StructType([*rows.schema.fields, T.StructField("__in", T.LongType())])
+    return store(rows.mapInArrow(_running_sums(parts), schema), "ranked")
 
 
-def _before(sliced: DataFrame, order: list[Column], parts: list[str], weight: Column, name: str) -> DataFrame:
-    """``name``: sum of ``weight`` over the rows of the group that come earlier."""
-    inside = Window.partitionBy("__pid", *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _before(sliced: DataFrame, parts: list[str], name: str) -> DataFrame:
+    """``name``: sum of the weight over the rows of the group that come earlier."""
     earlier = Window.partitionBy(*(parts or [F.lit(0)])).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy("__pid", *parts).agg(F.sum(weight).alias("__n"))
+    totals = sliced.groupBy("__pid", *parts).agg(F.sum("__w").alias("__n"))
     offsets = totals.select("__pid", *parts, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
-    t, o = sliced.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("t"), offsets.alias("o")
+    # a row per slice and group that it holds: few, unless the groups are many
+    few = totals.count() <= SMALL_KEYS
+    t, o = sliced.alias("t"), (F.broadcast(offsets) if few else offsets).alias("o")
     cond = F.col("t.__pid") == F.col("o.__pid")
     if parts:
         cond = cond & _eq_null_safe("t", "o", parts)
-    cols = [F.col(f"t.`{c}`") for c in sliced.columns if c != "__pid"]
+    cols = [F.col(f"t.`{c}`") for c in sliced.columns if c not in ("__pid", "__w", "__in")]
     return t.join(o, cond).select(*cols, (F.col("t.__in") + F.col("o.__off")).alias(name))
 
 
@@ -58,7 +101,7 @@ def prefix_sums(df: DataFrame, order: list[Column], partition_by: list[str] | No
                 name: str, num_partitions: int | None = None) -> DataFrame:
     """``name``: sum of ``weight`` over the rows of the group that come earlier."""
     parts = list(partition_by or [])
-    return _before(_slices(df, order, parts, store, num_partitions), order, parts, weight, name)
+    return _before(_slices(df, order, parts, weight, store, num_partitions), parts, name)
 
 
 def row_number(df: DataFrame, order: list[Column], partition_by: list[str] | None, store: Store,
@@ -104,65 +147,103 @@ class RankSpec:
 
 
 _EXACT = "decimal(38,10)"
+_KEY = ["__k0", "__k1", "__k2"]
 
 
-def _sort_key(df: DataFrame, spec: RankSpec) -> list[Column]:
+def _sort_key(df: DataFrame, spec: RankSpec, exact: str) -> list[Column]:
     """Three ascending columns that order like the spec: NULL flag, the value
-    as a double, and as a decimal (a measure uses the one of its type)."""
+    as a double, and as an exact number (a measure uses the one of its type)."""
     v = F.col(f"`{spec.value}`")
     real = dict(df.dtypes)[spec.value] in ("double", "float")
     nulls = v.isNotNull() if spec.descending else v.isNull()
     d = v.cast("double") if real else F.lit(None).cast("double")
-    x = F.lit(None).cast(_EXACT) if real else v.cast(_EXACT)
-    return [nulls.cast("int").alias("__k0"), (-d if spec.descending else d).alias("__k1"),
-            (-x if spec.descending else x).cast(_EXACT).alias("__k2")]
+    x = F.lit(None).cast(exact) if real else v.cast(exact)
+    return [nulls.cast("tinyint").alias("__k0"), (-d if spec.descending else d).alias("__k1"),
+            (-x if spec.descending else x).cast(exact).alias("__k2")]
 
 
-_KEY = ["__k0", "__k1", "__k2"]
+def _exact_type(df: DataFrame, specs: list[RankSpec]) -> str:
+    types = {dict(df.dtypes)[s.value] for s in specs}
+    return "bigint" if types <= {"double", "float", "tinyint", "smallint", "int", "bigint"} else _EXACT
 
 
-def ranks_together(df: DataFrame, specs: list[RankSpec], partition_by: str, tie_break: list[Column], store: Store,
-                   num_partitions: int | None = None) -> DataFrame:
-    """``df`` with one rank column per spec, each per ``partition_by``.
+def numbered_rows(df: DataFrame, partition_by: str, tie_break: list[Column], store: Store,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df``, written once in the order of the group and the tie-break, with
+    ``__row``: numbers that grow in that order, so that they stand for the
+    tie-break (NULL last) wherever rows are ordered."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(f"`{partition_by}`").asc_nulls_first(), *[c.asc_nulls_last() for c in tie_break]]
+    rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return store(rows.withColumn("__row", F.monotonically_increasing_id()), "rank_rows")
+
+
+def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, store: Store, num_partitions: int | None = None,
+                 copies: str | None = None, each: DataFrame | None = None) -> DataFrame:
+    """``base`` (from ``numbered_rows``) with a rank column per spec.
 
-    The rows are written once with a number of their own.  Every ROW_NUMBER
-    contributes one entry per row, every RANK and DENSE_RANK one per distinct
-    key; the entries of all specs are range-partitioned and written **once** by
-    (spec, group, key, tie-break, row), and prefix sums over the slices give all
-    numbers.  Ranks go back to the rows by one join on the key and one on the
-    row.  ROW_NUMBER ties are broken by ``tie_break`` and then by the row, the
-    same way for every spec.
+    ``copies``: the column that says how many equal rows a row stands for; a
+    ROW_NUMBER is then that of the first of them.  ``each``: the rows one by one
+    (``__row``, ``__copy`` from 0, the group and the values), where the values
+    of the ROW_NUMBERs differ between copies; the result has a row per copy.
+
+    Every ROW_NUMBER contributes one narrow entry per row, every RANK and
+    DENSE_RANK one per distinct key; the entries of all specs are
+    range-partitioned and written **once** by (spec, group, key, row), and prefix
+    sums over the slices give all numbers.  ROW_NUMBERs go back by joins on the
+    row; ranks by one on the key, which is broadcast if the keys are few.
     """
-    part = F.col(f"`{partition_by}`")
-    base = store(df.withColumn("__row", F.monotonically_increasing_id()), "rank_rows")
+    part, ids = F.col(f"`{partition_by}`"), ["__row", *(["__copy"] if each is not None else [])]
     numbered = [(i, s) for i, s in enumerate(specs) if s.function == "row_number"]
     keyed = [(i, s) for i, s in enumerate(specs) if s.function != "row_number"]
-    tie = F.struct(*[x for i, c in enumerate(tie_break) for x in (c.isNull().alias(f"n{i}"), c.alias(f"t{i}"))])
+    many = F.col(f"`{copies}`").cast("bigint") if copies else F.lit(1).cast("bigint")
+    key_type = _exact_type(base, [s for _, s in keyed])
+    exact = _EXACT if _EXACT in (key_type, _exact_type(each if each is not None else base, [s for _, s in numbered])) else "bigint"
 
-    def long(chosen, *more: Column) -> DataFrame:
-        entry = F.array(*[F.struct(F.lit(i).alias("__m"), *_sort_key(base, s)) for i, s in chosen])
-        return base.select(part.alias("__part"), "__row", *more, F.explode(entry).alias("e")).select(
-            "e.__m", "__part", *[f"e.{k}" for k in _KEY], *[c for c in ("__tie",) if more], "__row")
+    def long(df: DataFrame, chosen, *more: Column) -> DataFrame:
+        entry = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("__m"), *_sort_key(df, s, exact)) for i, s in chosen])
+        return df.select(part.alias("__part"), *more, F.explode(entry).alias("e")).select(
+            "e.__m", "__part", *[f"e.{k}" for k in _KEY], *[c for c in ("__row", "__copy", "__w") if c in {*ids, "__w"}])
 
     entries = []
     if numbered:
-        entries.append(long(numbered, tie.alias("__tie")).withColumn("__w", F.lit(1).cast("bigint")))
-    by_key = None
+        rows = each if each is not None else base
+        entries.append(long(rows, numbered, *ids, (many if each is None else F.lit(1).cast("bigint")).alias("__w")))
     if keyed:
-        by_key = long(keyed)
         counted = [i for i, s in keyed if s.function == "rank"]
-        weight = F.when(F.col("__m").isin(counted), F.col("__rows")).otherwise(1)
-        keys = by_key.groupBy("__m", "__part", *_KEY).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__w", weight)
-        none = F.lit(None).cast(entries[0].schema["__tie"].dataType) if entries else F.lit(None).cast("int")
-        entries.append(keys.select("__m", "__part", *_KEY, none.alias("__tie"), F.lit(None).cast("bigint").alias("__row"), "__w"))
-    order = [F.col(c).asc_nulls_first() for c in (*_KEY, "__tie", "__row")]
-    placed = prefix_sums(reduce(DataFrame.unionByName, entries), order, ["__m", "__part"], F.col("__w"), store, "__before",
-                         num_partitions)
-    found = [placed.where(F.col("__row").isNotNull()).select("__row", "__m", "__before")] if numbered else []
+        nothing = [F.lit(None).cast("bigint" if c == "__row" else "int").alias(c) for c in ids]
+        keys = long(base.withColumns({c: x for c, x in zip(ids, nothing)}), keyed, *ids, many.alias("__w"))
+        keys = keys.groupBy("__m", "__part", *_KEY).agg(F.sum("__w").alias("__rows"))
+        weight = F.when(F.col("__m").isin(counted), F.col("__rows")).otherwise(1).cast("bigint")
+        entries.append(keys.select("__m", "__part", *_KEY, *nothing, weight.alias("__w")))
+    order = [F.col(c).asc_nulls_first() for c in (*_KEY, *ids)]
+    placed = prefix_sums(reduce(DataFrame.unionByName, [e.withColumnRenamed("__w", "__weight") for e in entries]), order,
+                         ["__m", "__part"], F.col("__weight"), store, "__before", num_partitions)
+    number = (F.col("__before") + 1).cast("int")
+    out = base
+    if numbered:
+        found = [placed.where(F.col("__row").isNotNull() & (F.col("__m") == i)).select(*ids, number.alias(s.name)) for i, s in numbered]
+        out = out.join(reduce(lambda a, b: a.join(b, ids), found), "__row")
     if keyed:
-        k = placed.where(F.col("__row").isNull()).select("__m", "__part", *_KEY, "__before").alias("k")
-        r = by_key.alias("r")
-        found.append(r.join(k, _eq_null_safe("r", "k", ["__m", "__part", *_KEY])).select("r.__row", "r.__m", "k.__before"))
-    wide = reduce(DataFrame.unionByName, found).groupBy("__row").agg(
-        *[(F.max(F.when(F.col("__m") == i, F.col("__before"))) + 1).cast("int").alias(s.name) for i, s in enumerate(specs)])
-    return base.join(wide, "__row").select(*[F.col(f"`{c}`") for c in df.columns], *[s.name for s in specs])
+        k = placed.where(F.col("__row").isNull())
+        few = k.count() <= SMALL_KEYS
+        for i, s in keyed:
+            one = k.where(F.col("__m") == i).select(F.col("__part"), *_KEY, number.alias(s.name))
+            a, b = out.withColumns({c: x for c, x in zip(_KEY, _sort_key(out, s, exact))}).alias("a"), (F.broadcast(one) if few else one).alias("b")
+            on = F.col(f"a.`{partition_by}`").eqNullSafe(F.col("b.__part")) & _eq_null_safe("a", "b", _KEY)
+            out = a.join(b, on).select(*[F.col(f"a.`{c}`") for c in out.columns], F.col(f"b.{s.name}"))
+    return out
+
+
+def ranks_together(df: DataFrame, specs: list[RankSpec], partition_by: str, tie_break: list[Column], store: Store,
+                   num_partitions: int | None = None) -> DataFrame:
+    """``df`` with one rank column per spec, each per ``partition_by``.
+
+    The rows are written once in the order of the tie-break, with a number of
+    their own (``numbered_rows``); ``rank_columns`` does the rest.  ROW_NUMBER
+    ties are broken by ``tie_break`` and then by the row, the same way for every
+    spec.
+    """
+    base = numbered_rows(df, partition_by, tie_break, store, num_partitions)
+    ranked = rank_columns(base, specs, partition_by, store, num_partitions)
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], *[s.name for s in specs])

@@ -16,8 +16,8 @@ which ``close()`` removes, so:
 Written (lineage cut): the KPI sheet, the monthly posting aggregate, the
 ratio table, the allocated lines, the finance and ASM reports — the steps whose
 plans are long or are read by several later plans.  Cached only: the snapshot
-cells, the headcount cells and the per-salesperson ASM inputs — short
-scan -> aggregate lineages, rebuilt from their shuffle output if a cached
+cells, the headcount cells and, where they are asked for themselves, the
+per-salesperson ASM inputs — short scan -> aggregate lineages, rebuilt from their shuffle output if a cached
 block is lost.
 """
 
@@ -65,9 +65,10 @@ class Books:
 
     # -- construction ------------------------------------------------------
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, months=None, **kw) -> Books:
-        """Bind the domain tables to the TPC-H-like test tables."""
-        kpi = reshape.unpivot_kpi(bindings.kpi_asm_wide(spark, sf_dir))
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, months=None, wide: DataFrame | None = None, **kw) -> Books:
+        """Bind the domain tables to the TPC-H-like test tables.  ``wide``: the
+        KPI sheet, if it is derived already."""
+        kpi = reshape.unpivot_kpi(wide if wide is not None else bindings.kpi_asm_wide(spark, sf_dir))
         snapshot = bindings.kpi_month_raw(spark, sf_dir)
         folder = kw.pop("folder", None) or RunFolder(spark)
         # the sheet is derived from the largest test table; keep it like a
@@ -175,14 +176,17 @@ class Books:
 
     @cached_property
     def asm(self) -> DataFrame:
-        """``report_asm_final_table`` for all report months.  Its three inputs
-        (one row per salesperson and month, bounded by headcount) are cached:
-        the 8-way join reads each of them several times."""
-        return self._keep(A.asm_score(self.asm_ranked, self.folder.write), "asm")
+        """``report_asm_final_table`` for all report months."""
+        return self._keep(A.score_rows(self.asm_rank_rows, self.folder.write), "asm")
+
+    @cached_property
+    def asm_rank_rows(self) -> DataFrame:
+        rows = A.asm_rows(self.kpi_asm, self.areas, self.finance, self.npl_by_area, self.months)
+        return A.rank_rows(rows, self.folder.write)
 
     @cached_property
     def asm_ranked(self) -> DataFrame:
-        return A.asm_rank(self.asm_averages, self.npl_by_asm, self.finance_lookup, self.folder.write)
+        return A.each_ranked(self.asm_rank_rows)
 
     def head_totals(self) -> DataFrame:
         return allocation.head_totals(self.cumulative_postings, self.months)

@@ -227,8 +227,7 @@ def step_asm(spark: SparkSession, t: Tables, months: list[int], log: list, out:
         b = books_for(spark, t, months)
         try:
             fin = out.read(t.finance_table, S.REPORT_FINANCE, months=months)
-            report = A.asm_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, b.folder.write,
-                                  averages=b.asm_averages)
+            report = A.asm_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, b.folder.write)
             _stage(out, t, "asm", report, months)
         finally:
             b.close()

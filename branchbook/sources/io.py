@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from branchbook.operators import reshape
 from branchbook.sources import schemas as S
-from branchbook.sources.publish import Publisher, log_of
+from branchbook.sources.publish import SLOT, Publisher, log_of
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -47,15 +47,15 @@ def bad_records(df: DataFrame) -> DataFrame:
 
 
 def _load(df: DataFrame, out: str, month_col: str, append: bool, load_id: str | None,
-          commit_id: str | None = None) -> DataFrame:
+          commit_id: str | None = None, derive=None) -> DataFrame:
     """Load rows into a month table.  By default a load replaces exactly the
     months it brings (re-runnable) and its own rows without a month, and leaves
     all others as they are; ``append`` adds rows, as the original's INSERT does.
     The fingerprints of its months tell a later run which months changed."""
     p = Publisher(df.sparkSession, log_of(out))
-    p.stage(df, out, month_col, adds=append, load_id=load_id, fingerprint=True)
+    p.stage(df, out, month_col, adds=append, load_id=load_id, fingerprint=True, derive=derive)
     p.commit(commit_id)
-    return p.read(out, df.schema)
+    return p.read(out, derive(df).schema if derive else df.schema)
 
 
 def stage_postings(raw: DataFrame, out: str, append: bool = False, load_id: str | None = None,
@@ -63,14 +63,21 @@ def stage_postings(raw: DataFrame, out: str, append: bool = False, load_id: str
     """Raw ledger postings -> decoded ``fact_txn_month_data`` by ``post_month``.
     Postings without a date belong to no month; ``load_id`` (a file's name, say;
     by default a fingerprint of those rows) tells whose they are."""
-    decoded = reshape.decode_analysis_code(raw.drop(BAD_RECORD))
     month = (F.year("transaction_date") * 100 + F.month("transaction_date")).cast("int")
-    return _load(decoded.withColumn("post_month", month), out, "post_month", append, load_id, commit_id)
+
+    def decoded(rows: DataFrame) -> DataFrame:
+        return reshape.decode_analysis_code(rows, ["post_month", *[c for c in rows.columns if c == SLOT]])
+
+    raw = raw.select("transaction_date", "account_code", "account_description", "analysis_code", "amount", "d_c", month.alias("post_month"))
+    return _load(raw, out, "post_month", append, load_id, commit_id, decoded)
 
 
 def stage_kpi_sheet(wide: DataFrame, out: str, append: bool = False, load_id: str | None = None) -> DataFrame:
     """Wide KPI sheet -> long ``fact_kpi_asm``, one folder per load (``month_key``)."""
-    return _load(reshape.unpivot_kpi(wide.drop(BAD_RECORD)), out, "month_key", append, load_id)
+    def unpivoted(rows: DataFrame) -> DataFrame:
+        return reshape.unpivot_kpi(rows, [c for c in rows.columns if c == SLOT])
+
+    return _load(wide.drop(BAD_RECORD), out, "month_key", append, load_id, derive=unpivoted)
 
 
 def stage_snapshot(raw: DataFrame, out: str, append: bool = False, load_id: str | None = None) -> DataFrame:

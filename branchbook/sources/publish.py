@@ -25,7 +25,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -121,7 +121,7 @@ class Publisher:
 
     # -- writing -----------------------------------------------------------
     def stage(self, df: DataFrame, table: str, month_col: str, months: Iterable[int] | None = None, adds: bool = False,
-              load_id: str | None = None, fingerprint: bool = False) -> list[str]:
+              load_id: str | None = None, fingerprint: bool = False, derive: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
         """Write ``df`` as a new version of its months; returns the slots written.
 
         ``months``: exactly these months are replaced (one that has no rows
@@ -129,15 +129,19 @@ class Publisher:
         that ``df`` brings and its undated rows are replaced (``adds``: added
         to).  ``load_id`` names the load for its undated rows; by default it is
         their fingerprint, so that the same load run again replaces itself.
+        ``derive``: the stored rows from rows of ``df`` (it keeps ``slot``, if
+        there); applied where they are written, so that only ``df`` moves.
         """
         version = uuid.uuid4().hex
         if months is not None:
             months = sorted({int(m) for m in months})
             df = df.where(F.col(month_col).isin(months))
+        stored = derive(df) if derive else df
         undated = F.col(month_col).isNull()
         seen = Observation(f"slots of {version}")
-        hashes = F.sum(F.when(undated, F.xxhash64(*df.columns)).cast("decimal(38,0)"))
+        hashes = F.sum(F.when(undated, F.xxhash64(*stored.columns)).cast("decimal(38,0)"))
         rows = df.withColumn(SLOT, F.coalesce(F.col(month_col).cast("string"), F.lit(UNDATED))).hint("rebalance", SLOT)
+        rows = derive(rows) if derive else rows
         # observed by the write itself (above the exchange, which an empty table would take away)
         rows = rows.observe(seen, F.collect_set(SLOT).alias("slots"), F.count(F.when(undated, 1)).alias("n"), hashes.alias("h"))
         rows.write.partitionBy(SLOT).parquet(f"{table}/version={version}")
@@ -146,8 +150,8 @@ class Publisher:
         own = f"{UNDATED}:{load_id or '{n}-{h}'.format(**got)}"
         prints = {}
         if fingerprint and written:
-            files = self.spark.read.schema(df.schema.add(SLOT, T.StringType())).parquet(f"{table}/version={version}")
-            prints = {r[SLOT]: r.fingerprint for r in fingerprints(files, df.columns).collect()}     # one row per slot
+            files = self.spark.read.schema(T.StructType([*stored.schema.fields, T.StructField(SLOT, T.StringType())])).parquet(f"{table}/version={version}")
+            prints = {r[SLOT]: r.fingerprint for r in fingerprints(files, stored.columns).collect()}     # one row per slot
         for s in written:
             self.pending.append(Entry(table, own if s == UNDATED else s, version, adds, prints.get(s)))
         for m in months or []:

@@ -206,3 +206,14 @@ def test_failed_months_are_tried_again(spark, scratch, staged, monkeypatch):
     runner.run_changed(spark, t)
     runner.run_changed(spark, t)
     assert ran == [("finance", [199701, 199702]), ("finance", [199702])]
+
+
+def test_postings_are_decoded_where_they_are_written(spark, scratch):
+    """Only the raw columns move; the stored rows are those of decoding first."""
+    import datetime as dt
+    from branchbook.operators import reshape
+    from branchbook.sources import io
+    raw = spark.createDataFrame([(dt.date(2023, 1, 5), "7020", "GL", "NU.01.B.05.POS_7", 5, "D"), (None, "7021", "GL", None, 6, "C")], S.TXN_RAW)
+    moved = io.stage_postings(raw, f"{scratch}/p")
+    want = reshape.decode_analysis_code(raw).withColumn("post_month", F.when(F.col("transaction_date").isNotNull(), 202301))
+    assert moved.columns == want.columns and sorted(map(str, moved.collect())) == sorted(map(str, want.collect()))

@@ -84,3 +84,24 @@ def test_ranks_together_of_an_empty_table(spark):
     got = ranking.ranks_together(df, [ranking.RankSpec("r", "rank", "v"), ranking.RankSpec("n", "row_number", "v")], "g",
                                  [F.col("v")], RunFolder(spark).write)
     assert got.columns == ["g", "v", "r", "n"] and got.collect() == []
+
+
+def test_running_sums_need_no_second_exchange_of_the_rows(spark):
+    """The slice is written with its running sums: the rows move once, and the plan over what is written has none."""
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 2000).alias("v"))
+    got = ranking.prefix_sums(df, [F.col("v").asc()], ["g"], F.col("v"), RunFolder(spark).write, "before", num_partitions=5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and not [x for x in plan.split("\n") if "hashpartitioning" in x and "v#" in x]
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("g", "v", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("before"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_equal_rows_are_ranked_as_one_with_their_number(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, 3), (1, "b", 1.0, 1), (1, "c", None, 2)], "g int, id string, v double, n long")
+    S = ranking.RankSpec
+    specs = [S("rn", "row_number", "v"), S("rk", "rank", "v"), S("dr", "dense_rank", "v")]
+    store = RunFolder(spark).write
+    base = ranking.numbered_rows(df, "g", [F.col("id")], store, 3)
+    got = ranking.rank_columns(base, specs, "g", store, 3, copies="n").select("id", "rn", "rk", "dr").collect()
+    assert sorted(map(tuple, got)) == [("a", 2, 2, 2), ("b", 1, 1, 1), ("c", 5, 5, 3)]
