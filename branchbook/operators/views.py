@@ -72,14 +72,25 @@ def report_finance_crosstab(report: DataFrame, areas: DataFrame, tree: DataFrame
                      *[F.col(f"`{n}`") for n in names])
 
 
+def _cutoffs(report: DataFrame, place, k: int, pieces: int = 64) -> DataFrame:
+    """Per month bounds that its k smallest and k largest places keep: the k-th
+    smallest of the minima (and k-th largest of the maxima) of any pieces of the
+    month, since k rows reach it.  NULL (all rows stay) if fewer than k pieces
+    have rows.  One narrow aggregate of months x pieces rows."""
+    piece = F.pmod(F.xxhash64("email", "area_name", "rank_final"), F.lit(pieces))
+    ends = report.groupBy(F.col("month_key").alias("__month"), piece.alias("p")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    kth = lambda c, up: F.get(F.sort_array(F.collect_list(c), up), F.lit(k - 1))
+    return ends.groupBy("__month").agg(kth("lo", True).alias("__upto"), kth("hi", False).alias("__from"))
+
+
 def heat_map(report_asm: DataFrame, k: int = 3, ordered: bool = False) -> DataFrame:
     """Top-k and bottom-k salespeople of each month by ``rank_final``, with 5
     KPIs unpivoted (CIR as its absolute value).
 
-    Top and bottom are two separate per-month top-k windows (each eligible
-    for Spark's window group limit, which keeps only k rows per month before
-    the sort), unioned; a row in both (months with fewer than 2k people)
-    appears once.  Ties on rank_final are broken by (email, area_name).
+    Top and bottom are two separate per-month top-k windows, unioned; a row in
+    both (months with fewer than 2k people) appears once.  Ties on rank_final are
+    broken by (email, area_name).  The windows sort only the rows that can be
+    among the k (``_cutoffs``): no task sorts the report.
     """
     base = report_asm.select("month_key", "email", "area_name", "rank_final", "ltn_avg", "psdn_avg",
                              "approval_rate_avg", "npl_truoc_wo_luy_ke", "cir")
@@ -89,8 +100,12 @@ def heat_map(report_asm: DataFrame, k: int = 3, ordered: bool = False) -> DataFr
     desc = Window.partitionBy("month_key").orderBy(F.col("rank_final").desc_nulls_first(),
                                                    F.col("email").desc_nulls_first(),
                                                    F.col("area_name").desc_nulls_first())
-    top = base.withColumn("rn", F.row_number().over(asc)).where(F.col("rn") <= k).drop("rn")
-    bottom = base.withColumn("rn", F.row_number().over(desc)).where(F.col("rn") <= k).drop("rn")
+    place = F.coalesce(F.col("rank_final").cast("bigint"), F.lit(2**63 - 1))     # NULL is the largest
+    base = base.join(F.broadcast(_cutoffs(base, place, k)), F.col("month_key").eqNullSafe(F.col("__month")))
+    low = base.where(F.col("__upto").isNull() | (place <= F.col("__upto"))).drop("__month", "__upto", "__from")
+    high = base.where(F.col("__from").isNull() | (place >= F.col("__from"))).drop("__month", "__upto", "__from")
+    top = low.withColumn("rn", F.row_number().over(asc)).where(F.col("rn") <= k).drop("rn")
+    bottom = high.withColumn("rn", F.row_number().over(desc)).where(F.col("rn") <= k).drop("rn")
     picked = top.unionByName(bottom).distinct()
     kpis = seeds.heat_map_kpis()
     args = [F.lit(len(kpis))]

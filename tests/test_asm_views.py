@@ -111,3 +111,50 @@ def test_heat_map_picks_top_and_bottom_three(spark):
     rep = spark.createDataFrame(rows, S.REPORT_ASM)
     ranks = sorted({r.rank_for_sort for r in views.heat_map(rep).collect()})
     assert ranks == [1, 2, 3, 8, 9, 10]
+
+
+def _sheet(spark, rows):
+    return spark.createDataFrame(rows, S.FACT_KPI_ASM)
+
+
+def test_rows_by_month_of_the_year_equal_the_joins_by_month(spark):
+    """Emails under two names and areas, missing ones, an area name with two codes, lines that are missing, doubled or NULL."""
+    names = [f.name for f in S.FACT_KPI_ASM.fields]
+
+    def row(**kw):
+        return tuple(kw.get(n) for n in names)
+
+    rows = []
+    for i, (email, area, sale) in enumerate([("x@x", "Bee", "x"), ("x@x", "Cee", "x2"), ("y@x", "Bee", "y"), ("z@x", "Zed", "z"), (None, "Bee", "n"),
+                                             (None, "Cee", "n2"), ("t@x", "Two", "t"), ("u@x", None, "u")]):
+        for load in (202105, 202205):
+            for m in (1, 2, 3):
+                rows.append(row(month_key=load, month_col=m, area_name=area, sale_name=sale, email=email, loan_to_new=None if i == 2 and m < 2 else 10 * i + m,
+                                psdn=None if i == 3 else i, approval_rate=None if (i + m) % 4 == 0 else 0.25 * m))
+    kpi = _sheet(spark, rows)
+    areas = spark.createDataFrame([("B", "Bee", "01"), ("C", "Cee", "01"), ("T", "Two", "02"), ("U", "Two", "02")], S.DIM_AREA)
+    months = spark.createDataFrame([(202201,), (202202,), (202207,)], "report_month int")
+    fin = [(m, i, a, None if (i, a) == (30, "C") else D(i + len(a) if a in "TU" else i + ord(a)))
+           for m in (202201, 202202, 202207) for i in (29, 30, 31, 32) for a in "BCTU" if (m, a, i) != (202202, "B", 31)]
+    finance = _report(spark, [*fin, (202201, 29, "B", D(95)), (202201, 29, "B", D(95))])
+    npl = spark.createDataFrame([(202201, "B", 1.5), (202202, "C", 2.5), (202201, "T", 3.5)], "month_key int, area_code string, npl_truoc_wo_luy_ke double")
+    averages = A.asm_averages(kpi, months)
+    want = A.asm_joined(averages, A.npl_by_asm(kpi, areas, npl, months), A.finance_lookup(kpi, areas, finance, months))
+    rows = A.asm_rows(kpi, areas, finance, npl, months)
+    got = rows.select(*want.columns, F.explode(F.sequence(F.lit(1), F.col(A.COPIES).cast("int")))).drop("col")
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect())) and want.count() > 60
+    # ranks and scores of the copies are those of the rows one by one
+    store = RunFolder(spark).write
+    ranked = A.asm_rank(averages, A.npl_by_asm(kpi, areas, npl, months), A.finance_lookup(kpi, areas, finance, months), store)
+    report = A.asm_report(kpi, areas, finance, npl, months, store)
+    assert sorted(map(key, report.collect())) == sorted(map(key, A.asm_score(ranked, store).collect()))
+
+
+def test_heat_map_sorts_only_rows_that_can_be_picked(spark):
+    rep = spark.range(5000).select(*[(F.lit(M) if f.name == "month_key" else F.concat(F.lit("p"), F.col("id")) if f.name == "email"
+                                      else F.when(F.col("id") != 4999, F.col("id") + 1) if f.name == "rank_final" else F.lit(None)).cast(f.dataType).alias(f.name)
+                                     for f in S.REPORT_ASM.fields])
+    assert views._cutoffs(rep, F.coalesce(F.col("rank_final").cast("bigint"), F.lit(2**63 - 1)), 3).first()["__upto"] < 200
+    got = {(r.email, r.rank_for_sort) for r in views.heat_map(rep).collect()}
+    assert got == {("p0", 1), ("p1", 2), ("p2", 3), ("p4999", None), ("p4998", 4999), ("p4997", 4998)}
