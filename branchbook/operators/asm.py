@@ -15,7 +15,7 @@ reproducible.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +62,8 @@ def asm_averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def _averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
-    """``asm_averages`` per month of the year (``moy``)."""
+    """``asm_averages`` per month of the year (``moy``); ``n_now``: the rows with
+    an approval rate of that month itself."""
     pre = fact_kpi_asm.groupBy("month_col", "area_name", "sale_name", "email").agg(
         F.sum(F.col("loan_to_new").cast("decimal(19,0)")).alias("s_ltn"), F.count("loan_to_new").alias("n_ltn"),
         F.sum("psdn").alias("s_psdn"), F.count("psdn").alias("n_psdn"),
@@ -70,7 +71,8 @@ def _averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
     g = _up_to_month_of_year(pre, months, "month_col").groupBy("moy", "area_name", "sale_name", "email").agg(
         F.sum("s_ltn").alias("s_ltn"), F.sum("n_ltn").alias("n_ltn"),
         F.sum("s_psdn").alias("s_psdn"), F.sum("n_psdn").alias("n_psdn"),
-        F.sum("s_ar").alias("s_ar"), F.sum("n_ar").alias("n_ar"))
+        F.sum("s_ar").alias("s_ar"), F.sum("n_ar").alias("n_ar"),
+        F.sum(F.when(F.col("month_col") == F.col("moy"), F.col("n_ar")).otherwise(0)).alias("n_now"))
     g = g.where(F.col("n_ltn") + F.col("n_psdn") + F.col("n_ar") > 0)
 
     def avg(s, n):
@@ -78,7 +80,7 @@ def _averages(fact_kpi_asm: DataFrame, months: DataFrame) -> DataFrame:
 
     return g.select(
         "moy", "area_name", "sale_name", "email", avg("s_ltn", "n_ltn").alias("ltn_avg"), "n_ltn",
-        avg("s_psdn", "n_psdn").alias("psdn_avg"), "n_psdn", avg("s_ar", "n_ar").alias("approval_rate_avg"), "n_ar")
+        avg("s_psdn", "n_psdn").alias("psdn_avg"), "n_psdn", avg("s_ar", "n_ar").alias("approval_rate_avg"), "n_ar", "n_now")
 
 
 def measure_averages(averages: DataFrame) -> DataFrame:
@@ -175,23 +177,41 @@ def asm_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_
     ones as one row with their number (``n_copies``).
 
     What a month takes from the sheet depends on the month of the year only, so
-    the joins by email run on a row per salesperson and month of the year.  What
-    it takes from the areas (NPL, lines 29-32) is months x areas rows and is
+    the joins by email are taken inside one row per email and month of the year,
+    which holds the email's identities: one exchange for all of them.  What it
+    takes from the areas (NPL, lines 29-32) is months x areas rows and is
     broadcast to the rows after they are attached to the report months.
     """
-    avg = _averages(fact_kpi_asm, months)
-    l_ = avg.where(F.col("n_ltn") > 0).select("moy", "email", "area_name", "sale_name", "ltn_avg")
-    p_ = avg.where(F.col("n_psdn") > 0).select("moy", "email", "psdn_avg")
-    ar = avg.where(F.col("n_ar") > 0).select("moy", "email", "approval_rate_avg")
+    # the identities of an email (each alone, if it has none: NULL joins nothing), gathered once
+    nobody = F.col("email").isNull()
+    names = areas.groupBy("area_name").agg(F.collect_list(F.struct("area_code")).alias("codes"))
+    g = (_averages(fact_kpi_asm, months).join(names, "area_name", "left")
+         .groupBy("moy", "email", F.when(nobody, F.struct("area_name", "sale_name")).alias("__alone"))
+         .agg(F.collect_list(F.struct("area_name", "sale_name", "ltn_avg", "n_ltn", "psdn_avg", "n_psdn", "approval_rate_avg",
+                                      "n_ar", "n_now", "codes")).alias("__all")))
+    s = F.col("__all")
+    joined = lambda count: F.filter(F.when(~nobody, s), lambda x: x[count] > 0)
     # a sheet row of the month itself gives a row with its area's NPL (which may be missing)
-    rated = fact_kpi_asm.where(F.col("approval_rate").isNotNull() & F.col("email").isNotNull())
-    n_ = rated.groupBy(F.col("month_col").alias("moy"), "email", "area_name").agg(F.count(F.lit(1)).alias(COPIES))
-    n_ = area_by_name(n_, areas).select("moy", "email", F.col("area_code").alias("__npl_area"), COPIES)
+    now = joined("n_now")
+    named = lambda **of: F.named_struct(*[x for k, c in of.items() for x in (F.lit(k), c)])
+    rated = F.transform(F.array_distinct(F.transform(now, lambda x: named(area_name=x["area_name"], codes=x["codes"]))), lambda a: named(
+        codes=F.coalesce(a["codes"], F.array(F.struct(F.lit(None).cast("string").alias("area_code")))),
+        n=F.aggregate(F.filter(now, lambda x: x["area_name"].eqNullSafe(a["area_name"])), F.lit(0).cast("bigint"),
+                      lambda n, x: n + x["n_now"])))
+    npl_of = F.flatten(F.transform(rated, lambda a: F.transform(a["codes"], lambda c: named(area_code=c["area_code"], n=a["n"]))))
     # the identities of an email whose areas' lines it gets
-    who = (_people(fact_kpi_asm.where(F.col("email").isNotNull()), areas, months).where(F.col("area_code").isNotNull())
-           .groupBy("moy", "email").agg(F.collect_list(F.struct("area_name", "sale_name", "area_code")).alias("__who")))
-    j = reduce(lambda a, b: a.join(b, ["moy", "email"], "left"), [p_, ar, n_, who], l_)
-    j = _to_report_months(j.withColumn(COPIES, F.coalesce(COPIES, F.lit(1))), months)
+    who = F.array_distinct(F.flatten(F.transform(F.filter(joined("n_ar"), lambda x: x["codes"].isNotNull()), lambda x: F.transform(
+        F.filter(x["codes"], lambda c: c["area_code"].isNotNull()), lambda c: named(
+            area_name=x["area_name"], sale_name=x["sale_name"], area_code=c["area_code"])))))
+    j = g.select("moy", "email", F.transform(joined("n_psdn"), lambda x: x["psdn_avg"]).alias("__p"),
+                 F.transform(joined("n_ar"), lambda x: x["approval_rate_avg"]).alias("__ar"), npl_of.alias("__npl"), who.alias("__who"),
+                 F.inline(F.transform(F.filter(s, lambda x: x["n_ltn"] > 0), lambda x: named(
+                     area_name=x["area_name"], sale_name=x["sale_name"], ltn_avg=x["ltn_avg"]))))
+    for many, of in (("__p", F.explode_outer("__p").alias("psdn_avg")), ("__ar", F.explode_outer("__ar").alias("approval_rate_avg")),
+                     ("__npl", F.inline_outer("__npl").alias("__npl_area", "__n"))):
+        j = j.select(*[c for c in j.columns if c != many], of)
+    j = j.withColumn(COPIES, F.coalesce("__n", F.lit(1))).drop("__n")
+    j = _to_report_months(j, months)
 
     npl = npl_area.select("month_key", F.col("area_code").alias("__npl_area"), "npl_truoc_wo_luy_ke")
     ids = [i for i, _ in FINANCE_LOOKUPS]
@@ -269,7 +289,7 @@ def _with_scores(ranked: DataFrame) -> DataFrame:
                          (scale + fin).cast("bigint").alias("tong_diem"))
 
 
-def _report_columns(s: DataFrame) -> DataFrame:
+def _report_columns(s: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     renamed = {"rank_ltn_avg": "rank_ltn", "rank_psdn_avg": "rank_psdn",
                "rank_approval_rate_avg": "rank_approval", "rank_npl_truoc_wo_luy_ke": "rank_npl",
                "rank_hsbq_nhan_su": "rank_hsbp"}
@@ -277,7 +297,7 @@ def _report_columns(s: DataFrame) -> DataFrame:
     for f in REPORT_ASM.fields:
         src = renamed.get(f.name, f.name)
         cols.append(F.col(src).cast(f.dataType).alias(f.name))
-    return s.select(*cols)
+    return s.select(*cols, *extra)
 
 
 def asm_score(ranked: DataFrame, store) -> DataFrame:
@@ -286,18 +306,33 @@ def asm_score(ranked: DataFrame, store) -> DataFrame:
                                                   [F.col(c) for c in (*TIE_BREAK, "rank_ltn")], store))
 
 
-def score_rows(ranked: DataFrame, store) -> DataFrame:
-    """``asm_score`` of ``rank_rows``.  Copies differ in their ROW_NUMBERs, so in
-    their scores; ``__row`` and ``__copy`` order them like TIE_BREAK and
-    rank_ltn, so only narrow entries are sorted and the wide rows, still one for
-    all copies, move once."""
-    scored = ranking.rank_columns(_with_scores(ranked), SCORE_RANKS, "month_key", store, copies=COPIES,
-                                  each=_with_scores(_each(ranked)))
+def scored_rows(ranked: DataFrame, store) -> DataFrame:
+    """``rank_rows`` with ``__numbers``, the (rank_final, rank_ptkd) of each copy, and
+    rank_fin.  Copies differ in their ROW_NUMBERs, so in their scores; ``__row`` and
+    ``__copy`` order them like TIE_BREAK and rank_ltn, so only narrow entries are
+    sorted and the wide rows, one for all copies, move once."""
+    return ranking.rank_columns(_with_scores(ranked), SCORE_RANKS, "month_key", store, copies=COPIES,
+                                each=_with_scores(_each(ranked)), folded=True)
+
+
+def unfold_scores(scored: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``scored_rows`` as the rows of the report.  ``extra``: more columns to pass through."""
     names = [*ROW_NUMBERS, "diem_quymo", "tong_diem"]
     plus = {n: F.col(n) + F.col("__copy") * (1 if n in ROW_NUMBERS else len(ROW_NUMBERS)) for n in names}
-    return _report_columns(scored.withColumns(plus))
+    return _report_columns(ranking.unfolded(scored).withColumns(plus), extra)
+
+
+def score_rows(ranked: DataFrame, store) -> DataFrame:
+    """``asm_score`` of ``rank_rows``."""
+    return unfold_scores(scored_rows(ranked, store))
+
+
+def scored_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
+                  months: DataFrame, store) -> DataFrame:
+    """``asm_report`` before ``unfold_scores``."""
+    return scored_rows(rank_rows(asm_rows(fact_kpi_asm, areas, finance, npl_area, months), store), store)
 
 
 def asm_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
                months: DataFrame, store) -> DataFrame:
-    return score_rows(rank_rows(asm_rows(fact_kpi_asm, areas, finance, npl_area, months), store), store)
+    return unfold_scores(scored_report(fact_kpi_asm, areas, finance, npl_area, months, store))

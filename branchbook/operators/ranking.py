@@ -179,19 +179,21 @@ def numbered_rows(df: DataFrame, partition_by: str, tie_break: list[Column], sto
 
 
 def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, store: Store, num_partitions: int | None = None,
-                 copies: str | None = None, each: DataFrame | None = None) -> DataFrame:
+                 copies: str | None = None, each: DataFrame | None = None, folded: bool = False) -> DataFrame:
     """``base`` (from ``numbered_rows``) with a rank column per spec.
 
     ``copies``: the column that says how many equal rows a row stands for; a
     ROW_NUMBER is then that of the first of them.  ``each``: the rows one by one
     (``__row``, ``__copy`` from 0, the group and the values), where the values
-    of the ROW_NUMBERs differ between copies; the result has a row per copy.
+    of the ROW_NUMBERs differ between copies; the result has a row per copy, or,
+    ``folded``, still one for all (see ``unfolded``).
 
     Every ROW_NUMBER contributes one narrow entry per row, every RANK and
     DENSE_RANK one per distinct key; the entries of all specs are
     range-partitioned and written **once** by (spec, group, key, row), and prefix
-    sums over the slices give all numbers.  ROW_NUMBERs go back by joins on the
-    row; ranks by one on the key, which is broadcast if the keys are few.
+    sums over the slices give all numbers.  The ROW_NUMBERs of a row and its
+    copies are gathered by the row and go back by one join on it; ranks by one on
+    the key, which is broadcast if the keys are few.
     """
     part, ids = F.col(f"`{partition_by}`"), ["__row", *(["__copy"] if each is not None else [])]
     numbered = [(i, s) for i, s in enumerate(specs) if s.function == "row_number"]
@@ -222,8 +224,18 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     number = (F.col("__before") + 1).cast("int")
     out = base
     if numbered:
-        found = [placed.where(F.col("__row").isNotNull() & (F.col("__m") == i)).select(*ids, number.alias(s.name)) for i, s in numbered]
-        out = out.join(reduce(lambda a, b: a.join(b, ids), found), "__row")
+        # copy, spec and number in one value that orders like them: narrow rows move
+        copy = F.col("__copy").cast("bigint") if each is not None else F.lit(0).cast("bigint")
+        one = F.shiftleft(copy * len(specs) + F.col("__m"), 32) + number
+        found = (placed.where(F.col("__row").isNotNull()).select("__row", one.alias("x")).repartition("__row")
+                 .groupBy("__row").agg(F.array_sort(F.collect_list("x")).alias("x"))
+                 # every copy has a number of each spec
+                 .select("__row", F.transform(F.sequence(F.lit(0), F.size("x") - 1, F.lit(len(numbered))), lambda at: F.struct(
+                     F.floor(F.shiftright(F.get("x", at), 32) / len(specs)).cast("int").alias("__copy"),
+                     *[F.get("x", at + j).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(s.name)
+                       for j, (_, s) in enumerate(numbered)])).alias("__numbers")))
+        # never broadcast: the file of a written, sorted base is far smaller than its rows
+        out = out.join(found.hint("merge"), "__row")
     if keyed:
         k = placed.where(F.col("__row").isNull())
         few = k.count() <= SMALL_KEYS
@@ -232,7 +244,14 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
             a, b = out.withColumns({c: x for c, x in zip(_KEY, _sort_key(out, s, exact))}).alias("a"), (F.broadcast(one) if few else one).alias("b")
             on = F.col(f"a.`{partition_by}`").eqNullSafe(F.col("b.__part")) & _eq_null_safe("a", "b", _KEY)
             out = a.join(b, on).select(*[F.col(f"a.`{c}`") for c in out.columns], F.col(f"b.{s.name}"))
-    return out
+    return unfolded(out, each is not None) if numbered and not folded else out
+
+
+def unfolded(df: DataFrame, copies: bool = True) -> DataFrame:
+    """Folded ``rank_columns``, a row per copy."""
+    names = [f.name for f in df.schema["__numbers"].dataType.elementType.fields if copies or f.name != "__copy"]
+    one = df.withColumn("__numbers", F.explode("__numbers") if copies else F.get("__numbers", F.lit(0)))
+    return one.select(*[F.col(f"`{c}`") for c in df.columns if c != "__numbers"], *[F.col(f"__numbers.{n}").alias(n) for n in names])
 
 
 def ranks_together(df: DataFrame, specs: list[RankSpec], partition_by: str, tie_break: list[Column], store: Store,

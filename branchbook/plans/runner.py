@@ -36,7 +36,7 @@ from branchbook.operators import headcount as H
 from branchbook.operators import ratios as R
 from branchbook.plans.books import Books, monthly_postings
 from branchbook.sources import io, schemas as S, seeds
-from branchbook.sources.publish import Entry, Publisher, log_of, open_table
+from branchbook.sources.publish import SLOT, Entry, Publisher, log_of, open_table
 from branchbook.sources.scratch import RunFolder
 
 
@@ -82,10 +82,15 @@ def read_output(spark: SparkSession, t: Tables, name: str, months=None) -> DataF
     return publisher(spark, t).read(getattr(t, field), schema, months=months)
 
 
-def _stage(out: Publisher, t: Tables, name: str, df: DataFrame, months: list[int]) -> None:
+def _stage(out: Publisher, t: Tables, name: str, df: DataFrame, months: list[int], derive=None) -> None:
+    """``derive``: the table's rows from rows of ``df`` (see ``Publisher.stage``)."""
     field, schema, month_col = OUTPUTS[name]
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    out.stage(typed, getattr(t, field), month_col, months=months)
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *[c for c in rows.columns if c == SLOT])
+
+    out.stage(df if derive else typed(df), getattr(t, field), month_col, months=months,
+              derive=(lambda rows: typed(derive(rows, [c for c in rows.columns if c == SLOT]))) if derive else None)
 
 
 def _dims(spark: SparkSession, t: Tables):
@@ -227,8 +232,9 @@ def step_asm(spark: SparkSession, t: Tables, months: list[int], log: list, out:
         b = books_for(spark, t, months)
         try:
             fin = out.read(t.finance_table, S.REPORT_FINANCE, months=months)
-            report = A.asm_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, b.folder.write)
-            _stage(out, t, "asm", report, months)
+            # the copies of a row are made where they are written
+            scored = A.scored_report(b.kpi_asm, b.areas, fin, b.npl_by_area, b.months, b.folder.write)
+            _stage(out, t, "asm", scored, months, A.unfold_scores)
         finally:
             b.close()
         return list(months)

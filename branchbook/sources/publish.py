@@ -144,7 +144,7 @@ class Publisher:
         rows = derive(rows) if derive else rows
         # observed by the write itself (above the exchange, which an empty table would take away)
         rows = rows.observe(seen, F.collect_set(SLOT).alias("slots"), F.count(F.when(undated, 1)).alias("n"), hashes.alias("h"))
-        rows.write.partitionBy(SLOT).parquet(f"{table}/version={version}")
+        rows.write.option("compression", "zstd").partitionBy(SLOT).parquet(f"{table}/version={version}")
         got = seen.get
         written = sorted(got["slots"])
         own = f"{UNDATED}:{load_id or '{n}-{h}'.format(**got)}"

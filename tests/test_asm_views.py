@@ -158,3 +158,12 @@ def test_heat_map_sorts_only_rows_that_can_be_picked(spark):
     assert views._cutoffs(rep, F.coalesce(F.col("rank_final").cast("bigint"), F.lit(2**63 - 1)), 3).first()["__upto"] < 200
     got = {(r.email, r.rank_for_sort) for r in views.heat_map(rep).collect()}
     assert got == {("p0", 1), ("p1", 2), ("p2", 3), ("p4999", None), ("p4998", 4999), ("p4997", 4998)}
+
+
+def test_rows_gather_an_emails_inputs_in_one_exchange(spark):
+    kpi = _sheet(spark, [])
+    months = spark.createDataFrame([(202201,), (202207,)], "report_month int")
+    areas = spark.createDataFrame([("B", "Bee", "01")], S.DIM_AREA)
+    npl = spark.createDataFrame([], "month_key int, area_code string, npl_truoc_wo_luy_ke double")
+    text = A.asm_rows(kpi, areas, _report(spark, []), npl, months)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join LeftOuter, ((moy") == 0 and text.count("Aggregate [moy") == 2

@@ -105,3 +105,18 @@ def test_equal_rows_are_ranked_as_one_with_their_number(spark):
     base = ranking.numbered_rows(df, "g", [F.col("id")], store, 3)
     got = ranking.rank_columns(base, specs, "g", store, 3, copies="n").select("id", "rn", "rk", "dr").collect()
     assert sorted(map(tuple, got)) == [("a", 2, 2, 2), ("b", 1, 1, 1), ("c", 5, 5, 3)]
+
+
+def test_rank_columns_move_the_wide_rows_once_for_all_copies(spark):
+    store = RunFolder(spark).write
+    rows = [(g, v, n) for g in (1, None) for v, n in ((2.0, 3), (1.0, 1), (None, 2))]
+    base = ranking.numbered_rows(spark.createDataFrame(rows, "g int, v double, n long"), "g", [F.col("v")], store, 3)
+    each = base.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1))).withColumn("v", F.col("v") + F.col("__copy"))
+    specs = [ranking.RankSpec("up", "row_number", "v"), ranking.RankSpec("rk", "rank", "n"), ranking.RankSpec("down", "row_number", "v", descending=True)]
+    folded = ranking.rank_columns(base, specs, "g", store, 3, copies="n", each=each, folded=True)
+    assert folded.count() == len(rows)
+    got = {(r.g, r.v, r["__copy"]): (r.up, r.rk, r.down) for r in ranking.unfolded(folded).collect()}
+    one = {(2.0, 0): (2, 4, 5), (2.0, 1): (3, 4, 4), (2.0, 2): (4, 4, 3), (1.0, 0): (1, 1, 6), (None, 0): (5, 2, 1), (None, 1): (6, 2, 2)}
+    assert got == {(g, *k): v for g in (1, None) for k, v in one.items()}
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [__row" not in plan and plan.count("SortMergeJoin [__row") == 1
