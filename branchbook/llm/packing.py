@@ -30,6 +30,7 @@ import random
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -104,7 +105,8 @@ class ChunkEncoder:
         split = [d.split() if b"<|" in d else s.split() for d, s in zip(docs, _spaced(docs))]
         if len(self.now) > REMEMBERED:
             self.now, self.old = {}, self.now
-        self._learn(list(set().union(*split) - self.now.keys()))
+        # (a set less a dict's keys would walk all that is remembered)
+        self._learn(list(filterfalse(self.now.__contains__, set().union(*split))))
         get = self.now.__getitem__
         return [b"".join(map(get, s)) for s in split]
 

@@ -35,6 +35,19 @@ def test_remembered_chunks_are_bounded(monkeypatch):
     assert len(e.now) <= 20 and len(e.old) <= 20
 
 
+def test_a_batch_does_not_walk_all_remembered_chunks():
+    class Remembered(dict):
+        def keys(self):
+            raise AssertionError("walked")
+        __iter__ = keys
+
+    e = P.ChunkEncoder(PATH)
+    e.encode([b"the cat"])
+    e.now = Remembered(e.now)
+    want = Tokenizer.from_file(PATH).encode("the cat sat", add_special_tokens=False).ids
+    assert np.frombuffer(e.encode([b"the cat sat"])[0], "<u4").tolist() == want
+
+
 def check(rows, texts):
     t = Tokenizer.from_file(PATH)
     ids = {i: t.encode(x or "", add_special_tokens=False).ids + [0] for i, x in texts}
