@@ -95,3 +95,12 @@ def test_the_walks_of_tree_errors_are_taken_once(spark, scratch):
     found = pnl.tree_errors(tree, store=store)
     assert sorted(map(tuple, found.collect())) == [(10, "cycle"), (11, "cycle"), (20, "orphan")] and written == ["tree", "edges"]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("UnionLoop ") == 1
+
+
+def test_the_tree_query_reads_every_order(spark, scratch):
+    """Customers of more than six orders: all of a cycle are found, and no chain is cut to orphans."""
+    from branchbook.plans.queries import q_tree_errors
+    orders = [(10 + i, 2) for i in range(9)] + [(30 + i, 3) for i in range(9)] + [(50, 4), (60, 5), (70, None)]
+    orders += [(100 + i, 6) for i in range(20)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{scratch}/orders.parquet")
+    assert sorted(map(tuple, q_tree_errors(spark, scratch).collect())) == [(k, "cycle") for k, c in orders if c in (2, 4, 6)]
