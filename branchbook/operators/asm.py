@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.columns import month_of_year
@@ -25,10 +25,12 @@ from branchbook.operators import ranking
 from branchbook.operators import ratios as R
 from branchbook.operators.geo import area_by_name
 from branchbook.operators.ranking import RankSpec
+from branchbook.sources.local import local_table
 from branchbook.sources.schemas import REPORT_ASM
 
 TIE_BREAK = ["email", "area_name", "sale_name"]
 FINANCE_LOOKUPS = [(29, "cir"), (30, "margin"), (31, "hs_von"), (32, "hsbp_nhan_su")]
+OF_THE_AREAS = ["npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS]]
 
 
 def _months_join(df: DataFrame, months: DataFrame, cond) -> DataFrame:
@@ -171,17 +173,10 @@ def asm_joined(averages: DataFrame, npl_asm: DataFrame, lookup: DataFrame) -> Da
 COPIES = "n_copies"
 
 
-def asm_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
-             months: DataFrame) -> DataFrame:
-    """The rows of ``asm_joined(asm_averages, npl_by_asm, finance_lookup)``, equal
-    ones as one row with their number (``n_copies``).
-
-    What a month takes from the sheet depends on the month of the year only, so
-    the joins by email are taken inside one row per email and month of the year,
-    which holds the email's identities: one exchange for all of them.  What it
-    takes from the areas (NPL, lines 29-32) is months x areas rows and is
-    broadcast to the rows after they are attached to the report months.
-    """
+def _email_rows(fact_kpi_asm: DataFrame, areas: DataFrame, months: DataFrame) -> DataFrame:
+    """Per month of the year, a row per identity with a loan average, and what its
+    email joins: the other averages (``__p``, ``__ar``), the areas that give NPLs
+    and how many each (``__npl``), the identities that get lines (``__who``)."""
     # the identities of an email (each alone, if it has none: NULL joins nothing), gathered once
     nobody = F.col("email").isNull()
     names = areas.groupBy("area_name").agg(F.collect_list(F.struct("area_code")).alias("codes"))
@@ -203,35 +198,68 @@ def asm_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_
     who = F.array_distinct(F.flatten(F.transform(F.filter(joined("n_ar"), lambda x: x["codes"].isNotNull()), lambda x: F.transform(
         F.filter(x["codes"], lambda c: c["area_code"].isNotNull()), lambda c: named(
             area_name=x["area_name"], sale_name=x["sale_name"], area_code=c["area_code"])))))
-    j = g.select("moy", "email", F.transform(joined("n_psdn"), lambda x: x["psdn_avg"]).alias("__p"),
+    return g.select("moy", "email", F.transform(joined("n_psdn"), lambda x: x["psdn_avg"]).alias("__p"),
                  F.transform(joined("n_ar"), lambda x: x["approval_rate_avg"]).alias("__ar"), npl_of.alias("__npl"), who.alias("__who"),
                  F.inline(F.transform(F.filter(s, lambda x: x["n_ltn"] > 0), lambda x: named(
                      area_name=x["area_name"], sale_name=x["sale_name"], ltn_avg=x["ltn_avg"]))))
-    for many, of in (("__p", F.explode_outer("__p").alias("psdn_avg")), ("__ar", F.explode_outer("__ar").alias("approval_rate_avg")),
-                     ("__npl", F.inline_outer("__npl").alias("__npl_area", "__n"))):
-        j = j.select(*[c for c in j.columns if c != many], of)
-    j = j.withColumn(COPIES, F.coalesce("__n", F.lit(1))).drop("__n")
-    j = _to_report_months(j, months)
 
-    npl = npl_area.select("month_key", F.col("area_code").alias("__npl_area"), "npl_truoc_wo_luy_ke")
-    ids = [i for i, _ in FINANCE_LOOKUPS]
-    lines = finance.where(F.col("id").isin(ids) & F.col("area_code").isNotNull()).groupBy("month_key", "area_code").agg(
+
+def _npl(npl_area: DataFrame) -> DataFrame:
+    return npl_area.select("month_key", F.col("area_code").alias("__npl_area"), "npl_truoc_wo_luy_ke")
+
+
+def _lookup_rows(finance: DataFrame) -> DataFrame:
+    return finance.where(F.col("id").isin([i for i, _ in FINANCE_LOOKUPS]) & F.col("area_code").isNotNull())
+
+
+def _lines(finance: DataFrame) -> DataFrame:
+    """Per month and area the distinct amounts of lines 29-32."""
+    return _lookup_rows(finance).groupBy("month_key", "area_code").agg(
         *[F.collect_set(F.when(F.col("id") == i, F.struct("amount"))).alias(name) for i, name in FINANCE_LOOKUPS])
-    lines = lines.groupBy("month_key").agg(F.map_from_entries(F.collect_list(F.struct(
+
+
+def _line_maps(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("month_key").agg(F.map_from_entries(F.collect_list(F.struct(
         "area_code", F.struct(*[n for _, n in FINANCE_LOOKUPS])))).alias("__lines"))
-    j = j.join(F.broadcast(npl), ["month_key", "__npl_area"], "left").join(F.broadcast(lines), "month_key", "left")
 
-    def amounts(name: str):
-        """The distinct (identity, amount) of the email's areas: almost always one identity."""
-        of = lambda w: F.coalesce(F.try_element_at("__lines", w["area_code"])[name], F.array().cast("array<struct<amount:decimal(38,10)>>"))
-        every = F.array_distinct(F.flatten(F.transform("__who", lambda w: F.transform(
-            of(w), lambda x: F.struct(w["area_name"], w["sale_name"], x["amount"].alias("amount"))))))
-        return F.when(F.size("__who") == 1, of(F.col("__who")[0])).otherwise(F.transform(every, lambda x: F.struct(x["amount"].alias("amount"))))
 
+def _amounts(name: str):
+    """The distinct (identity, amount) of the email's areas: almost always one identity."""
+    of = lambda w: F.coalesce(F.try_element_at("__lines", w["area_code"])[name], F.array().cast("array<struct<amount:decimal(38,10)>>"))
+    every = F.array_distinct(F.flatten(F.transform("__who", lambda w: F.transform(
+        of(w), lambda x: F.struct(w["area_name"], w["sale_name"], x["amount"].alias("amount"))))))
+    return F.when(F.size("__who") == 1, of(F.col("__who")[0])).otherwise(F.transform(every, lambda x: F.struct(x["amount"].alias("amount"))))
+
+
+def _with_amounts(j: DataFrame) -> DataFrame:
+    """A row per amount of each line."""
     for _, name in FINANCE_LOOKUPS:
-        j = j.withColumn("__x", F.explode_outer(amounts(name))).withColumn(f"__{name}", F.col("__x.amount")).drop("__x")
+        j = j.withColumn("__x", F.explode_outer(_amounts(name))).withColumn(name, F.col("__x.amount")).drop("__x")
+    return j
+
+
+def asm_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
+             months: DataFrame) -> DataFrame:
+    """The rows of ``asm_joined(asm_averages, npl_by_asm, finance_lookup)``, equal
+    ones as one row with their number (``n_copies``).
+
+    What a month takes from the sheet depends on the month of the year only, so
+    the joins by email are taken inside one row per email and month of the year,
+    which holds the email's identities: one exchange for all of them.  What it
+    takes from the areas (NPL, lines 29-32) is months x areas rows and is
+    broadcast to the rows after they are attached to the report months.
+    """
+    j = _email_rows(fact_kpi_asm, areas, months)
+    for many, of in (("__p", F.explode_outer("__p").alias("psdn_avg")), ("__ar", F.explode_outer("__ar").alias("approval_rate_avg")),
+                     ("__npl", F.inline_outer("__npl").alias("__npl_area", "__n"))):
+        j = j.select(*[c for c in j.columns if c != many], of)
+    j = j.withColumn(COPIES, F.coalesce("__n", F.lit(1))).drop("__n")
+    j = _to_report_months(j, months)
+
+    j = j.join(F.broadcast(_npl(npl_area)), ["month_key", "__npl_area"], "left")
+    j = _with_amounts(j.join(F.broadcast(_line_maps(_lines(finance))), "month_key", "left"))
     return j.select("month_key", "email", "area_name", "sale_name", "ltn_avg", "psdn_avg", "approval_rate_avg",
-                    "npl_truoc_wo_luy_ke", *[F.col(f"__{n}").alias(n) for _, n in FINANCE_LOOKUPS], COPIES)
+                    "npl_truoc_wo_luy_ke", *[n for _, n in FINANCE_LOOKUPS], COPIES)
 
 
 RANKS = [
@@ -265,6 +293,91 @@ def rank_rows(rows: DataFrame, store) -> DataFrame:
     return store(ranking.rank_columns(base, RANKS, "month_key", store, copies=COPIES), "ranks")
 
 
+def _month_classes(finance: DataFrame, months: DataFrame) -> DataFrame:
+    """month_key, moy, class: months of one class (named by its first month) read
+    the same months of the sheet, and in each line the same areas have amounts and
+    equal ones, so that an email has as many rows in all of them."""
+    amount = F.coalesce(F.col("amount").cast("string"), F.lit(""))
+    lines = (_lookup_rows(finance).select("month_key", "id", "area_code", amount.alias("a")).distinct()
+             .groupBy("month_key", "id").agg(F.sort_array(F.collect_list(F.struct("area_code", "a"))).alias("s")))
+    equal = F.transform("s", lambda x: F.struct(x["area_code"].alias("area"), F.array_position(F.array_distinct("s.a"), x["a"]).alias("n")))
+    shape = lines.select("month_key", F.struct("id", equal.alias("equal")).alias("line")).groupBy("month_key").agg(
+        F.sort_array(F.collect_list("line")).alias("shape"))
+    rm = months.columns[0]
+    found = months.select(F.col(rm).alias("month_key"), month_of_year(F.col(rm)).alias("moy")).join(shape, "month_key", "left")
+    found = found.groupBy("moy", "shape").agg(F.min("month_key").alias("class"), F.collect_list("month_key").alias("of"))
+    # bounded by the calendar: an inline table
+    rows = sorted((m, r["moy"], r["class"]) for r in found.select("moy", "class", "of").collect() for m in r["of"])
+    return local_table(months.sparkSession, rows, "month_key int, moy int, class int")
+
+
+def _class_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, months: DataFrame, classes: DataFrame) -> DataFrame:
+    """``_email_rows`` per class of months, a row per identity and averages that
+    its email joins; ``__weight``: the rows that it is in each month of the class."""
+    def counted(c: str, name: str):
+        return F.explode_outer(F.transform(F.array_distinct(c), lambda v: F.struct(
+            v.alias(name), F.size(F.filter(c, lambda x: x.eqNullSafe(v))).cast("bigint").alias("n"))))
+
+    j = _email_rows(fact_kpi_asm, areas, months)
+    for many, name in (("__p", "psdn_avg"), ("__ar", "approval_rate_avg")):
+        j = j.withColumn(many, counted(many, name)).withColumn(name, F.col(many)[name]).withColumn(many, F.coalesce(F.col(many)["n"], F.lit(1).cast("bigint")))
+    nowhere = F.array(F.struct(F.lit(None).cast("string").alias("area_code"), F.lit(1).cast("bigint").alias("n")))
+    npl = F.transform(F.when(F.size("__npl") > 0, F.col("__npl")).otherwise(nowhere), lambda x: F.struct(
+        x["area_code"].alias("area_code"), (x["n"] * F.col("__p") * F.col("__ar")).alias("n")))
+    j = j.withColumn("__npl", npl).drop("__p", "__ar").join(F.broadcast(classes.select("moy", "class").distinct()), "moy").drop("moy")
+    j = j.join(F.broadcast(_line_maps(_lines(finance)).withColumnRenamed("month_key", "class")), "class", "left")
+    lookups = F.lit(1).cast("bigint")
+    for _, name in FINANCE_LOOKUPS:
+        lookups = lookups * F.greatest(F.lit(1), F.size(_amounts(name)))
+    j = j.withColumn("__lookups", lookups).drop("__lines")
+    return j.withColumn("__one", (F.size("__npl") == 1) & (F.coalesce(F.size("__who"), F.lit(0)) <= 1) & (F.col("__lookups") == 1)).withColumn(
+        "__weight", F.aggregate("__npl", F.lit(0).cast("bigint"), lambda n, x: n + x["n"]) * F.col("__lookups")).drop("__lookups")
+
+
+def _month_rows(classed: DataFrame, finance: DataFrame, npl_area: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``asm_rows`` from those of the classes; ``__before``: the rows of
+    the same class row that come earlier."""
+    months, npl, lines = F.broadcast(classes.select("class", "month_key")), F.broadcast(_npl(npl_area)), _lines(finance)
+    fanned = classed.where(~F.col("__one"))
+    others = [c for c in classed.columns if c not in ("__npl", "__one", "__weight")]
+    fanned = fanned.select(*others, F.inline("__npl").alias("__npl_area", COPIES)).join(months, "class").join(npl, ["month_key", "__npl_area"], "left")
+    fanned = _with_amounts(fanned.join(F.broadcast(_line_maps(lines)), "month_key", "left"))
+    earlier = Window.partitionBy("month_key", "__row").orderBy(*[F.col(c).asc_nulls_last() for c in OF_THE_AREAS]).rowsBetween(Window.unboundedPreceding, -1)
+    fanned = fanned.withColumn("__before", F.coalesce(F.sum(COPIES).over(earlier), F.lit(0)))
+    # an email of one area: a lookup each
+    first = F.get("__npl", F.lit(0))
+    one = classed.where("__one").select(*others, first["area_code"].alias("__npl_area"), first["n"].alias(COPIES),
+                                        F.get("__who", F.lit(0))["area_code"].alias("__area"))
+    amounts = lines.select("month_key", F.col("area_code").alias("__area"), *[F.get(n, F.lit(0))["amount"].alias(n) for _, n in FINANCE_LOOKUPS])
+    one = (one.join(months, "class").join(npl, ["month_key", "__npl_area"], "left").join(F.broadcast(amounts), ["month_key", "__area"], "left")
+           .withColumn("__before", F.lit(0).cast("bigint")))
+    keep = [c for c in one.columns if c not in ("class", "__who", "__npl_area", "__area")]
+    return one.select(*keep).unionByName(fanned.select(*keep))
+
+
+def ranked_rows(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame, months: DataFrame, store) -> DataFrame:
+    """``rank_rows`` of ``asm_rows``.
+
+    The ROW_NUMBERs order by averages, which depend on the month of the year only:
+    they are taken once per class of months (``_month_classes``), over the rows as
+    they are before they are attached to months.  RANK and DENSE_RANK order by
+    values of areas, taken once per distinct combination.
+    """
+    classes = _month_classes(finance, months)
+    tie = [*[F.col(c) for c in TIE_BREAK], -F.col("ltn_avg"), F.col("psdn_avg"), F.col("approval_rate_avg")]
+    rows = ranking.prefix_sums(_class_rows(fact_kpi_asm, areas, finance, months, classes), [c.asc_nulls_last() for c in tie], ["class"],
+                               None, store, "__place")
+    most = rows.agg(F.max("__weight")).first()[0] or 1      # numbers leave room for the rows of a class row
+    numbered = lambda month: F.shiftleft(F.col(month).cast("bigint"), 44) + F.col("__place") * F.lit(most)
+    classed = ranking.rank_columns(rows.withColumn("__row", numbered("class")), [s for s in RANKS if s.function == "row_number"], "class",
+                                   store, copies="__weight")
+    j = _month_rows(store(classed, "class_ranks"), finance, npl_area, classes)
+    j = j.withColumns({"__row": numbered("month_key") + F.col("__before"),
+                       **{n: (F.col(n) + F.col("__before")).cast("int") for n in ROW_NUMBERS}})
+    j = j.select("month_key", "email", "area_name", "sale_name", "ltn_avg", "psdn_avg", "approval_rate_avg", *OF_THE_AREAS, COPIES, "__row", *ROW_NUMBERS)
+    return store(ranking.value_ranks(j, [s for s in RANKS if s.function != "row_number"], "month_key", store, COPIES), "ranks")
+
+
 def _each(ranked: DataFrame) -> DataFrame:
     """The copies of ``rank_rows`` one by one (``__copy`` from 0): equal rows take
     consecutive places in every ROW_NUMBER."""
@@ -330,7 +443,7 @@ def score_rows(ranked: DataFrame, store) -> DataFrame:
 def scored_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,
                   months: DataFrame, store) -> DataFrame:
     """``asm_report`` before ``unfold_scores``."""
-    return scored_rows(rank_rows(asm_rows(fact_kpi_asm, areas, finance, npl_area, months), store), store)
+    return scored_rows(ranked_rows(fact_kpi_asm, areas, finance, npl_area, months, store), store)
 
 
 def asm_report(fact_kpi_asm: DataFrame, areas: DataFrame, finance: DataFrame, npl_area: DataFrame,

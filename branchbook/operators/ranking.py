@@ -69,13 +69,17 @@ def _running_sums(parts: list[str]):
     return run
 
 
-def _slices(df: DataFrame, order: list[Column], parts: list[str], weight: Column, store: Store,
+def _slices(df: DataFrame, order: list[Column], parts: list[str], weight: Column | None, store: Store,
             num_partitions: int | None) -> DataFrame:
     """The rows with the number of the range partition that holds them (sorted)
     and the running sum of the weight in it.  One exchange: the sums are taken
-    where the rows were sorted."""
+    where the rows were sorted.  Without a weight each row counts once, and its
+    place in the partition says all."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in parts] + list(order)
+    if weight is None:
+        rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        return store(rows.withColumns({"__pid": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), "ranked")
     rows = df.withColumn("__w", F.coalesce(weight.cast("bigint"), F.lit(0).cast("bigint")))
     rows = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__pid", F.spark_partition_id())
     schema = T.StructType([*rows.schema.fields, T.StructField("__in", T.LongType())])
@@ -85,21 +89,25 @@ def _slices(df: DataFrame, order: list[Column], parts: list[str], weight: Column
 def _before(sliced: DataFrame, parts: list[str], name: str) -> DataFrame:
     """``name``: sum of the weight over the rows of the group that come earlier."""
     earlier = Window.partitionBy(*(parts or [F.lit(0)])).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy("__pid", *parts).agg(F.sum("__w").alias("__n"))
-    offsets = totals.select("__pid", *parts, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    placed = "__at" in sliced.columns
+    # of rows that count once: how many, and the place of the group's first
+    sums = (F.count(F.lit(1)), F.min("__at")) if placed else (F.sum("__w"), F.lit(0))
+    totals = sliced.groupBy("__pid", *parts).agg(sums[0].alias("__n"), sums[1].alias("__first"))
+    offsets = totals.select("__pid", *parts, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__off"))
     # a row per slice and group that it holds: few, unless the groups are many
     few = totals.count() <= SMALL_KEYS
     t, o = sliced.alias("t"), (F.broadcast(offsets) if few else offsets).alias("o")
     cond = F.col("t.__pid") == F.col("o.__pid")
     if parts:
         cond = cond & _eq_null_safe("t", "o", parts)
-    cols = [F.col(f"t.`{c}`") for c in sliced.columns if c not in ("__pid", "__w", "__in")]
-    return t.join(o, cond).select(*cols, (F.col("t.__in") + F.col("o.__off")).alias(name))
+    cols = [F.col(f"t.`{c}`") for c in sliced.columns if c not in ("__pid", "__w", "__in", "__at")]
+    return t.join(o, cond).select(*cols, (F.col("t.__at" if placed else "t.__in") + F.col("o.__off")).alias(name))
 
 
-def prefix_sums(df: DataFrame, order: list[Column], partition_by: list[str] | None, weight: Column, store: Store,
+def prefix_sums(df: DataFrame, order: list[Column], partition_by: list[str] | None, weight: Column | None, store: Store,
                 name: str, num_partitions: int | None = None) -> DataFrame:
-    """``name``: sum of ``weight`` over the rows of the group that come earlier."""
+    """``name``: sum of ``weight`` over the rows of the group that come earlier
+    (None: their number)."""
     parts = list(partition_by or [])
     return _before(_slices(df, order, parts, weight, store, num_partitions), parts, name)
 
@@ -109,7 +117,7 @@ def row_number(df: DataFrame, order: list[Column], partition_by: list[str] | Non
     """``ROW_NUMBER() OVER (PARTITION BY partition_by ORDER BY order)``; give
     ``order`` tie-breaks, or the numbers among equal rows are arbitrary."""
     parts = list(partition_by or [])
-    out = prefix_sums(df, order, parts, F.lit(1), store, "__before", num_partitions)
+    out = prefix_sums(df, order, parts, None, store, "__before", num_partitions)
     return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + 1).cast("int").alias(name))
 
 
@@ -189,9 +197,9 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     ``folded``, still one for all (see ``unfolded``).
 
     Every ROW_NUMBER contributes one narrow entry per row, every RANK and
-    DENSE_RANK one per distinct key; the entries of all specs are
-    range-partitioned and written **once** by (spec, group, key, row), and prefix
-    sums over the slices give all numbers.  The ROW_NUMBERs of a row and its
+    DENSE_RANK one per distinct key; the rows' entries of all specs are
+    range-partitioned and written **once** by (spec, group, key, row), and so are
+    the keys'; prefix sums over the slices give all numbers.  The ROW_NUMBERs of a row and its
     copies are gathered by the row and go back by one join on it; ranks by one on
     the key, which is broadcast if the keys are few.
     """
@@ -202,32 +210,35 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     key_type = _exact_type(base, [s for _, s in keyed])
     exact = _EXACT if _EXACT in (key_type, _exact_type(each if each is not None else base, [s for _, s in numbered])) else "bigint"
 
-    def long(df: DataFrame, chosen, *more: Column) -> DataFrame:
+    def long(df: DataFrame, chosen, weight: Column | None) -> DataFrame:
         entry = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("__m"), *_sort_key(df, s, exact)) for i, s in chosen])
-        return df.select(part.alias("__part"), *more, F.explode(entry).alias("e")).select(
-            "e.__m", "__part", *[f"e.{k}" for k in _KEY], *[c for c in ("__row", "__copy", "__w") if c in {*ids, "__w"}])
+        more = [] if weight is None else [weight.alias("__weight")]
+        return df.select(part.alias("__part"), *ids, *more, F.explode(entry).alias("e")).select(
+            "e.__m", "__part", *[f"e.{k}" for k in _KEY], *ids, *(["__weight"] if more else []))
+
+    order = [F.col(c).asc_nulls_first() for c in (*_KEY, *ids)]
+    number = (F.col("__before") + 1).cast("int")
+
+    def placed(entries: DataFrame, weight: Column | None) -> DataFrame:
+        return prefix_sums(entries, order, ["__m", "__part"], weight, store, "__before", num_partitions)
 
-    entries = []
     if numbered:
         rows = each if each is not None else base
-        entries.append(long(rows, numbered, *ids, (many if each is None else F.lit(1).cast("bigint")).alias("__w")))
+        once = each is not None or copies is None
+        rows = placed(long(rows, numbered, None if once else many), None if once else F.col("__weight"))
     if keyed:
         counted = [i for i, s in keyed if s.function == "rank"]
         nothing = [F.lit(None).cast("bigint" if c == "__row" else "int").alias(c) for c in ids]
-        keys = long(base.withColumns({c: x for c, x in zip(ids, nothing)}), keyed, *ids, many.alias("__w"))
-        keys = keys.groupBy("__m", "__part", *_KEY).agg(F.sum("__w").alias("__rows"))
+        keys = long(base.withColumns({c: x for c, x in zip(ids, nothing)}), keyed, many)
+        keys = keys.groupBy("__m", "__part", *_KEY).agg(F.sum("__weight").alias("__rows"))
         weight = F.when(F.col("__m").isin(counted), F.col("__rows")).otherwise(1).cast("bigint")
-        entries.append(keys.select("__m", "__part", *_KEY, *nothing, weight.alias("__w")))
-    order = [F.col(c).asc_nulls_first() for c in (*_KEY, *ids)]
-    placed = prefix_sums(reduce(DataFrame.unionByName, [e.withColumnRenamed("__w", "__weight") for e in entries]), order,
-                         ["__m", "__part"], F.col("__weight"), store, "__before", num_partitions)
-    number = (F.col("__before") + 1).cast("int")
+        k = placed(keys.select("__m", "__part", *_KEY, *nothing, weight.alias("__weight")), F.col("__weight"))
     out = base
     if numbered:
         # copy, spec and number in one value that orders like them: narrow rows move
         copy = F.col("__copy").cast("bigint") if each is not None else F.lit(0).cast("bigint")
         one = F.shiftleft(copy * len(specs) + F.col("__m"), 32) + number
-        found = (placed.where(F.col("__row").isNotNull()).select("__row", one.alias("x")).repartition("__row")
+        found = (rows.select("__row", one.alias("x")).repartition("__row")
                  .groupBy("__row").agg(F.array_sort(F.collect_list("x")).alias("x"))
                  # every copy has a number of each spec
                  .select("__row", F.transform(F.sequence(F.lit(0), F.size("x") - 1, F.lit(len(numbered))), lambda at: F.struct(
@@ -237,7 +248,6 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
         # never broadcast: the file of a written, sorted base is far smaller than its rows
         out = out.join(found.hint("merge"), "__row")
     if keyed:
-        k = placed.where(F.col("__row").isNull())
         few = k.count() <= SMALL_KEYS
         for i, s in keyed:
             one = k.where(F.col("__m") == i).select(F.col("__part"), *_KEY, number.alias(s.name))
@@ -247,6 +257,18 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     return unfolded(out, each is not None) if numbered and not folded else out
 
 
+def value_ranks(df: DataFrame, specs: list[RankSpec], partition_by: str, store: Store, copies: str | None = None) -> DataFrame:
+    """``df`` with its RANKs and DENSE_RANKs, taken over the distinct combinations
+    of the group and all their values, and joined once (broadcast, if they are few)."""
+    at = list(dict.fromkeys([partition_by, *[s.value for s in specs]]))
+    many = F.sum(F.col(f"`{copies}`").cast("bigint")) if copies else F.count(F.lit(1))
+    found = store(df.groupBy(*[f"`{c}`" for c in at]).agg(many.alias("__copies")), "values")
+    ranks = store(rank_columns(found, specs, partition_by, store, copies="__copies"), "value_ranks")
+    few = ranks.count() <= SMALL_KEYS
+    a, b = df.alias("a"), (F.broadcast(ranks) if few else ranks).alias("b")
+    return a.join(b, _eq_null_safe("a", "b", at)).select(*[F.col(f"a.`{c}`") for c in df.columns], *[F.col(f"b.`{s.name}`") for s in specs])
+
+
 def unfolded(df: DataFrame, copies: bool = True) -> DataFrame:
     """Folded ``rank_columns``, a row per copy."""
     names = [f.name for f in df.schema["__numbers"].dataType.elementType.fields if copies or f.name != "__copy"]

@@ -176,13 +176,12 @@ class Books:
 
     @cached_property
     def asm(self) -> DataFrame:
-        """``report_asm_final_table`` for all report months."""
-        return self._keep(A.score_rows(self.asm_rank_rows, self.folder.write), "asm")
+        """``report_asm_final_table`` for all report months (kept with equal rows as one)."""
+        return A.unfold_scores(self._keep(A.scored_rows(self.asm_rank_rows, self.folder.write), "asm"))
 
     @cached_property
     def asm_rank_rows(self) -> DataFrame:
-        rows = A.asm_rows(self.kpi_asm, self.areas, self.finance, self.npl_by_area, self.months)
-        return A.rank_rows(rows, self.folder.write)
+        return A.ranked_rows(self.kpi_asm, self.areas, self.finance, self.npl_by_area, self.months, self.folder.write)
 
     @cached_property
     def asm_ranked(self) -> DataFrame:

@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,21 +137,21 @@ class Publisher:
             months = sorted({int(m) for m in months})
             df = df.where(F.col(month_col).isin(months))
         stored = derive(df) if derive else df
-        undated = F.col(month_col).isNull()
-        seen = Observation(f"slots of {version}")
-        hashes = F.sum(F.when(undated, F.xxhash64(*stored.columns)).cast("decimal(38,0)"))
+        folder = f"{table}/version={version}"
         rows = df.withColumn(SLOT, F.coalesce(F.col(month_col).cast("string"), F.lit(UNDATED))).hint("rebalance", SLOT)
         rows = derive(rows) if derive else rows
-        # observed by the write itself (above the exchange, which an empty table would take away)
-        rows = rows.observe(seen, F.collect_set(SLOT).alias("slots"), F.count(F.when(undated, 1)).alias("n"), hashes.alias("h"))
-        rows.write.option("compression", "zstd").partitionBy(SLOT).parquet(f"{table}/version={version}")
-        got = seen.get
-        written = sorted(got["slots"])
-        own = f"{UNDATED}:{load_id or '{n}-{h}'.format(**got)}"
+        rows.write.option("compression", "zstd").partitionBy(SLOT).parquet(folder)
+        # the slots written are the folders of the version
+        written = sorted(n.removeprefix(f"{SLOT}=") for n in self._folders(folder, f"{SLOT}="))
+        files = self.spark.read.schema(T.StructType([*stored.schema.fields, T.StructField(SLOT, T.StringType())]))
+        own = f"{UNDATED}:{load_id}"
+        if UNDATED in written and not load_id:
+            total = F.sum(F.xxhash64(*[f"`{c}`" for c in stored.columns]).cast("decimal(38,0)"))
+            n, h = files.parquet(folder).where(F.col(SLOT) == UNDATED).agg(F.count(F.lit(1)), total).first()
+            own = f"{UNDATED}:{n}-{h}"
         prints = {}
         if fingerprint and written:
-            files = self.spark.read.schema(T.StructType([*stored.schema.fields, T.StructField(SLOT, T.StringType())])).parquet(f"{table}/version={version}")
-            prints = {r[SLOT]: r.fingerprint for r in fingerprints(files, stored.columns).collect()}     # one row per slot
+            prints = {r[SLOT]: r.fingerprint for r in fingerprints(files.parquet(folder), stored.columns).collect()}     # one row per slot
         for s in written:
             self.pending.append(Entry(table, own if s == UNDATED else s, version, adds, prints.get(s)))
         for m in months or []:
@@ -187,16 +187,20 @@ class Publisher:
         """Delete the version folders that no live slot names (replaced ones and
         what killed runs left).  Not while a run writes or an old reader reads."""
         keep = {e.version for found in self.live(table).values() for e in found}
+        gone = [n for n in self._folders(table, "version=") if n.removeprefix("version=") not in keep]
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(table)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        gone = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("version=")
-                and s.getPath().getName().removeprefix("version=") not in keep]
-        for p in gone:
-            fs.delete(p, True)
-        return [p.getName() for p in gone]
+        for n in gone:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, n), True)
+        return gone
+
+    def _folders(self, path: str, prefix: str) -> list[str]:
+        """Names of the folders in a folder that begin so (bounded by versions, or by calendar months)."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        return [n for n in found if n.startswith(prefix)]
 
 
 def log_of(table: str) -> str:

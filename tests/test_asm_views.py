@@ -167,3 +167,31 @@ def test_rows_gather_an_emails_inputs_in_one_exchange(spark):
     npl = spark.createDataFrame([], "month_key int, area_code string, npl_truoc_wo_luy_ke double")
     text = A.asm_rows(kpi, areas, _report(spark, []), npl, months)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Join LeftOuter, ((moy") == 0 and text.count("Aggregate [moy") == 2
+
+
+def test_averages_are_ranked_once_for_months_that_read_the_same(spark):
+    """The ROW_NUMBERs of the averages are taken per month of the year, not per
+    report month, and are those of the rows of every month."""
+    names = [f.name for f in S.FACT_KPI_ASM.fields]
+    rows = [dict(month_key=202105, month_col=m, area_name=area, sale_name=f"s{i}", email=email, loan_to_new=10 + i % 3, psdn=i % 2, approval_rate=0.5)
+            for m in (1, 2) for i, (area, email) in enumerate([("Bee", "x@x"), ("Cee", "x@x"), ("Bee", "y@x"), ("Cee", None), ("Bee", "z@x")])]
+    kpi = _sheet(spark, [tuple(r.get(n) for n in names) for r in rows])
+    areas = spark.createDataFrame([("B", "Bee", "01"), ("C", "Cee", "01")], S.DIM_AREA)
+    found = {}
+    for years in ((2021,), (2021, 2022, 2023)):
+        keys = [y * 100 + m for y in years for m in (1, 2, 3)]
+        months = spark.createDataFrame([(m,) for m in keys], "report_month int")
+        finance = _report(spark, [(m, i, a, D(m + i + n)) for m in keys for i, _ in A.FINANCE_LOOKUPS for n, a in enumerate("BC")])
+        npl = spark.createDataFrame([(m, "B", float(m % 7)) for m in keys], "month_key int, area_code string, npl_truoc_wo_luy_ke double")
+        folder, written = RunFolder(spark), []
+
+        def store(df, name):
+            df = folder.write(df, name)
+            written.append((name, df.count()))
+            return df
+
+        got = A.each_ranked(A.ranked_rows(kpi, areas, finance, npl, months, store))
+        want = A.each_ranked(A.rank_rows(A.asm_rows(kpi, areas, finance, npl, months), folder.write))
+        assert got.exceptAll(want.select(got.columns)).isEmpty() and want.select(got.columns).exceptAll(got).isEmpty()
+        found[len(years)] = [n for name, n in written if name in ("ranked", "class_ranks")][:3]
+    assert found[1] == found[3] and found[1][0] == found[1][2] < 40
