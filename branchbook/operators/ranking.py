@@ -197,9 +197,10 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     ``folded``, still one for all (see ``unfolded``).
 
     Every ROW_NUMBER contributes one narrow entry per row, every RANK and
-    DENSE_RANK one per distinct key; the rows' entries of all specs are
-    range-partitioned and written **once** by (spec, group, key, row), and so are
-    the keys'; prefix sums over the slices give all numbers.  The ROW_NUMBERs of a row and its
+    DENSE_RANK one per distinct key; the entries of all specs are
+    range-partitioned and written **once** by (spec, group, key, row), and prefix
+    sums over the slices give all numbers (with ``each``, the entries of the rows
+    need no weights, and those of the keys go apart).  The ROW_NUMBERs of a row and its
     copies are gathered by the row and go back by one join on it; ranks by one on
     the key, which is broadcast if the keys are few.
     """
@@ -222,17 +223,22 @@ def rank_columns(base: DataFrame, specs: list[RankSpec], partition_by: str, stor
     def placed(entries: DataFrame, weight: Column | None) -> DataFrame:
         return prefix_sums(entries, order, ["__m", "__part"], weight, store, "__before", num_partitions)
 
+    entries = []
     if numbered:
-        rows = each if each is not None else base
-        once = each is not None or copies is None
-        rows = placed(long(rows, numbered, None if once else many), None if once else F.col("__weight"))
+        entries.append(long(base, numbered, many) if each is None else long(each, numbered, None))
     if keyed:
         counted = [i for i, s in keyed if s.function == "rank"]
         nothing = [F.lit(None).cast("bigint" if c == "__row" else "int").alias(c) for c in ids]
         keys = long(base.withColumns({c: x for c, x in zip(ids, nothing)}), keyed, many)
         keys = keys.groupBy("__m", "__part", *_KEY).agg(F.sum("__weight").alias("__rows"))
         weight = F.when(F.col("__m").isin(counted), F.col("__rows")).otherwise(1).cast("bigint")
-        k = placed(keys.select("__m", "__part", *_KEY, *nothing, weight.alias("__weight")), F.col("__weight"))
+        entries.append(keys.select("__m", "__part", *_KEY, *nothing, weight.alias("__weight")))
+    if each is None:
+        both = placed(reduce(DataFrame.unionByName, entries), F.col("__weight"))
+        rows, k = both.where(F.col("__row").isNotNull()), both.where(F.col("__row").isNull())
+    else:
+        # one by one, each row counts once; the keys, far fewer, are apart
+        rows, k = placed(entries[0], None) if numbered else None, placed(entries[-1], F.col("__weight")) if keyed else None
     out = base
     if numbered:
         # copy, spec and number in one value that orders like them: narrow rows move
